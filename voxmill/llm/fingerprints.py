@@ -1,10 +1,11 @@
 """Document fingerprints: an invertible Bloom lookup sketch of paragraph digests.
 
-A text's lines are its paragraphs; a paragraph is cut further behind words whose hash is divisible by `CUT`, (and
-behind one character in `LONG`, which cuts text without white space), so that an edit inside a long paragraph changes few elements.  An element is the 64-bit digest of a piece together with how often
-it has stood before, so equal pieces stay apart.  The sketch has `CELLS` cells of (count, xor of digests, xor of check
+A text's lines are its paragraphs; a paragraph is cut further behind words whose hash is divisible by `CUT` (and
+behind one character in `LONG`, which cuts text without white space), so that an edit inside a long paragraph changes
+few elements.  An element is the 64-bit digest of a piece together with how often it has stood before, so equal pieces
+stay apart.  The sketch has `CELLS` cells of (count, xor of digests, xor of check
 sums) and each element lies in three of them.  Two sketches subtract cell by cell; peeling the difference returns the
-digests that only one side has.  Where peeling fails, both sides are sketched again with four times the cells, until it
+digests that only one side has.  Where peeling fails, both sides are sketched again with sixteen times the cells, until it
 succeeds, so the likeness 1 - |difference| / |union| is that of the full sets.
 
 Edge cases: null text is the empty text; two empty texts are alike (1.0); null doc_id sorts first and repeated rows
@@ -66,8 +67,8 @@ def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     word_end = np.zeros(n, bool)
     word_end[:-1] = gap[1:] & ~gap[:-1]
     chance = mix(tail, 1)
-    stop = word_end & (chance % np.uint64(CUT) == 0)
-    stop |= chance % np.uint64(LONG) == 1
+    stop = word_end & (chance & np.uint64(CUT - 1) == 0)
+    stop |= (chance >> np.uint64(8)) & np.uint64(LONG - 1) == 1
     stop |= newline
     stop[ends[ends > 0] - 1] = True
     last = np.flatnonzero(stop)
@@ -174,7 +175,7 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
         n = np.bincount(doc, minlength=len(left))
         differ[left[done]] = n[done]
         left = np.delete(left, done)
-        cells, sketches = cells * 4, None
+        cells, sketches = cells * 16, None
     union = (sizes + differ) / 2
     return np.where(union > 0, 1 - differ / np.maximum(union, 1), 1.0)
 
@@ -186,7 +187,15 @@ def compare(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch
     for text, other in zip(texts, following, strict=True):
         half = len(text) // 2
         edited.append(text[: len(text) - half] + other[:half])
-    sets = [elements(x) for x in (texts, edited, following)]
+    # a following text that is the next one of `texts` is not cut again
+    again = [k + 1 < n and following[k] is texts[k + 1] for k in range(n)]
+    extra = [k for k in range(n) if not again[k]]
+    element, doc = elements([*texts, *(following[k] for k in extra)])
+    target = np.full(n + len(extra), -1)
+    target[[k + 1 for k in range(n) if again[k]]] = [k for k in range(n) if again[k]]
+    target[n:] = extra
+    mine, theirs = doc < n, target[doc] >= 0
+    sets = [(element[mine], doc[mine]), elements(edited), (element[theirs], target[doc[theirs]])]
     own, changed, nxt = (Sketch(n, CELLS).add(e, d, 1) for e, d in sets)
     near = (likeness(sets[0], sets[1], n, (own, changed)), likeness(sets[0], sets[2], n, (own, nxt)))
     sha = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in edited]
