@@ -6,11 +6,11 @@
    pairs: each bucket elects the member that shares most buckets with others, and the members are paired with it.
 3. Pairs whose signatures come near the threshold are verified on the full shingle sets; links make components.
 4. Buckets that still hold several components have strays, members outside their leader's component.  Strays are
-   compared with the bucket's members by signature in bounded blocks, and near ones of other components are verified
-   too, so a link that the leader doesn't see isn't lost.
+   compared with the bucket's members by a finer signature in bounded blocks, and near ones of other components are
+   verified too, so a link that the leader doesn't see isn't lost.
 
 With 16 bands of 4 rows a pair at the threshold of 0.85 misses every bucket with probability 1e-5; the signature test
-lies five deviations under the threshold.
+lies five deviations under the threshold, the finer one four.
 
 Edge cases: documents without words link with nothing; null text is the empty text; rows with null doc_id stand alone
 and are kept; repeated rows share one class; empty tables give empty results; the operator's kept rows carry all columns.
@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, map_arrow, table, whole_text
+from .common import durable, map_arrow, shuffle_width, table, whole_text
 from .components import components
 from .fingerprints import mix
 
 HASHES, BANDS = 64, 16
+#: Minima, one byte of each, of the finer signature by which strays are compared, and its deviations under the threshold.
+FINE, FINE_DEVIATIONS = 512, 4
 #: Of a bucket's rows that one task compares at once.
 BLOCK_ROWS = 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -35,8 +37,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
-_A = mix(np.arange(1, HASHES + 1, dtype=np.uint64), 11) | np.uint64(1)
-_B = mix(np.arange(1, HASHES + 1, dtype=np.uint64), 12)
+_A = mix(np.arange(1, FINE + 1, dtype=np.uint64), 11) | np.uint64(1)
+_B = mix(np.arange(1, FINE + 1, dtype=np.uint64), 12)
 
 
 def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,13 +79,13 @@ def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     return h[new], owner[new]
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-    """[texts, HASHES] 32-bit minima; texts without shingles have all ones."""
-    out = np.full((texts, HASHES), 0xFFFFFFFF, np.uint32)
+def signatures(h: np.ndarray, owner: np.ndarray, texts: int, hashes: int = HASHES) -> np.ndarray:
+    """[texts, hashes] 32-bit minima; texts without shingles have all ones."""
+    out = np.full((texts, hashes), 0xFFFFFFFF, np.uint32)
     if len(h):
         there, start = np.unique(owner, return_index=True)
         with np.errstate(over="ignore"):
-            for k in range(HASHES):
+            for k in range(hashes):
                 out[there, k] = np.minimum.reduceat(((h * _A[k] + _B[k]) >> np.uint64(32)).astype(np.uint32), start)
     return out
 
@@ -103,6 +105,12 @@ def sketch(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     )
 
 
+def fine_signatures(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+    h, owner = shingle_sets(batch.column(1).to_pylist(), words)
+    sig = (signatures(h, owner, batch.num_rows, FINE) & np.uint32(255)).astype(np.uint8)
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in sig], pa.binary())], names=["id", "fine"])
+
+
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """[rows, BANDS] bucket keys."""
     rows = HASHES // BANDS
@@ -173,17 +181,16 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 
 def stray_pairs(members: DataFrame, least: float) -> DataFrame:
-    """members (key, band-bucket rows: id, comp, sig, n, stray) -> near pairs of a stray and a row of another component.
+    """members (bucket rows: key, id, comp, fine, n, stray) -> near pairs of a stray and a row of another component.
 
     Buckets are cut into blocks; a task holds one block of strays and one of members, and only near pairs leave it.
-    A pair that shares several buckets is reported in the first.
     """
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     mine = F.pmod(F.xxhash64("id"), parts).cast("int")
     m = members.withColumn("_parts", parts).withColumn("_mine", mine)
     every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    as_member = m.select("key", "id", "comp", "sig", F.lit(False).alias("query"), every.alias("i"), F.col("_mine").alias("j"))
-    as_stray = m.where("stray").select("key", "id", "comp", "sig", F.lit(True).alias("query"), F.col("_mine").alias("i"), every.alias("j"))
+    as_member = m.select("key", "id", "comp", "fine", F.lit(False).alias("query"), every.alias("i"), F.col("_mine").alias("j"))
+    as_stray = m.where("stray").select("key", "id", "comp", "fine", F.lit(True).alias("query"), F.col("_mine").alias("i"), every.alias("j"))
     rows = as_member.unionByName(as_stray)
     width = rows.withColumn("_block", F.xxhash64("key", "i", "j"))
 
@@ -197,17 +204,14 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
             if not query.any():
                 return None
             ids, comp, key = (table_.column(c).to_numpy() for c in ("id", "comp", "key"))
-            sig = np.frombuffer(b"".join(table_.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-            keys = band_keys(sig)
+            sig = np.frombuffer(b"".join(table_.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
             rest = np.flatnonzero(~query)
             out = []
             for q in np.flatnonzero(query):
                 there = rest[(comp[rest] != comp[q]) & (key[rest] == key[q])]
                 if len(there):
-                    there = there[(sig[there] == sig[q]).mean(axis=1) >= least]
+                    there = there[np.count_nonzero(sig[there] == sig[q], axis=1) >= least * FINE]
                 if len(there):
-                    first = np.argmax(keys[there] == keys[q], axis=1)
-                    there = there[keys[there, first] == key[q]]
                     out.append(np.stack([np.full(len(there), ids[q]), ids[there]]))
             if not out:
                 return None
@@ -229,10 +233,8 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
         if held and (found := compare()) is not None:
             yield found
 
-    from .common import shuffle_width
-
     dealt = width.repartition(shuffle_width(members.sparkSession), "_block").sortWithinPartitions("_block")
-    return dealt.select("_block", "key", "id", "comp", "sig", "query").mapInArrow(run, "a long, b long")
+    return dealt.select("_block", "key", "id", "comp", "fine", "query").mapInArrow(run, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -257,8 +259,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     labelled = durable(shared.join(comp, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp")), "near-labelled")
     open_ = labelled.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("key")
     lead = durable(open_.join(leaders, "key").join(comp, F.col("leader") == F.col("node"), "left").select("key", F.coalesce("component", "leader").alias("_lead")), "near-open")
-    members = labelled.join(lead, "key").join(classes.select("id", "sig"), "id").select("key", "id", "comp", "sig", "n", (F.col("comp") != F.col("_lead")).alias("stray"))
-    more = durable(stray_pairs(members, least), "near-strays")
+    members = durable(labelled.join(lead, "key").select("key", "id", "comp", "n", (F.col("comp") != F.col("_lead")).alias("stray")), "near-members")
+    again = texts.join(members.select("id").distinct(), "id", "left_semi")
+    fine = durable(map_arrow(again, lambda b: fine_signatures(b, words), "id long, fine binary"), "near-fine")
+    share = percent / 100
+    least = share - FINE_DEVIATIONS * (share * (1 - share) / FINE) ** 0.5
+    more = durable(stray_pairs(members.join(fine, "id"), least), "near-strays")
     found = durable(verified(more, texts, words, percent), "near-more")
     if found.limit(1).count():
         comp = durable(components(links.unionByName(found).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-comp2")
