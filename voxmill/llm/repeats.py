@@ -102,8 +102,9 @@ def anchors(raw: list[bytes]):
 
 
 def digest(text: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(text, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+    """Two halves of the text's SHA-256, as `find` takes them from sha2()."""
+    d = hashlib.sha256(text).hexdigest()
+    return int(d[:15], 16), int(d[15:30], 16)
 
 
 def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -256,11 +257,6 @@ def resolve(units: DataFrame, extra: int, steps: tuple[int, ...] = STEPS) -> Dat
 def find(docs: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
-    def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-        marks = [digest(r) for r in raw]
-        return batch_of([batch.column(0).to_pylist(), [m[0] for m in marks], [m[1] for m in marks], [len(r) for r in raw], [hashlib.sha256(r).hexdigest() for r in raw]], "doc_id long, t1 long, t2 long, n_bytes long, sha string")
-
     def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw = [t.encode("utf-8", "surrogatepass") for t in batch.column(0).to_pylist()]
         owner, a, _, _, k1, _ = anchors(raw)
@@ -280,7 +276,9 @@ def find(docs: DataFrame) -> DataFrame:
                     column.append(value)
         return batch_of(out, UNIT)
 
-    base = durable(mapped(slim, read, "doc_id long, t1 long, t2 long, n_bytes long, sha string"), "repeat-base")
+    sha = slim.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    half = [F.conv(F.substring("sha", k, 15), 16, 10).cast("long").alias(f"t{i}") for i, k in ((1, 1), (2, 16))]
+    base = durable(sha.select("doc_id", *half, "n_bytes", "sha"), "repeat-base")
     texts = durable(base.groupBy("t1", "t2", "n_bytes").agg(F.count("*").alias("copies"), F.min("doc_id").alias("led")), "repeat-texts")
     spots = durable(mapped(slim.select("text"), mark, "k1 long, t1 long, t2 long, a int"), "repeat-anchors")
     # a core twice: at two places of one text, or in two different texts (copies of a text count once)

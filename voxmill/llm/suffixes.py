@@ -31,8 +31,27 @@ def suffix_array(symbols) -> list[int]:
 
     top = n
     while top > 1:
-        g = group[order[top - 1]]
-        lo = first[g]
+        s = order[top - 1]
+        lo = first[group[s]]
+        if lo == top - 1:
+            # a group of one: at most one pointer, and a group of one that is pointed at stays as it is
+            top = lo
+            j = s - 1
+            while j >= 0 and first[group[j]] >= lo:
+                j = prev[j]
+            prev[s] = j
+            if j >= 0:
+                old = group[j]
+                back = last[old] - 1
+                if first[old] != back:
+                    at, other = place[j], order[back]
+                    order[at], place[other] = other, at
+                    order[back], place[j] = j, back
+                    last[old] = back
+                    group[j] = len(first)
+                    first.append(back)
+                    last.append(back + 1)
+            continue
         members = sorted(order[lo:top])
         top = lo
         pointed: dict[int, int] = {}
@@ -56,6 +75,8 @@ def suffix_array(symbols) -> list[int]:
             new_of: dict[int, int] = {}
             for j in chosen:
                 old = group[j]
+                if first[old] == last[old] - 1:
+                    continue
                 new = new_of.get(old)
                 if new is None:
                     new = new_of[old] = len(first)
