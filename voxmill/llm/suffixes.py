@@ -75,9 +75,9 @@ def suffix_array(symbols) -> list[int]:
             new_of: dict[int, int] = {}
             for j in chosen:
                 old = group[j]
-                if first[old] == last[old] - 1:
-                    continue
                 new = new_of.get(old)
+                if new is None and first[old] == last[old] - 1:
+                    continue
                 if new is None:
                     new = new_of[old] = len(first)
                     first.append(last[old])
