@@ -34,7 +34,10 @@ def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
     if len(low) != len(text):
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
-    space = (codes == 32) | ((codes < 32) & (codes > 8)) | ((codes > 132) & np.isin(codes, _SPACES))
+    space = (codes == 32) | ((codes < 14) & (codes > 8)) | ((codes < 32) & (codes > 27))
+    rare = np.flatnonzero((codes == 133) | (codes == 160) | (codes >= 5760))
+    if len(rare):
+        space[rare] = np.isin(codes[rare], _SPACES)
     keep = np.ones(len(codes), bool)
     keep[1:] = ~(space[1:] & space[:-1])
     return np.where(space, np.uint32(32), codes)[keep], np.flatnonzero(keep)
@@ -88,6 +91,9 @@ class Index:
 def align(item: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, int]:
     """(edits, start, end) of the cheapest occurrence of the item in the text; free ends in the text, rows cut by budget."""
     n = len(text)
+    whole = text.tobytes().find(item.tobytes())
+    if whole >= 0 and whole % 4 == 0:  # the whole diagonal agrees
+        return 0, whole // 4, whole // 4 + len(item)
     cost = np.zeros(n + 1, np.int32)
     start = np.arange(n + 1)
     steps = np.arange(n + 1, dtype=np.int32)
@@ -145,6 +151,8 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
         lo_, hi_ = max(first - e, starts[doc]), min(first + 2 * (e + 1) + m + e, starts[doc + 1] - Q)
         if hi_ <= lo_:
             continue
+        if (doc, i) in best and not best[doc, i][0]:
+            continue  # found without an edit in another band
         edits, a, z = align(index.codes[i], joined[lo_:hi_], e)
         if edits <= e:
             found = (edits, int(lo_ - starts[doc]) + a, int(lo_ - starts[doc]) + z)
