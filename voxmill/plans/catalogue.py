@@ -1,4 +1,4 @@
-"""All registered queries of the reference operators and their DuckDB SQL."""
+"""All registered queries of the reference operators and their DuckDB SQL, from the modules of this package."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import aggregates, filters, joins, ordering, scores, texts
+
+MODULES = (filters, joins, aggregates, ordering, texts, scores)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: f for m in MODULES for k, (f, _) in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql for m in MODULES for k, (_, sql) in m.QUERIES.items() if sql}
