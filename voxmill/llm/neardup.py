@@ -181,16 +181,17 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 
 def stray_pairs(members: DataFrame, least: float) -> DataFrame:
-    """members (bucket rows: key, id, comp, fine, n, stray) -> near pairs of a stray and a row of another component.
+    """members (bucket rows: key, id, comp, sig, fine, n, stray) -> near pairs of a stray and a row of another component.
 
-    Buckets are cut into blocks; a task holds one block of strays and one of members, and only near pairs leave it.
+    Buckets are cut into blocks; a task holds one block of strays and one of members, and only near pairs leave it, each
+    from the first bucket that its two rows share.  Where both are strays, the pair comes from the greater id alone.
     """
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     mine = F.pmod(F.xxhash64("id"), parts).cast("int")
     m = members.withColumn("_parts", parts).withColumn("_mine", mine)
     every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    as_member = m.select("key", "id", "comp", "fine", F.lit(False).alias("query"), every.alias("i"), F.col("_mine").alias("j"))
-    as_stray = m.where("stray").select("key", "id", "comp", "fine", F.lit(True).alias("query"), F.col("_mine").alias("i"), every.alias("j"))
+    as_member = m.select("key", "id", "comp", "sig", "fine", F.lit(False).alias("query"), "stray", every.alias("i"), F.col("_mine").alias("j"))
+    as_stray = m.where("stray").select("key", "id", "comp", "sig", "fine", F.lit(True).alias("query"), "stray", F.col("_mine").alias("i"), every.alias("j"))
     rows = as_member.unionByName(as_stray)
     width = rows.withColumn("_block", F.xxhash64("key", "i", "j"))
 
@@ -203,15 +204,18 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
             query = table_.column("query").to_numpy()
             if not query.any():
                 return None
-            ids, comp, key = (table_.column(c).to_numpy() for c in ("id", "comp", "key"))
+            ids, comp, key, stray = (table_.column(c).to_numpy() for c in ("id", "comp", "key", "stray"))
             sig = np.frombuffer(b"".join(table_.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+            keys = band_keys(to_matrix(table_.column("sig").combine_chunks()))
             rest = np.flatnonzero(~query)
             out = []
             for q in np.flatnonzero(query):
-                there = rest[(comp[rest] != comp[q]) & (key[rest] == key[q])]
+                there = rest[(comp[rest] != comp[q]) & (key[rest] == key[q]) & (~stray[rest] | (ids[rest] < ids[q]))]
                 if len(there):
                     there = there[np.count_nonzero(sig[there] == sig[q], axis=1) >= least * FINE]
                 if len(there):
+                    first = np.argmax(keys[there] == keys[q], axis=1)
+                    there = there[keys[there, first] == key[q]]
                     out.append(np.stack([np.full(len(there), ids[q]), ids[there]]))
             if not out:
                 return None
@@ -234,7 +238,7 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
             yield found
 
     dealt = width.repartition(shuffle_width(members.sparkSession), "_block").sortWithinPartitions("_block")
-    return dealt.select("_block", "key", "id", "comp", "fine", "query").mapInArrow(run, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return dealt.select("_block", "key", "id", "comp", "sig", "fine", "query", "stray").mapInArrow(run, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -264,7 +268,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     fine = durable(map_arrow(again, lambda b: fine_signatures(b, words), "id long, fine binary"), "near-fine")
     share = percent / 100
     least = share - FINE_DEVIATIONS * (share * (1 - share) / FINE) ** 0.5
-    more = durable(stray_pairs(members.join(fine, "id"), least), "near-strays")
+    more = durable(stray_pairs(members.join(fine, "id").join(classes.select("id", "sig"), "id"), least), "near-strays")
     found = durable(verified(more, texts, words, percent), "near-more")
     if found.limit(1).count():
         comp = durable(components(links.unionByName(found).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-comp2")
