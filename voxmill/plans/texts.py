@@ -46,7 +46,7 @@ QUERIES = {
     "t02_first_line": (column("x", X.first_line), sql("x", "trim(regexp_replace(replace(regexp_replace(lower(string_split(text, chr(10))[1]), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '_', ' '), '[\\s\\p{Z}]+', ' ', 'g'))")),
     "t03_lower_unquoted": (column("x", lambda c: F.replace(F.trim(F.lower(c)), F.lit('"'), F.lit(""))), sql("x", "replace(trim(lower(text)), '\"', '')")),
     "t04_word_count": (column("n", X.word_count), sql("n", "len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> ''))::INT")),
-    "t05_words_per_second": (column("wps", lambda c: X.words_per_second(c, F.char_length(c) / 15)), sql("wps", "CASE WHEN length(text) > 0 THEN round(len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> '')) / (length(text) / 15), 2) ELSE 0.0 END")),
+    "t05_words_per_second": (column("wps", lambda c: X.words_per_second(c, F.char_length(c) / 16)), sql("wps", "CASE WHEN length(text) > 0 THEN round(len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> '')) / (length(text) / 16), 2) ELSE 0.0 END")),
     "t06_sentences": (column("n", lambda c: F.size(X.sentences(c))), None),
     "t12_number_words": (t12, None),
     "t13_digits_spelled": (column("x", lambda c: X.digits_spelled(F.char_length(c).cast("string"), N.DIGITS)), sql("x", "array_to_string(list_transform(string_split(length(text)::VARCHAR, ''), lambda c: ['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín'][c::INT + 1]), ' ')")),
