@@ -56,6 +56,7 @@ def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(data)
     ends = np.cumsum([len(t) for t in texts])
+    starts = np.concatenate([[0], ends[:-1]])
     newline = data == 10
     gap = newline | (data == 32)
     # a word ends where white space follows it; its hash is of the last four characters before the gap
@@ -63,9 +64,14 @@ def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         x = mix(data.astype(np.uint64))
         tail = x.copy()
         for k in (1, 2, 3):
-            tail[k:] += x[:-k] * (_M[0] ** np.uint64(k + 1))
+            before = x[:-k] * (_M[0] ** np.uint64(k + 1))
+            for j in range(k):  # characters of the text before don't count
+                at = starts[starts + j < n] + j - k
+                before[at[at >= 0]] = 0
+            tail[k:] += before
     word_end = np.zeros(n, bool)
     word_end[:-1] = gap[1:] & ~gap[:-1]
+    word_end[ends[ends > 0] - 1] = False
     chance = mix(tail, 1)
     stop = word_end & (chance & np.uint64(CUT - 1) == 0)
     stop |= (chance >> np.uint64(8)) & np.uint64(LONG - 1) == 1
