@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,10 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Branches tried for one filling; beyond it the incumbent, a best-fit filling, is taken.
 BRANCHES = 4000
+#: Words whose ids a worker remembers between slices and tasks, about 100 MB; further words are encoded in each slice.
+KNOWN_WORDS = 500_000
+#: A Latin letter that stays one letter when composed and lowered (U+0130 doesn't), and an ASCII mark but the apostrophe.
+_MARK = r"([A-Za-zÀ-ÖØ-öø-įı-ſ])([!-&(-/:-@\[-`{-~])"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,26 +45,46 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(maxsize=2)
+def _known(path: str) -> dict[str, bytes]:
+    return {}
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def coded_words(vocab: list[str], path: str) -> list[bytes]:
+    """The ids of each word, 4 bytes an id; words met before by this worker come from its bounded memory."""
+    seen = _known(path)
+    found = [seen.get(w) for w in vocab]
+    missing = [k for k, ids in enumerate(found) if ids is None]
+    if missing:
+        for k, e in zip(missing, tokenizer(path).encode_batch_fast([vocab[k] for k in missing], add_special_tokens=False), strict=True):
+            found[k] = array("I", e.ids).tobytes()
+        for k in missing[: max(0, KNOWN_WORDS - len(seen))]:
+            seen[vocab[k]] = found[k]
+    return found
+
+
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts end to end, number of ids of each text).
 
-    The tokenizer drops white space and never joins across it, so each distinct word of the slice is encoded once.
+    The tokenizer drops white space, never joins across it, and always cuts between a Latin letter and an ASCII mark other
+    than the apostrophe, so each distinct word of the slice is encoded once.  It lowers case, so words in ASCII share an entry
+    with their lower form (others don't: their composed forms may differ).
     """
-    spaced = pc.replace_substring(texts, "\n", " ")
+    spaced = pc.replace_substring(pc.replace_substring_regex(texts, _MARK, r"\1 \2"), "\n", " ")
     words = pc.split_pattern(spaced, " ")
     counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = pc.dictionary_encode(words.flatten())
-    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    vocab = coded.dictionary.to_pylist()
-    found = [e.ids for e in tokenizer(path).encode_batch_fast(vocab, add_special_tokens=False)] if vocab else []
-    lens = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lens.sum()))
+    lower = pc.dictionary_encode(pc.if_else(pc.string_is_ascii(coded.dictionary), pc.ascii_lower(coded.dictionary), coded.dictionary))
+    index = lower.indices.to_numpy(zero_copy_only=False).astype(np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+    found = coded_words(lower.dictionary.to_pylist(), path)
+    lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat = np.frombuffer(b"".join(found), np.uint32)
     first = np.concatenate([[0], np.cumsum(lens)])[:-1]
     per_word = lens[index]
     ends = np.cumsum(per_word)
