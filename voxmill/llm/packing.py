@@ -30,8 +30,8 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Branches tried for one filling; beyond it the incumbent, a best-fit filling, is taken.
 BRANCHES = 4000
-#: Words whose ids a worker remembers between slices and tasks, about 100 MB; further words are encoded in each slice.
-KNOWN_WORDS = 500_000
+#: Words whose ids a worker remembers between slices and tasks, about 60 MB; further words are encoded in each slice.
+KNOWN_WORDS, ENCODED_AT_ONCE = 300_000, 4096
 #: A Latin letter that stays one letter when composed and lowered (U+0130 doesn't), and an ASCII mark but the apostrophe.
 _MARK = r"([A-Za-zÀ-ÖØ-öø-įı-ſ])([!-&(-/:-@\[-`{-~])"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -61,11 +61,13 @@ def coded_words(vocab: list[str], path: str) -> list[bytes]:
     seen = _known(path)
     found = [seen.get(w) for w in vocab]
     missing = [k for k, ids in enumerate(found) if ids is None]
-    if missing:
-        for k, e in zip(missing, tokenizer(path).encode_batch_fast([vocab[k] for k in missing], add_special_tokens=False), strict=True):
+    # an encoding holds far more than its ids, so few of them live at once
+    for at in range(0, len(missing), ENCODED_AT_ONCE):
+        part = missing[at : at + ENCODED_AT_ONCE]
+        for k, e in zip(part, tokenizer(path).encode_batch_fast([vocab[k] for k in part], add_special_tokens=False), strict=True):
             found[k] = array("I", e.ids).tobytes()
-        for k in missing[: max(0, KNOWN_WORDS - len(seen))]:
-            seen[vocab[k]] = found[k]
+    for k in missing[: max(0, KNOWN_WORDS - len(seen))]:
+        seen[vocab[k]] = found[k]
     return found
 
 
