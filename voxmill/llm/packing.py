@@ -30,8 +30,8 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Branches tried for one filling; beyond it the incumbent, a best-fit filling, is taken.
 BRANCHES = 4000
-#: Words whose ids a worker remembers between slices and tasks, about 60 MB; further words are encoded in each slice.
-KNOWN_WORDS, ENCODED_AT_ONCE = 300_000, 4096
+#: Words whose ids a worker remembers between slices and tasks, about 30 MB; further words are encoded in each slice.
+KNOWN_WORDS, ENCODED_AT_ONCE, SLICE_BYTES = 150_000, 4096, 2 << 20
 #: A Latin letter that stays one letter when composed and lowered (U+0130 doesn't), and an ASCII mark but the apostrophe.
 _MARK = r"([A-Za-zÀ-ÖØ-öø-įı-ſ])([!-&(-/:-@\[-`{-~])"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -116,7 +116,7 @@ def cut(batch: pa.RecordBatch, path: str, capacity: int, end_id: int) -> pa.Reco
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return map_arrow(slim, lambda b: cut(b, path, capacity, end_id), PIECES)
+    return map_arrow(slim, lambda b: cut(b, path, capacity, end_id), PIECES, limit=SLICE_BYTES)
 
 
 def filling(room: int, left: np.ndarray, branches: int = BRANCHES) -> list[tuple[int, int]]:
@@ -231,21 +231,20 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BR
     return best
 
 
-def places(planned: list[tuple[int, list[tuple[int, int]]]]) -> dict[str, np.ndarray]:
-    """For each class and run of ranks: first bin, offset of the first item in a bin, and items in each bin."""
+def places(planned: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, list[tuple[int, int, int, int]]]:
+    """For each class its runs of ranks in order: first rank, items in each bin, first bin, offset of the first item."""
     rank: dict[int, int] = {}
-    rows, base = [], 0
+    runs: dict[int, list] = {}
+    base = 0
     for bins, used in planned:
         offset = 0
         for size, times in used:
             at = rank.get(size, 0)
-            rows.append((size << 40 | at, at, times, base, offset))
+            runs.setdefault(size, []).append((at, times, base, offset))
             rank[size] = at + bins * times
             offset += size * times
         base += bins
-    rows.sort()
-    a = np.array(rows, np.int64).reshape(-1, 5)
-    return {"key": a[:, 0], "rank": a[:, 1], "times": a[:, 2], "base": a[:, 3], "offset": a[:, 4]}
+    return runs
 
 
 def pack(pieces_df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -256,24 +255,17 @@ def pack(pieces_df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = rows.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     # at most `capacity` rows
     histogram = {int(r[0]): int(r[1]) for r in counts.groupBy("length").agg(F.sum("_n")).collect()}
-    where = places(plan(histogram, capacity))
+    # at most `capacity` rows again, one for each class; the runs of all are a few for each step of the plan
+    where = spark.createDataFrame(list(places(plan(histogram, capacity)).items()), "length long, _runs array<struct<rank: long, times: long, base: long, offset: long>>")
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = rows.join(counts, ["length", "_salt"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside) - 1)
-
-    def place(batches):
-        for b in batches:
-            length, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
-            at = np.searchsorted(where["key"], (length << 40) | rank, "right") - 1
-            r = rank - where["rank"][at]
-            times = where["times"][at]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:5], pa.array(where["base"][at] + r // times, pa.int64()), pa.array(where["offset"][at] + r % times * length, pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
-
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank").mapInArrow(place, PIECES + ", sequence_id long, offset long")
+    run = F.element_at(F.filter("_runs", lambda r: r["rank"] <= F.col("_rank")), -1)
+    placed = ranked.join(F.broadcast(where), "length").withColumn("_run", run).withColumn("_r", F.col("_rank") - F.col("_run.rank"))
+    sequence = F.col("_run.base") + F.expr("_r div _run.times")
+    offset = F.col("_run.offset") + F.expr("_r % _run.times") * F.col("length")
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
