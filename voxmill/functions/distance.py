@@ -6,21 +6,35 @@ strings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import normalized, words
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once a row; a lambda that only closes over an expression computes it anew for
+    every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_distance(reference: Column, hypothesis: Column) -> Column:
-    r, h = words(reference), words(hypothesis)
-    vocabulary = F.array_distinct(F.concat(r, h))
+    def coded(side: Column, vocabulary: Column) -> Column:
+        def letter(w: Column) -> Column:
+            at = F.array_position(vocabulary, w) + 256
+            # the code points of surrogates are left out
+            point = F.when(at < 0xD800, at).otherwise(at + 2048)
+            return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
-    def coded(side: Column) -> Column:
-        one = F.transform(side, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, w) + 19968), 4, "0")), "UTF-16BE"))
-        return F.array_join(one, "")
+        return F.array_join(F.transform(side, letter), "")
 
-    return F.levenshtein(coded(r), coded(h))
+    def distance(p: Column) -> Column:
+        vocabulary = F.array_distinct(F.concat(p["r"], p["h"]))
+        return bound(vocabulary, lambda v: F.levenshtein(coded(p["r"], v), coded(p["h"], v)))
+
+    return bound(F.struct(words(reference).alias("r"), words(hypothesis).alias("h")), distance)
 
 
 #: What an empty side gives: (both empty, reference empty, hypothesis empty) for words and characters.
@@ -33,10 +47,14 @@ def _rate(distance: Column, length: Column, r: Column, h: Column, given: tuple[f
 
 
 def wer(reference: Column, hypothesis: Column, policy: str = "pipeline") -> Column:
-    r, h = normalized(reference), normalized(hypothesis)
-    return _rate(word_distance(r, h), F.size(words(r)), r, h, POLICIES[policy][0])
+    def rate(p: Column) -> Column:
+        return _rate(word_distance(p["r"], p["h"]), F.size(words(p["r"])), p["r"], p["h"], POLICIES[policy][0])
+
+    return bound(F.struct(normalized(reference).alias("r"), normalized(hypothesis).alias("h")), rate)
 
 
 def cer(reference: Column, hypothesis: Column, policy: str = "pipeline") -> Column:
-    r, h = normalized(reference), normalized(hypothesis)
-    return _rate(F.levenshtein(r, h), F.char_length(r), r, h, POLICIES[policy][1])
+    def rate(p: Column) -> Column:
+        return _rate(F.levenshtein(p["r"], p["h"]), F.char_length(p["r"]), p["r"], p["h"], POLICIES[policy][1])
+
+    return bound(F.struct(normalized(reference).alias("r"), normalized(hypothesis).alias("h")), rate)
