@@ -72,3 +72,95 @@ def sentences(text: Column, fewest: int = 10) -> Column:
 def terminated(text: Column) -> Column:
     """Ends in a sentence mark and a space."""
     return F.when(text.endswith(". ") | text.endswith("。"), text).when(text.endswith("."), F.concat(text, F.lit(" "))).otherwise(F.concat(text, F.lit(". ")))
+
+
+def chunks(text: Column, most: int = 135) -> Column:
+    """Clauses packed greedily into chunks of at most `most` UTF-8 bytes (a longer clause stands alone)."""
+    clauses = F.split(text, r"(?U)(?<=[;:,.!?])\s+|(?<=[；：，。！？])")
+    spaced = F.transform(clauses, lambda c: F.struct(F.octet_length(c).alias("n"), F.when(F.octet_length(F.right(c, F.lit(1))) == 1, F.concat(c, F.lit(" "))).otherwise(c).alias("s")))
+
+    def step(acc: Column, c: Column) -> Column:
+        fits = F.octet_length(acc["open"]) + c["n"] <= most
+        full = F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(F.trim(acc["open"]))))
+        return F.struct(F.when(fits, acc["done"]).otherwise(full).alias("done"), F.when(fits, F.concat(acc["open"], c["s"])).otherwise(c["s"]).alias("open"))
+
+    start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("open"))
+    return F.aggregate(spaced, start, step, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(F.trim(acc["open"])))))
+
+
+def first_package_chunks(text: Column, few: int, most: int) -> Column:
+    """The first chunk is cut again into small ones, so that speech can begin early."""
+    all_ = chunks(text, most)
+    return F.when(F.size(all_) > 0, F.concat(chunks(F.get(all_, F.lit(0)), few), F.slice(all_, 2, F.greatest(F.size(all_), F.lit(1))))).otherwise(all_)
+
+
+def styled(text: Column, first: str = "Regular") -> Column:
+    """`{style}text` to (style, text) in order; text before any tag has the style `first`; empty texts are left out."""
+    tags = F.regexp_extract_all(text, F.lit(r"\{(.*?)\}"), F.lit(1))
+    parts = F.transform(F.split(text, r"\{.*?\}"), lambda s, i: F.struct(F.when(i == 0, F.lit(first)).otherwise(F.trim(F.get(tags, i - 1))).alias("style"), F.regexp_replace(s, r"(?U)^\s+|\s+$", "").alias("text")))
+    return F.filter(parts, lambda p: p["text"] != "")
+
+
+def voiced(text: Column, known: list[str], default: str = "main") -> Column:
+    """`[voice]text` to (voice, text) in order; unknown voices become the default."""
+    parts = F.transform(
+        F.split(text, r"(?U)(?=\[\w+\])"),
+        lambda s: F.struct(F.regexp_extract(s, r"(?U)^\[(\w+)\]", 1).alias("voice"), F.regexp_replace(F.regexp_replace(s, r"(?U)^\[\w+\]", ""), r"(?U)^\s+|\s+$", "").alias("text")),
+    )
+    named = F.transform(parts, lambda p: F.struct(F.when(p["voice"].isin(known), p["voice"]).otherwise(F.lit(default)).alias("voice"), p["text"].alias("text")))
+    return F.filter(named, lambda p: p["text"] != "")
+
+
+#: The punctuation that is removed before words are compared.
+PUNCTUATION = "＂＃＄％＆＇（）＊＋，－／：；＜＝＞＠［＼］＾＿｀｛｜｝～｟｠｢｣､　、〃〈〉《》「」『』【】〔〕〖〗〘〙〚〛〜〝〞〟〰〾〿–—‘’‛“”„‟…‧﹏﹑﹔·！？｡。!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def unpunctuated(text: Column, language: str = "en") -> Column:
+    """Without punctuation, doubled spaces made one once; Chinese is spaced by character, other text in lower case."""
+    bare = F.replace(F.translate(text, PUNCTUATION, ""), F.lit("  "), F.lit(" "))
+    return F.array_join(F.filter(F.split(bare, ""), lambda c: c != ""), " ") if language == "zh" else F.lower(bare)
+
+
+def even_timestamps(text: Column, seconds: Column) -> Column:
+    """The words at equal steps over the time: (word, start, end), none without words or time."""
+    w = words(text)
+    stamp = F.transform(w, lambda x, i: F.struct(x.alias("word"), F.round(i * (seconds / F.size(w)), 3).alias("start"), F.round((i + 1) * (seconds / F.size(w)), 3).alias("end")))
+    return F.when((F.size(w) > 0) & (seconds > 0), stamp).otherwise(F.slice(stamp, 1, 0))
+
+
+def sane_timestamps(stamps: Column, seconds: Column) -> Column:
+    """(word, start, end): trimmed, clamped to the time, at least 0.05 s long where that fits; empty words go."""
+
+    def clean(x: Column) -> Column:
+        start, end = F.greatest(F.lit(0.0), x["start"]), F.least(seconds, x["end"])
+        end = F.when(end <= start, F.least(seconds, start + 0.05)).otherwise(end)
+        return F.struct(F.trim(x["word"]).alias("word"), F.round(start, 3).alias("start"), F.round(end, 3).alias("end"))
+
+    return F.filter(F.transform(stamps, clean), lambda x: x["word"] != "")
+
+
+def joined(segments: Column) -> Column:
+    """Texts of segments, trimmed, empty ones left out, with one space between."""
+    return F.array_join(F.filter(F.transform(segments, lambda s: F.trim(s)), lambda s: s != ""), " ")
+
+
+def filled(template: Column, values: dict[str, Column]) -> Column:
+    """`{name}` replaced by the named values."""
+    for name, value in values.items():
+        template = F.replace(template, F.lit("{" + name + "}"), value.cast("string"))
+    return template
+
+
+def uniform(*parts: Column) -> Column:
+    """A number from 0 to 1 that depends on the parts alone, the same on every run and machine."""
+    digest = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def weighted(u: Column, weights: list[tuple[str, float]]) -> Column:
+    """The name whose share of the weights holds u."""
+    total, upto, out = sum(w for _, w in weights), 0.0, None
+    for name, w in weights[:-1]:
+        upto += w / total
+        out = F.when(u < upto, name) if out is None else out.when(u < upto, name)
+    return F.lit(weights[-1][0]) if out is None else out.otherwise(weights[-1][0])
