@@ -56,7 +56,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 8 << 20) ->
     yield batch.slice(start, n - start)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", limit: int = 8 << 20) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", limit: int = 2 << 20) -> DataFrame:
     """mapInArrow with one call of fn for each bounded slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

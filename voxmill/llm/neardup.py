@@ -30,6 +30,8 @@ from .fingerprints import mix
 HASHES, BANDS = 64, 16
 #: Minima, one byte of each, of the finer signature by which strays are compared, and its deviations under the threshold.
 FINE, FINE_DEVIATIONS = 512, 4
+#: Bytes of text whose shingles a worker holds at once; a byte takes about 50 there.
+SLICE_BYTES = 1 << 20
 #: Of a bucket's rows that one task compares at once.
 BLOCK_ROWS = 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -177,7 +179,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         good = (100 * shared >= percent * (na + nb - shared)) & (shared > 0)
         return pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
 
-    return map_arrow(two.select("a", "b", "ta", "tb"), check, "a long, b long", "ta")
+    return map_arrow(two.select("a", "b", "ta", "tb"), check, "a long, b long", "ta", SLICE_BYTES)
 
 
 def stray_pairs(members: DataFrame, least: float) -> DataFrame:
@@ -245,7 +247,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
-    base = durable(map_arrow(slim, lambda b: sketch(b, words), "doc_id long, n_shingles long, h1 long, h2 long, sig binary"), "near-base")
+    base = durable(map_arrow(slim, lambda b: sketch(b, words), "doc_id long, n_shingles long, h1 long, h2 long, sig binary", limit=SLICE_BYTES), "near-base")
     full = base.where("n_shingles > 0 and doc_id is not null")
     classes = durable(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-classes")
     rows = durable(bands(classes), "near-bands")
@@ -265,7 +267,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     lead = durable(open_.join(leaders, "key").join(comp, F.col("leader") == F.col("node"), "left").select("key", F.coalesce("component", "leader").alias("_lead")), "near-open")
     members = durable(labelled.join(lead, "key").select("key", "id", "comp", "n", (F.col("comp") != F.col("_lead")).alias("stray")), "near-members")
     again = texts.join(members.select("id").distinct(), "id", "left_semi")
-    fine = durable(map_arrow(again, lambda b: fine_signatures(b, words), "id long, fine binary"), "near-fine")
+    fine = durable(map_arrow(again, lambda b: fine_signatures(b, words), "id long, fine binary", limit=SLICE_BYTES), "near-fine")
     share = percent / 100
     least = share - FINE_DEVIATIONS * (share * (1 - share) / FINE) ** 0.5
     more = durable(stray_pairs(members.join(fine, "id").join(classes.select("id", "sig"), "id"), least), "near-strays")
