@@ -124,7 +124,13 @@ def unpunctuated(text: Column, language: str = "en") -> Column:
 def even_timestamps(text: Column, seconds: Column) -> Column:
     """The words at equal steps over the time: (word, start, end), none without words or time."""
     w = words(text)
-    stamp = F.transform(w, lambda x, i: F.struct(x.alias("word"), F.round(i * (seconds / F.size(w)), 3).alias("start"), F.round((i + 1) * (seconds / F.size(w)), 3).alias("end")))
+    step = seconds / F.size(w)
+
+    def milliseconds(x: Column) -> Column:
+        # by the binary value; `round` goes by its shortest decimal form, which makes ties of values just under one
+        return F.floor(x * 1000 + 0.5) / 1000
+
+    stamp = F.transform(w, lambda x, i: F.struct(x.alias("word"), milliseconds(i * step).alias("start"), milliseconds((i + 1) * step).alias("end")))
     return F.when((F.size(w) > 0) & (seconds > 0), stamp).otherwise(F.slice(stamp, 1, 0))
 
 
