@@ -1,9 +1,9 @@
 """Secret scans: base patterns, and random strings found by their token efficiency.
 
 A string that a byte-pair vocabulary has not seen breaks into many short tokens.  Candidates are runs of 16 or more
-characters of a key alphabet that hold at least one digit and one letter; one whose characters per token fall to
-`RATIO` or lower is random, unless it is a known digest length in hex, a UUID, an address, a file name or a
-number-like identifier.  Base spans (assignments, access keys, long hex) are kept whatever the test says; a random
+characters of a key alphabet, with or without digits; one whose characters per token fall to `RATIO` or lower is
+random, unless it is a known digest length in hex, a UUID, a number, or words and numbers whose letter runs the
+vocabulary itself encodes in few tokens.  Base spans (assignments, access keys, long hex) are kept whatever the test says; a random
 string inside a base span adds nothing.
 
 Edge cases: null text is the empty text; ties and repeated rows are rows of their own; empty tables give empty
@@ -25,6 +25,8 @@ from .common import map_arrow, table, whole_text
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Characters per token at or below which a candidate is random.
 RATIO = 2.2
+#: Letters per token from which the letter runs of a candidate are words.
+WORDS = 3
 SHORTEST = 16
 #: Hex digits of known digests (crc and md5 to sha512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
@@ -35,9 +37,9 @@ _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
-_UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
-_PARTS = re.compile(r"[A-Za-z]+|[0-9]+")
+_UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}(?![0-9A-Za-z])")
+_LETTERS = re.compile(r"[A-Za-z]+")
+_AFFIX = re.compile(r"[A-Za-z]+[^A-Za-z]+|[^A-Za-z]+[A-Za-z]+")
 
 
 @functools.lru_cache(maxsize=2)
@@ -58,22 +60,20 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def known(s: str) -> bool:
+def known(s: str, path: str) -> bool:
     """Digests and identifiers that are no secrets by themselves."""
-    if _UUID.search(s):
-        return True
     if len(s) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):
         return True
-    parts = _PARTS.findall(s)
-    # words and numbers joined by marks: names, paths, dates, versions
-    changes = len(parts)
-    return changes <= 3 or all(len(p) >= 3 or p.isdigit() for p in parts) and any(c in "/_-" for c in s) and changes <= len(s) / 4
+    # what whole UUIDs leave: words and numbers (names, paths, dates, versions), or a number with one token beside it
+    rest = _UUID.sub("", s)
+    runs = _LETTERS.findall(rest)
+    tokens = sum(len(encoding(path).encode_ordinary(" " + r.lower())) for r in runs)
+    return sum(map(len, runs)) >= WORDS * tokens or tokens == 1 and bool(_AFFIX.fullmatch(rest))
 
 
 def random_string(s: str, path: str, ratio: float = RATIO) -> bool:
-    if not re.search("[A-Za-z]", s) or not _DIGIT.search(s) or known(s):
-        return False
-    return len(s) / max(1, len(encoding(path).encode_ordinary(s))) <= ratio
+    # the test first: few candidates fail it
+    return len(s) / max(1, len(encoding(path).encode_ordinary(s))) <= ratio and not known(s, path)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,7 +88,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def added_spans(text: str, base: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
     out = []
     for m in _CANDIDATE.finditer(text):
-        if _DIGIT.search(m[0]) and random_string(m[0], path) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+        if random_string(m[0], path) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
             out.append((m.start(), 3, m.end()))
     return out
 
