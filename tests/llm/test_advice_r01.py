@@ -3,7 +3,9 @@
 import random
 import string
 
-from voxmill.llm import secrets
+from voxmill.llm import pii, secrets
+
+SCHEMA = "doc_id long, text string"
 
 
 def test_secrets_without_digits_or_with_few_runs():
@@ -17,3 +19,26 @@ def test_secrets_without_digits_or_with_few_runs():
     assert secrets.added_spans(text, [], path) == [(4, 3, 24)]
     for name in ("getElementsByClassName", "report_2024_11_26_v2", "IMG_20240101_123456", "HTTP_STATUS_CODE_NOT_FOUND", "ID1234567890123456", "4524132264652876", "2024-11-26-10-15-30", "123e4567-e89b-12d3-a456-426614174000", "da39a3ee5e6b4b0d3255bfef95601890afd80709"):
         assert not secrets.random_string(name, path)
+
+
+def spans(spark, texts):
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    return {r.doc_id: [x for x in r.spans.split(",") if x.startswith("context")] for r in rows}
+
+
+def test_pii_bootstraps_further_hops(spark):
+    names = ["ada", "bob", "cyd", "dov", "eve", "fay"]
+    # e-mail seeds without a digit; behind the same word stand names without one; these support the next word
+    texts = [f"mailto {a}.{b}@example.com now" for a in names for b in names] + [f"mailto {n}lund now" for n in names]
+    texts += [f"nickname {n}lund too" for n in names * 2] + ["so nickname  zoelund too"]
+    got = spans(spark, texts)
+    assert all(got[36 + k] == [f"context:7:{7 + 7}"] for k in range(6))
+    assert all(got[42 + k] == ["context:9:16"] for k in range(12))
+    assert got[54] == ["context:13:20"]
+    assert all(not got[k] for k in range(36))
+
+
+def test_pii_seeds_side_by_side_are_seeds(spark):
+    # neighbours were one mention with two seeds, and thrown away
+    texts = [f"from 10.0.{k}.1 10.0.{k}.2 on" for k in range(8)] + ["from 10.0.300.1 on"]
+    assert spans(spark, texts)[8] == ["context:5:15"]
