@@ -3,7 +3,7 @@
 import random
 import string
 
-from voxmill.llm import pii, secrets
+from voxmill.llm import packing, pii, secrets
 
 SCHEMA = "doc_id long, text string"
 
@@ -42,3 +42,11 @@ def test_pii_seeds_side_by_side_are_seeds(spark):
     # neighbours were one mention with two seeds, and thrown away
     texts = [f"from 10.0.{k}.1 10.0.{k}.2 on" for k in range(8)] + ["from 10.0.300.1 on"]
     assert spans(spark, texts)[8] == ["context:5:15"]
+
+
+def test_plan_branches_over_fillings():
+    sizes = [55, 52, 49, 48, 46, 45, 43, 38, 37, 35, 34, 24, 24, 24, 21]
+    planned = packing.plan({s: sizes.count(s) for s in sizes}, 100)
+    assert sum(b for b, _ in planned) == 6
+    assert sorted((s for b, items in planned for s, k in items for _ in range(b * k)), reverse=True) == sizes
+    assert all(sum(s * k for s, k in items) <= 100 for _, items in planned)

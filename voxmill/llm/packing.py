@@ -30,6 +30,8 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Branches tried for one filling; beyond it the incumbent, a best-fit filling, is taken.
 BRANCHES = 4000
+#: Nodes of a whole search, and rests that it remembers (16 kB each at the usual capacity).
+NODES, SEEN = 400_000, 2000
 #: Words whose ids a worker remembers between slices and tasks, about 30 MB; further words are encoded in each slice.
 KNOWN_WORDS, ENCODED_AT_ONCE, SLICE_BYTES = 150_000, 4096, 2 << 20
 #: A Latin letter that stays one letter when composed and lowered (U+0130 doesn't), and an ASCII mark but the apostrophe.
@@ -122,9 +124,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 def filling(room: int, left: np.ndarray, branches: int = BRANCHES) -> list[tuple[int, int]]:
     """The best undominated set of further items for a bin with `room` left: [(length, times)], least waste first.
 
-    Depth-first over classes in descending order.  The first leaf is the best-fit incumbent (always the largest item
-    that fits); a branch is cut when the waste it must leave is no better than the incumbent's, and a filling is
-    dropped as dominated when one of its items could be exchanged for a larger available one within its waste.
+    Depth-first over classes in descending order, to waste 0 or `branches` nodes: minimum bin slack, the second
+    incumbent of `plan`.  In the answer, items are exchanged for larger available ones within its waste.
     """
     classes = np.flatnonzero(left[: room + 1])
     classes = classes[classes > 0][::-1].tolist()
@@ -189,12 +190,102 @@ def best_fit(room: int, left: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def fillings(room: int, left: np.ndarray, slack: int, branches: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
+    """([(waste, [(length, times)])], nodes): undominated fillings of at most `slack` waste, least waste first.
+
+    A filling is dominated when another item still fits, or when one of its items could be exchanged for a larger
+    available one within its waste.
+    """
+    classes = np.flatnonzero(left[: room + 1])[::-1].tolist()
+    ends = [0] * (len(classes) + 1)
+    for k in range(len(classes) - 1, -1, -1):
+        ends[k] = ends[k + 1] + classes[k] * int(left[classes[k]])
+    out, nodes = [], 0
+    stack = [(0, room, ())]
+    while stack and nodes <= branches:
+        k, rest, held = stack.pop()
+        nodes += 1
+        if rest - ends[k] > slack:
+            continue
+        if k == len(classes) or not rest:
+            used = dict(held)
+            free = [c for c in classes if left[c] > used.get(c, 0)]
+            if rest <= slack and not any(c <= rest for c in free) and not any(s < c <= s + rest for s in used for c in free):
+                out.append((rest, list(held)))
+            continue
+        size = classes[k]
+        # the most of a class comes off the stack first
+        for times in range(min(int(left[size]), rest // size) + 1):
+            stack.append((k + 1, rest - size * times, (*held, (size, times)) if times else held))
+    return sorted(out, key=lambda x: x[0]), nodes
+
+
+def search(histogram: dict[int, int], capacity: int, count: int, bound: int, branches: int, nodes: int) -> list[tuple[int, list[tuple[int, int]]]] | None:
+    """A plan of fewer than `count` bins, the best that bin completion finds within `nodes` nodes, or None.
+
+    Each node takes the largest class left and branches over the undominated fillings of its bin, repeated as often as
+    the counts allow, and once.  A branch is cut when its waste leaves no room for fewer bins than the incumbent's, or
+    when its rest was reached before with as few bins.
+    """
+    total = sum(k * v for k, v in histogram.items())
+    left = np.zeros(capacity + 1, np.int64)
+    for k, v in histogram.items():
+        left[k] += v
+    best, tried, path, seen = None, 0, [], {}
+
+    def options(waste: int):
+        nonlocal tried
+        top = int(np.flatnonzero(left)[-1])
+        left[top] -= 1
+        found, n = fillings(capacity - top, left, capacity * (count - 1) - total - waste, branches)
+        left[top] += 1
+        tried += n
+        for lost, more in found:
+            used = {top: 1}
+            for size, times in more:
+                used[size] = used.get(size, 0) + times
+            most = min(int(left[size]) // times for size, times in used.items())
+            for bins in (most, 1) if most > 1 else (1,):
+                yield bins, lost * bins, sorted(used.items(), reverse=True)
+
+    # (options, waste so far, bins so far)
+    stack = [(options(0), 0, 0)]
+    while stack:
+        choices, waste, bins = stack[-1]
+        step = next(choices, None) if tried <= nodes and count > bound else None
+        if step is None:
+            stack.pop()
+            if path:
+                n, items = path.pop()
+                for size, times in items:
+                    left[size] += n * times
+            continue
+        n, lost, items = step
+        if waste + lost > capacity * (count - 1) - total or bins + n >= count:
+            continue
+        for size, times in items:
+            left[size] -= n * times
+        path.append((n, items))
+        key = left.tobytes() if len(seen) < SEEN else None
+        if not left.any():
+            best, count = list(path), bins + n
+        elif key is None or seen.get(key, count) > bins + n:
+            if key is not None:
+                seen[key] = bins + n
+            stack.append((options(waste + lost), waste + lost, bins + n))
+            continue
+        path.pop()
+        for size, times in items:
+            left[size] += n * times
+    return best
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BRANCHES) -> list[tuple[int, list[tuple[int, int]]]]:
     """[(number of bins, [(length, times in each)])]; every item of the histogram is used exactly once.
 
     Each step takes the largest class left, completes its bin and repeats that bin as often as the counts allow, which
-    exhausts a class; so there are at most as many steps as classes.  The best-fit plan is the first incumbent; bin
-    completion replaces it where it needs fewer bins, and the search ends at the waste bound (total / capacity).
+    exhausts a class; so there are at most as many steps as classes.  The best-fit plan is the first incumbent, the one
+    of minimum bin slack the second; where both miss the lower bound, `search` branches over the undominated fillings.
     """
     total = sum(k * v for k, v in histogram.items())
     bound = max(-(-total // capacity), sum(v for k, v in histogram.items() if 2 * k > capacity))
@@ -228,6 +319,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BR
         other = build(lambda room, left, limit=limit: filling(room, left, limit))
         if (n := sum(b for b, _ in other)) < count:
             best, count = other, n
+    if count > bound:
+        best = search(histogram, capacity, count, bound, branches, NODES) or best
     return best
 
 
