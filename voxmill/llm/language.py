@@ -14,7 +14,6 @@ rows are rows of their own; empty tables give empty results; extra columns are i
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
@@ -82,10 +81,13 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
 
 
 def host_parts(url: str) -> tuple[str, str, str]:
-    """(host, its last two labels, its last label)."""
+    """(host, its last two labels, its last label); a numeric host has no suffix, and is its own domain."""
     m = _HOST.match(url)
     labels = m[1].lower().strip(".").split(".") if m else []
-    return ".".join(labels), ".".join(labels[-2:]), labels[-1] if labels else ""
+    host = ".".join(labels)
+    if labels and labels[-1].isdigit():
+        return host, host, ""
+    return host, ".".join(labels[-2:]), labels[-1] if labels else ""
 
 
 def identify(pages: DataFrame, model: Model) -> DataFrame:
@@ -113,32 +115,25 @@ def identify(pages: DataFrame, model: Model) -> DataFrame:
     whole = by_host.agg(*again).first()
     total = np.array([float(v or 0) for v in whole]) + 1.0
     prior = (total / total.sum()).tolist()
-    # declared languages and suffixes: the commonest 500 of each by rows; rarer ones tell too little to count
-    def confusion(column: str) -> dict[str, list[float]]:
-        rows = seen.where(F.col(column) != "").groupBy(column).agg(F.count("*").alias("n"), *sums).orderBy(F.desc("n"), column).limit(500).collect()
-        return {r[0]: [float(v) for v in r[2:]] for r in rows}
-
-    def ratios(column: str):
-        """log P(value | language) for each value, one array for each, as a map column."""
-        found = confusion(column)
-        width = len(found) + 1
-        if not found:
-            return None
-        logs = {v: [math.log((c + 0.5) / (t + 0.5 * width)) for c, t in zip(counts, total, strict=True)] for v, counts in found.items()}
-        return F.create_map(*[y for v, row in logs.items() for y in (F.lit(v), F.array(*[F.lit(z) for z in row]))])[F.col(column)]
+    def ratios(column: str) -> DataFrame:
+        """log P(value | language) of every value: the column, and one array."""
+        found = durable(seen.where(F.col(column) != "").groupBy(column).agg(*sums), f"language-{column}")
+        width = found.count() + 1
+        logs = [F.log((F.col(f"s{i}") + 0.5) / F.lit(float(total[i]) + 0.5 * width)) for i in range(k)]
+        return found.select(column, F.array(*logs).alias(f"_{column}"))
 
     domains = by_domain.select("domain", *[((F.col(f"d{i}") + DOMAIN_ROWS * prior[i])).alias(f"d{i}") for i in range(k)])
     priors = durable(by_host.join(domains, "domain"), "language-priors")
     joined = seen.join(priors.drop("domain"), "host")
-    said, suffix = ratios("declared"), ratios("suffix")
     zero = F.array(*[F.lit(0.0)] * k)
-    joined = joined.withColumn("_said", F.coalesce(said, zero) if said is not None else zero).withColumn("_suffix", F.coalesce(suffix, zero) if suffix is not None else zero)
+    for column in ("declared", "suffix"):
+        joined = joined.join(ratios(column), column, "left").withColumn(f"_{column}", F.coalesce(f"_{column}", zero))
     # the page's own posterior leaves its host's and its domain's counts
     own = [F.greatest(F.lit(0.0), F.col(f"s{i}") - F.col("p")[i]) for i in range(k)]
     dom = [F.greatest(F.lit(1e-9), F.col(f"d{i}") - F.col("p")[i]) for i in range(k)]
     dsum, hsum = sum(dom[1:], dom[0]), sum(own[1:], own[0])
     joined = joined.withColumn("_prior", F.array(*[F.log((own[i] + HOST_ROWS * dom[i] / dsum) / (hsum + HOST_ROWS)) for i in range(k)]))
-    joined = joined.withColumn("_z", F.array(*[F.col("x")[i] + F.col("_said")[i] + F.col("_suffix")[i] + F.col("_prior")[i] for i in range(k)]))
+    joined = joined.withColumn("_z", F.array(*[F.col("x")[i] + F.col("_declared")[i] + F.col("_suffix")[i] + F.col("_prior")[i] for i in range(k)]))
     top = F.array_max("_z")
     names = F.array(*[F.lit(x) for x in langs])
     mass = F.aggregate("_z", F.lit(0.0), lambda a, z: a + F.exp(z - top))
