@@ -4,7 +4,7 @@ import collections
 import random
 import string
 
-from voxmill.llm import language, packing, pii, secrets
+from voxmill.llm import extraction, language, packing, pii, secrets
 
 SCHEMA = "doc_id long, text string"
 
@@ -65,3 +65,16 @@ def test_language_counts_every_suffix(spark):
     german = lambda r: r.probability if r.lang == "de" else 1 - r.probability
     assert german(got[2001]) > 3 * german(plain[2001])
     assert language.host_parts("http://10.0.0.77/x") == ("10.0.0.77", "10.0.0.77", "")
+
+
+def test_extraction_takes_names_as_evidence():
+    body = "".join(f"<p>Sentence {k} of the story goes on for a while, as stories do.</p>" for k in range(6))
+    for name in ("has-sidebar", "content no-ads", "post comments-open", "search-result"):
+        page = f"<html><body><div class='{name}'><h1>Title</h1>{body}<div class='ad'>Buy now</div></div><div id='comments'><p>troll</p></div></body></html>"
+        text = extraction.main_text(page)
+        assert text.count("Sentence") == 6
+        assert "Buy" not in text and "troll" not in text
+    found = "".join(f"<div class='search-result'><p>Result {k} has some text of its own.</p></div>" for k in range(5))
+    assert extraction.main_text(f"<html><body>{found}</body></html>").count("Result") == 5
+    trolls = "".join(f"<p>Troll {k} has far too much to say on this, as always on such pages.</p>" for k in range(20))
+    assert "Troll" not in extraction.main_text(f"<html><body><article>{body}</article><div id='comments'>{trolls}</div></body></html>")

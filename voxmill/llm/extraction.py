@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
-The page becomes a tree; scripts, menus, forms, adverts, notices, comments and the like are cut off by tag, role or
-name.  For each node left, the composite density is its characters per tag, damped by how much of the text and of the
+The page becomes a tree; scripts, menus, forms and the like are cut off by tag.  Names and roles of adverts, notices,
+comments and the like are evidence only: a node that bears one is cut off where it holds less than `SHARE` of the page's
+text or is less dense than the page, unless the densest subtree lies in it or hardly any text would be left; where there
+is an <article> or <main>, all of them go but those around its densest subtree.  For each node left, the composite density is its characters per tag, damped by how much of the text and of the
 tags are links.  The node whose children's densities sum to the most holds the article; below it, a block is dropped
 where its density falls under the least density on the path from the body to that node and most of its text is links.
 A surrounding <article> or <main> of the chosen node is taken whole.
@@ -29,6 +31,10 @@ _NAME = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|
 _HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes template".split())
+#: Share of the page's text under which a node with a telling name is cut off.
+SHARE = 0.5
+#: Share of the page that must be left; else named nodes stay.
+REST = 0.25
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOISE = frozenset("head nav footer aside form button select option datalist svg math canvas object audio video dialog menu label fieldset map".split())
 NAMES = frozenset(
@@ -46,10 +52,10 @@ ENDS_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot",
 
 
 class Node:
-    __slots__ = ("tag", "items", "parent", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "items", "parent", "noise", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool = False):
-        self.tag, self.items, self.parent, self.noise = tag, [], parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool = False, named: bool = False):
+        self.tag, self.items, self.parent, self.noise, self.named = tag, [], parent, noise, named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -59,13 +65,17 @@ def is_noise(tag: str, attributes: str, stack: list[Node]) -> bool:
         return True
     if tag == "header":
         return not any(n.tag in ("article", "main") for n in stack)
+    return bool(attributes) and tag not in ("html", "body", "article", "main") and bool(_HIDDEN.search(attributes))
+
+
+def is_named(tag: str, attributes: str) -> bool:
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for m in _NAME.finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
         if any(p.lower() in NAMES for p in _PART.findall(value)):
             return True
-    return bool(_HIDDEN.search(attributes))
+    return False
 
 
 def parse(page: str) -> Node:
@@ -128,7 +138,7 @@ def parse(page: str) -> Node:
                     break
                 if stack[k].tag in borders:
                     break
-        node = Node(tag, stack[-1], is_noise(tag, attributes, stack))
+        node = Node(tag, stack[-1], is_noise(tag, attributes, stack), is_named(tag, attributes))
         stack[-1].items.append(node)
         if tag != "hr" and not (attributes.endswith("/") and tag in ("svg", "path")):
             stack.append(node)
@@ -145,6 +155,8 @@ def measure(root: Node) -> list[Node]:
         order.append(n)
         todo += [x for x in n.items if isinstance(x, Node) and not x.noise]
     for n in reversed(order):
+        n.chars = n.tags = n.link_chars = n.link_tags = 0
+        n.density = n.total = 0.0
         for x in n.items:
             if isinstance(x, str):
                 n.chars += len("".join(x.split()))
@@ -199,10 +211,45 @@ def blocks(root: Node, least: float) -> list[str]:
     return out
 
 
+def densest(order: list[Node]) -> Node:
+    return max((n for n in order if n.tag in BLOCKS), key=lambda n: n.total)
+
+
+def cut_named(root: Node, order: list[Node]) -> bool:
+    """Marks the named nodes that are cut off as noise; says whether there are any."""
+    holders = set()
+    marked = [x for x in order if x.tag in ("article", "main") and x.chars]
+    n = densest(marked or order)
+    below = [n]
+    for x in below:
+        below += [y for y in x.items if isinstance(y, Node) and not y.noise]
+    for n in (n, densest([x for x in below if x.tag in BLOCKS])):
+        while n is not None:
+            holders.add(id(n))
+            n = n.parent
+    cut = [n for n in order if n.named and id(n) not in holders and (marked or n.chars < SHARE * root.chars or n.density < root.density)]
+    for n in cut:
+        n.noise = True
+    # nested ones count once: a cut node's own cut parts are not reached
+    left, todo = 0, [root]
+    while todo:
+        for x in todo.pop().items:
+            if isinstance(x, str):
+                left += len("".join(x.split()))
+            elif not x.noise:
+                todo.append(x)
+    if not marked and left < REST * root.chars:
+        for n in cut:
+            n.noise = False
+    return bool(cut)
+
+
 def main_text(page: str) -> str:
     root = parse(page)
     order = measure(root)
-    best = max((n for n in order if n.tag in BLOCKS), key=lambda n: n.total)
+    if cut_named(root, order):
+        order = measure(root)
+    best = densest(order)
     up = best
     while up is not None:
         if up.tag in ("article", "main"):
