@@ -4,7 +4,9 @@ import collections
 import random
 import string
 
-from voxmill.llm import extraction, language, packing, pii, secrets
+import pytest
+
+from voxmill.llm import components, extraction, language, neardup, packing, pii, secrets
 
 SCHEMA = "doc_id long, text string"
 
@@ -78,3 +80,15 @@ def test_extraction_takes_names_as_evidence():
     assert extraction.main_text(f"<html><body>{found}</body></html>").count("Result") == 5
     trolls = "".join(f"<p>Troll {k} has far too much to say on this, as always on such pages.</p>" for k in range(20))
     assert "Troll" not in extraction.main_text(f"<html><body><article>{body}</article><div id='comments'>{trolls}</div></body></html>")
+
+
+def test_near_duplicate_bands_follow_the_threshold():
+    assert neardup.band_count(85) == 16
+    for percent in (80, 85):
+        assert (1 - (percent / 100) ** 4) ** neardup.band_count(percent) <= 1e-5
+
+
+def test_components_that_have_not_settled_raise(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(64)], "u long, v long")
+    with pytest.raises(RuntimeError):
+        components.components(edges, rounds=1)

@@ -36,4 +36,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return edges.groupBy("u").agg(F.min("v").alias("component")).unionByName(edges.select(F.col("v").alias("u"), F.col("v").alias("component")).distinct()).groupBy(F.col("u").alias("node")).agg(F.min("component").alias("component"))

@@ -1,15 +1,16 @@
 """Near-duplicate documents: MinHash signatures, banding, verification on full sets, connected components.
 
-1. Each document becomes a set of word shingles and `HASHES` universal-hash minima.  Documents with the same set are
+1. Each document becomes a set of word shingles and universal-hash minima, `ROWS` for each band.  Documents with the same set are
    one class, led by the least doc_id.
-2. Signatures are cut into `BANDS` bands; a bucket holds the classes that agree on a band.  Buckets never emit all
+2. Signatures are cut into bands of `ROWS` minima; a bucket holds the classes that agree on a band.  Buckets never emit all
    pairs: each bucket elects the member that shares most buckets with others, and the members are paired with it.
 3. Pairs whose signatures come near the threshold are verified on the full shingle sets; links make components.
 4. Buckets that still hold several components have strays, members outside their leader's component.  Strays are
    compared with the bucket's members by a finer signature in bounded blocks, and near ones of other components are
    verified too, so a link that the leader doesn't see isn't lost.
 
-With 16 bands of 4 rows a pair at the threshold of 0.85 misses every bucket with probability 1e-5; the signature test
+There are as many bands as it takes that a pair at the threshold misses every bucket with a probability of `MISS` at most:
+16 of 4 rows at 0.85 (7.4e-6), 22 at 0.8 (9.2e-6); the signature test
 lies five deviations under the threshold, the finer one four.
 
 Edge cases: documents without words link with nothing; null text is the empty text; rows with null doc_id stand alone
@@ -18,6 +19,8 @@ and are kept; repeated rows share one class; empty tables give empty results; th
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +30,8 @@ from .common import durable, map_arrow, shuffle_width, table, whole_text
 from .components import components
 from .fingerprints import mix
 
-HASHES, BANDS = 64, 16
+#: Minima of a band, and the chance that a pair at the threshold may share none.
+ROWS, MISS = 4, 1e-5
 #: Minima, one byte of each, of the finer signature by which strays are compared, and its deviations under the threshold.
 FINE, FINE_DEVIATIONS = 512, 4
 #: Bytes of text whose shingles a worker holds at once; a byte takes about 50 there.
@@ -81,7 +85,11 @@ def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     return h[new], owner[new]
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, texts: int, hashes: int = HASHES) -> np.ndarray:
+def band_count(percent: int) -> int:
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-((min(percent, 99) / 100) ** ROWS))))
+
+
+def signatures(h: np.ndarray, owner: np.ndarray, texts: int, hashes: int) -> np.ndarray:
     """[texts, hashes] 32-bit minima; texts without shingles have all ones."""
     out = np.full((texts, hashes), 0xFFFFFFFF, np.uint32)
     if len(h):
@@ -92,7 +100,7 @@ def signatures(h: np.ndarray, owner: np.ndarray, texts: int, hashes: int = HASHE
     return out
 
 
-def sketch(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+def sketch(batch: pa.RecordBatch, words: int, hashes: int) -> pa.RecordBatch:
     n = batch.num_rows
     h, owner = shingle_sets(batch.column(1).to_pylist(), words)
     size = np.bincount(owner, minlength=n)
@@ -100,7 +108,7 @@ def sketch(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     with np.errstate(over="ignore"):
         np.add.at(h1, owner, mix(h, 17))
         np.bitwise_xor.at(h2, owner, mix(h, 18))
-    sig = signatures(h, owner, n)
+    sig = signatures(h, owner, n, hashes)
     return pa.RecordBatch.from_arrays(
         [batch.column(0), pa.array(size, pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([r.tobytes() for r in sig], pa.binary())],
         names=["doc_id", "n_shingles", "h1", "h2", "sig"],
@@ -114,18 +122,18 @@ def fine_signatures(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    """[rows, BANDS] bucket keys."""
-    rows = HASHES // BANDS
+    """[rows, bands] bucket keys."""
+    count = sig.shape[1] // ROWS
     with np.errstate(over="ignore"):
-        parts = sig.reshape(len(sig), BANDS, rows).astype(np.uint64)
-        key = np.tile(mix(np.arange(BANDS, dtype=np.uint64), 19), (len(sig), 1))
-        for k in range(rows):
+        parts = sig.reshape(len(sig), count, ROWS).astype(np.uint64)
+        key = np.tile(mix(np.arange(count, dtype=np.uint64), 19), (len(sig), 1))
+        for k in range(ROWS):
             key = mix(key * _ODD + parts[:, :, k], 20)
     return key.view(np.int64)
 
 
 def to_matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -133,7 +141,7 @@ def bands(classes: DataFrame) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 keys = band_keys(to_matrix(b.column(1)))
-                ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), BANDS)
+                ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["key", "id"])
 
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
@@ -246,8 +254,9 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
-    base = durable(map_arrow(slim, lambda b: sketch(b, words), "doc_id long, n_shingles long, h1 long, h2 long, sig binary", limit=SLICE_BYTES), "near-base")
+    hashes = ROWS * band_count(percent)
+    least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / hashes) ** 0.5
+    base = durable(map_arrow(slim, lambda b: sketch(b, words, hashes), "doc_id long, n_shingles long, h1 long, h2 long, sig binary", limit=SLICE_BYTES), "near-base")
     full = base.where("n_shingles > 0 and doc_id is not null")
     classes = durable(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-classes")
     rows = durable(bands(classes), "near-bands")
