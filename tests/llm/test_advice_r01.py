@@ -92,3 +92,12 @@ def test_components_that_have_not_settled_raise(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(64)], "u long, v long")
     with pytest.raises(RuntimeError):
         components.components(edges, rounds=1)
+
+
+def test_pii_patterns_are_whole(spark):
+    # 70 blanks, a word of 50 letters, and its likeness in the last 40
+    long, other = "b" * 10 + "a" * 40, "c" * 10 + "a" * 40
+    blanks = " " * 70
+    texts = [f"{long}{blanks}10.0.{k}.1 on" for k in range(8)] + [f"{long}{blanks}10.0.300.1 on", f"{other}{blanks}10.0.300.1 on"]
+    got = spans(spark, texts)
+    assert got[8] == ["context:120:130"] and got[9] == []

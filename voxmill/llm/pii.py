@@ -39,6 +39,14 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MENTION = r"(?<!\S)(?=[^\s0-9]*+[0-9])\S++(?: (?=[^\s0-9]*+[0-9])\S++)*+|(?<!\S)(?=[^\s@]*+@)\S++"
 
 
+def last_word(text: Column) -> Column:
+    """The whole last word, with the blank behind it that parts it from what follows, if there is one."""
+    blanks = "\t\n\x0b\f\r"
+    plain = F.translate(text, blanks, " " * len(blanks))
+    word = F.substring_index(F.rtrim(plain), " ", -1)
+    return F.when(F.endswith(plain, F.lit(" ")), F.concat(word, F.lit(" "))).otherwise(word)
+
+
 def placed(text: Column, pattern: str) -> Column:
     """array<struct<start, end, match, before>>: every match with its code point range and the text before it."""
     between = F.split(text, pattern, -1)
@@ -50,7 +58,7 @@ def placed(text: Column, pattern: str) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.char_length(x["gap"])
         end = start + F.char_length(x["match"])
-        row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), F.right(x["gap"], F.lit(60)).alias("before"))
+        row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), last_word(x["gap"]).alias("before"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
 
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
@@ -107,7 +115,7 @@ def joined(spans: Column) -> Column:
 
 
 def word_before(text: Column) -> Column:
-    return F.lower(F.regexp_extract(text, r"(\S{1,40})\s*$", 1))
+    return F.lower(F.rtrim(last_word(text)))
 
 
 def trimmed(token: Column) -> Column:
@@ -115,7 +123,7 @@ def trimmed(token: Column) -> Column:
 
 
 def shape_of(value: Column) -> Column:
-    return F.substr(F.regexp_replace(F.regexp_replace(value, r"\p{L}++", "a"), "[0-9]++", "9"), F.lit(1), F.lit(60))
+    return F.regexp_replace(F.regexp_replace(value, r"\p{L}++", "a"), "[0-9]++", "9")
 
 
 def mentions(rows: DataFrame) -> DataFrame:
@@ -151,7 +159,7 @@ def tokens(docs: DataFrame) -> DataFrame:
     words = F.filter(words, lambda x: x["w"] != "")
     pairs = F.arrays_zip(words.alias("x"), F.concat(F.array(F.lit(None).cast("struct<w:string,i:int>")), words).alias("y"))
     m = docs.select("doc_id", "key", F.explode(pairs).alias("m")).where("m.x IS NOT NULL")
-    return m.select("doc_id", "key", F.col("m.x.i").alias("start"), F.col("m.x.w").alias("w"), F.xxhash64(F.lower(F.right(F.coalesce("m.y.w", F.lit("")), F.lit(40)))).alias("left"))
+    return m.select("doc_id", "key", F.col("m.x.i").alias("start"), F.col("m.x.w").alias("w"), F.xxhash64(F.lower(F.coalesce("m.y.w", F.lit("")))).alias("left"))
 
 
 def is_loose(w: Column) -> Column:
