@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,11 +20,14 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (local tests)."""
+    """The shared folder that the cluster names; a temporary one only where none is set and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir isn't set; on {master} it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="voxmill-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -35,7 +38,23 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/voxmill-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_written"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of durable tables that nothing will read any more; other frames are left alone."""
+    for df in tables:
+        path = df.__dict__.pop("_written", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def halves(sha: Column) -> list[Column]:
+    """Two numbers, t1 and t2, that name a text: 60 bits each of its hex digest."""
+    return [F.conv(F.substring(sha, k, 15), 16, 10).cast("long").alias(f"t{i}") for i, k in ((1, 1), (2, 16))]
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
