@@ -8,27 +8,32 @@
 4. Buckets that still hold several components have strays, members outside their leader's component.  Strays are
    compared with the bucket's members by a finer signature in bounded blocks, and near ones of other components are
    verified too, so a link that the leader doesn't see isn't lost.
+5. Pairs meet their leader by a join; leaders of very many pairs are salted (a list of at most `HOT_KEYS` of them is
+   broadcast).
 
 There are as many bands as it takes that a pair at the threshold misses every bucket with a probability of `MISS` at most:
 16 of 4 rows at 0.85 (7.4e-6), 22 at 0.8 (9.2e-6); the signature test
 lies five deviations under the threshold, the finer one four.
 
 Edge cases: documents without words link with nothing; null text is the empty text; rows with null doc_id stand alone
-and are kept; repeated rows share one class; empty tables give empty results; the operator's kept rows carry all columns.
+and are kept; repeated rows share one class, and `deduplicate` keeps one of them; one doc_id may stand on different texts,
+which are judged each by its own set; empty tables give empty results; the kept rows carry all columns.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, map_arrow, shuffle_width, table, whole_text
+from .common import discard, durable, halves, map_arrow, shuffle_width, table, whole_text
 from .components import components
 from .fingerprints import mix
+from .words import word_hashes
 
 #: Minima of a band, and the chance that a pair at the threshold may share none.
 ROWS, MISS = 4, 1e-5
@@ -36,32 +41,19 @@ ROWS, MISS = 4, 1e-5
 FINE, FINE_DEVIATIONS = 512, 4
 #: Bytes of text whose shingles a worker holds at once; a byte takes about 50 there.
 SLICE_BYTES = 1 << 20
-#: Of a bucket's rows that one task compares at once.
-BLOCK_ROWS = 2048
+#: Strays, and members, that one block compares at once.
+BLOCK_ROWS = 512
+#: The most leaders whose pairs are salted, and the least number of pairs for it.
+HOT_KEYS, HOT_PAIRS = 10_000, 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_GAP = np.zeros(256, bool)
-_GAP[[32, 9, 10, 11, 12, 13]] = True
 _A = mix(np.arange(1, FINE + 1, dtype=np.uint64), 11) | np.uint64(1)
 _B = mix(np.arange(1, FINE + 1, dtype=np.uint64), 12)
 
 
 def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text) of the distinct shingles, sorted by text and hash."""
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = _LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
-    ends = np.cumsum([len(r) + 1 for r in raw])
-    gap = _GAP[data]
-    first = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
-    last = np.flatnonzero(~gap & np.concatenate([gap[1:], [True]]))
+    word, doc = word_hashes(texts)
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(data), _ODD), dtype=np.uint64)
-        back = np.cumprod(np.full(len(data), np.uint64(pow(int(_ODD), -1, 1 << 64))), dtype=np.uint64)
-        values = mix(np.arange(256, dtype=np.uint64), 13)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(values[data] * power, dtype=np.uint64)])
-        word = mix((total[last + 1] - total[first]) * back[first], 14)
-        doc = np.searchsorted(ends, first, "right")
         n = np.bincount(doc, minlength=len(texts))
         # every run of `words` words in one text; texts with fewer have one shingle of them all
         count = len(word) - words + 1
@@ -110,8 +102,8 @@ def sketch(batch: pa.RecordBatch, words: int, hashes: int) -> pa.RecordBatch:
         np.bitwise_xor.at(h2, owner, mix(h, 18))
     sig = signatures(h, owner, n, hashes)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(size, pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([r.tobytes() for r in sig], pa.binary())],
-        names=["doc_id", "n_shingles", "h1", "h2", "sig"],
+        [batch.column(0), batch.column(2), batch.column(3), pa.array(size, pa.int64()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([r.tobytes() for r in sig], pa.binary())],
+        names=["doc_id", "t1", "t2", "n_shingles", "h1", "h2", "sig"],
     )
 
 
@@ -147,10 +139,22 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
+def with_both(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+    """(a, b, xa, xb): pairs with what `held` (id, column) has of each; the pairs of a crowded b are dealt over salts."""
+    total = pairs.count()
+    least = max(HOT_PAIRS, total // HOT_KEYS)
+    # at most total / least rows, HOT_KEYS
+    hot = F.broadcast(pairs.groupBy(F.col("b").alias("_hot")).agg(F.ceil(F.count("*") / F.lit(least)).cast("int").alias("_n")).where("_n > 1"))
+    one = pairs.join(held.select(F.col("id").alias("a"), F.col(column).alias("xa")), "a")
+    one = one.join(hot, one["b"] == F.col("_hot"), "left").select("a", "b", "xa", F.pmod(F.xxhash64("a"), F.coalesce("_n", F.lit(1))).cast("int").alias("_salt"))
+    many = held.join(hot, held["id"] == F.col("_hot"), "left")
+    many = many.select(F.col("id").alias("b"), F.col(column).alias("xb"), F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)).alias("_salt"))
+    return one.join(many, ["b", "_salt"]).select("a", "b", "xa", "xb")
+
+
 def near_signatures(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose signatures agree in at least `least` of their places."""
-    sig = classes.select("id", "sig")
-    both = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
+    both = with_both(pairs, classes, "sig")
 
     def run(batches):
         for b in batches:
@@ -158,13 +162,12 @@ def near_signatures(pairs: DataFrame, classes: DataFrame, least: float) -> DataF
                 same = (to_matrix(b.column(2)) == to_matrix(b.column(3))).mean(axis=1)
                 yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(same >= least))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    two = one.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    two = with_both(pairs, texts, "text")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         b_texts = batch.column(3).to_pylist()
@@ -187,23 +190,30 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         good = (100 * shared >= percent * (na + nb - shared)) & (shared > 0)
         return pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
 
-    return map_arrow(two.select("a", "b", "ta", "tb"), check, "a long, b long", "ta", SLICE_BYTES)
+    return map_arrow(two, check, "a long, b long", "xa", SLICE_BYTES)
 
 
 def stray_pairs(members: DataFrame, least: float) -> DataFrame:
-    """members (bucket rows: key, id, comp, sig, fine, n, stray) -> near pairs of a stray and a row of another component.
+    """members (bucket rows: key, id, comp, sig, fine, n, strays, stray) -> near pairs of a stray and a row of another component.
 
-    Buckets are cut into blocks; a task holds one block of strays and one of members, and only near pairs leave it, each
-    from the first bucket that its two rows share.  Where both are strays, the pair comes from the greater id alone.
+    Buckets are cut into blocks of BLOCK_ROWS strays and as many members; a task holds one block, and only near pairs
+    leave it, each from the first bucket that its two rows share.  Where both are strays, the pair comes from the greater
+    id alone.  A row goes to as many blocks as there are lots of what it is compared with, so few strays cost few copies.
     """
-    parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    mine = F.pmod(F.xxhash64("id"), parts).cast("int")
-    m = members.withColumn("_parts", parts).withColumn("_mine", mine)
-    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    as_member = m.select("key", "id", "comp", "sig", "fine", F.lit(False).alias("query"), "stray", every.alias("i"), F.col("_mine").alias("j"))
-    as_stray = m.where("stray").select("key", "id", "comp", "sig", "fine", F.lit(True).alias("query"), "stray", F.col("_mine").alias("i"), every.alias("j"))
-    rows = as_member.unionByName(as_stray)
-    width = rows.withColumn("_block", F.xxhash64("key", "i", "j"))
+    place = F.xxhash64("id")
+    rows, lots = F.ceil(F.col("n") / BLOCK_ROWS).cast("int"), F.ceil(F.col("strays") / BLOCK_ROWS).cast("int")
+
+    def blocks(upto: Column, make: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), upto - 1), make)
+
+    def block(query: bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(query).alias("query"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    as_member = blocks(lots, lambda i: block(False, i, F.pmod(place, rows)))
+    as_stray = F.when(F.col("stray"), blocks(rows, lambda j: block(True, F.pmod(place, lots), j)))
+    every = F.explode(F.concat(as_member, F.coalesce(as_stray, F.slice(as_member, 1, 0)))).alias("at")
+    placed = members.where("strays > 0").select("key", "id", "comp", "sig", "fine", "stray", every)
+    width = placed.select(F.xxhash64("key", "at.i", "at.j").alias("_block"), "key", "id", "comp", "sig", "fine", "at.query", "stray")
 
     def run(batches):
         held: list = []
@@ -251,48 +261,88 @@ def stray_pairs(members: DataFrame, least: float) -> DataFrame:
     return dealt.select("_block", "key", "id", "comp", "sig", "fine", "query", "stray").mapInArrow(run, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row."""
+def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(rows: doc_id, t1, t2, n_shingles, h1, h2; classes: h1, h2, n_shingles, component_id, stays).
+
+    A class is a set of shingles, numbered when it is written (doc_ids may clash).  component_id is the least doc_id of its
+    component, `stays` the row (doc_id, t1, t2) of that doc_id that stands for all.
+    """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    slim = slim.select("doc_id", "text", *halves(F.sha2("text", 256)))
     hashes = ROWS * band_count(percent)
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / hashes) ** 0.5
-    base = durable(map_arrow(slim, lambda b: sketch(b, words, hashes), "doc_id long, n_shingles long, h1 long, h2 long, sig binary", limit=SLICE_BYTES), "near-base")
+    base = durable(map_arrow(slim, lambda b: sketch(b, words, hashes), "doc_id long, t1 long, t2 long, n_shingles long, h1 long, h2 long, sig binary", limit=SLICE_BYTES), "near-base")
     full = base.where("n_shingles > 0 and doc_id is not null")
-    classes = durable(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-classes")
+    classes = full.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("led"), F.first("sig").alias("sig"))
+    classes = durable(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
     rows = durable(bands(classes), "near-bands")
     sizes = durable(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-sizes")
     shared = durable(rows.join(sizes, "key"), "near-shared")
-    weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
-    leaders = durable(shared.join(durable(weight, "near-weights"), "id").groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader")), "near-leaders")
-    pairs = shared.join(leaders, "key").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    pairs = durable(near_signatures(pairs, classes, least), "near-pairs")
-    wanted = durable(weight.select("id"), "near-wanted")
-    texts = durable(slim.join(wanted, slim["doc_id"] == wanted["id"], "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.first("text").alias("text")), "near-texts")
-    links = durable(verified(pairs, texts, words, percent), "near-links")
+    discard(rows, sizes)
+    weight = durable(shared.groupBy("id").agg(F.sum("n").alias("w")), "near-weights")
+    leaders = durable(shared.join(weight, "id").groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader")), "near-leaders")
+    pairs = durable(shared.join(leaders, "key").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "near-candidates")
+    near = durable(near_signatures(pairs, classes, least), "near-pairs")
+    wanted = classes.join(weight.select("id"), "id").select("id", "led")
+    texts = slim.join(wanted, (slim["doc_id"] == F.col("led.doc_id")) & (slim["t1"] == F.col("led.t1")) & (slim["t2"] == F.col("led.t2"))).select("id", "text")
+    texts = durable(texts, "near-texts")
+    if texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():  # whole rows that repeat
+        texts = durable(texts.dropDuplicates(["id"]), "near-texts-once")
+    links = durable(verified(near, texts, words, percent), "near-links")
+    discard(pairs, near)
     comp = durable(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-comp")
     # buckets with several components
     labelled = durable(shared.join(comp, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp")), "near-labelled")
     open_ = labelled.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("key")
     lead = durable(open_.join(leaders, "key").join(comp, F.col("leader") == F.col("node"), "left").select("key", F.coalesce("component", "leader").alias("_lead")), "near-open")
     members = durable(labelled.join(lead, "key").select("key", "id", "comp", "n", (F.col("comp") != F.col("_lead")).alias("stray")), "near-members")
+    crowd = durable(members.groupBy("key").agg(F.count_if("stray").alias("strays")), "near-crowd")
+    discard(labelled, lead, leaders, weight, shared)
     again = texts.join(members.select("id").distinct(), "id", "left_semi")
     fine = durable(map_arrow(again, lambda b: fine_signatures(b, words), "id long, fine binary", limit=SLICE_BYTES), "near-fine")
     share = percent / 100
     least = share - FINE_DEVIATIONS * (share * (1 - share) / FINE) ** 0.5
-    more = durable(stray_pairs(members.join(fine, "id").join(classes.select("id", "sig"), "id"), least), "near-strays")
+    more = durable(stray_pairs(members.join(crowd, "key").join(fine, "id").join(classes.select("id", "sig"), "id"), least), "near-strays")
     found = durable(verified(more, texts, words, percent), "near-more")
+    discard(members, crowd, fine, more, texts)
     if found.limit(1).count():
         comp = durable(components(links.unionByName(found).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-comp2")
-    by_class = durable(classes.join(comp, F.col("id") == F.col("node"), "left").select("h1", "h2", "n_shingles", F.coalesce("component", "id").alias("component_id")), "near-classes2")
-    alone = base.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    together = full.drop("sig").join(by_class, ["h1", "h2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    grouped = classes.select("id", "h1", "h2", "n_shingles", "led").join(comp, F.col("id") == F.col("node"), "left").withColumn("_c", F.coalesce("component", "id"))
+    first = grouped.groupBy("_c").agg(F.min("led").alias("stays"))
+    by_class = durable(grouped.join(first, "_c").select("h1", "h2", "n_shingles", F.col("stays.doc_id").alias("component_id"), "stays"), "near-classes2")
+    discard(classes, links, found, comp)
+    return base.drop("sig"), by_class
+
+
+def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row."""
+    rows, classes = groups(docs, words, percent)
+    alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    together = rows.where("n_shingles > 0 and doc_id is not null").join(classes, ["h1", "h2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     return together.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, all columns, that lead their group; one row for each repeated doc_id that is kept, too."""
-    drop = link(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, docs["doc_id"].cast("long") == F.col("_drop"), "left_anti")
+    """One row of docs, all columns, of each group: of the least doc_id, and of its texts and repeated rows one.
+
+    Rows without words or without doc_id are in no group and stay, each of them.
+    """
+    rows, classes = groups(docs, words, percent)
+    linked = rows.where("n_shingles > 0 and doc_id is not null").join(classes, ["h1", "h2", "n_shingles"])
+    own = F.struct("doc_id", "t1", "t2")
+    # few rows: what goes, and rows that stay but stand there several times
+    linked = linked.select(own.alias("own"), (own == F.col("stays")).alias("stays"))
+    marks = linked.groupBy("own", "stays").agg(F.count("*").alias("n")).where("NOT stays OR n > 1")
+    marks = durable(marks.select("own.*", "stays").select(F.col("doc_id").alias("_near_id"), F.col("t1").alias("_near_1"), F.col("t2").alias("_near_2"), F.col("stays").alias("_near_stays")), "near-marks")
+    first, second = halves(F.sha2(whole_text(), 256))
+    keyed = docs.withColumns({"_near_first": first, "_near_second": second})
+    same = (keyed["doc_id"].cast("long") == F.col("_near_id")) & (keyed["_near_first"] == F.col("_near_1")) & (keyed["_near_second"] == F.col("_near_2"))
+    kept = keyed.join(marks.where("NOT _near_stays"), same, "left_anti")
+    if marks.where("_near_stays").limit(1).count():
+        twice = marks.where("_near_stays").drop("_near_stays")
+        once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_near_first", "_near_second"])
+        kept = kept.join(twice, same, "left_anti").unionByName(once)
+    return kept.drop("_near_first", "_near_second")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
