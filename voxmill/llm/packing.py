@@ -12,6 +12,7 @@ further columns of the input are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 import zlib
@@ -28,10 +29,12 @@ from .common import durable, map_arrow, shuffle_width, table, whole_text
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
-#: Branches tried for one filling; beyond it the incumbent, a best-fit filling, is taken.
+#: Nodes for the fillings of one bin; beyond it those found, or else the best-fit one, stand.
 BRANCHES = 4000
 #: Nodes of a whole search, and rests that it remembers (16 kB each at the usual capacity).
 NODES, SEEN = 400_000, 2000
+#: Nodes that a step of the search counts as, by its time.
+STEP = 20
 #: Words whose ids a worker remembers between slices and tasks, about 30 MB; further words are encoded in each slice.
 KNOWN_WORDS, ENCODED_AT_ONCE, SLICE_BYTES = 150_000, 4096, 2 << 20
 #: A Latin letter that stays one letter when composed and lowered (U+0130 doesn't), and an ASCII mark but the apostrophe.
@@ -121,59 +124,6 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     return map_arrow(slim, lambda b: cut(b, path, capacity, end_id), PIECES, limit=SLICE_BYTES)
 
 
-def filling(room: int, left: np.ndarray, branches: int = BRANCHES) -> list[tuple[int, int]]:
-    """The best undominated set of further items for a bin with `room` left: [(length, times)], least waste first.
-
-    Depth-first over classes in descending order, to waste 0 or `branches` nodes: minimum bin slack, the second
-    incumbent of `plan`.  In the answer, items are exchanged for larger available ones within its waste.
-    """
-    classes = np.flatnonzero(left[: room + 1])
-    classes = classes[classes > 0][::-1].tolist()
-    if not classes:
-        return []
-    best: list[int] = []
-    waste = room + 1
-    tried = 0
-    smallest = classes[-1]
-    stack: list[int] = []
-
-    def descend(k: int, rest: int) -> bool:
-        nonlocal best, waste, tried
-        tried += 1
-        if rest < smallest or k >= len(classes):
-            if rest < waste:
-                best, waste = stack.copy(), rest
-            return waste == 0 or tried > branches
-        # a class that fills the room exactly dominates every other completion of this branch
-        if left[rest] > stack.count(rest):
-            best, waste = [*stack, rest], 0
-            return True
-        lo = np.searchsorted(-np.asarray(classes[k:]), -rest) + k
-        for j in range(int(lo), len(classes)):
-            size = classes[j]
-            if left[size] <= stack.count(size):
-                continue
-            stack.append(size)
-            done = descend(j, rest - size)
-            stack.pop()
-            if done or tried > branches:
-                return True
-        if rest < waste:
-            best, waste = stack.copy(), rest
-        return False
-
-    descend(0, room)
-    if waste:
-        # dominance: exchange an item for the largest available one that its waste allows
-        for i, size in enumerate(best):
-            for other in range(min(room, size + waste), size, -1):
-                if left[other] > best.count(other):
-                    waste -= other - size
-                    best[i] = other
-                    break
-    return [(size, best.count(size)) for size in sorted(set(best), reverse=True)]
-
-
 def best_fit(room: int, left: np.ndarray) -> list[tuple[int, int]]:
     """Always the largest item that still fits."""
     out = []
@@ -190,47 +140,78 @@ def best_fit(room: int, left: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def fillings(room: int, left: np.ndarray, slack: int, branches: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
+def fillings(room: int, left: np.ndarray, slack: int, branches: int, enough: bool = False) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
     """([(waste, [(length, times)])], nodes): undominated fillings of at most `slack` waste, least waste first.
 
-    A filling is dominated when another item still fits, or when one of its items could be exchanged for a larger
-    available one within its waste.
+    Depth-first over (class, times), the largest first.  A filling is dominated when another item still fits, when one of
+    its items could be exchanged for a larger available one within its waste, or when an item of just the room left could
+    stand for what follows.  A branch is cut where all items that it may still take leave more than the least waste
+    allowed.  `enough`: one filling without waste ends it.
     """
-    classes = np.flatnonzero(left[: room + 1])[::-1].tolist()
-    ends = [0] * (len(classes) + 1)
-    for k in range(len(classes) - 1, -1, -1):
-        ends[k] = ends[k + 1] + classes[k] * int(left[classes[k]])
+    classes = np.flatnonzero(left[: room + 1])[::-1]
+    # what all items from a class on come to
+    after = np.concatenate([np.cumsum((classes * left[classes])[::-1])[::-1], [0]]).tolist()
+    negated, classes = (-classes).tolist(), classes.tolist()
     out, nodes = [], 0
-    stack = [(0, room, ())]
+    stack: list[tuple[int, int, tuple]] = [(0, room, ())]
     while stack and nodes <= branches:
         k, rest, held = stack.pop()
         nodes += 1
-        if rest - ends[k] > slack:
+        k = bisect.bisect_left(negated, -rest, k)
+        if rest - after[k] > slack:
             continue
-        if k == len(classes) or not rest:
+        if k < len(classes) and classes[k] == rest:
+            out.append((0, [*held, (rest, 1)]))
+        elif k == len(classes):
             used = dict(held)
             free = [c for c in classes if left[c] > used.get(c, 0)]
-            if rest <= slack and not any(c <= rest for c in free) and not any(s < c <= s + rest for s in used for c in free):
+            if not any(c <= rest for c in free) and not any(size < c <= size + rest for size in used for c in free):
                 out.append((rest, list(held)))
-            continue
-        size = classes[k]
-        # the most of a class comes off the stack first
-        for times in range(min(int(left[size]), rest // size) + 1):
-            stack.append((k + 1, rest - size * times, (*held, (size, times)) if times else held))
+        else:
+            size = classes[k]
+            stack.append((k + 1, rest, held))
+            # the most of a class comes off the stack first
+            for times in range(1, min(int(left[size]), rest // size) + 1):
+                stack.append((k + 1, rest - size * times, (*held, (size, times))))
+        if enough and out and not out[-1][0]:
+            break
     return sorted(out, key=lambda x: x[0]), nodes
 
 
+def counts_of(histogram: dict[int, int], capacity: int) -> np.ndarray:
+    left = np.zeros(capacity + 1, np.int64)
+    for size, n in histogram.items():
+        left[size] += n
+    return left
+
+
+def lower_bound(left: np.ndarray) -> int:
+    """Bins that any packing of the counts by size needs: the greatest of three bounds.
+
+    Volume; for each k, the items of over capacity - k, which stand alone, those of over half, and what of the others of k
+    and more doesn't fit beside these; for each size, the items of that size and more, of which a bin holds few.
+    """
+    capacity = len(left) - 1
+    sizes = np.arange(capacity + 1)
+    number, volume = np.cumsum(left), np.cumsum(left * sizes)
+    half = capacity // 2
+    k = sizes[1 : half + 1]
+    alone, large = number[-1] - number[capacity - k], number[capacity - k] - number[half]
+    over = volume[half] - volume[k - 1] - (large * capacity - (volume[capacity - k] - volume[half]))
+    beside = alone + large + np.maximum(0, -(-over // capacity))
+    few = -(-(number[-1] - number[sizes[1:] - 1]) // (capacity // sizes[1:]))
+    return int(max(-(-volume[-1] // capacity), beside.max(initial=0), few.max(initial=0)))
+
+
 def search(histogram: dict[int, int], capacity: int, count: int, bound: int, branches: int, nodes: int) -> list[tuple[int, list[tuple[int, int]]]] | None:
     """A plan of fewer than `count` bins, the best that bin completion finds within `nodes` nodes, or None.
 
     Each node takes the largest class left and branches over the undominated fillings of its bin, repeated as often as
-    the counts allow, and once.  A branch is cut when its waste leaves no room for fewer bins than the incumbent's, or
-    when its rest was reached before with as few bins.
+    the counts allow, half as often, and so on down to once.  A branch is cut when its waste leaves no room for fewer bins
+    than the incumbent's, when the lower bound of its rest does, or when that rest was reached before with as few bins.
     """
     total = sum(k * v for k, v in histogram.items())
-    left = np.zeros(capacity + 1, np.int64)
-    for k, v in histogram.items():
-        left[k] += v
+    left = counts_of(histogram, capacity)
     best, tried, path, seen = None, 0, [], {}
 
     def options(waste: int):
@@ -244,9 +225,10 @@ def search(histogram: dict[int, int], capacity: int, count: int, bound: int, bra
             used = {top: 1}
             for size, times in more:
                 used[size] = used.get(size, 0) + times
-            most = min(int(left[size]) // times for size, times in used.items())
-            for bins in (most, 1) if most > 1 else (1,):
+            bins = min(int(left[size]) // times for size, times in used.items())
+            while bins:
                 yield bins, lost * bins, sorted(used.items(), reverse=True)
+                bins //= 2
 
     # (options, waste so far, bins so far)
     stack = [(options(0), 0, 0)]
@@ -261,6 +243,7 @@ def search(histogram: dict[int, int], capacity: int, count: int, bound: int, bra
                     left[size] += n * times
             continue
         n, lost, items = step
+        tried += STEP
         if waste + lost > capacity * (count - 1) - total or bins + n >= count:
             continue
         for size, times in items:
@@ -269,7 +252,7 @@ def search(histogram: dict[int, int], capacity: int, count: int, bound: int, bra
         key = left.tobytes() if len(seen) < SEEN else None
         if not left.any():
             best, count = list(path), bins + n
-        elif key is None or seen.get(key, count) > bins + n:
+        elif bins + n + lower_bound(left) < count and (key is None or seen.get(key, count) > bins + n):
             if key is not None:
                 seen[key] = bins + n
             stack.append((options(waste + lost), waste + lost, bins + n))
@@ -285,15 +268,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BR
 
     Each step takes the largest class left, completes its bin and repeats that bin as often as the counts allow, which
     exhausts a class; so there are at most as many steps as classes.  The best-fit plan is the first incumbent, the one
-    of minimum bin slack the second; where both miss the lower bound, `search` branches over the undominated fillings.
+    that completes each bin with the least waste the second; where both miss the lower bound, `search` branches over the
+    undominated fillings.  No plan has more bins than best fit's; one that meets the bound is optimal, and where the
+    search ends by its number of nodes, the gap is at most the plan's bins less lower_bound().
     """
-    total = sum(k * v for k, v in histogram.items())
-    bound = max(-(-total // capacity), sum(v for k, v in histogram.items() if 2 * k > capacity))
+    bound = lower_bound(counts_of(histogram, capacity))
 
     def build(choose) -> list[tuple[int, list[tuple[int, int]]]]:
-        left = np.zeros(capacity + 1, np.int64)
-        for k, v in histogram.items():
-            left[k] += v
+        left = counts_of(histogram, capacity)
         out, top = [], capacity
         while True:
             while top and not left[top]:
@@ -311,12 +293,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BR
                 left[size] -= bins * times
             out.append((bins, sorted(used.items(), reverse=True)))
 
+    def least_waste(room: int, left: np.ndarray) -> list[tuple[int, int]]:
+        found, _ = fillings(room, left, room, branches, enough=True)
+        return found[0][1] if found else best_fit(room, left)
+
     best = build(best_fit)
     count = sum(b for b, _ in best)
-    for limit in (branches, branches * 8):
-        if count <= bound:
-            break
-        other = build(lambda room, left, limit=limit: filling(room, left, limit))
+    if count > bound:
+        other = build(least_waste)
         if (n := sum(b for b, _ in other)) < count:
             best, count = other, n
     if count > bound:
