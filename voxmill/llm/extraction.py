@@ -1,10 +1,11 @@
 """Main text of web pages by composite text density.
 
 The page becomes a tree; scripts, menus, forms and the like are cut off by tag.  Names and roles of adverts, notices,
-comments and the like are evidence only: a node that bears one is cut off where it holds less than `SHARE` of the page's
+comments and the like (a whole class, id or role: `ad`, `cookie-notice`, `sidebar-left`, not `social-contract` or
+`has-sidebar`) are evidence only: a node that bears one is cut off where it holds less than `SHARE` of the page's
 text or is less dense than the page, unless the densest subtree lies in it or hardly any text would be left; where there
-is an <article> or <main>, all of them go but those around its densest subtree.  For each node left, the composite density is its characters per tag, damped by how much of the text and of the
-tags are links.  The node whose children's densities sum to the most holds the article; below it, a block is dropped
+is an <article> or <main>, all of them go but those around its densest subtree.  For each node left, the composite
+density is its characters per tag, damped by how much of the text and of the tags are links.  The node whose children's densities sum to the most holds the article; below it, a block is dropped
 where its density falls under the least density on the path from the body to that node and most of its text is links.
 A surrounding <article> or <main> of the chosen node is taken whole.
 
@@ -26,10 +27,12 @@ from pyspark.sql import functions as F
 from .common import map_arrow, table, whole_text
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>""", re.DOTALL)
+#: A comment, a tag whose quotes are balanced, or a declaration; a tag up to the next angle bracket.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>""", re.DOTALL)
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
 _NAME = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes template".split())
 #: Share of the page's text under which a node with a telling name is cut off.
 SHARE = 0.5
@@ -42,6 +45,11 @@ NAMES = frozenset(
     "comment comments disqus cookie cookies consent gdpr notice alert newsletter subscribe signup login share sharing social related recommended popup modal "
     "overlay footer masthead toolbar pagination pager widget widgets search skip contentinfo complementary".split()
 )
+#: Parts of a name that say nothing of what it names.
+PLACES = frozenset(
+    "area bar block bottom box button buttons col column container content footer form group header inner item items left link links list module outer panel post posts "
+    "right row section sections slot text thread title top unit wrap wrapper zone".split()
+)
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
     "legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
@@ -60,90 +68,133 @@ class Node:
         self.density = self.total = 0.0
 
 
-def is_noise(tag: str, attributes: str, stack: list[Node]) -> bool:
+class Open:
+    """The open nodes of a page, root first, with the places of each tag and group of tags among them."""
+
+    GROUPS = {"block": BLOCKS, "border": frozenset(("article", "main", "table", "td")), "article or main": frozenset(("article", "main"))}
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        for key in self.keys(node.tag):
+            self.places.setdefault(key, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def keys(self, tag: str):
+        return (tag, *(name for name, tags in self.GROUPS.items() if tag in tags))
+
+    def last(self, *keys: str) -> int:
+        """The place of the innermost open node of one of the tags or groups; 0 without one."""
+        return max((p[-1] for k in keys if (p := self.places.get(k))), default=0)
+
+    def cut(self, place: int) -> None:
+        """Closes the node at a place and all inside."""
+        while len(self.nodes) > place:
+            for key in self.keys(self.nodes.pop().tag):
+                self.places[key].pop()
+
+
+def is_noise(tag: str, attributes: str, stack: Open) -> bool:
     if tag in NOISE:
         return True
     if tag == "header":
-        return not any(n.tag in ("article", "main") for n in stack)
+        return not stack.last("article or main")
     return bool(attributes) and tag not in ("html", "body", "article", "main") and bool(_HIDDEN.search(attributes))
 
 
 def is_named(tag: str, attributes: str) -> bool:
+    """Whether a whole class, id or role names noise: one of NAMES, or several of them or with PLACES only."""
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for m in _NAME.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        if any(p.lower() in NAMES for p in _PART.findall(value)):
-            return True
+        for token in (m[1] or m[2] or m[3] or "").split():
+            parts = {p.lower() for p in _PART.findall(token)}
+            if parts & NAMES and parts <= NAMES | PLACES:
+                return True
     return False
 
 
+def markup(page: str):
+    """(start, end, closing, tag, attributes) of every comment, declaration (without a tag) and tag, in linear time.
+
+    Once a quote in a tag runs to the end of the page, the quotes of further tags count for nothing.
+    """
+    pos, last, quoted = 0, page.rfind(">"), True
+    while (at := page.find("<", pos)) >= 0:
+        m = _TAG.match(page, at) if quoted else None
+        if not m and at > last:
+            return
+        if not m:
+            m = _TAG.match(page, at) if page.startswith(("<!", "<?"), at) else _PLAIN.match(page, at)
+            quoted = quoted and not m
+        if not m:
+            pos = at + 1
+            continue
+        pos = yield m.start(), m.end(), m[1], (m[2] or "").lower(), m[3] or ""
+        pos = m.end() if pos is None else pos
+
+
+def raw_end(page: str, tag: str, pos: int, none_left: set[str]) -> tuple[int, int]:
+    """Where the raw text of a tag ends and where its end tag does; the page's end without one, which is looked for once."""
+    end = None if tag in none_left else re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(page, pos)
+    if not end:
+        none_left.add(tag)
+        return len(page), len(page)
+    close = page.find(">", end.start())
+    return end.start(), close + 1 if close >= 0 else len(page)
+
+
 def parse(page: str) -> Node:
     root = Node("body", None)
-    stack = [root]
-    at, skip_to = 0, None
-
-    def text(upto: int) -> None:
-        if upto > at and (chunk := page[at:upto]):
-            stack[-1].items.append(chunk)
-
-    pos = 0
-    while m := _TAG.search(page, pos):
-        text(m.start())
-        at = pos = m.end()
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
-            continue
-        tag = tag.lower()
-        if closing:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "table", "td") and tag not in BLOCKS:
-                    break
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(page, pos)
-            at = pos = end.start() if end else len(page)
-            if end:
-                close = page.find(">", end.start())
-                at = pos = close + 1 if close >= 0 else len(page)
-            continue
-        if tag in ("html", "body"):
+    stack = Open(root)
+    at, none_left = 0, set()
+    found = markup(page)
+    step = next(found, None)
+    while step is not None:
+        start, end, closing, tag, attributes = step
+        if start > at:
+            stack.nodes[-1].items.append(page[at:start])
+        at, jump = end, None
+        if not tag or tag in ("html", "body") and closing:
+            pass
+        elif closing:
+            place = stack.last(tag)
+            # an inline tag doesn't close what lies outside of its cell or article
+            if place and (tag in BLOCKS or place > stack.last("border") or tag in Open.GROUPS["border"]):
+                stack.cut(place)
+        elif tag in RAW:
+            _, jump = raw_end(page, tag, end, none_left)
+            at = jump
+        elif tag in ("html", "body"):
             # their start tags also end an unclosed head
-            stack = [n for n in stack if n.tag != "head"]
-            continue
-        if tag == "br":
-            stack[-1].items.append(" ")
-            continue
-        if tag in VOID and tag != "hr":
-            continue
-        if tag in ENDS_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCKS:
-                    break
-            if stack[-1].tag == "head":
-                stack.pop()
-        if tag in CLOSES:
-            ends, borders = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    del stack[k:]
-                    break
-                if stack[k].tag in borders:
-                    break
-        node = Node(tag, stack[-1], is_noise(tag, attributes, stack), is_named(tag, attributes))
-        stack[-1].items.append(node)
-        if tag != "hr" and not (attributes.endswith("/") and tag in ("svg", "path")):
-            stack.append(node)
-    at = pos if at < pos else at
-    text(len(page))
+            if place := stack.last("head"):
+                stack.cut(place)
+        elif tag == "br":
+            stack.nodes[-1].items.append(" ")
+        elif tag not in VOID or tag == "hr":
+            if tag in ENDS_P:
+                place = stack.last("p")
+                if place and place == stack.last("block"):
+                    stack.cut(place)
+                if stack.nodes[-1].tag == "head":
+                    stack.cut(len(stack.nodes) - 1)
+            if tag in CLOSES:
+                ends, borders = CLOSES[tag]
+                place = stack.last(*ends)
+                if place > stack.last(*borders):
+                    stack.cut(place)
+            node = Node(tag, stack.nodes[-1], is_noise(tag, attributes, stack), is_named(tag, attributes))
+            stack.nodes[-1].items.append(node)
+            if tag != "hr" and not (attributes.endswith("/") and tag in ("svg", "path")):
+                stack.push(node)
+        try:
+            step = found.send(jump)
+        except StopIteration:
+            step = None
+    if at < len(page):
+        stack.nodes[-1].items.append(page[at:])
     return root
 
 
