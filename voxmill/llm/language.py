@@ -5,7 +5,8 @@ language that the markup declares, the address suffix, and a prior for the host.
 bounded sample of labelled documents (`FIT_ROWS`, lowest hashes of doc_id).  The other three are computed from all
 pages by grouped aggregation of the text posteriors: confusion counts for declarations and suffixes, and host counts
 smoothed towards their registered domain, which is smoothed towards all pages; a page's own posterior is taken out of
-its host's counts.
+all counts that it is judged by.  Hosts and suffixes of very many pages are joined by broadcast, `HEAVY_KEYS` of them at
+most, the others by shuffle.
 
 Edge cases: null html or url is empty; a page without text, declaration or known host gets the global prior; ties go to
 the first language in alphabetical order; without labelled documents every page gets null and probability 0; repeated
@@ -28,6 +29,10 @@ from .extraction import main_text
 FIT_ROWS = 6_000
 #: Trigrams kept for each language; rows that smooth a domain and a host; weight of one trigram (they overlap) and its cap.
 TRIGRAMS, DOMAIN_ROWS, HOST_ROWS, TEXT_WEIGHT, TEXT_CAP = 20_000, 20.0, 10.0, 1 / 3, 60.0
+#: The most values of a column that are broadcast, and the least number of pages for it.
+HEAVY_KEYS, HEAVY_PAGES = 10_000, 1024
+#: Second labels under which a country's registry gives out names.
+SECOND_LEVEL = frozenset("ac co com edu gob gouv gov go mil ne net nic or org".split())
 _HTML_LANG = re.compile(r"""<html\b[^>]*?\slang\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
 _META_LANG = re.compile(r"""<meta\b[^>]*?content-language["'][^>]*?content\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.IGNORECASE)
@@ -81,13 +86,26 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
 
 
 def host_parts(url: str) -> tuple[str, str, str]:
-    """(host, its last two labels, its last label); a numeric host has no suffix, and is its own domain."""
+    """(host, registered domain, last label); a numeric host has no suffix, and is its own domain.
+
+    The domain is the last two labels, or three under a country's second level (example.co.uk).
+    """
     m = _HOST.match(url)
     labels = m[1].lower().strip(".").split(".") if m else []
     host = ".".join(labels)
     if labels and labels[-1].isdigit():
         return host, host, ""
-    return host, ".".join(labels[-2:]), labels[-1] if labels else ""
+    taken = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVEL else 2
+    return host, ".".join(labels[-taken:]), labels[-1] if labels else ""
+
+
+def joined_by(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """rows with what `found` (key, n and more) has for the key; its values of very many rows, HEAVY_KEYS at most, are broadcast."""
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # at most total / least values
+    least = max(HEAVY_PAGES, total // HEAVY_KEYS)
+    heavy, light = F.broadcast(found.where(F.col("n") > least).drop("n")), found.where(F.col("n") <= least).drop("n")
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(light, key, "left"))
 
 
 def identify(pages: DataFrame, model: Model) -> DataFrame:
@@ -109,28 +127,27 @@ def identify(pages: DataFrame, model: Model) -> DataFrame:
 
     seen = durable(map_arrow(slim, read, "page_id long, url string, host string, domain string, suffix string, declared string, x array<double>, p array<double>", "html"), "language-pages")
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(k)]
-    by_host = durable(seen.groupBy("domain", "host").agg(*sums), "language-hosts")
+    by_host = durable(seen.groupBy("domain", "host").agg(F.count("*").alias("n"), *sums), "language-hosts")
     again = [F.sum(f"s{i}").alias(f"d{i}") for i in range(k)]
     by_domain = by_host.groupBy("domain").agg(*again)
     whole = by_host.agg(*again).first()
     total = np.array([float(v or 0) for v in whole]) + 1.0
     prior = (total / total.sum()).tolist()
-    def ratios(column: str) -> DataFrame:
-        """log P(value | language) of every value: the column, and one array."""
-        found = durable(seen.where(F.col(column) != "").groupBy(column).agg(*sums), f"language-{column}")
-        width = found.count() + 1
-        logs = [F.log((F.col(f"s{i}") + 0.5) / F.lit(float(total[i]) + 0.5 * width)) for i in range(k)]
-        return found.select(column, F.array(*logs).alias(f"_{column}"))
-
-    domains = by_domain.select("domain", *[((F.col(f"d{i}") + DOMAIN_ROWS * prior[i])).alias(f"d{i}") for i in range(k)])
-    priors = durable(by_host.join(domains, "domain"), "language-priors")
-    joined = seen.join(priors.drop("domain"), "host")
-    zero = F.array(*[F.lit(0.0)] * k)
+    domains = by_domain.select("domain", *[(F.col(f"d{i}") + DOMAIN_ROWS * prior[i]).alias(f"d{i}") for i in range(k)])
+    host = F.array(*[F.col(f"s{i}") for i in range(k)]).alias("_host")
+    domain = F.array(*[F.col(f"d{i}") for i in range(k)]).alias("_domain")
+    priors = durable(by_host.join(domains, "domain").select("host", "n", host, domain), "language-priors")
+    joined = joined_by(seen, priors, "host")
+    # log P(value | language) of declarations and suffixes, without the page's own posterior
     for column in ("declared", "suffix"):
-        joined = joined.join(ratios(column), column, "left").withColumn(f"_{column}", F.coalesce(f"_{column}", zero))
+        found = durable(seen.where(F.col(column) != "").groupBy(column).agg(F.count("*").alias("n"), *sums), f"language-{column}")
+        width = found.count() + 1
+        joined = joined_by(joined, found.select(column, "n", F.array(*[F.col(f"s{i}") for i in range(k)]).alias("_counts")), column)
+        logs = [F.log((F.greatest(F.lit(0.0), F.col("_counts")[i] - F.col("p")[i]) + 0.5) / (float(total[i]) - F.col("p")[i] + 0.5 * width)) for i in range(k)]
+        joined = joined.withColumn(f"_{column}", F.when(F.col("_counts").isNull(), F.array(*[F.lit(0.0)] * k)).otherwise(F.array(*logs))).drop("_counts")
     # the page's own posterior leaves its host's and its domain's counts
-    own = [F.greatest(F.lit(0.0), F.col(f"s{i}") - F.col("p")[i]) for i in range(k)]
-    dom = [F.greatest(F.lit(1e-9), F.col(f"d{i}") - F.col("p")[i]) for i in range(k)]
+    own = [F.greatest(F.lit(0.0), F.col("_host")[i] - F.col("p")[i]) for i in range(k)]
+    dom = [F.greatest(F.lit(1e-9), F.col("_domain")[i] - F.col("p")[i]) for i in range(k)]
     dsum, hsum = sum(dom[1:], dom[0]), sum(own[1:], own[0])
     joined = joined.withColumn("_prior", F.array(*[F.log((own[i] + HOST_ROWS * dom[i] / dsum) / (hsum + HOST_ROWS)) for i in range(k)]))
     joined = joined.withColumn("_z", F.array(*[F.col("x")[i] + F.col("_declared")[i] + F.col("_suffix")[i] + F.col("_prior")[i] for i in range(k)]))
