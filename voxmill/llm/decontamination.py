@@ -3,8 +3,9 @@
 Texts are lower-cased and runs of white space become one space.  An occurrence of an item of m characters with at most
 e edits shares at least m - q + 1 - q * e of its q-grams with the item, all on diagonals within e of each other.  So
 q-gram hits are counted by item in overlapping diagonal bands of 2 * (e + 1), regions with enough hits are kept, and
-each is verified by alignment in the band.  The scan only maps over documents; the item index goes to every task, in
-blocks of at most BLOCK characters of items (a larger benchmark takes several scans).
+each is verified by alignment in the band.  The scan only maps over documents; the item index goes to every task.  A
+benchmark of over BLOCK characters takes a scan for each block of items; one block at a time is on the driver and in the
+tasks, and what a scan has found is written before the next.
 
 e is `RATE` of the item's length, lowered for short items until the bound asks for two shared q-grams.  Edge cases:
 null text is the empty text; items under q characters match nothing; repeated items and documents are reported each;
@@ -13,12 +14,14 @@ empty tables give empty results; extra columns are ignored by the search and kep
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, table, whole_text
+from .common import durable, map_arrow, table, whole_text
 
 Q, RATE = 8, 0.1
 BLOCK = 4_000_000
@@ -84,26 +87,31 @@ class Index:
         self.place = (np.concatenate(place) if place else np.zeros(0, np.int32))[order]
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[slot(self.hash)] = True
+        #: What diagonals are raised by, so that none is negative.
+        self.shift = max((len(c) for c in self.codes), default=0) + Q
         self.width = np.array([e + 1 for e in self.budget], np.int64)
         self.need = np.array(self.least, np.int64)
 
 
-def align(item: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, int]:
-    """(edits, start, end) of the cheapest occurrence of the item in the text; free ends in the text, rows cut by budget."""
-    n = len(text)
-    whole = text.tobytes().find(item.tobytes())
-    if whole >= 0 and whole % 4 == 0:  # the whole diagonal agrees
+def align(item: np.ndarray, window: np.ndarray, budget: int) -> tuple[int, int, int]:
+    """(edits, start, end) of the cheapest occurrence of the item on the diagonals of a band; rows cut by budget.
+
+    window: as many code points as the item has and one less than the band has diagonals; the item may start on any.
+    """
+    whole = window.tobytes().find(item.tobytes())
+    if whole >= 0 and whole % 4 == 0:  # a whole diagonal agrees
         return 0, whole // 4, whole // 4 + len(item)
-    cost = np.zeros(n + 1, np.int32)
-    start = np.arange(n + 1)
-    steps = np.arange(n + 1, dtype=np.int32)
+    width = len(window) - len(item) + 1
+    cost = np.zeros(width, np.int32)
+    start = np.arange(width)
+    steps = np.arange(width, dtype=np.int32)
     for k, c in enumerate(item):
-        diagonal = np.concatenate([[k + 1], cost[:-1] + (text != c)]).astype(np.int32)
-        up = cost + 1
-        take = diagonal <= up
-        best = np.where(take, diagonal, up)
-        from_ = np.where(take, np.concatenate([[0], start[:-1]]), start)
-        # a gap in the item: best[j] = min over i <= j of best[i] + (j - i)
+        best, from_ = cost + (window[k : k + width] != c), start.copy()
+        # a code point of the item that the text lacks comes from the next diagonal
+        up = cost[1:] + 1
+        take = up < best[:-1]
+        best[:-1][take], from_[:-1][take] = up[take], start[1:][take]
+        # and one of the text that the item lacks from the one before: best[j] = min over i <= j of best[i] + (j - i)
         lifted = best - steps
         low = np.minimum.accumulate(lifted)
         source = np.maximum.accumulate(np.where(lifted == low, steps, 0))
@@ -111,7 +119,7 @@ def align(item: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, in
         if cost.min() > budget:
             return budget + 1, 0, 0
     end = int(np.argmin(cost))
-    return int(cost[end]), int(start[end]), end
+    return int(cost[end]), int(start[end]), end + len(item)
 
 
 def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int]]:
@@ -136,26 +144,33 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
     which = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
     at = np.repeat(at, times)
     item, place = index.owner[which].astype(np.int64), index.place[which].astype(np.int64)
-    diagonal = at - place + (1 << 20)
+    diagonal = at - place + index.shift
     band = diagonal // index.width[item]
     # a diagonal lies in the band that begins at its step and in the one before
     key = np.concatenate([item << 44 | band, item << 44 | (band - 1)])
     key, count = np.unique(key, return_counts=True)
     good = count >= index.need[key >> 44]
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for k in key[good].tolist():
+    # bands of the most hits come first: an exact occurrence ends the search for its item
+    for k in key[good][np.argsort(-count[good], kind="stable")].tolist():
         i, b = k >> 44, k & ((1 << 44) - 1)
-        first = b * int(index.width[i]) - (1 << 20)
+        first = b * int(index.width[i]) - index.shift
         e, m = index.budget[i], len(index.codes[i])
         doc = int(np.searchsorted(starts, min(max(first + e + m // 2, 0), starts[-1] - 1), "right")) - 1
-        lo_, hi_ = max(first - e, starts[doc]), min(first + 2 * (e + 1) + m + e, starts[doc + 1] - Q)
-        if hi_ <= lo_:
-            continue
         if (doc, i) in best and not best[doc, i][0]:
-            continue  # found without an edit in another band
-        edits, a, z = align(index.codes[i], joined[lo_:hi_], e)
+            continue
+        # diagonals e before the band to e behind it; what lies outside of the text agrees with nothing
+        from_, to = first - e, first + 2 * (e + 1) + e + m
+        lo, hi = max(from_, int(starts[doc])), min(to, int(starts[doc + 1]) - Q)
+        if hi <= lo:
+            continue
+        window = np.full(to - from_, 0xFFFFFFFE, np.uint32)
+        window[lo - from_ : hi - from_] = joined[lo:hi]
+        edits, a, z = align(index.codes[i], window, e)
         if edits <= e:
-            found = (edits, int(lo_ - starts[doc]) + a, int(lo_ - starts[doc]) + z)
+            length = int(starts[doc + 1] - starts[doc]) - Q
+            place = from_ - int(starts[doc])
+            found = (edits, min(max(place + a, 0), length - 1), min(max(place + z, 0), length))
             if (doc, i) not in best or found < best[doc, i]:
                 best[doc, i] = found
     out = []
@@ -165,19 +180,20 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
     return out
 
 
-def indexes(benchmark: DataFrame) -> list[Index]:
-    """Blocks of items; a block, never the whole benchmark, is held at once on the driver and sent to the tasks."""
+def indexes(benchmark: DataFrame) -> tuple[int, Iterator[Index]]:
+    """(number of blocks of items, their indexes one after the other)."""
     items = benchmark.select(F.col("item_id").cast("long"), whole_text().alias("text"))
     total = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-int(total) // BLOCK))
-    blocks = ([items] if parts == 1 else [items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k) for k in range(parts)])
-    return [Index(sorted((tuple(r) for r in b.collect()), key=lambda r: (r[0] is None, r[0], r[1]))) for b in blocks]
+    blocks = (items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k) if parts > 1 else items for k in range(parts))
+    return parts, (Index(sorted((tuple(r) for r in b.collect()), key=lambda r: (r[0] is None, r[0], r[1]))) for b in blocks)
 
 
 def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    parts, blocks = indexes(benchmark)
     out = None
-    for index in indexes(benchmark):
+    for index in blocks:
 
         def find(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
             ids = batch.column(0).to_pylist()
@@ -187,6 +203,7 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "edits", "start", "end"])
 
         part = map_arrow(slim, find, SCHEMA)
+        part = durable(part, "contaminated") if parts > 1 else part
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -194,7 +211,8 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, in which no item occurs."""
     at = docs.columns.index("text")
-    for index in indexes(benchmark):
+    parts, blocks = indexes(benchmark)
+    for index in blocks:
 
         def keep(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
             bad = np.zeros(batch.num_rows, bool)
@@ -203,6 +221,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             return batch.filter(pa.array(~bad))
 
         docs = map_arrow(docs, keep, docs.schema)
+        docs = durable(docs, "decontaminated") if parts > 1 else docs
     return docs
 
 

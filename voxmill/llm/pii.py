@@ -265,7 +265,7 @@ def find(docs: DataFrame) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k, kind) for k, kind in enumerate(KINDS[:4])]
-    return both.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(spans).alias("spans"), F.when(F.col("extra").isNull(), 0).otherwise(F.size("extra")).cast("long").alias("n_context"))
+    return both.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(spans).alias("spans"), F.when(F.col("extra").isNull(), 0).otherwise(F.size("extra")).cast("long").alias("n_context"), F.size(spans).cast("long").alias("n_found"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ SHORTEST = 16
 #: Hex digits of known digests (crc and md5 to sha512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 KINDS = ("assign", "access", "hex", "random")
-SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long"
+SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long, n_found long"
 
 _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -103,8 +103,8 @@ def scan(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
         base = base_spans(text)
         extra = added_spans(text, base, path)
         n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
-        rows.append((doc_id, *n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(base + extra)), len(extra)))
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+        rows.append((doc_id, *n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(base + extra)), len(extra), len(base) + len(extra)))
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 

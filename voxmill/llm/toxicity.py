@@ -33,8 +33,8 @@ from .common import durable, map_arrow, table, whole_text
 
 FIT_ROWS = 12_000
 THRESHOLD = 0.3
-#: Stem lengths besides whole words; the likelihood ratio a stem must reach; the most stems that are kept.
-STEMS, EVIDENCE, MOST_STEMS = (4, 5, 6), 25.0, 20_000
+#: Stem lengths besides whole words; the likelihood ratio a stem must reach.
+STEMS, EVIDENCE = (4, 5, 6), 25.0
 #: Different words that must precede a stem, as a share of its toxic rows (counted up to 24): in copies of one text it is one.
 SPREAD = 0.4
 SCHEMA = "doc_id long, score double, predicted int, clauses int"
@@ -196,7 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[
     n = F.col("a") + F.col("b")
     ratio = 2 * (part(F.col("a"), n * share) + part(F.col("b"), n * (1 - share)))
     odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
-    kept = df.withColumn("odds", odds).where((ratio >= EVIDENCE) & (F.col("odds") >= 3) & (F.bit_count("before") >= SPREAD * F.least("a", F.lit(24)))).orderBy(F.desc(ratio), "stem").limit(MOST_STEMS)
+    kept = df.withColumn("odds", odds).where((ratio >= EVIDENCE) & (F.col("odds") >= 3) & (F.bit_count("before") >= SPREAD * F.least("a", F.lit(24))))
+    # as many as the bounded sample can confirm
     lexicon = {r["stem"]: float(r["odds"]) for r in kept.select("stem", "odds").collect()}
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
