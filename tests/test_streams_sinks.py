@@ -30,17 +30,17 @@ def test_broken_lines_go_to_quarantine(spark, tmp_path):
     good, bad = sinks.split_broken(spark, f"{tmp_path}/x.json", "a int")
     assert sorted(r["a"] for r in good.collect()) == [1, 2]
     assert [r["value"] for r in bad.collect()] == ["not json"]
-    assert sinks.quarantined(f"{tmp_path}/x.json").endswith("x.json.backup")
+    assert sinks.quarantined(spark, f"{tmp_path}/x.json").endswith("x.json.backup")
     (tmp_path / "x.json").write_text("again")
-    assert sinks.quarantined(f"{tmp_path}/x.json").endswith("x.json.backup.1")
-    assert sinks.quarantined(f"{tmp_path}/x.json") is None
+    assert sinks.quarantined(spark, f"{tmp_path}/x.json").endswith("x.json.backup.1")
+    assert sinks.quarantined(spark, f"{tmp_path}/x.json") is None
 
 
 def test_documents_and_history(spark, tmp_path):
     path = f"{tmp_path}/deep/r.json"
-    assert sinks.read_document(path, []) == []
-    sinks.document(path, [{"t": "tiếng"}])
-    assert sinks.read_document(path, []) == [{"t": "tiếng"}] and sinks.read_document(path, {}) == {}
+    assert sinks.read_document(spark, path, []) == []
+    sinks.document(spark, path, [{"t": "tiếng"}])
+    assert sinks.read_document(spark, path, []) == [{"t": "tiếng"}] and sinks.read_document(spark, path, {}) == {}
     assert sinks.history(spark, f"{tmp_path}/none", "a int, b string").count() == 0
     sinks.appended(spark.createDataFrame([(1,)], "a int"), f"{tmp_path}/h")
     sinks.appended(spark.createDataFrame([(2, "x")], "a int, b string"), f"{tmp_path}/h")

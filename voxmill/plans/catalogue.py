@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, filters, joins, ordering, scores, segments, speech, streams, texts
+from . import aggregates, files, filters, joins, ordering, scores, segments, speech, streams, texts
 
-MODULES = (filters, joins, aggregates, ordering, texts, scores, segments, speech, streams)
+MODULES = (filters, joins, aggregates, ordering, texts, scores, segments, speech, streams, files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..sources.store import place
 from ..sources.tables import table as t
 from ..streaming import jobs
 
 
-def place(s) -> str:
-    """A new folder in the shared one that the cluster names, a temporary one where none is named."""
-    root = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="voxmill-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def events(s, d, files=None):
     return jobs.followed(s, d, t(s, d, "events").schema, glob="events.parquet", files=files)
 

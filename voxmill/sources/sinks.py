@@ -4,13 +4,14 @@ documents are written by the driver."""
 from __future__ import annotations
 
 import json
-import os
-from pathlib import Path
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import store
+
 
 def csv_report(rows: DataFrame, path: str) -> None:
     """With a header; null becomes an empty field."""
@@ -23,6 +24,12 @@ def json_results(rows: DataFrame, summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
 
 
+def metric_lines(rows: DataFrame, path: str, name: str, value: float) -> None:
+    """JSON lines, and behind them, in the file that is read last, a line `NAME: value`."""
+    rows.write.mode("overwrite").json(path)
+    store.write_bytes(rows.sparkSession, f"{path}/zz-metric.json", f"{name.upper()}: {value}\n".encode())
+
+
 def named_results(rows: DataFrame, path: str) -> None:
     """A folder for each model and metric."""
     rows.write.mode("overwrite").partitionBy("model", "metric").json(path)
@@ -37,7 +44,7 @@ def prepared(rows: DataFrame, path: str, text: str = "text", duration: str = "du
     """The rows, their durations, and the characters they use in order of code points."""
     rows.write.mode("overwrite").parquet(f"{path}/raw")
     rows.select(duration).write.mode("overwrite").json(f"{path}/duration")
-    rows.select(F.explode(F.split(text, "")).alias("value")).where("value <> ''").distinct().orderBy("value").coalesce(1).write.mode("overwrite").text(f"{path}/vocab")
+    rows.select(F.explode(F.split(text, "")).alias("value")).where(~F.col("value").isin("", "\n", "\r")).distinct().orderBy("value").coalesce(1).write.mode("overwrite").text(f"{path}/vocab")
 
 
 def history(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -56,33 +63,43 @@ def appended(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def document(path: str, value: object) -> None:
+def document(spark: SparkSession, path: str, value: object) -> None:
     """One small JSON document, whole or not at all."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    held = target.with_name(f".{target.name}.{os.getpid()}")
-    held.write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
-    os.replace(held, target)
+    store.write_bytes(spark, path, json.dumps(value, ensure_ascii=False, indent=2).encode())
 
 
-def read_document(path: str, default: object) -> object:
+def read_document(spark: SparkSession, path: str, default: object) -> object:
     """The document; the default where it is missing or broken, or of another kind than the default."""
+    held = store.read_bytes(spark, path)
     try:
-        value = json.loads(Path(path).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
+        value = default if held is None else json.loads(held.decode())
+    except ValueError:
         return default
     return value if isinstance(value, type(default)) else default
 
 
-def quarantined(path: str) -> str | None:
+def quarantined(spark: SparkSession, path: str) -> str | None:
     """A broken file moved aside to the first free .backup name, which is returned."""
-    source = Path(path)
-    if not source.exists():
+    if not store.exists(spark, path):
         return None
-    names = (source.with_name(source.name + ".backup" + (f".{k}" if k else "")) for k in range(1 << 30))
-    free = next(n for n in names if not n.exists())
-    source.rename(free)
-    return str(free)
+    free = next(n for k in range(1 << 30) if not store.exists(spark, n := path + ".backup" + (f".{k}" if k else "")))
+    store.move(spark, path, free)
+    return free
+
+
+def result_name(model: str, metric: str) -> str:
+    """<model>_<metric>.json, the model's name made safe."""
+    safe = re.sub("_+", "_", re.sub(r"[^\w\-.]", "_", model)).strip("_") or "unknown_model"
+    return f"{safe}_{metric}.json"
+
+
+def existing_result(spark: SparkSession, folder: str, model: str, metric: str) -> dict | None:
+    """What was saved for a model and metric; a broken file is moved aside and counts as none."""
+    path = f"{folder}/{result_name(model, metric)}"
+    found = read_document(spark, path, {})
+    if not found and store.exists(spark, path):
+        quarantined(spark, path)
+    return found or None
 
 
 def split_broken(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:

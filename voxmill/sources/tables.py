@@ -2,18 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from .store import exists, is_folder, opened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def columnar(spark: SparkSession, folder: str) -> DataFrame:
-    """Parquet shards of a folder (at any depth)."""
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
+def files(spark: SparkSession, folder: str, glob: str = "*", deep: bool = True) -> DataFrame:
+    """path (below the folder) and size of its files; their content isn't read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(deep).lower())
+    whole = found.load(folder if deep else f"{folder.rstrip('/')}/*").select("path", F.col("length").alias("size"))
+    tail = folder.rstrip("/").rpartition("/")[2]
+    return whole.select(F.substring_index("path", f"/{tail}/", -1).alias("path"), "size", F.col("path").alias("uri"))
+
+
+def stem(path: Column) -> Column:
+    """The path without its last suffix."""
+    return F.regexp_replace(path, r"\.[^./]*$", "")
+
+
+def shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Rows of Arrow files, each read where it is; columns by name, missing ones null."""
+    fields = T.StructType.fromDDL(schema)
+    kinds = to_arrow_schema(fields)
+
+    def run(batches):
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                fs, path = opened(uri)
+                with fs.open_input_file(path) as held:
+                    reader = pa.ipc.open_file(held)
+                    for k in range(reader.num_record_batches):
+                        part = reader.get_batch(k)
+                        there = [part.column(part.schema.get_field_index(f.name)).cast(f.type) if f.name in part.schema.names else pa.nulls(part.num_rows, f.type) for f in kinds]
+                        yield pa.RecordBatch.from_arrays(there, schema=kinds)
+
+    listed = files(spark, folder, "*.arrow").orderBy("path").select("uri")
+    return listed.repartition(spark.sparkContext.defaultParallelism, "uri").mapInArrow(run, fields)
+
+
+def write_shards(rows: DataFrame, folder: str) -> None:
+    """One Arrow file for each partition."""
+    kinds = to_arrow_schema(rows.schema)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        fs, path = opened(f"{folder}/part-{TaskContext.get().partitionId():05d}.arrow")
+        fs.create_dir(path.rpartition("/")[0], recursive=True)
+        n = 0
+        with fs.open_output_stream(path) as out, pa.ipc.new_file(out, kinds) as writer:
+            for batch in batches:
+                writer.write_batch(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, kinds, strict=True)], schema=kinds))
+                n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
+def columnar(spark: SparkSession, folder: str, schema: str | None = None, both: bool = False) -> DataFrame:
+    """Shards of a folder (at any depth): its Parquet files, and the Arrow ones only where there are none, or with `both`."""
+    parquet = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    if files(spark, folder, "*.parquet").limit(1).count() == 0:
+        return shards(spark, folder, schema)
+    rows = parquet.parquet(folder)
+    return rows.unionByName(shards(spark, folder, schema or rows.schema.toDDL()), allowMissingColumns=True) if both else rows
 
 
 def matched_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -25,17 +87,90 @@ def matched_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return readers[suffix](paths) if suffix not in ("parquet",) else readers[suffix](*paths)
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless `path|text[|...]` lines; short lines and empty fields are left out; sample_id is the file's stem."""
-    parts = spark.read.text(path).select(F.split("value", r"\|").alias("f")).where(F.size("f") >= 2)
+def split_lines(spark: SparkSession, path: str, mark: str = "|") -> DataFrame:
+    """f: the fields of each line that isn't blank."""
+    return spark.read.text(path).where(F.trim("value") != "").select(F.split(F.trim("value"), "\\" + mark if mark == "|" else mark, -1).alias("f"))
+
+
+def manifest(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
+    """Headerless `path|text[|...]` lines; short lines and empty fields are left out, and with `listed` (path) files that
+    aren't there; sample_id is the file's stem."""
+    parts = split_lines(spark, path).where(F.size("f") >= 2)
     rows = parts.select(F.trim(F.col("f")[0]).alias("audio_path"), F.trim(F.col("f")[1]).alias("text")).where("audio_path <> '' and text <> ''")
-    stem = F.regexp_replace(F.element_at(F.split("audio_path", "/"), -1), r"\.[^.]*$", "")
-    return rows.select(stem.alias("sample_id"), "audio_path", "text")
+    if listed is not None:
+        rows = rows.join(listed.select(F.col("path").alias("audio_path")).distinct(), "audio_path", "left_semi")
+    return rows.select(F.regexp_replace(F.element_at(F.split("audio_path", "/"), -1), r"\.[^.]*$", "").alias("sample_id"), "audio_path", "text")
+
+
+def strict_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of exactly two fields."""
+    return split_lines(spark, path).where(F.size("f") == 2).select(F.col("f")[0].alias("audio_path"), F.col("f")[1].alias("text"))
+
+
+def three_fields(spark: SparkSession, path: str) -> DataFrame:
+    """`id|text|normalised text`; the last counts."""
+    return split_lines(spark, path).where(F.size("f") == 3).select(F.concat(F.lit("wavs/"), F.col("f")[0], F.lit(".wav")).alias("audio_path"), F.col("f")[2].alias("text"))
+
+
+def spoken_chapters(spark: SparkSession, path: str, root: str) -> DataFrame:
+    """Six fields between tabs: reference id, duration, text, and the same of what is to be said; ids are speaker-chapter-number."""
+    f = split_lines(spark, path, "\t").where(F.size("f") == 6)
+
+    def audio(utterance: Column) -> Column:
+        parts = F.split(utterance, "-")
+        return F.concat_ws("/", F.lit(root), parts[0], parts[1], F.concat(utterance, F.lit(".flac")))
+
+    return f.select(F.col("f")[3].alias("utt"), F.col("f")[2].alias("ref_text"), audio(F.col("f")[0]).alias("ref_wav"), F.concat(F.lit(" "), F.col("f")[5]).alias("gen_text"), audio(F.col("f")[3]).alias("gen_wav"))
+
+
+def first_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """`name<tab>text` of the first line of each file."""
+    line = F.split(F.substring_index("value", "\n", 1), "\t")
+    return spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).select(F.concat(line[0], F.lit(".wav")).alias("audio"), F.trim(F.get(line, F.lit(1))).alias("text"))
+
+
+def sidecars(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Audio files with the texts beside them, at any depth: (stem, text), and the stems that have none."""
+    audio = files(spark, folder, "*.wav").select(stem(F.col("path")).alias("stem"))
+    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
+    tail = folder.rstrip("/").rpartition("/")[2]
+    texts = read.select(stem(F.substring_index(F.col("_metadata.file_path"), f"/{tail}/", -1)).alias("stem"), F.col("value").alias("text"))
+    return audio.join(texts, "stem"), audio.join(texts, "stem", "left_anti")
+
+
+def flat_or_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs with a text that isn't empty, of the folder itself, or of all below it where it has none."""
+    pairs = sidecars(spark, folder)[0].where(F.trim("text") != "")
+    flat = pairs.where(~F.contains("stem", F.lit("/")))
+    found = flat if flat.limit(1).count() else pairs
+    if not found.limit(1).count():
+        raise FileNotFoundError(f"no audio with a text in {folder}")
+    return found
+
+
+def url_list(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON array: its texts, trimmed, empty ones left out, each at the first place where it stands."""
+    held = spark.read.text(path, wholetext=True)
+    each = held.select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "url")).select("pos", F.trim("url").alias("url"))
+    return each.where("url <> ''").groupBy("url").agg(F.min("pos").alias("pos"))
+
+
+def sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The `url` column of a table with a header, which must be there; null and blank ones are left out."""
+    rows = spark.read.option("header", True).csv(path)
+    if "url" not in rows.columns:
+        raise ValueError(f"no column url in {path}")
+    return rows.select(F.trim("url").alias("url")).where("url <> ''")
+
+
+def is_corpus(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder has a manifest and a folder of audio."""
+    return exists(spark, f"{folder}/metadata.csv") and is_folder(spark, f"{folder}/wavs")
 
 
 def headed_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """`audio|text` with a header; a byte-order mark before it is dropped."""
-    rows = spark.read.option("sep", "|").option("header", True).csv(path)
+    """`audio|text` with a header, fields quoted where they need it; a byte-order mark before it is dropped."""
+    rows = spark.read.option("sep", "|").option("header", True).option("escape", '"').csv(path)
     return rows.toDF(*[c.lstrip("﻿") for c in rows.columns])
 
 
@@ -50,18 +185,53 @@ def listed_utterances(spark: SparkSession, path: str) -> DataFrame:
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Broken lines are left out."""
     fields = T.StructType([*(T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields, T.StructField("_broken", T.StringType())])
-    rows = spark.read.schema(fields).option("columnNameOfCorruptRecord", "_broken").json(path).cache()
-    return rows.where("_broken is null").drop("_broken")
+    # parsed from the line, not by the reader: a scan that prunes columns doesn't tell broken lines
+    parsed = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", fields, {"columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    return parsed.where("r._broken is null").select("r.*").drop("_broken")
+
+
+def riff_seconds(source) -> float | None:
+    """Seconds of a RIFF file from its chunks' heads; the samples aren't read."""
+    head = source.read(12)
+    if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
+        return None
+    rate = None
+    while len(chunk := source.read(8)) == 8:
+        size = int.from_bytes(chunk[4:], "little")
+        if chunk[:4] == b"fmt ":
+            rate = int.from_bytes(source.read(16)[8:12], "little")
+            size -= 16
+        elif chunk[:4] == b"data":
+            return size / rate if rate else None
+        source.seek(source.tell() + size + size % 2)
+    return None
 
 
 def wav_durations(spark: SparkSession, folder: str) -> DataFrame:
-    """path and seconds of RIFF files, from their headers' byte rate and data size."""
-    head = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(folder)
+    """path and seconds of audio files, by the heads of their chunks; null where they tell nothing."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for uri in batch.column(1).to_pylist():
+                fs, path = opened(uri)
+                with fs.open_input_file(path) as held:
+                    out.append(riff_seconds(held))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["path", "seconds"])
+
+    listed = files(spark, folder, "*.wav").select("path", "uri")
+    return listed.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(run, "path string, seconds double")
+
+
+def probed_durations(spark: SparkSession, folder: str, decode: Callable[[bytes], float | None]) -> DataFrame:
+    """wav_durations, and `decode` of the content where the heads tell nothing; what has no positive duration is left out."""
+    known = wav_durations(spark, folder)
+    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(folder)
+    tail = folder.rstrip("/").rpartition("/")[2]
+    rest = content.select(F.substring_index("path", f"/{tail}/", -1).alias("path"), "content").join(known.where("seconds is null").select("path"), "path", "left_semi")
 
-    def little(start: int) -> F.Column:
-        h = F.hex(F.substring("content", start, 4))
-        return F.conv(F.concat(*[F.substring(h, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("long")
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(c) for c in batch.column(1).to_pylist()], pa.float64())], names=["path", "seconds"])
 
-    at = F.instr(F.hex("content"), "64617461")
-    size = F.conv(F.concat(*[F.substr(F.hex("content"), at + 8 + k, F.lit(2)) for k in (6, 4, 2, 0)]), 16, 10).cast("long")
-    return head.select("path", F.when((at > 0) & (little(29) > 0), size / little(29)).alias("seconds"))
+    return known.where("seconds is not null").unionByName(rest.mapInArrow(run, "path string, seconds double")).where("seconds > 0")
