@@ -1,5 +1,7 @@
 """Folds against hand-made and brute-force results, signals on simple waves."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -58,11 +60,24 @@ def test_frame_batches():
     assert [r[2] for r in fed(folds.FrameBatches(10, 2), [(k, 1) for k in range(5)])] == [0, 0, 1, 1, 2]
 
 
+def test_batches_by_classes_are_those_of_the_fold():
+    rng = random.Random(3)
+    for _ in range(300):
+        budget, most = rng.randint(1, 40), rng.choice([0, 0, 1, 3, 7])
+        frames = sorted(rng.randint(0, rng.randint(1, 45)) for _ in range(rng.randint(0, 60)))
+        want = [(f, b) for _, f, b in fed(folds.FrameBatches(budget, most), list(enumerate(frames)))]
+        got = []
+        counts = sorted((f, frames.count(f)) for f in set(frames))
+        for size, first, batch, after, each in folds.class_runs(counts, budget, most):
+            got += [(size, batch if k < first else after + (k - first) // each) for k in range(frames.count(size))]
+        assert got == want
+
+
 def test_batches_keep_the_budget(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    out = folds.frame_batches(docs, "doc_id", "n_chars", 20000, 8, shards=4).toPandas()
+    out = folds.frame_batches(docs, "doc_id", "n_chars", 20000, 8).toPandas()
     assert len(out) == docs.where("n_chars <= 20000").count()
-    by = out.groupby(["shard", "batch"])["frames"]
+    by = out.groupby("batch")["frames"]
     assert by.sum().max() <= 20000 and by.count().max() <= 8
     full = folds.bucket_batches(docs, "doc_id", "n_chars", 5000.0).toPandas()
     assert sorted(full["id"]) == sorted(r[0] for r in docs.select("doc_id").collect())

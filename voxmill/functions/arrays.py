@@ -44,9 +44,32 @@ def rms_matched(x: Column, reference: Column, low: float = 0.25, high: float = 4
     return F.when((rms(x) > 0) & (rms(reference) > 0), F.transform(x, lambda v: v.cast("double") * gain)).otherwise(F.transform(x, lambda v: v.cast("double")))
 
 
-def fitted(x: Column, n: int) -> Column:
-    short = F.concat(F.transform(x, lambda v: v.cast("double")), F.array_repeat(F.lit(0.0), n))
-    return F.slice(short, 1, n)
+def fitted(x: Column, n: int | Column) -> Column:
+    """Cut, or padded with zeros, to n values."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    return F.slice(F.concat(F.transform(x, lambda v: v.cast("double")), F.array_repeat(F.lit(0.0), n)), F.lit(1), n)
+
+
+def remixed(frames: Column, channels: int) -> Column:
+    """frames (one array of channels each) with another number of channels: their mean, one repeated, or the first ones."""
+
+    def frame(f: Column) -> Column:
+        if channels == 1:
+            return F.array(F.aggregate(f, F.lit(0.0), lambda a, v: a + v) / F.size(f))
+        return F.when(F.size(f) == 1, F.array_repeat(F.get(f, F.lit(0)), channels)).otherwise(F.slice(f, 1, channels))
+
+    return F.transform(frames, frame)
+
+
+def peak_blended(x: Column, most: float = 0.9, alpha: float = 0.5) -> Column:
+    """16-bit values of a blend of the signal with itself at the peak `most`; a peak over 1 is brought to 1 first."""
+    p = peak(x)
+
+    def value(v: Column) -> Column:
+        calm = F.when(p > 1, v.cast("double") / p).otherwise(v.cast("double"))
+        return ((calm / p * (most * alpha) + (1 - alpha) * calm) * 32767).cast("int")
+
+    return F.transform(x, value)
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -6,18 +6,10 @@ strings.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import normalized, words
-
-
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once a row; a lambda that only closes over an expression computes it anew for
-    every element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+from .text import bound, normalized, words
 
 
 def word_distance(reference: Column, hypothesis: Column) -> Column:

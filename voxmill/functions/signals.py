@@ -5,6 +5,8 @@ Each has a plain numpy function and, as `column(function)`, an Arrow-batched col
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -106,10 +108,171 @@ def framed_rms(x: np.ndarray, frame: int = 2048, hop: int = 512) -> np.ndarray:
     return np.sqrt(np.maximum(total[start + frame] - total[start], 0) / frame)
 
 
-def resampled(x: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """Linear interpolation on the new grid."""
-    n = round(len(x) * to / rate)
-    return np.interp(np.arange(n) * rate / to, np.arange(len(x)), x) if len(x) and rate != to else x
+def resampled(x: np.ndarray, rate: int, to: int, zeros: int = 6, rolloff: float = 0.99) -> np.ndarray:
+    """On another grid by a Hann-windowed sinc, whose band is the narrower of the two; as many values as fit, the last one up."""
+    x = np.asarray(x, float)
+    if rate == to or not len(x):
+        return x
+    common = math.gcd(rate, to)
+    rate, to = rate // common, to // common
+    cut = min(rate, to) * rolloff
+    reach = math.ceil(zeros * rate / cut)
+    taps = np.arange(-reach, reach + rate)
+    # one row of weights for each of the `to` phases of a block of `rate` samples
+    at = (np.arange(0, -to, -1)[:, None] / to + taps[None, :] / rate) * cut
+    at = np.clip(at, -zeros, zeros)
+    kernel = np.sinc(at) * np.cos(at * np.pi / zeros / 2) ** 2 * (cut / rate)
+    n = math.ceil(len(x) * to / rate)
+    padded = np.pad(x, (reach, reach + rate + rate * 2))
+    blocks = np.lib.stride_tricks.sliding_window_view(padded, len(taps))[: len(x) + 1 : rate]
+    return (blocks @ kernel.T).ravel()[:n]
+
+
+def stretched(x: np.ndarray, n: int) -> np.ndarray:
+    """The stand-in of a time stretch: n values by linear interpolation; a phase vocoder takes its place by argument."""
+    return np.interp(np.linspace(0, max(0, len(x) - 1), n), np.arange(len(x)), x) if len(x) else x
+
+
+def time_aligned(a: np.ndarray, b: np.ndarray, most: float = 1.35, stretch=stretched) -> tuple[np.ndarray, np.ndarray]:
+    """Both at the shorter length; before that b is stretched to a's, where their ratio lies within `most`."""
+    a, b = (centred(v) for v in (a, b))
+    if not len(a) or not len(b):
+        return a, b
+    if 1 / most <= len(b) / len(a) <= most:
+        b = stretch(b, len(a))
+    n = min(len(a), len(b))
+    return a[:n], b[:n]
+
+
+def centred(x: np.ndarray) -> np.ndarray:
+    """Finite values without their mean."""
+    x = np.nan_to_num(np.asarray(x, float), nan=0.0, posinf=0.0, neginf=0.0)
+    return x - x.mean() if len(x) else x
+
+
+def level(x: np.ndarray) -> float:
+    return float(np.sqrt(np.mean(x * x))) if len(x) else 0.0
+
+
+def prepared_pair(a: np.ndarray, b: np.ndarray, align: bool = True, peak: bool = True, trim=None) -> tuple[np.ndarray, np.ndarray]:
+    """A reference and its likeness without silent edges, aligned in time, at one loudness (a gain of 0.25 to 4) and at
+    a peak of 0.95 (a gain of 20 at most)."""
+    trim = trim or trimmed
+    a, b = (trim(centred(v)) for v in (a, b))
+    if align:
+        a, b = time_aligned(a, b)
+    n = min(len(a), len(b))
+    a, b = a[:n], b[:n]
+    if level(a) > FLOOR and level(b) > FLOOR:
+        b = b * np.clip(level(a) / level(b), 0.25, 4.0)
+    if peak:
+        a, b = (v * min(0.95 / top, 20.0) if (top := np.abs(v).max(initial=0.0)) > FLOOR else v for v in (a, b))
+    return a, b
+
+
+def listening_score(a: np.ndarray, b: np.ndarray, rate: int, score, least: int = 1024, prepare=prepared_pair) -> float | None:
+    """score(rate, a, b, band) of a prepared pair at 8 or 16 kHz; None for short ones and where it fails."""
+    a, b = prepare(a, b)
+    if rate not in (8000, 16000):
+        a, b, rate = resampled(a, rate, 16000), resampled(b, rate, 16000), 16000
+    n = min(len(a), len(b))
+    if n < least:
+        return None
+    try:
+        return float(score(rate, a[:n], b[:n], "wb" if rate == 16000 else "nb"))
+    except Exception:  # a model's failure is a missing value
+        return None
+
+
+def intelligibility(a: np.ndarray, b: np.ndarray, rate: int, score, prepare=prepared_pair) -> float:
+    """score(a, b, rate) within 0 and 1; 0 under a quarter of a second."""
+    a, b = prepare(a, b)
+    return 0.0 if min(len(a), len(b)) < 0.25 * rate else float(np.clip(score(a, b, rate), 0.0, 1.0))
+
+
+def isolated(metrics: dict):
+    """Metrics (name -> function of the array and a second value) as one column, a struct of doubles: what fails is null, alone."""
+
+    def run(x: pd.Series, key: pd.Series) -> pd.DataFrame:
+        out = {name: [] for name in metrics}
+        for v, k in zip(x, key, strict=True):
+            for name, metric in metrics.items():
+                try:
+                    made = metric(np.asarray(v, float), k)
+                except Exception:  # the others go on
+                    made = None
+                out[name].append(made)
+        return pd.DataFrame({name: pd.Series(values, dtype="float64") for name, values in out.items()})
+
+    return F.pandas_udf(run, ", ".join(f"{name} double" for name in metrics))
+
+
+def slices_of_speech(x: np.ndarray, rate: int, threshold: float = -40.0, shortest: float = 2.0, pause: float = 0.3, hop: float = 0.02, kept: float = 2.0) -> np.ndarray:
+    """[n, 2] samples from and to of the pieces between pauses.
+
+    A pause of `pause` seconds or more ends a piece of `shortest` or more (or, at the start, one longer than `kept`): a
+    pause up to `kept` is cut at its quietest frame, up to twice that between the quietest frames near its ends, widened by
+    the one where these overlap, and a longer one loses its middle.  Short signals and such without a cut are one piece.
+    """
+    step = round(rate * hop)
+    frame = min(round(rate * pause), 4 * step)
+    least, gap, keep = round(rate * shortest / step), round(rate * pause / step), round(rate * kept / step)
+    if len(x) <= least:
+        return np.array([[0, len(x)]])
+    level_ = framed_rms(x, frame, step)
+    n = len(level_)
+    low = lambda a, b: a + int(np.argmin(level_[a:b]))
+    cuts, piece = [], 0
+    silent = runs(level_ < 10 ** (threshold / 20))
+    for a, b in silent:
+        if b == n:
+            if n - a >= gap:
+                cuts.append((low(a, min(n, a + keep) + 1), n + 1))
+            break
+        if not (a == 0 and b > keep) and not (b - a >= gap and b - piece >= least):
+            continue
+        if b - a <= keep:
+            left = right = low(a, b + 1)
+        else:
+            left, right = low(a, a + keep + 1), low(b - keep, b + 1)
+            if b - a <= 2 * keep:
+                middle = low(b - keep, a + keep + 1)
+                left, right = min(left, middle), max(right, middle) if a else right
+        cuts.append((0 if a == 0 else left, right))
+        piece = right
+    if not cuts:
+        return np.array([[0, n * step]])
+    edges = [(0, cuts[0][0])] if cuts[0][0] > 0 else []
+    edges += [(p[1], q[0]) for p, q in zip(cuts, cuts[1:])]  # noqa: B905
+    edges += [(cuts[-1][1], n)] if cuts[-1][1] < n else []
+    return np.array(edges).reshape(-1, 2) * step
+
+
+def clipped_reference(x: np.ndarray, rate: int, enough: float = 6.0, most: float = 12.0, tail: float = 0.05) -> np.ndarray:
+    """A reference of `most` seconds at most: its parts between silences (first of 1 s under -50 dB, then of 0.1 s under
+    -40 dB) as long as the next one fits or there isn't `enough`, else its beginning; silent edges go, and silence of
+    `tail` seconds follows."""
+
+    def parts(least: float, quiet: float, keep: float = 1.0, block: float = 0.01) -> list[np.ndarray]:
+        size = max(1, int(rate * block))
+        loud = np.concatenate([[0], *[(a * size, b * size) for a, b in runs(decibels(x, size) < quiet) if (b - a) * block >= least], [len(x)]]).reshape(-1, 2).astype(int)
+        pad = int(keep * rate)
+        spans = [[max(0, a - pad), min(len(x), b + pad)] for a, b in loud if b > a]
+        for p, q in zip(spans, spans[1:]):  # noqa: B905
+            if q[0] < p[1]:  # what both would keep of a silence is shared at its middle
+                p[1] = q[0] = (p[1] + q[0]) // 2
+        return [x[a:b] for a, b in spans]
+
+    out = x
+    for least, quiet in ((1.0, -50.0), (0.1, -40.0)):
+        out = x[:0]
+        for part in parts(least, quiet):
+            if len(out) > enough * rate and len(out) + len(part) > most * rate:
+                break
+            out = np.concatenate([out, part])
+        if len(out) <= most * rate:
+            break
+    return np.concatenate([edges_trimmed(out[: int(most * rate)], rate), np.zeros(int(tail * rate))])
 
 
 def crossfaded(parts: list[np.ndarray], rate: int, seconds: float = 0.15) -> np.ndarray:
@@ -122,8 +285,11 @@ def crossfaded(parts: list[np.ndarray], rate: int, seconds: float = 0.15) -> np.
     return out
 
 
-def mel_filters(rate: int, fft: int, bands: int) -> np.ndarray:
-    """[bands, fft // 2 + 1] triangles between points that are evenly spaced in mels."""
+def mel_filters(rate: int, fft: int, bands: int, slaney: bool = False) -> np.ndarray:
+    """[bands, fft // 2 + 1] triangles between points that are evenly spaced in mels; by the other scale, of equal area."""
+    if slaney:
+        hz = _from_slaney(np.linspace(0, _slaney(np.array(rate / 2)), bands + 2))
+        return _triangles(hz, rate, fft) * (2 / (hz[2:] - hz[:-2]))[:, None]
     mel = np.linspace(0, 2595 * np.log10(1 + rate / 2 / 700), bands + 2)
     return _triangles(700 * (10 ** (mel / 2595) - 1), rate, fft)
 
@@ -135,12 +301,21 @@ def _triangles(hz: np.ndarray, rate: int, fft: int) -> np.ndarray:
     return np.maximum(0, np.minimum(up, down))
 
 
-def log_mel(x: np.ndarray, rate: int = 24000, fft: int = 1024, hop: int = 256, bands: int = 100) -> np.ndarray:
-    """[frames, bands] natural logarithms, not under 1e-5."""
-    padded = np.pad(x, fft // 2, mode="reflect" if len(x) > fft // 2 else "constant")
+def log_mel(x: np.ndarray, rate: int = 24000, fft: int = 1024, hop: int = 256, bands: int = 100, centred_frames: bool = True) -> np.ndarray:
+    """[frames, bands] natural logarithms, not under 1e-5.
+
+    Two variants: frames centred on their time and bands by the one mel scale, or frames that begin (fft - hop) / 2 before
+    it, bands by the other scale, and a magnitude kept from zero.
+    """
+    edge = fft // 2 if centred_frames else (fft - hop) // 2
+    padded = np.pad(x, edge, mode="reflect" if len(x) > edge else "constant")
+    if len(padded) < fft:
+        return np.empty((0, bands))
     frames = np.lib.stride_tricks.sliding_window_view(padded, fft)[::hop]
     power = np.abs(np.fft.rfft(frames * np.hanning(fft + 1)[:-1], axis=1))
-    return np.log(np.maximum(power @ mel_filters(rate, fft, bands).T, 1e-5))
+    if not centred_frames:
+        power = np.sqrt(power * power + 1e-9)
+    return np.log(np.maximum(power @ mel_filters(rate, fft, bands, not centred_frames).T, 1e-5))
 
 
 def _slaney(hz: np.ndarray) -> np.ndarray:
@@ -178,9 +353,11 @@ def warp(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     cost = np.abs(a[:, None] - b[None, :])
     total = np.full((len(a) + 1, len(b) + 1), np.inf)
     total[0, 0] = 0
-    for i in range(len(a)):
-        for j in range(len(b)):
-            total[i + 1, j + 1] = cost[i, j] + min(total[i, j], total[i, j + 1], total[i + 1, j])
+    # along the antidiagonals, whose cells need only those of the two before
+    for k in range(len(a) + len(b) - 1):
+        i = np.arange(max(0, k - len(b) + 1), min(k + 1, len(a)))
+        j = k - i
+        total[i + 1, j + 1] = cost[i, j] + np.minimum(np.minimum(total[i, j], total[i, j + 1]), total[i + 1, j])
     i, j, path = len(a), len(b), []
     while i and j:
         path.append((i - 1, j - 1))

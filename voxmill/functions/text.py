@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once a row; a lambda that only closes over an expression computes it anew for
+    every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalized(text: Column) -> Column:
     """Lower case, without punctuation and combining marks (letters, digits and _ stay), white space folded."""
     bare = F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}_\s]", "")
@@ -31,14 +39,50 @@ def words_per_second(text: Column, seconds: Column) -> Column:
 
 
 def repeats_word_ngram(text: Column, n: int = 8) -> Column:
-    w = words(F.lower(text))
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda k: F.array_join(F.slice(w, k, n), " "))
-    return F.when(F.size(w) > n, F.size(F.array_distinct(grams)) < F.size(grams)).otherwise(False)
+    """Whether any n words in a row stand twice."""
+
+    def twice(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda k: F.array_join(F.slice(w, k, n), " "))
+        return F.when(F.size(w) > n, bound(grams, lambda g: F.size(F.array_distinct(g)) < F.size(g))).otherwise(False)
+
+    return bound(words(F.lower(text)), twice)
+
+
+def repeats_char_ngram(text: Column, n: Column, most: int = 10) -> Column:
+    """Whether any n characters in a row stand more than `most` times, overlaps counted: in sorted order, equal ones are
+    neighbours."""
+
+    def often(x: Column) -> Column:
+        grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.char_length(x["t"]) - x["n"] + 1), lambda k: F.substr(x["t"], k, x["n"])))
+        pairs = lambda g: F.zip_with(F.slice(g, F.lit(1), F.greatest(F.lit(0), F.size(g) - most)), F.slice(g, most + 1, F.size(g)), lambda a, b: a == b)
+        return F.when(F.char_length(x["t"]) - x["n"] >= most, bound(grams, lambda g: F.exists(pairs(g), lambda hit: hit))).otherwise(False)
+
+    return bound(F.struct(F.coalesce(text, F.lit("")).alias("t"), n.cast("int").alias("n")), often)
+
+
+#: Phrases and key words of invented closing lines.
+OUTROS = [
+    "các bạn hãy đăng ký kênh để ủng hộ kênh của mình nhé",
+    "hãy subscribe cho kênh ghiền mì gõ để không bỏ lỡ những video hấp dẫn",
+    "hãy subscribe cho kênh la la school để không bỏ lỡ những video hấp dẫn",
+    "hãy đăng ký kênh để ủng hộ kênh của mình nhé",
+    "đăng ký kênh để ủng hộ",
+    "subscribe cho kênh",
+]
+
+
+def is_outro(text: Column) -> Column:
+    """Whether the lower-cased text, without a pair of quotes and a full stop at its end, holds one of OUTROS."""
+    bare = F.trim(F.lower(text))
+    for mark in ('"', "'"):
+        bare = F.regexp_replace(bare, f"^{mark}(?s)(.*){mark}$", "$1")
+        bare = F.trim(bare)
+    bare = F.trim(F.regexp_replace(bare, r"\.$", ""))
+    return bound(bare, lambda b: F.exists(F.array(*[F.lit(x) for x in OUTROS]), lambda o: F.contains(b, o)))
 
 
 def digits_spelled(text: Column, names: list[str]) -> Column:
-    digits = F.filter(F.split(text, ""), lambda c: c.rlike("[0-9]"))
-    return F.array_join(F.transform(digits, lambda c: F.element_at(F.array(*[F.lit(x) for x in names]), c.cast("int") + 1)), " ")
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit("[0-9]"), F.lit(0)), lambda c: F.element_at(F.array(*[F.lit(x) for x in names]), c.cast("int") + 1)), " ")
 
 
 def clock(seconds: Column) -> Column:
@@ -123,15 +167,17 @@ def unpunctuated(text: Column, language: str = "en") -> Column:
 
 def even_timestamps(text: Column, seconds: Column) -> Column:
     """The words at equal steps over the time: (word, start, end), none without words or time."""
-    w = words(text)
-    step = seconds / F.size(w)
 
     def milliseconds(x: Column) -> Column:
         # by the binary value; `round` goes by its shortest decimal form, which makes ties of values just under one
         return F.floor(x * 1000 + 0.5) / 1000
 
-    stamp = F.transform(w, lambda x, i: F.struct(x.alias("word"), milliseconds(i * step).alias("start"), milliseconds((i + 1) * step).alias("end")))
-    return F.when((F.size(w) > 0) & (seconds > 0), stamp).otherwise(F.slice(stamp, 1, 0))
+    def stamped(p: Column) -> Column:
+        step = p["s"] / F.size(p["w"])
+        stamp = F.transform(p["w"], lambda x, i: F.struct(x.alias("word"), milliseconds(i * step).alias("start"), milliseconds((i + 1) * step).alias("end")))
+        return F.when((F.size(p["w"]) > 0) & (p["s"] > 0), stamp).otherwise(F.slice(stamp, 1, 0))
+
+    return bound(F.struct(words(text).alias("w"), seconds.alias("s")), stamped)
 
 
 def sane_timestamps(stamps: Column, seconds: Column) -> Column:
@@ -170,3 +216,54 @@ def weighted(u: Column, weights: list[tuple[str, float]]) -> Column:
         upto += w / total
         out = F.when(u < upto, name) if out is None else out.when(u < upto, name)
     return F.lit(weights[-1][0]) if out is None else out.otherwise(weights[-1][0])
+
+
+def byte_ids(text: Column) -> Column:
+    """The UTF-8 bytes as numbers."""
+    return bound(F.hex(F.encode(text, "UTF-8")), lambda h: F.transform(F.filter(F.sequence(F.lit(0), F.octet_length(text)), lambda k: k < F.octet_length(text)), lambda k: F.conv(F.substr(h, 2 * k + 1, F.lit(2)), 16, 10).cast("int")))
+
+
+def spaced_symbols(text: Column) -> Column:
+    """Symbols of text without Chinese: a space goes before a run of two or more ASCII letters and digits that follows
+    anything but a space, a colon or a quote."""
+    plain = F.translate(text, ";“”‘’", ",\"\"''")
+    return F.regexp_replace(plain, r"(?<=[^ :'\"A-Za-z0-9])([A-Za-z0-9]{2,})", " $1")
+
+
+def reading_chunks(text: Column, fewest: int = 4, most: int = 20) -> Column:
+    """Sentences behind ". ", those of under `fewest` words joined to the one before (the first to the next); cut behind
+    the part at a comma with which they pass `most` words; a short last chunk joins the one before."""
+    empty = F.expr("cast(array() as array<string>)")
+
+    def short(x: Column) -> Column:
+        return word_count(x) < fewest
+
+    def merged(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        joins = F.when(F.size(acc) == 0, False).otherwise(((F.size(acc) == 1) & short(F.element_at(F.concat(acc, F.array(F.lit(""))), 1))) | short(s))
+        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.greatest(F.lit(0), F.size(acc) - 1)), F.array(F.concat(F.when(F.size(acc) > 0, last), F.lit(", "), s)))).otherwise(F.concat(acc, F.array(s)))
+
+    def parts(sentence: Column) -> Column:
+        def step(acc: Column, part: Column) -> Column:
+            now = F.when(acc["open"] == "", part).otherwise(F.concat(acc["open"], F.lit(", "), part))
+            full = word_count(now) > most
+            return F.struct(F.when(full, F.concat(acc["done"], F.array(now))).otherwise(acc["done"]).alias("done"), F.when(full, F.lit("")).otherwise(now).alias("open"))
+
+        start = F.struct(empty.alias("done"), F.lit("").alias("open"))
+        return F.aggregate(F.transform(F.split(sentence, ", "), lambda x: F.trim(x)), start, step, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
+
+    sentences_ = F.filter(F.transform(F.split(text, r"\. "), lambda x: F.trim(x)), lambda x: x != "")
+    chunks_ = bound(F.aggregate(sentences_, empty, merged), lambda m: F.flatten(F.transform(m, parts)))
+
+    def tail(c: Column) -> Column:
+        n = F.size(c)
+        joined_ = F.concat(F.get(c, n - 2), F.lit(", "), F.get(c, n - 1))
+        return F.when((n >= 2) & short(F.get(c, n - 1)), F.concat(F.slice(c, F.lit(1), F.greatest(F.lit(0), n - 2)), F.array(joined_))).otherwise(c)
+
+    return bound(chunks_, tail)
+
+
+def heard(segments: Column) -> Column:
+    """segments (start, end, text, words (word, start, end, probability)) -> the words, trimmed and rounded, empty ones left out."""
+    word = lambda w: F.struct(F.trim(w["word"]).alias("word"), F.round(w["start"], 3).alias("start"), F.round(w["end"], 3).alias("end"), F.round(w["probability"], 4).alias("probability"))
+    return F.filter(F.flatten(F.transform(segments, lambda s: F.transform(F.coalesce(s["words"], F.slice(s["words"], 1, 0)), word))), lambda w: w["word"] != "")

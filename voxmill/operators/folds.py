@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .relational import numbered
+
 
 class Fold:
     """Takes the rows of one key in order; both methods return output tuples."""
@@ -129,10 +131,40 @@ def segmented(words: DataFrame, file: str, fewest: float, most: float) -> DataFr
     return streamed(words, [file], ["start", "end"], ["start", "end", "word"], lambda: Segments(fewest, most), "start double, end double, text string")
 
 
-def frame_batches(df: DataFrame, id_: str, frames: str, budget: float, most: int = 0, shards: int = 1) -> DataFrame:
-    """Rows in order of their frames; every shard is batched alone, so `shards` sets how many tasks share the work."""
-    rows = df.select(F.pmod(F.crc32(F.col(id_).cast("string").cast("binary")), F.lit(shards)).cast("int").alias("shard"), F.col(id_).cast("long").alias("id"), F.col(frames).cast("double").alias("frames"))
-    return streamed(rows, ["shard"], ["frames", "id"], ["id", "frames"], lambda: FrameBatches(budget, most), "id long, frames double, batch long")
+def class_runs(counts: list[tuple[int, int]], budget: int, most: int) -> list[tuple[int, int, int, int, int]]:
+    """For each class of equal frames, in order: (frames, rows that the open batch takes, its number, the number of the
+    batch after it, rows of a batch of this class alone)."""
+    out, batch, total, rows = [], 0, 0, 0
+    for size, n in counts:
+        if size > budget:
+            break
+        each = max(1, min(budget // size if size else n, most or n))
+        first = min(n, (budget - total) // size if size else n, most - rows if most else n)
+        after = batch + (rows + first > 0)
+        out.append((size, first, batch, after, each))
+        left = n - first
+        if left:
+            batch, rows = after + (left - 1) // each, (left - 1) % each + 1
+            total = rows * size
+        else:
+            total, rows = total + first * size, rows + first
+    return out
+
+
+def frame_batches(df: DataFrame, id_: str, frames: str, budget: int, most: int = 0) -> DataFrame:
+    """(id, frames, batch): rows in order of their whole-numbered frames, then ids, into batches of at most `budget` frames
+    and `most` rows (0: any number); rows over the budget are left out.
+
+    Rows of equal frames are alike, so the batches follow from the counts by frames (at most budget + 1 of them) and a
+    row's batch from its rank among its like: nothing is folded row by row.
+    """
+    rows = df.select(F.col(id_).cast("long").alias("id"), F.col(frames).cast("long").alias("frames")).where("frames is not null")
+    counts = rows.groupBy(F.least("frames", F.lit(budget + 1)).alias("frames")).agg(F.count("*").alias("n"))
+    runs = class_runs(sorted((int(r[0]), int(r[1])) for r in counts.collect()), budget, most)
+    found = df.sparkSession.createDataFrame(runs, "frames long, _first long, _batch long, _next long, _each long")
+    ranked = numbered(rows.where(F.col("frames") <= budget), "id", ["frames"])
+    joined = ranked.join(F.broadcast(found), "frames")
+    return joined.select("id", F.col("frames").cast("double").alias("frames"), F.when(F.col("_k") < F.col("_first"), F.col("_batch")).otherwise(F.col("_next") + F.floor((F.col("_k") - F.col("_first")) / F.col("_each"))).cast("long").alias("batch"))
 
 
 def bucket_of(length: Column, low: Column | float, high: Column | float, buckets: int = 200) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,25 +16,40 @@ def first_of(rows: DataFrame, key: list[str], order: list) -> DataFrame:
     return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
+def numbered(rows: DataFrame, key: str, by: list[str] | None = None, parts: int = 64, name: str = "_k") -> DataFrame:
+    """rows with their number, from 0, in order of an integer key within `by`.
+
+    The key's range is cut at approximate quantiles, rows are numbered within stretches, and the rows before a stretch are
+    counted: no group, and not the whole table, is one task's work.
+    """
+    by = by or []
+    lows = rows.stat.approxQuantile(key, [k / parts for k in range(1, parts)], 0.002)
+    at = F.size(F.filter(F.lit(sorted({int(x) for x in lows}) or [0]), lambda low: low <= F.col(key)))
+    keyed = rows.withColumn("_at", at)
+    counts = keyed.groupBy(*by, "_at").agg(F.count("*").alias("_n"))
+    # one row for each group and stretch
+    before = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*by, "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_at").orderBy(key))
+    return keyed.withColumn("_inside", inside).join(counts, [*by, "_at"]).withColumn(name, F.col("_before") + F.col("_inside") - 1).drop("_at", "_before", "_inside")
+
+
 def capped(rows: DataFrame, group: str, order: list, each: int, overall: int) -> DataFrame:
     """At most `each` rows of a group, and `overall` in all, groups in their order.
 
-    Ranks stay within groups; the rows before a group are counted from the groups' sizes alone.
+    Ranks stay within groups.  Every group has a row at least, so only the first `overall` groups count; the rows before
+    each of these are summed over them alone.
     """
     ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_k") <= each)
-    sizes = ranked.groupBy(group).agg(F.count("*").alias("_n"))
-    before = sizes.select(group, F.coalesce(F.sum("_n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return ranked.join(before, group).where(F.col("_before") + F.col("_k") <= overall).drop("_k", "_before")
+    first = ranked.groupBy(group).agg(F.count("*").alias("_n")).orderBy(group).limit(overall)
+    before = first.select(group, F.coalesce(F.sum("_n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranked.join(F.broadcast(before), group).where(F.col("_before") + F.col("_k") <= overall).drop("_k", "_before")
 
 
 def wide(rows: DataFrame, key: list[str], name: str, value: str, names: list[str]) -> DataFrame:
     return rows.groupBy(*key).pivot(name, names).agg(F.first(value, ignorenulls=True))
 
 
-def chained(rows: Column) -> Column:
-    return F.array_sort(rows)
-
-
 def islands(rows: DataFrame, key: list[str], order: list, flag: str) -> DataFrame:
     """Runs of equal flags: (key, run, flag, n)."""
     w = Window.partitionBy(*key).orderBy(*order)

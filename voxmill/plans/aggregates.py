@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import distance as E
 from ..sources.tables import table as t
+from .scores import rates_sql, turn_pairs
 
 
 def stats(c):
@@ -58,9 +59,9 @@ def a09(s, d):
 
 
 def a10(s, d):
-    x = F.char_length("text") % 30 / 100
-    b = t(s, d, "conversations").select(x.alias("cer"))
-    return b.agg(F.count_if(F.col("cer") < 0.05).alias("excellent"), F.count_if((F.col("cer") >= 0.05) & (F.col("cer") < 0.1)).alias("good"), F.count_if((F.col("cer") >= 0.1) & (F.col("cer") < 0.2)).alias("acceptable"), F.count_if(F.col("cer") >= 0.2).alias("poor"))
+    b = turn_pairs(s, d).select(E.cer(F.col("reference"), F.col("hypothesis"), "phase").alias("cer"))
+    bands = [F.count_if(F.col("cer") < 0.05).alias("excellent"), F.count_if((F.col("cer") >= 0.05) & (F.col("cer") < 0.1)).alias("good"), F.count_if((F.col("cer") >= 0.1) & (F.col("cer") < 0.2)).alias("acceptable"), F.count_if(F.col("cer") >= 0.2).alias("poor")]
+    return b.agg(*bands, F.round(F.avg("cer"), 6).alias("mean"), F.round(F.min("cer"), 6).alias("min"), F.round(F.max("cer"), 6).alias("max"))
 
 
 def a11(s, d):
@@ -76,19 +77,33 @@ def a13(s, d):
 
 
 def a14(s, d):
-    return t(s, d, "conversations").agg(F.round(F.avg(F.char_length("text")), 5).alias("metric"))
+    return turn_pairs(s, d).agg(F.round(F.avg(E.wer(F.col("reference"), F.col("hypothesis"), "filter")), 5).alias("metric"))
 
 
 def a15(s, d):
     return t(s, d, "events").where("event_type = 'nothing'").agg(F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"))
 
 
+def symbols(rows, *by):
+    """The different characters of the texts (of each group), one row each."""
+    return rows.select(*by, F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), ""))).alias("symbol")).where("symbol <> ''").distinct()
+
+
 def a16(s, d):
-    return t(s, d, "documents").agg(F.round(F.sum("n_chars") / 3600, 2).alias("hours"), F.count("*").alias("samples"))
+    docs = t(s, d, "documents")
+    size = symbols(docs).agg(F.count("*").alias("vocabulary"))
+    return docs.agg(F.round(F.sum("n_chars") / 3600, 2).alias("hours"), F.count("*").alias("samples")).crossJoin(size)
 
 
 def a17(s, d):
-    return t(s, d, "documents").groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("n_chars") < 100).alias("bad"), F.count_distinct("lang").alias("langs"))
+    """Shards (here: sources) are counted alone; rows and bad ones add up, vocabularies are united."""
+    docs = t(s, d, "documents")
+    shards = docs.groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("n_chars") < 100).alias("bad"))
+    sizes = symbols(docs, "source").groupBy("source").agg(F.count("*").alias("vocabulary"))
+    each = shards.join(sizes, "source", "left").select("source", "n_rows", "bad", F.coalesce("vocabulary", F.lit(0)).alias("vocabulary"))
+    # united from the shards' own vocabularies, not from the texts again
+    whole = symbols(docs, "source").select("symbol").distinct().agg(F.count("*").alias("vocabulary"))
+    return each.unionByName(shards.agg(F.lit("all").alias("source"), F.sum("n_rows").alias("n_rows"), F.sum("bad").alias("bad")).crossJoin(whole))
 
 
 def a18(s, d):
@@ -107,9 +122,22 @@ def a20(s, d):
     return t(s, d, "lineitem").groupBy("l_returnflag").agg(q.alias("q"), F.count("*").alias("n")).select("l_returnflag", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), F.greatest(F.lit(5), F.least(F.lit(20), F.floor(F.col("n") / 2))).cast("int").alias("bins"))
 
 
+#: What takes each metric to 0 to 1 (lower is better for the first two): shift and scale.
+AXES = {"mcd": "1 - x / 15", "wer": "1 - x", "pesq": "(x + 0.5) / 5", "stoi": "x", "utmos": "(x - 1) / 4", "f0_correlation": "(x + 1) / 2"}
+
+
+def axis(metric, value):
+    """A metric's value on its axis from 0 to 1; an unknown metric's value as it is, within 0 and 1."""
+    on = value
+    for name, formula in AXES.items():
+        on = F.when(metric == name, F.expr(formula)).otherwise(on)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), on))
+
+
 def a21(s, d):
-    x = F.col("l_discount")
-    return t(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - x * 12)), 6).alias("axis"))
+    names = F.array(*[F.lit(x) for x in (*AXES, "other")])
+    rows = t(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.element_at(names, (F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(AXES) + 1)) + 1).cast("int")).alias("metric"), (F.col("l_quantity") / 10 - 0.5).alias("x"))
+    return rows.select("l_orderkey", "l_linenumber", "metric", F.round(axis(F.col("metric"), F.col("x")), 6).alias("axis"))
 
 
 def a22(s, d):
@@ -127,13 +155,12 @@ def a24(s, d):
 
 
 def a25(s, d):
-    r = t(s, d, "labels").agg(F.count("*").alias("now"), F.count_if(F.col("toxic") == 1).alias("moved"))
-    return r.select(F.greatest(F.lit(100), F.col("now") + F.col("moved")).alias("total"))
-
-
-def share(s, d):
-    n = t(s, d, "documents").groupBy("source").agg(F.count("*").alias("n"))
-    return n.select("source", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
+    """The report's total: the one it had, or the pairs there are and those processed that were moved away, if that is more."""
+    # labels are the pairs there are, documents the ones processed; the old report counted every third document twice
+    pairs, done = t(s, d, "labels").select("doc_id").distinct(), t(s, d, "documents").select("doc_id").distinct()
+    old = done.where("doc_id % 3 = 0").agg((2 * F.count("*")).alias("old"))
+    moved = done.join(pairs, "doc_id", "left_anti").agg(F.count("*").alias("moved"))
+    return pairs.agg(F.count("*").alias("now")).crossJoin(moved).crossJoin(old).select("old", "now", "moved", F.greatest("old", F.col("now") + F.col("moved")).alias("total"))
 
 
 QUERIES = {
@@ -146,20 +173,20 @@ QUERIES = {
     "a07_stats": (a07, "SELECT count(*) AS total_files, round(sum(coalesce(value, 0)), 2) AS total, round(CASE WHEN count(*) > 0 THEN sum(coalesce(value, 0)) / count(*) ELSE 0 END, 2) AS average FROM events"),
     "a08_duration_stats": (a08, f"SELECT round(sum(value), 3) AS total, {STATS_SQL.format('value')}, count(*) FILTER (value IS NULL) AS errors FROM events"),
     "a09_histogram": (a09, "WITH c AS (SELECT CASE WHEN l_quantity < 2 THEN 0 WHEN l_quantity < 5 THEN 1 WHEN l_quantity < 10 THEN 2 ELSE 3 END AS bucket, count(*) AS n FROM lineitem GROUP BY 1), f AS (SELECT b.bucket::INT AS bucket, coalesce(n, 0) AS n FROM (SELECT unnest(range(4)) AS bucket) b LEFT JOIN c ON b.bucket = c.bucket) SELECT bucket, n, round(100 * n / sum(n) OVER (), 3) AS percent FROM f"),
-    "a10_error_bands": (a10, "SELECT count(*) FILTER (c < 0.05) AS excellent, count(*) FILTER (c >= 0.05 AND c < 0.1) AS good, count(*) FILTER (c >= 0.1 AND c < 0.2) AS acceptable, count(*) FILTER (c >= 0.2) AS poor FROM (SELECT (length(text) % 30) / 100::DOUBLE AS c FROM conversations)"),
+    "a10_error_bands": (a10, f"{rates_sql('phase')} SELECT count(*) FILTER (cer < 0.05) AS excellent, count(*) FILTER (cer >= 0.05 AND cer < 0.1) AS good, count(*) FILTER (cer >= 0.1 AND cer < 0.2) AS acceptable, count(*) FILTER (cer >= 0.2) AS poor, round(avg(cer), 6) AS mean, round(min(cer), 6) AS min, round(max(cer), 6) AS max FROM rates"),
     "a11_per_speaker": (a11, "SELECT coalesce(nullif(string_split(url, '/')[-2], ''), 'unknown') AS speaker, sum(length(html))::BIGINT AS total FROM pages GROUP BY 1"),
     "a12_sizes": (a12, "SELECT l_suppkey, round(sum(l_extendedprice), 1) AS size, count(*) AS files FROM lineitem GROUP BY 1"),
     "a13_vocabulary": (a13, "SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents"),
-    "a14_micro_average": (a14, "SELECT round(avg(length(text)), 5) AS metric FROM conversations"),
+    "a14_micro_average": (a14, f"{rates_sql('filter')} SELECT round(avg(wer), 5) AS metric FROM rates"),
     "a15_mean_or_zero": (a15, "SELECT coalesce(avg(value), 0.0) AS mean FROM events WHERE event_type = 'nothing'"),
-    "a16_hours": (a16, "SELECT round(sum(n_chars) / 3600, 2) AS hours, count(*) AS samples FROM documents"),
-    "a17_shard_merge": (a17, "SELECT source, count(*) AS n_rows, count(*) FILTER (n_chars < 100) AS bad, count(DISTINCT lang) AS langs FROM documents GROUP BY 1"),
+    "a16_hours": (a16, "SELECT round(sum(n_chars) / 3600, 2) AS hours, count(*) AS samples, (SELECT count(DISTINCT c) FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '') AS vocabulary FROM documents"),
+    "a17_shard_merge": (a17, "WITH c AS (SELECT DISTINCT source, unnest(string_split(text, '')) AS c FROM documents), v AS (SELECT source, count(*) AS v FROM c WHERE c <> '' GROUP BY 1) SELECT d.source, count(*) AS n_rows, count(*) FILTER (n_chars < 100) AS bad, coalesce(max(v), 0) AS vocabulary FROM documents d LEFT JOIN v ON v.source = d.source GROUP BY 1 UNION ALL SELECT 'all', count(*), count(*) FILTER (n_chars < 100), (SELECT count(DISTINCT c) FROM c WHERE c <> '') FROM documents"),
     "a18_training_plan": (a18, "WITH r AS (SELECT max(n_chars) AS longest, ceil(sum(n_chars) / 38400)::BIGINT AS u FROM documents) SELECT longest, u AS updates_per_epoch, floor(1200000 / u)::BIGINT AS epochs FROM r"),
     "a19_completed": (a19, "SELECT least(count(quality), count(toxic)) AS completed FROM labels"),
     "a20_quartiles": (a20, "SELECT l_returnflag, quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.5) AS median, quantile_cont(l_quantity, 0.75) AS q3, greatest(5, least(20, count(*) // 2))::INT AS bins FROM lineitem GROUP BY 1"),
-    "a21_radar_axis": (a21, "SELECT l_orderkey, l_linenumber, round(greatest(0.0, least(1.0, 1 - l_discount * 12)), 6) AS axis FROM lineitem"),
+    "a21_radar_axis": (a21, "WITH l AS (SELECT l_orderkey, l_linenumber, ['mcd', 'wer', 'pesq', 'stoi', 'utmos', 'f0_correlation', 'other'][(l_orderkey + l_linenumber) % 7 + 1] AS metric, l_quantity / 10 - 0.5::DOUBLE AS x FROM lineitem) SELECT l_orderkey, l_linenumber, metric, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE metric WHEN 'mcd' THEN 1 - x / 15 WHEN 'wer' THEN 1 - x WHEN 'pesq' THEN (x + 0.5::DOUBLE) / 5 WHEN 'utmos' THEN (x - 1) / 4 WHEN 'f0_correlation' THEN (x + 1) / 2 ELSE x END)), 6) AS axis FROM l"),
     "a22_model_comparison": (a22, "SELECT user_id, coalesce(round(avg(value) FILTER (event_type = 'click'), 4), 0.0) AS click, coalesce(round(avg(value) FILTER (event_type = 'view'), 4), 0.0) AS view_ FROM events GROUP BY 1"),
     "a23_known_metrics": (a23, "SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1"),
     "a24_epochs": (a24, "SELECT ceil(1000 / greatest(sum(n_chars) / 3600.0, 0.01))::BIGINT AS epochs FROM documents"),
-    "a25_report_total": (a25, "SELECT greatest(100, count(*) + count(*) FILTER (toxic = 1)) AS total FROM labels"),
+    "a25_report_total": (a25, "WITH r AS (SELECT (SELECT 2 * count(*) FROM documents WHERE doc_id % 3 = 0) AS old, (SELECT count(DISTINCT doc_id) FROM labels) AS now, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS moved) SELECT old, now, moved, greatest(old, now + moved) AS total FROM r"),
 }

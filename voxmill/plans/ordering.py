@@ -41,17 +41,17 @@ def o07(s, d):
 
 def o08(s, d):
     n = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
-    return t(s, d, "part").select("p_partkey", F.when(F.col("p_size") < 5, 0).when(F.col("p_size") > 45, 2).otherwise(1).alias("rank"), n.alias("step")).orderBy("rank", "step", "p_partkey").limit(40)
+    return t(s, d, "part").select("p_partkey", F.when(F.col("p_size") < 5, 0).when(F.col("p_size") > 45, 2).otherwise(1).alias("rank"), n.alias("step")).orderBy("rank", "step", "p_partkey")
 
 
 def o09(s, d):
-    return t(s, d, "orders").select("o_orderkey", F.pmod(F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1, F.lit(4)).alias("shard"))
+    return R.numbered(t(s, d, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", F.pmod("_k", F.lit(4)).cast("int").alias("shard"))
 
 
 def o10(s, d):
-    k = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1
-    n = F.count("*").over(Window.partitionBy("o_orderstatus"))
-    return t(s, d, "orders").select("o_orderkey", F.floor(k / (F.floor(n / 4) + 1)).cast("int").alias("chunk"))
+    o = t(s, d, "orders").select("o_orderkey")
+    each = F.floor(F.lit(o.count()) / 4) + 1
+    return R.numbered(o, "o_orderkey").select("o_orderkey", F.floor(F.col("_k") / each).cast("int").alias("chunk"))
 
 
 def o11(s, d):
@@ -61,9 +61,8 @@ def o11(s, d):
 def o12(s, d):
     o = t(s, d, "orders")
     done = o.where("o_orderkey % 3 = 0").groupBy("o_orderstatus").agg(F.count("*").alias("_done"))
-    k = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey"))
-    pending = o.where("o_orderkey % 3 <> 0").withColumn("_k", k).join(F.broadcast(done), "o_orderstatus", "left")
-    return pending.select("o_orderkey", "o_orderstatus", (F.coalesce("_done", F.lit(0)) + F.col("_k") - 1).alias("turn")).orderBy("turn", "o_orderstatus").limit(100)
+    pending = R.numbered(o.where("o_orderkey % 3 <> 0").select("o_orderkey", "o_orderstatus"), "o_orderkey", ["o_orderstatus"]).join(F.broadcast(done), "o_orderstatus", "left")
+    return pending.select("o_orderkey", "o_orderstatus", (F.coalesce("_done", F.lit(0)) + F.col("_k")).alias("turn")).orderBy("turn", "o_orderstatus")
 
 
 def o13(s, d):
@@ -88,11 +87,11 @@ QUERIES = {
     "o05_high_water": (o05, "SELECT o_orderkey FROM orders WHERE o_orderkey > 200"),
     "o06_done_prefix": (o06, "SELECT max(o_orderkey) AS checkpoint, count(*) AS n FROM orders WHERE o_orderkey < coalesce((SELECT min(o_orderkey) FROM orders WHERE o_orderstatus = 'P'), 9223372036854775807)"),
     "o07_capped": (o07, "WITH h AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages), k AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS k FROM h), g AS (SELECT *, row_number() OVER (ORDER BY host, k) AS r FROM k WHERE k <= 5) SELECT page_id, host FROM g WHERE r <= 60"),
-    "o08_pinned_sort": (o08, "SELECT p_partkey, CASE WHEN p_size < 5 THEN 0 WHEN p_size > 45 THEN 2 ELSE 1 END AS rank, regexp_extract(p_brand, '([0-9]+)', 1)::INT AS step FROM part ORDER BY 2, 3, 1 LIMIT 40"),
-    "o09_round_robin": (o09, "SELECT o_orderkey, ((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) % 4)::INT AS shard FROM orders"),
-    "o10_chunks": (o10, "SELECT o_orderkey, ((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // (count(*) OVER (PARTITION BY o_orderstatus) // 4 + 1))::INT AS chunk FROM orders"),
+    "o08_pinned_sort": (o08, "SELECT p_partkey, CASE WHEN p_size < 5 THEN 0 WHEN p_size > 45 THEN 2 ELSE 1 END AS rank, regexp_extract(p_brand, '([0-9]+)', 1)::INT AS step FROM part ORDER BY 2, 3, 1"),
+    "o09_round_robin": (o09, "SELECT o_orderkey, ((row_number() OVER (ORDER BY o_orderkey) - 1) % 4)::INT AS shard FROM orders"),
+    "o10_chunks": (o10, "SELECT o_orderkey, ((row_number() OVER (ORDER BY o_orderkey) - 1) // (count(*) OVER () // 4 + 1))::INT AS chunk FROM orders"),
     "o11_next_index": (o11, "SELECT coalesce(max(try_cast(nullif(regexp_extract(s_name, '([0-9]+)$', 1), '') AS BIGINT)) + 1, 0) AS next_index FROM supplier"),
-    "o12_fair_schedule": (o12, "WITH d AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), p AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders WHERE o_orderkey % 3 <> 0) SELECT o_orderkey, p.o_orderstatus, coalesce(n, 0) + k - 1 AS turn FROM p LEFT JOIN d ON p.o_orderstatus = d.o_orderstatus ORDER BY turn, 2 LIMIT 100"),
+    "o12_fair_schedule": (o12, "WITH d AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), p AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders WHERE o_orderkey % 3 <> 0) SELECT o_orderkey, p.o_orderstatus, coalesce(n, 0) + k - 1 AS turn FROM p LEFT JOIN d ON p.o_orderstatus = d.o_orderstatus ORDER BY turn, 2"),
     "o13_expired": (o13, "SELECT p_partkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) AS k FROM part WHERE p_size < 40) WHERE k > 3"),
     "o14_latest": (o14, "SELECT p_brand, p_partkey AS latest FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY CASE WHEN p_size > 45 THEN 2 WHEN p_size > 5 THEN 1 ELSE 0 END DESC, p_partkey DESC) AS k FROM part) WHERE k = 1"),
     "w01_quiet_runs": (w01, "WITH e AS (SELECT user_id, ts, event_id, value < 10 AS q FROM events WHERE value IS NOT NULL), m AS (SELECT *, CASE WHEN lag(q) OVER w IS NULL OR lag(q) OVER w <> q THEN 1 ELSE 0 END AS n FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), r AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM m) SELECT user_id, run::BIGINT AS run, count(*) AS n FROM r WHERE q GROUP BY 1, 2 HAVING count(*) >= 2"),

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import distance as E
+from ..functions import sentences as Y
 from ..functions import text as X
 from ..sources.tables import table as t
-from .scores import turn_pairs
+from .scores import CHAR_ERRORS_SQL, turn_pairs, word_errors_sql
+from .texts import title_of
 
 _C = ("conv_id", "turn")
-#: Templates with the category they belong to, and the shares of the categories.
-TEMPLATES = [("year", "Năm {n}"), ("price", "Giá {n} đồng"), ("count", "Có {n} người"), ("percent", "Tăng {n} phần trăm")]
-SHARES = [("year", 0.2), ("price", 0.3), ("count", 0.4), ("percent", 0.1)]
-
-
 def conv(s, d):
     return t(s, d, "conversations").select(*_C, "text")
 
@@ -24,8 +21,9 @@ def pieces(make):
 
 
 def tagged(s, d):
-    both = conv(s, d).select(*_C, F.concat(F.lit("start "), F.lit("{Sad} "), F.substring("text", 1, 12), F.lit(" {Angry}"), F.substring("text", 13, 9)).alias("text"))
-    return both.select(*_C, F.posexplode(X.styled(F.col("text")))).select(*_C, "pos", "col.style")
+    """Three styles over the parts of a text before and behind its 12th character."""
+    both = conv(s, d).select(*_C, F.concat(F.lit("start "), F.lit("{Sad} "), F.substring("text", 1, 12), F.lit(" {Angry}"), F.expr("substring(text, 13)")).alias("text"))
+    return both.select(*_C, F.posexplode(X.styled(F.col("text")))).select(*_C, "pos", "col.style", "col.text")
 
 
 def voices(s, d):
@@ -34,22 +32,26 @@ def voices(s, d):
 
 
 def t16(s, d):
-    return t(s, d, "part").select("p_partkey", X.weighted(X.uniform(F.lit("seed"), F.col("p_partkey")), SHARES).alias("category"))
+    return t(s, d, "part").select("p_partkey", Y.category(F.col("p_partkey")).alias("category"))
 
 
 def t15(s, d):
-    number = (F.floor(X.uniform(F.lit("n"), F.col("p_partkey")) * 1000)).cast("int")
-    template = F.element_at(F.create_map(*[F.lit(x) for pair in TEMPLATES for x in pair]), F.col("category"))
-    return t16(s, d).withColumn("n", number).select("p_partkey", "category", X.filled(template, {"n": F.col("n")}).alias("said"))
+    return t(s, d, "part").select("p_partkey", Y.template(F.col("p_partkey"), Y.category(F.col("p_partkey"))).alias("template"))
+
+
+def t15_sentences(s, d):
+    return t(s, d, "part").select("p_partkey", Y.sentence(F.col("p_partkey")).alias("x")).select("p_partkey", "x.*")
 
 
 def t17(s, d):
-    u = lambda k: X.uniform(F.lit(k), F.col("c_custkey"))
-    digits = F.lpad(F.floor(u("phone") * 1e8).cast("string"), 8, "0")
-    layout = F.floor(u("layout") * 3)
-    phone = F.concat(F.lit("09"), digits)
-    cut = F.when(layout == 0, phone).when(layout == 1, F.concat_ws(" ", F.substring(phone, 1, 4), F.substring(phone, 5, 3), F.substring(phone, 8, 3))).otherwise(F.concat_ws(".", F.substring(phone, 1, 4), F.substring(phone, 5, 3), F.substring(phone, 8, 3)))
-    return t(s, d, "customer").select("c_custkey", cut.alias("phone"), (1900 + F.floor(u("year") * 126)).cast("int").alias("year"), F.concat(F.floor(u("percent") * 101).cast("int"), F.lit("%")).alias("percent"))
+    k = F.col("c_custkey")
+    return t(s, d, "customer").select("c_custkey", Y.phone(k)["written"].alias("phone"), Y.between(k, "year", 1, 9999).alias("year"), Y.between(k, "amount", 1, 9_999_999_999).alias("amount"), Y.singles(k)["written"].alias("singles"))
+
+
+def t17_spoken(s, d):
+    k = F.col("c_custkey")
+    kinds = {"phone": Y.phone(k), "percentage": Y.percentage(k), "simple": Y.simple(k), "plain_single": Y.singles(k)}
+    return t(s, d, "customer").select("c_custkey", F.explode(F.array(*[F.struct(F.lit(name).alias("kind"), v["written"].alias("written"), v["said"].alias("said")) for name, v in kinds.items()])).alias("x")).select("c_custkey", "x.*")
 
 
 def t24(s, d):
@@ -57,17 +59,87 @@ def t24(s, d):
 
 
 def e03(s, d):
-    return turn_pairs(s, d).select(*_C, F.round(E.word_distance(X.unpunctuated(F.col("reference")), X.unpunctuated(F.col("hypothesis"))) / F.greatest(X.word_count(X.unpunctuated(F.col("reference"))), F.lit(1)), 6).alias("wer"))
+    distance = E.word_distance(X.unpunctuated(F.col("reference")), X.unpunctuated(F.col("hypothesis")))
+    return turn_pairs(s, d).select(*_C, F.round(distance / F.greatest(X.word_count(X.unpunctuated(F.col("reference"))), F.lit(1)), 6).alias("wer"))
 
 
 def e04(s, d):
     return turn_pairs(s, d).select(*_C, F.round(F.levenshtein("reference", "hypothesis") / F.greatest(F.char_length("reference"), F.lit(1)), 4).alias("cer"))
 
 
+def embedded(html):
+    """The page's data: an object assigned to its variable, or to a key of the window; null without one or where it is broken."""
+    forms = (r"(?s)var pageData\s*=\s*(\{.*?\});\s*</script>", r"(?s)window\[\"pageData\"\]\s*=\s*(\{.*?\});\s*</script>")
+    found = F.coalesce(*[F.nullif(F.regexp_extract(html, form, 1), F.lit("")) for form in forms])
+    return F.when(F.get_json_object(found, "$").isNotNull(), found)
+
+
 def h01(s, d):
-    made = t(s, d, "events").select("event_id", F.concat(F.lit("<script>var pageData = "), "props", F.lit(";\n</script>")).alias("html"))
-    found = F.nullif(F.regexp_extract("html", r"(?s)var pageData\s*=\s*(\{.*?\});\s*</script>", 1), F.lit(""))
-    return made.select("event_id", F.get_json_object(found, "$.k").alias("k"))
+    k = F.pmod("event_id", F.lit(4))
+    script = F.when(k == 0, F.concat(F.lit("var pageData = "), "props", F.lit(";\n"))).when(k == 1, F.concat(F.lit('window["pageData"] =\n'), "props", F.lit(";"))).when(k == 2, F.concat(F.lit("var pageData = {broken "), "props", F.lit(";"))).otherwise("var other = 1;")
+    html = F.concat(F.lit("<html><script>"), script, F.lit("</script><p>x</p>"))
+    return t(s, d, "events").select("event_id", F.get_json_object(embedded(html), "$.k").alias("k"))
+
+
+ITEM = "richItemRenderer STRUCT<content: STRUCT<videoRenderer: STRING, lockupViewModel: STRING>>, gridVideoRenderer STRING, continuationItemRenderer STRING"
+TABS = f"contents STRUCT<twoColumnBrowseResultsRenderer: STRUCT<tabs: ARRAY<STRUCT<tabRenderer: STRUCT<content: STRUCT<richGridRenderer: STRUCT<contents: ARRAY<STRUCT<{ITEM}>>>, sectionListRenderer: STRUCT<contents: ARRAY<STRUCT<itemSectionRenderer: STRUCT<contents: ARRAY<STRUCT<gridRenderer: STRUCT<items: ARRAY<STRUCT<{ITEM}>>>>>>>>>>>>>>>".replace("STRUCT<richItemRenderer STRUCT", "STRUCT<richItemRenderer: STRUCT").replace(", gridVideoRenderer STRING", ", gridVideoRenderer: STRING").replace(", continuationItemRenderer STRING", ", continuationItemRenderer: STRING")
+MORE = f"onResponseReceivedActions ARRAY<STRUCT<appendContinuationItemsAction: STRUCT<continuationItems: ARRAY<STRUCT<{ITEM}>>>>>".replace("STRUCT<richItemRenderer STRUCT", "STRUCT<richItemRenderer: STRUCT").replace(", gridVideoRenderer STRING", ", gridVideoRenderer: STRING").replace(", continuationItemRenderer STRING", ", continuationItemRenderer: STRING")
+
+
+def listed(rows, key: str, items):
+    """(key, pos, video, title, token) of the items of a page, in order.
+
+    An item's video is its lockup, else its renderer, else the one of the old layout; an item without one may carry a
+    token, and the last of a page is where the next page is asked for.
+    """
+    each = rows.select(key, F.posexplode(items).alias("pos", "i"))
+    there = lambda c: F.when(~F.coalesce(c, F.lit("{}")).isin("{}", ""), c)
+    lockup, video, grid = (there(F.col(c)) for c in ("i.richItemRenderer.content.lockupViewModel", "i.richItemRenderer.content.videoRenderer", "i.gridVideoRenderer"))
+    one = F.coalesce(video, grid)
+    id_ = F.when(lockup.isNotNull(), F.get_json_object(lockup, "$.contentId")).otherwise(F.get_json_object(one, "$.videoId"))
+    title = F.when(lockup.isNotNull(), F.coalesce(F.get_json_object(lockup, "$.metadata.lockupMetadataViewModel.title.content"), F.lit(""))).otherwise(F.coalesce(title_of(F.get_json_object(one, "$.title")), F.lit("")))
+    token = F.get_json_object("i.continuationItemRenderer", "$.continuationEndpoint.continuationCommand.token")
+    return each.select(key, "pos", F.nullif(id_, F.lit("")).alias("video"), title.alias("title"), F.nullif(token, F.lit("")).alias("token"))
+
+
+def videos(found, key: str):
+    """The videos of a page in order, each with the page's last token."""
+    last = found.where("video is null and token is not null").groupBy(key).agg(F.max_by("token", "pos").alias("token"))
+    return found.where("video is not null").select(key, "pos", "video", "title").join(last, key, "left")
+
+
+def crafted(s, d):
+    """Lists of items as JSON: both layouts, a lockup beside a renderer, an item without an id, and two tokens."""
+    k, n = F.col("n_nationkey").cast("string"), F.col("n_name")
+    text = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    items = [
+        text('{"richItemRenderer":{"content":{"videoRenderer":{"videoId":"v', k, '","title":{"runs":[{"text":"', n, '"}]}}}}}'),
+        text('{"richItemRenderer":{"content":{"videoRenderer":{"videoId":"no","title":"no"},"lockupViewModel":{"contentId":"l', k, '","metadata":{"lockupMetadataViewModel":{"title":{"content":"lock ', n, '"}}}}}}}'),
+        text('{"gridVideoRenderer":{"videoId":"g', k, '","title":{"simpleText":"grid ', n, '"}}}'),
+        text('{"continuationItemRenderer":{"continuationEndpoint":{"continuationCommand":{"token":"first ', k, '"}}}}'),
+        text('{"richItemRenderer":{"content":{"videoRenderer":{"title":"no id"}}}}'),
+        text('{"continuationItemRenderer":{"continuationEndpoint":{"continuationCommand":{"token":"last ', k, '"}}}}'),
+    ]
+    return t(s, d, "nation").select("n_nationkey", text("[", F.concat_ws(",", *items), "]").alias("items"))
+
+
+def h02(s, d):
+    rows = crafted(s, d)
+    rich = F.concat(F.lit('{"tabRenderer":{"content":{"richGridRenderer":{"contents":'), "items", F.lit("}}}}"))
+    old = F.concat(F.lit('{"tabRenderer":{"content":{"sectionListRenderer":{"contents":[{"itemSectionRenderer":{"contents":[{"gridRenderer":{"items":'), "items", F.lit("}}]}}]}}}}"))
+    data = F.concat(F.lit('{"contents":{"twoColumnBrowseResultsRenderer":{"tabs":[{"tabRenderer":{"title":"Home"}},'), F.when(F.col("n_nationkey") % 2 == 0, rich).otherwise(old), F.lit("]}}}"))
+    tabs = F.from_json(data, TABS)["contents"]["twoColumnBrowseResultsRenderer"]["tabs"]
+    rich_items = F.get(F.filter(F.transform(tabs, lambda x: x["tabRenderer"]["content"]["richGridRenderer"]["contents"]), lambda x: x.isNotNull()), F.lit(0))
+    sections = F.flatten(F.filter(F.transform(tabs, lambda x: x["tabRenderer"]["content"]["sectionListRenderer"]["contents"]), lambda x: x.isNotNull()))
+    grids = F.filter(F.flatten(F.transform(sections, lambda x: F.transform(x["itemSectionRenderer"]["contents"], lambda y: y["gridRenderer"]["items"]))), lambda x: x.isNotNull())
+    return videos(listed(rows, "n_nationkey", F.coalesce(rich_items, F.get(grids, F.lit(0)))), "n_nationkey")
+
+
+def h03(s, d):
+    data = F.concat(F.lit('{"onResponseReceivedActions":[{"other":1},{"appendContinuationItemsAction":{"continuationItems":'), "items", F.lit("}}]}"))
+    actions = F.from_json(data, MORE)["onResponseReceivedActions"]
+    items = F.flatten(F.filter(F.transform(actions, lambda x: x["appendContinuationItemsAction"]["continuationItems"]), lambda x: x.isNotNull()))
+    return videos(listed(crafted(s, d), "n_nationkey", items), "n_nationkey")
 
 
 def h06(s, d):
@@ -106,29 +178,37 @@ def p27(s, d):
 
 
 _U = "(('0x' || substr(md5({0}), 1, 8))::BIGINT / 4294967296)"
-_T16 = f"SELECT p_partkey, CASE WHEN u < 0.2 THEN 'year' WHEN u < 0.5 THEN 'price' WHEN u < 0.9 THEN 'count' ELSE 'percent' END AS category FROM (SELECT p_partkey, {_U.format(chr(39) + 'seed:' + chr(39) + ' || p_partkey')} AS u FROM part)"
-_N = f"floor({_U.format(chr(39) + 'n:' + chr(39) + ' || p_partkey')} * 1000)::INT"
+_KIND = "CASE " + " ".join(f"WHEN u < {sum(w for _, w in Y.SHARES[: k + 1]):.2f} THEN '{name}'" for k, (name, _) in enumerate(Y.SHARES[:-1])) + f" ELSE '{Y.SHARES[-1][0]}' END"
+_T16 = f"SELECT p_partkey, {_KIND} AS category FROM (SELECT p_partkey, {_U.format(chr(39) + 'category:' + chr(39) + ' || p_partkey')} AS u FROM part)"
+_LISTS = "CASE category " + " ".join(f"WHEN '{k}' THEN [" + ", ".join("'" + x.replace("'", "''") + "'" for x in v) + "]" for k, v in Y.TEMPLATES.items()) + " END"
 
 
 def _c(key):
     return _U.format(f"'{key}:' || c_custkey")
 
 
-_PHONE = f"'09' || lpad(floor({_c('phone')} * 1e8)::BIGINT::VARCHAR, 8, '0')"
+
+_DIGIT = "floor(" + _U.format("'{0}:' || c_custkey || ':' || k") + " * 10)::INT::VARCHAR"
+_PHONE = "'0' || array_to_string(list_transform(range(1, 10), lambda k: " + _DIGIT.format("phone") + "), '')"
 _BARE = "lower(replace(translate(text, '" + X.PUNCTUATION.replace("'", "''") + "', ''), '  ', ' '))"
+_BARE_OF = _BARE.replace("{", "{{").replace("}", "}}").replace("translate(text,", "translate({0},")
+_VIDEOS = "SELECT n_nationkey, unnest([0, 1, 2])::INT AS pos, unnest(['v' || n_nationkey, 'l' || n_nationkey, 'g' || n_nationkey]) AS video, unnest([n_name, 'lock ' || n_name, 'grid ' || n_name]) AS title, 'last ' || n_nationkey AS token FROM nation"
 QUERIES = {
     "t07_chunks": (pieces(X.chunks), None),
     "t09_first_package": (pieces(lambda c: X.first_package_chunks(c, 40, 135)), None),
-    "t10_styled": (tagged, "SELECT conv_id, turn, unnest(range(n))::INT AS pos, unnest(list_slice(['Regular', 'Sad', 'Angry'], 1, n)) AS style FROM (SELECT conv_id, turn, CASE WHEN length(trim(substr(text, 13, 9))) > 0 THEN 3 ELSE 2 END AS n FROM conversations)"),
+    "t10_styled": (tagged, "WITH p AS (SELECT conv_id, turn, [{'s': 'Regular', 't': 'start'}, {'s': 'Sad', 't': regexp_replace(substr(text, 1, 12), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')}, {'s': 'Angry', 't': regexp_replace(substr(text, 13), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')}] AS p FROM conversations), k AS (SELECT conv_id, turn, list_filter(p, lambda x: x.t <> '') AS p FROM p) SELECT conv_id, turn, unnest(range(len(p)))::INT AS pos, unnest(list_transform(p, lambda x: x.s)) AS style, unnest(list_transform(p, lambda x: x.t)) AS text FROM k"),
     "t11_voices": (voices, "SELECT conv_id, turn, unnest([0, 1, 2, 3])::INT AS pos, unnest(['main', 'user', CASE WHEN role IN ('user', 'assistant') THEN role ELSE 'main' END, 'main']) AS voice, unnest(['intro', 'yes', 'no', 'who']) AS said FROM conversations"),
-    "t15_templates": (t15, f"SELECT p_partkey, category, replace(CASE category WHEN 'year' THEN 'Năm {{n}}' WHEN 'price' THEN 'Giá {{n}} đồng' WHEN 'count' THEN 'Có {{n}} người' ELSE 'Tăng {{n}} phần trăm' END, '{{n}}', ({_N})::VARCHAR) AS said FROM ({_T16})"),
+    "t15_templates": (t15, f"SELECT p_partkey, l[floor(u * len(l))::INT + 1] AS template FROM (SELECT p_partkey, {_LISTS} AS l, {_U.format(chr(39) + 'template:' + chr(39) + ' || p_partkey')} AS u FROM ({_T16}))"),
+    "t15_sentences": (t15_sentences, None),
     "t16_weighted": (t16, _T16),
-    "t17_generated": (t17, f"SELECT c_custkey, CASE l WHEN 0 THEN p WHEN 1 THEN substr(p, 1, 4) || ' ' || substr(p, 5, 3) || ' ' || substr(p, 8, 3) ELSE substr(p, 1, 4) || '.' || substr(p, 5, 3) || '.' || substr(p, 8, 3) END AS phone, (1900 + floor({_c('year')} * 126))::INT AS year, floor({_c('percent')} * 101)::INT || '%' AS percent FROM (SELECT c_custkey, {_PHONE} AS p, floor({_c('layout')} * 3)::INT AS l FROM customer)"),
+    "t17_generated": (t17, f"SELECT c_custkey, CASE l WHEN 0 THEN p WHEN 1 THEN substr(p, 1, 3) || ' ' || substr(p, 4, 3) || ' ' || substr(p, 7, 4) ELSE substr(p, 1, 4) || ' ' || substr(p, 5, 3) || ' ' || substr(p, 8, 3) END AS phone, 1 + floor({_c('year')} * 9999)::BIGINT AS year, 1 + floor({_c('amount')} * 9999999999)::BIGINT AS amount, array_to_string(list_transform(range(1, 3 + floor({_c('singles')} * 5)::INT), lambda k: {_DIGIT.format('single')}), ' ') AS singles FROM (SELECT c_custkey, {_PHONE} AS p, floor({_c('layout')} * 3)::INT AS l FROM customer)"),
+    "t17_spoken": (t17_spoken, None),
     "t24_unpunctuated": (t24, f"SELECT conv_id, turn, {_BARE} AS x FROM conversations"),
-    "e03_list_word_error": (e03, None),
-    # DuckDB counts edits of bytes, so there is no SQL for it
-    "e04_rounded_character_error": (e04, None),
-    "h01_embedded_json": (h01, "SELECT event_id, props->>'$.k' AS k FROM events"),
+    "e03_list_word_error": (e03, f"WITH RECURSIVE {word_errors_sql(_BARE_OF)} SELECT conv_id, turn, round(distance / greatest(n_reference, 1), 6) AS wer FROM edits"),
+    "e04_rounded_character_error": (e04, f"WITH pairs AS (SELECT a.conv_id, a.turn, a.text AS r, b.text AS h FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1), {CHAR_ERRORS_SQL} SELECT conv_id, turn, round(distance / greatest(n, 1), 4) AS cer FROM chars"),
+    "h01_embedded_json": (h01, "SELECT event_id, CASE WHEN event_id % 4 < 2 THEN props->>'$.k' END AS k FROM events"),
+    "h02_first_page": (h02, _VIDEOS),
+    "h03_next_page": (h03, _VIDEOS),
     "h06_merged_maps": (h06, "SELECT p_partkey, unnest(['n', 'size']) AS name, unnest([p_partkey::INT, p_size]) AS value FROM part"),
     "u03_difference": (u03, "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)"),
     "u05_vocabulary_extension": (u05, "WITH h AS (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents WHERE lang = 'en'), w AS (SELECT n_nationkey, unnest(range(length(n_name)))::INT AS pos, unnest(string_split(lower(n_name), '')) AS symbol FROM nation) SELECT symbol, min((n_nationkey, pos))[1] AS n_nationkey, min((n_nationkey, pos))[2] AS pos FROM w WHERE trim(symbol) <> '' AND symbol NOT IN (SELECT c FROM h) GROUP BY 1"),

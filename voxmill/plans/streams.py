@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources.store import place
+from ..sources.store import exists, place
 from ..sources.tables import table as t
 from ..streaming import jobs
 
@@ -64,8 +64,54 @@ def r11(s, d):
     return made.where("reference < 60").groupBy("s_suppkey").agg(F.min("attempt").alias("attempt"), F.min_by("reference", "attempt").alias("reference"))
 
 
+def r02(s, d):
+    """A folder that is polled for ever: stopped here once all that is there was read."""
+    out = place(s)
+    q = jobs.saved(events(s, d).where("event_id % 2 = 0").select("event_id", "user_id"), f"{out}/rows", f"{out}/state", every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    return s.read.parquet(f"{out}/rows")
+
+
+def r04(s, d):
+    """What was read is moved to an archive, never deleted: in the end each row was read once, and stands in one of the folders."""
+    at = place(s)
+    rows = t(s, d, "supplier").select("s_suppkey", "s_name")
+    for k in range(3):
+        rows.where(F.col("s_suppkey") % 3 == k).coalesce(1).write.parquet(f"{at}/in/{k}")
+        follow = jobs.followed(s, f"{at}/in", rows.schema, glob="*.parquet", files=1, archive=f"{at}/done", deep=True)
+        jobs.saved(follow, f"{at}/out", f"{at}/state").awaitTermination()
+    kept = s.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(at + "/in", *([f"{at}/done"] if exists(s, f"{at}/done") else []))
+    return s.read.parquet(f"{at}/out").join(kept.groupBy("s_suppkey").agg(F.count("*").alias("copies")), "s_suppkey").select("s_suppkey", "s_name", "copies")
+
+
+def r08(s, d):
+    """Chunks of what is said, in order, and behind the last one a mark that the text is over."""
+    from ..functions.text import bound, chunks
+
+    c = t(s, d, "conversations").where("text <> ''")
+    parts = bound(chunks(F.col("text"), 60), lambda p: F.concat(F.transform(p, lambda x: F.struct(x.alias("chunk"), F.lit(False).alias("end"))), F.array(F.struct(F.lit(None).cast("string").alias("chunk"), F.lit(True).alias("end")))))
+    each = c.select("conv_id", "turn", F.posexplode(parts).alias("seq", "x"))
+    # what a reader needs: all that was said, whether the mark comes last, and once
+    return each.groupBy("conv_id", "turn").agg(F.max_by("x.end", "seq").alias("ended"), F.count_if("x.end").alias("marks"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "x.chunk"))), lambda y: F.regexp_replace(F.coalesce(y["chunk"], F.lit("")), r"(?U)\s", "")), "").alias("said"))
+
+
+def r12(s, d):
+    """Requests for models in their order; one model is held, and another one takes its place."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    before = F.lag("event_type").over(w)
+    loads = F.when(before.isNull() | (before != F.col("event_type")), 1).otherwise(0)
+    return t(s, d, "events").where("event_type is not null").select("user_id", "event_type", loads.alias("load"), F.when(before.isNotNull() & (before != F.col("event_type")), 1).otherwise(0).alias("evict")).groupBy("user_id").agg(F.sum("load").alias("loads"), F.sum("evict").alias("evictions"), F.count("*").alias("requests"))
+
+
 QUERIES = {
     "r01_available_now": (r01, "SELECT event_id, user_id, value FROM events WHERE value > 10"),
+    "r02_polled": (r02, "SELECT event_id, user_id FROM events WHERE event_id % 2 = 0"),
+    "r04_archived": (r04, "SELECT s_suppkey, s_name, 1 AS copies FROM supplier"),
+    "r08_chunked_output": (r08, "SELECT conv_id, turn, true AS ended, 1 AS marks, regexp_replace(text, '[\\s\\p{Z}]', '', 'g') AS said FROM conversations WHERE text <> ''"),
+    "r12_single_slot": (r12, "WITH e AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type IS NOT NULL) SELECT user_id, count(*) FILTER (b IS NULL OR b <> event_type) AS loads, count(*) FILTER (b <> event_type) AS evictions, count(*) AS requests FROM e GROUP BY 1"),
     "r03_exactly_once": (r03, "SELECT event_id, event_type FROM events"),
     "r05_batch_saves": (r05, "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"),
     "r06_live_chart": (r06, "SELECT event_type, count(*) AS n, max(value) AS most FROM events GROUP BY 1"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
 from ..functions import text as X
+from ..operators import relational as R
 from ..sources.tables import table as t
 
 _C = ("conv_id", "turn")
@@ -28,12 +30,72 @@ def t12(s, d):
     return t(s, d, "orders").select("o_orderkey", N.spoken(F.col("o_orderkey") * 37 - 5000).alias("said"))
 
 
+def title_of(title):
+    """A title's JSON: the first run's text, else the simple text, else the value itself."""
+    run, simple = (F.get_json_object(title, path) for path in ("$.runs[0].text", "$.simpleText"))
+    return F.when(F.startswith(title, F.lit("{")), F.coalesce(run, simple, F.lit(""))).otherwise(title)
+
+
 def h04(s, d):
-    return t(s, d, "events").select("event_id", F.coalesce(F.get_json_object("props", "$.title"), F.get_json_object("props", "$.k"), F.get_json_object("props", "$.page")).alias("title"))
+    p = F.col("n_name")
+    runs = F.to_json(F.struct(F.array(F.struct(p.alias("text")), F.struct(F.lit("more").alias("text"))).alias("runs"), F.lit("no").alias("simpleText")))
+    title = F.when(F.col("n_nationkey") % 4 == 0, runs).when(F.col("n_nationkey") % 4 == 1, F.to_json(F.struct(p.alias("simpleText")))).when(F.col("n_nationkey") % 4 == 2, p).otherwise(F.lit('{"runs":[]}'))
+    return t(s, d, "nation").select("n_nationkey", title_of(title).alias("title"))
 
 
 def h05(s, d):
-    return t(s, d, "pages").select("page_id", F.coalesce(F.nullif(F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit("")), F.lit("unknown")).alias("name"))
+    name = lambda outer, inner, value: F.concat(F.lit(f'"{outer}":{{"{inner}":{{"title":"'), value, F.lit('"}}'))
+    header = name("header", "c4TabbedHeaderRenderer", F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.col("n_name")))
+    micro = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit(","), name("microformat", "microformatDataRenderer", F.concat(F.lit("m "), "n_name"))))
+    data = F.concat(F.lit("{"), header, F.coalesce(micro, F.lit("")), F.lit("}"))
+    found = F.coalesce(F.nullif(F.get_json_object(data, "$.header.c4TabbedHeaderRenderer.title"), F.lit("")), F.get_json_object(data, "$.microformat.microformatDataRenderer.title"), F.lit("fallback"))
+    return t(s, d, "nation").select("n_nationkey", found.alias("name"))
+
+
+def t18(s, d):
+    dressed = F.concat(F.lit("“a” ‘b’; ，！？"), "text")
+    return conv(s, d).select(*_C, F.translate(dressed, ";“”‘’", ",\"\"''").alias("quotes"), F.translate(dressed, "，！？", ",!?").alias("wide"))
+
+
+def t20(s, d):
+    # padded to the longest of the conversation, which is the batch
+    ids = X.byte_ids(F.col("text"))
+    wide = conv(s, d).groupBy("conv_id").agg(F.max(F.octet_length("text")).alias("width"))
+    rows = conv(s, d).join(wide, "conv_id").select(*_C, "width", ids.alias("ids"))
+    padded = F.concat("ids", F.array_repeat(F.lit(-1), F.col("width") - F.size("ids")))
+    return rows.select(*_C, F.size(padded).alias("n"), F.aggregate(padded, F.lit(0).cast("long"), lambda a, x: F.pmod(a * 31 + x + 1, F.lit(1_000_003))).alias("digest"))
+
+
+def t21(s, d):
+    """Characters as numbers of a vocabulary (of German texts, in order of code points), 0 for others, -1 behind the end."""
+    held = t(s, d, "documents").where("lang = 'de'").select(F.explode(F.array_distinct(F.split("text", ""))).alias("symbol")).where("symbol <> ''").distinct()
+    numbers = held.select(F.transform(F.array_sort(F.collect_set("symbol").over(Window.partitionBy())), lambda x, i: F.struct(x.alias("symbol"), i.alias("id"))).alias("v")).limit(1).select(F.inline("v"))
+    wide = conv(s, d).groupBy("conv_id").agg(F.max(F.char_length("text")).alias("width"))
+    cells = conv(s, d).join(wide, "conv_id").select(*_C, F.split("text", "").alias("c"), F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("pos")).select(*_C, "pos", F.nullif(F.get("c", F.col("pos")), F.lit("")).alias("symbol"))
+    # a vocabulary has as many rows as there are code points, at most
+    found = cells.join(F.broadcast(numbers), "symbol", "left")
+    return found.select(*_C, "pos", F.when(F.col("symbol").isNull(), -1).otherwise(F.coalesce("id", F.lit(0))).alias("id"))
+
+
+def segments(text):
+    """A text's sentences as heard segments, a word of blanks in each."""
+    words = lambda x: F.concat(F.transform(F.split(x, " "), lambda w, i: F.struct(F.concat(F.lit(" "), w).alias("word"), (i / 3).alias("start"), ((i + 1) / 3).alias("end"), (1 / (i + 1.5)).alias("probability"))), F.array(F.struct(F.lit("  ").alias("word"), F.lit(0.0).alias("start"), F.lit(0.0).alias("end"), F.lit(0.5).alias("probability"))))
+    return F.transform(F.split(text, r"\. "), lambda x, i: F.struct(i.cast("double").alias("start"), (i + 1.0).alias("end"), F.concat(F.lit(" "), x, F.lit("  ")).alias("text"), words(x).alias("words")))
+
+
+def t27(s, d):
+    return conv(s, d).select(*_C, X.joined(F.transform(segments(F.col("text")), lambda g: g["text"])).alias("said"))
+
+
+def t28(s, d):
+    w = conv(s, d).select(*_C, F.posexplode(X.heard(segments(F.col("text")))).alias("pos", "w"))
+    return w.select(*_C, "pos", "w.word", F.col("w.end").alias("end_time"), "w.probability")
+
+
+def t29(s, d):
+    """Texts in slices of 100, in their order; a slice is converted at once."""
+    rows = R.numbered(t(s, d, "documents").select("doc_id", "text"), "doc_id")
+    return rows.select("doc_id", F.floor(F.col("_k") / 100).cast("int").alias("slice"), F.pmod("_k", F.lit(100)).cast("int").alias("pos"), F.md5(F.coalesce(F.lower("text"), F.lit(""))).alias("converted"))
 
 
 def t10(s, d):
@@ -51,12 +113,18 @@ QUERIES = {
     "t12_number_words": (t12, None),
     "t13_digits_spelled": (column("x", lambda c: X.digits_spelled(F.char_length(c).cast("string"), N.DIGITS)), sql("x", "array_to_string(list_transform(string_split(length(text)::VARCHAR, ''), lambda c: ['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín'][c::INT + 1]), ' ')")),
     "t14_decimal_comma": (column("x", lambda c: F.translate(F.format_string("%.1f", F.char_length(c) / 10), ".", ",")), sql("x", "replace(printf('%.1f', length(text) / 10), '.', ',')")),
-    "t18_translated": (column("x", lambda c: F.translate(c, ";:", ",,")), sql("x", "translate(text, ';:', ',,')")),
-    "t20_byte_count": (column("n", F.octet_length), sql("n", "strlen(text)::INT")),
+    "t18_translated": (t18, "SELECT conv_id, turn, '\"a\" ''b'', ，！？' || translate(text, ';“”‘’', ',\"\"''''') AS quotes, '“a” ‘b’; ,!?' || translate(text, '，！？', ',!?') AS wide FROM conversations"),
+    "t20_byte_ids": (t20, "WITH c AS (SELECT conv_id, turn, hex(encode(text)) AS h, max(strlen(text)) OVER (PARTITION BY conv_id) AS w FROM conversations), b AS (SELECT conv_id, turn, w, list_concat(list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT), list_transform(range(w - length(h) // 2), lambda k: -1::BIGINT)) AS x FROM c) SELECT conv_id, turn, w::INT AS n, list_reduce(x, lambda a, y: (a * 31 + y + 1) % 1000003, 0::BIGINT) AS digest FROM b"),
     "t22_terminated": (column("x", X.terminated), sql("x", "CASE WHEN text LIKE '%. ' OR text LIKE '%。' THEN text WHEN text LIKE '%.' THEN text || ' ' ELSE text || '. ' END")),
     "t23_clock": (column("x", lambda c: X.clock(F.char_length(c))), sql("x", "printf('%02d:%02d:%02d', length(text) // 3600, (length(text) % 3600) // 60, length(text) % 60)")),
+    "t08_reading_chunks": (lambda s, d: conv(s, d).select(*_C, F.posexplode(X.reading_chunks(F.col("text"))).alias("pos", "chunk")), None),
+    "t19_symbols": (column("x", X.spaced_symbols), sql("x", "regexp_replace(translate(text, ';“”‘’', ',\"\"'''''), '([^ :''\"A-Za-z0-9])([A-Za-z0-9]{{2,}})', '\\1 \\2', 'g')".replace("{{", "{").replace("}}", "}"))),
+    "t21_vocabulary_ids": (t21, "WITH v AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents WHERE lang = 'de') WHERE c <> ''), w AS (SELECT conv_id, turn, text, max(length(text)) OVER (PARTITION BY conv_id) AS w FROM conversations), p AS (SELECT conv_id, turn, text, unnest(range(w)) AS pos FROM w) SELECT conv_id, turn, pos::INT AS pos, CASE WHEN pos >= length(text) THEN -1 ELSE coalesce(id, 0) END::INT AS id FROM p LEFT JOIN v ON v.c = substr(text, pos + 1, 1)"),
+    "t27_joined_segments": (t27, sql("said", "array_to_string(list_filter(list_transform(string_split(text, '. '), lambda x: trim(x)), lambda x: x <> ''), ' ')")),
+    "t28_heard_words": (t28, "WITH g AS (SELECT conv_id, turn, list_transform(string_split(text, '. '), lambda x: string_split(x, ' ')) AS g FROM conversations), f AS (SELECT conv_id, turn, flatten(list_transform(g, lambda w: list_transform(range(1, len(w) + 1), lambda i: {'word': w[i], 'e': round(i / 3, 3), 'p': round(1 / (i + 0.5::DOUBLE), 4)}))) AS f FROM g), k AS (SELECT conv_id, turn, list_filter(f, lambda x: x.word <> '') AS f FROM f) SELECT conv_id, turn, unnest(range(len(f)))::INT AS pos, unnest(list_transform(f, lambda x: x.word)) AS word, unnest(list_transform(f, lambda x: x.e)) AS end_time, unnest(list_transform(f, lambda x: x.p)) AS probability FROM k"),
+    "t29_slices": (t29, "SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 100)::INT AS slice, ((row_number() OVER (ORDER BY doc_id) - 1) % 100)::INT AS pos, md5(coalesce(lower(text), '')) AS converted FROM documents"),
     "t10_parts": (t10, "SELECT conv_id, turn, unnest(range(len(p)))::INT AS pos, unnest(p) AS part FROM (SELECT conv_id, turn, string_split(text, '. ') AS p FROM conversations)"),
     "t12_small_numbers": (lambda s, d: t(s, d, "nation").select("n_nationkey", N.spoken(F.col("n_nationkey") % 10).alias("said")), "SELECT n_nationkey, ['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín'][n_nationkey % 10 + 1] AS said FROM nation"),
-    "h04_title": (h04, "SELECT event_id, coalesce(props->>'$.title', props->>'$.k', props->>'$.page') AS title FROM events"),
-    "h05_channel_name": (h05, "SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), 'unknown') AS name FROM pages"),
+    "h04_title": (h04, "SELECT n_nationkey, CASE WHEN n_nationkey % 4 < 3 THEN n_name ELSE '' END AS title FROM nation"),
+    "h05_channel_name": (h05, "SELECT n_nationkey, CASE WHEN n_nationkey % 3 > 0 THEN n_name WHEN n_nationkey % 2 = 0 THEN 'm ' || n_name ELSE 'fallback' END AS name FROM nation"),
 }

@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def followed(spark: SparkSession, folder: str, schema: T.StructType, kind: str = "parquet", glob: str | None = None, files: int | None = None, archive: str | None = None) -> DataFrame:
-    """A folder as a stream.  With `archive` read files are moved there."""
+def followed(spark: SparkSession, folder: str, schema: T.StructType, kind: str = "parquet", glob: str | None = None, files: int | None = None, archive: str | None = None, deep: bool = False) -> DataFrame:
+    """A folder as a stream, with `deep` all that lies below it.  With `archive` read files are moved there."""
     reader = spark.readStream.schema(schema).format(kind)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if deep:
+        reader = reader.option("recursiveFileLookup", "true")
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
     if archive:
