@@ -193,9 +193,21 @@ _PHONE = "'0' || array_to_string(list_transform(range(1, 10), lambda k: " + _DIG
 _BARE = "lower(replace(translate(text, '" + X.PUNCTUATION.replace("'", "''") + "', ''), '  ', ' '))"
 _BARE_OF = _BARE.replace("{", "{{").replace("}", "}}").replace("translate(text,", "translate({0},")
 _VIDEOS = "SELECT n_nationkey, unnest([0, 1, 2])::INT AS pos, unnest(['v' || n_nationkey, 'l' || n_nationkey, 'g' || n_nationkey]) AS video, unnest([n_name, 'lock ' || n_name, 'grid ' || n_name]) AS title, 'last ' || n_nationkey AS token FROM nation"
+
+
+def _chunks_sql(text: str, most: int) -> str:
+    """Clauses folded from the left into chunks of at most `most` bytes."""
+    clauses = f"string_split(regexp_replace(regexp_replace({text}, '([;:,.!?])[\\s\\p{{Z}}]+', '\\1' || chr(1), 'g'), '([；：，。！？])', '\\1' || chr(1), 'g'), chr(1))"
+    start = f"list_transform({clauses}, lambda c: {{'done': []::VARCHAR[], 'open': CASE WHEN strlen(right(c, 1)) = 1 THEN c || ' ' ELSE c END, 'n': strlen(c)}})"
+    closed = "CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, trim(a.open)) END"
+    return f"list_reduce({start}, lambda a, x: CASE WHEN strlen(a.open) + x.n <= {most} THEN {{'done': a.done, 'open': a.open || x.open, 'n': 0::BIGINT}} ELSE {{'done': {closed}, 'open': x.open, 'n': 0::BIGINT}} END, {{'done': []::VARCHAR[], 'open': '', 'n': 0::BIGINT}})"
+
+
+_DONE = "CASE WHEN f.open = '' THEN f.done ELSE list_append(f.done, trim(f.open)) END"
+_PIECES = "SELECT conv_id, turn, unnest(range(len(p)))::INT AS pos, unnest(p) AS piece FROM "
 QUERIES = {
-    "t07_chunks": (pieces(X.chunks), None),
-    "t09_first_package": (pieces(lambda c: X.first_package_chunks(c, 40, 135)), None),
+    "t07_chunks": (pieces(X.chunks), f"WITH f AS (SELECT conv_id, turn, {_chunks_sql('text', 135)} AS f FROM conversations) {_PIECES} (SELECT conv_id, turn, {_DONE} AS p FROM f)"),
+    "t09_first_package": (pieces(lambda c: X.first_package_chunks(c, 40, 135)), f"WITH f AS (SELECT conv_id, turn, {_chunks_sql('text', 135)} AS f FROM conversations), c AS (SELECT conv_id, turn, {_DONE} AS c FROM f), g AS (SELECT conv_id, turn, c, {_chunks_sql('c[1]', 40)} AS f FROM c WHERE len(c) > 0) {_PIECES} (SELECT conv_id, turn, list_concat({_DONE}, c[2:]) AS p FROM g)"),
     "t10_styled": (tagged, "WITH p AS (SELECT conv_id, turn, [{'s': 'Regular', 't': 'start'}, {'s': 'Sad', 't': regexp_replace(substr(text, 1, 12), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')}, {'s': 'Angry', 't': regexp_replace(substr(text, 13), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')}] AS p FROM conversations), k AS (SELECT conv_id, turn, list_filter(p, lambda x: x.t <> '') AS p FROM p) SELECT conv_id, turn, unnest(range(len(p)))::INT AS pos, unnest(list_transform(p, lambda x: x.s)) AS style, unnest(list_transform(p, lambda x: x.t)) AS text FROM k"),
     "t11_voices": (voices, "SELECT conv_id, turn, unnest([0, 1, 2, 3])::INT AS pos, unnest(['main', 'user', CASE WHEN role IN ('user', 'assistant') THEN role ELSE 'main' END, 'main']) AS voice, unnest(['intro', 'yes', 'no', 'who']) AS said FROM conversations"),
     "t15_templates": (t15, f"SELECT p_partkey, l[floor(u * len(l))::INT + 1] AS template FROM (SELECT p_partkey, {_LISTS} AS l, {_U.format(chr(39) + 'template:' + chr(39) + ' || p_partkey')} AS u FROM ({_T16}))"),

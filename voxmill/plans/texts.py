@@ -103,14 +103,29 @@ def t10(s, d):
     return conv(s, d).select(*_C, F.posexplode(parts).alias("pos", "part"))
 
 
+_NAMES = "['" + "', '".join(N.DIGITS) + "']"
+#: Number words by groups of three digits, for numbers under a billion.
+_SPOKEN = f"""WITH n AS (SELECT o_orderkey, o_orderkey * 37 - 5000 AS x, abs(o_orderkey * 37 - 5000) AS n, {_NAMES} AS d FROM orders),
+g AS (SELECT o_orderkey, x, d, unnest([{{'v': n // 1000000, 'u': 'triệu', 'f': false, 'k': 0}}, {{'v': n // 1000 % 1000, 'u': 'nghìn', 'f': n >= 1000000, 'k': 1}}, {{'v': n % 1000, 'u': NULL, 'f': n >= 1000, 'k': 2}}]) AS g FROM n),
+p AS (SELECT o_orderkey, x, d, g.k AS k, g.v AS v, g.u AS unit, g.v // 100 AS h, g.v % 100 // 10 AS t, g.v % 10 AS u, g.f AS f FROM g),
+w AS (SELECT o_orderkey, x, k, v, concat_ws(' ', CASE WHEN h > 0 OR f THEN d[h + 1] || ' trăm' END, CASE WHEN t = 0 THEN CASE WHEN u > 0 AND (h > 0 OR f) THEN 'lẻ' END WHEN t = 1 THEN 'mười' ELSE d[t + 1] || ' mươi' END, CASE WHEN u = 0 THEN NULL WHEN u = 1 AND t > 1 THEN 'mốt' WHEN u = 4 AND t > 1 THEN 'tư' WHEN u = 5 AND t > 0 THEN 'lăm' ELSE d[u + 1] END, unit) AS w FROM p)
+SELECT o_orderkey, CASE WHEN any_value(x) = 0 THEN 'không' ELSE CASE WHEN any_value(x) < 0 THEN 'âm ' ELSE '' END || string_agg(w, ', ' ORDER BY k) FILTER (v > 0) END AS said FROM w GROUP BY 1"""
+_WORDS = "len(list_filter(regexp_split_to_array({0}, '[\\s\\p{{Z}}]+'), lambda w: w <> ''))"
+#: Sentences folded from the left: what is done, and what is open.
+_SENTENCES = f"""WITH p AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(regexp_replace(text, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g'), '([.!?;])[\\s\\p{{Z}}]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS p FROM conversations),
+f AS (SELECT conv_id, turn, list_reduce(list_transform(p, lambda x: {{'done': []::VARCHAR[], 'open': x}}), lambda a, x: CASE WHEN {_WORDS.format("concat_ws(' ', nullif(a.open, ''), x.open)")} >= 10 THEN {{'done': list_append(a.done, concat_ws(' ', nullif(a.open, ''), x.open)), 'open': ''}} ELSE {{'done': a.done, 'open': concat_ws(' ', nullif(a.open, ''), x.open)}} END, {{'done': []::VARCHAR[], 'open': ''}}) AS f FROM p),
+s AS (SELECT conv_id, turn, CASE WHEN f.open = '' THEN f.done WHEN len(f.done) = 0 THEN [f.open] ELSE list_append(f.done[:len(f.done) - 1], f.done[len(f.done)] || ' ' || f.open) END AS s FROM f)
+SELECT conv_id, turn, unnest(range(len(s)))::INT AS pos, unnest(s) AS sentence FROM s"""
+
+
 QUERIES = {
     "t01_normalized": (column("x", X.normalized), sql("x", NORMAL_SQL.format("text"))),
     "t02_first_line": (column("x", X.first_line), sql("x", "trim(regexp_replace(replace(regexp_replace(lower(string_split(text, chr(10))[1]), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '_', ' '), '[\\s\\p{Z}]+', ' ', 'g'))")),
     "t03_lower_unquoted": (column("x", lambda c: F.replace(F.trim(F.lower(c)), F.lit('"'), F.lit(""))), sql("x", "replace(trim(lower(text)), '\"', '')")),
     "t04_word_count": (column("n", X.word_count), sql("n", "len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> ''))::INT")),
     "t05_words_per_second": (column("wps", lambda c: X.words_per_second(c, F.char_length(c) / 16)), sql("wps", "CASE WHEN length(text) > 0 THEN round(len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> '')) / (length(text) / 16), 2) ELSE 0.0 END")),
-    "t06_sentences": (column("n", lambda c: F.size(X.sentences(c))), None),
-    "t12_number_words": (t12, None),
+    "t06_sentences": (lambda s, d: conv(s, d).select(*_C, F.posexplode(X.sentences(F.col("text"))).alias("pos", "sentence")), _SENTENCES),
+    "t12_number_words": (t12, _SPOKEN),
     "t13_digits_spelled": (column("x", lambda c: X.digits_spelled(F.char_length(c).cast("string"), N.DIGITS)), sql("x", "array_to_string(list_transform(string_split(length(text)::VARCHAR, ''), lambda c: ['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín'][c::INT + 1]), ' ')")),
     "t14_decimal_comma": (column("x", lambda c: F.translate(F.format_string("%.1f", F.char_length(c) / 10), ".", ",")), sql("x", "replace(printf('%.1f', length(text) / 10), '.', ',')")),
     "t18_translated": (t18, "SELECT conv_id, turn, '\"a\" ''b'', ，！？' || translate(text, ';“”‘’', ',\"\"''''') AS quotes, '“a” ‘b’; ,!?' || translate(text, '，！？', ',!?') AS wide FROM conversations"),
