@@ -53,11 +53,13 @@ def repeats_char_ngram(text: Column, n: Column, most: int = 10) -> Column:
     neighbours."""
 
     def often(x: Column) -> Column:
-        grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.char_length(x["t"]) - x["n"] + 1), lambda k: F.substr(x["t"], k, x["n"])))
+        # by slices of the characters: a place in a string is found by reading up to it
+        grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(x["c"]) - x["n"] + 1), lambda k: F.array_join(F.slice(x["c"], k, x["n"]), "")))
         pairs = lambda g: F.zip_with(F.slice(g, F.lit(1), F.greatest(F.lit(0), F.size(g) - most)), F.slice(g, most + 1, F.size(g)), lambda a, b: a == b)
-        return F.when(F.char_length(x["t"]) - x["n"] >= most, bound(grams, lambda g: F.exists(pairs(g), lambda hit: hit))).otherwise(False)
+        return F.when(F.size(x["c"]) - x["n"] >= most, bound(grams, lambda g: F.exists(pairs(g), lambda hit: hit))).otherwise(False)
 
-    return bound(F.struct(F.coalesce(text, F.lit("")).alias("t"), n.cast("int").alias("n")), often)
+    symbols = F.filter(F.split(F.coalesce(text, F.lit("")), ""), lambda c: c != "")
+    return bound(F.struct(symbols.alias("c"), n.cast("int").alias("n")), often)
 
 
 #: Phrases and key words of invented closing lines.
