@@ -1,11 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Five small transducers read the classes of a clause's words (insult, threat, target, negation, report, other): the
-insult and threat machines remember what was said, the target machine whether someone is addressed, the negation and
-report machines whether it is denied or quoted.  Their product is composed once, and its final state names the pattern
-that the clause matched (say, a targeted insult, or a reported one).  A document's evidence is the number of clauses
-of each pattern, the insults weighted by what the labels say of their stems; a logistic model fitted on the same
-patterns turns it into a score.
+The first transducer reads words and writes their classes (insult, threat, target, negation, report, other), an insult
+with a weight, the log odds of its stem among the labels.  Five small machines read the classes: the insult and threat
+machines remember what was said, the target machine whether someone is addressed, the negation and report machines
+whether it is denied or quoted.  Their product is composed once; a final state names the pattern that the clause matched
+(say, a targeted insult, or a reported one) and weighs the path that led there.  A document's evidence is the number of
+clauses of each pattern and the sum of their weights; a logistic model fitted on both turns it into a score.
 
 Insult stems are learned: word and stem document frequencies among toxic and clean labelled rows, kept where a
 likelihood-ratio test is beyond chance.  At most `FIT_ROWS` labelled rows (the lowest hashes of doc_id, held-out fold
@@ -104,7 +104,8 @@ def pattern(state: int) -> str | None:
     return "threat"
 
 
-FINAL = [pattern(k) for k in range(len(STATES))]
+#: What a clause that ends in a state counts as, and the weight of its path there: what is denied or quoted weighs half.
+FINAL = [(name, 0.5 if name in ("negated", "reported") else 1.0) if (name := pattern(k)) else None for k in range(len(STATES))]
 
 
 def stems(word: str) -> list[str]:
@@ -130,9 +131,10 @@ def evidence(text: str, lexicon: dict[str, float]) -> list[float]:
         for w in _WORD.findall(clause):
             state = GRAMMAR[state, kind.get(w, "other")]
             heavy += weights.get(w, 0.0)
-        if found := FINAL[state]:
+        if FINAL[state]:
+            found, weight = FINAL[state]
             out[found] += 1
-            out["weight"] += heavy * (0.5 if found in ("negated", "reported") else 1)
+            out["weight"] += heavy * weight
     return list(out.values())
 
 
