@@ -121,12 +121,15 @@ def word_errors_sql(normal: str) -> str:
     said = normal.format
     return f"""both_turns AS (SELECT a.conv_id, a.turn, a.text AS reference, b.text AS hypothesis FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1),
 pairs AS (SELECT conv_id, turn, {said('reference')} AS r, {said('hypothesis')} AS h FROM both_turns),
-sides AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(r, '[\\s\\p{{Z}}]+'), lambda x: x <> '') AS r, list_filter(regexp_split_to_array(h, '[\\s\\p{{Z}}]+'), lambda x: x <> '') AS h FROM pairs),
-cells AS (SELECT 0 AS i, conv_id, turn, unnest(range(len(h) + 1)) AS j, unnest(range(len(h) + 1)) AS c FROM sides
-UNION ALL SELECT i + 1, conv_id, turn, j, min(b - j) OVER (PARTITION BY conv_id, turn ORDER BY j) + j FROM (
-SELECT d.i, d.conv_id, d.turn, d.j, least(d.c + 1, lag(d.c) OVER (PARTITION BY d.conv_id, d.turn ORDER BY d.j) + CASE WHEN s.r[d.i + 1] = s.h[d.j] THEN 0 ELSE 1 END) AS b
-FROM cells d JOIN sides s ON s.conv_id = d.conv_id AND s.turn = d.turn WHERE d.i < len(s.r))),
-edits AS (SELECT c.conv_id, c.turn, c.c AS distance, len(s.r) AS n_reference, len(s.h) AS n_hypothesis FROM cells c JOIN sides s ON s.conv_id = c.conv_id AND s.turn = c.turn WHERE c.i = len(s.r) AND c.j = len(s.h))"""
+sides AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS p, conv_id, turn, list_filter(regexp_split_to_array(r, '[\\s\\p{{Z}}]+'), lambda x: x <> '') AS r, list_filter(regexp_split_to_array(h, '[\\s\\p{{Z}}]+'), lambda x: x <> '') AS h FROM pairs),
+words AS (SELECT w, row_number() OVER (ORDER BY w)::INT AS id FROM (SELECT DISTINCT unnest(list_concat(r, h)) AS w FROM sides)),
+said AS (SELECT p, i, id FROM (SELECT p, unnest(range(len(r)))::INT AS i, unnest(r) AS w FROM sides) s JOIN words ON words.w = s.w),
+heard AS (SELECT p, j, id FROM (SELECT p, unnest(range(1, len(h) + 1))::INT AS j, unnest(h) AS w FROM sides) s JOIN words ON words.w = s.w),
+cells AS (SELECT 0 AS i, p, unnest(range(len(h) + 1))::INT AS j, unnest(range(len(h) + 1))::INT AS c FROM sides
+UNION ALL SELECT i + 1, p, j, (min(b - j) OVER (PARTITION BY p ORDER BY j) + j)::INT FROM (
+SELECT d.i, d.p, d.j, least(d.c + 1, lag(d.c) OVER (PARTITION BY d.p ORDER BY d.j) + CASE WHEN s.id = h.id THEN 0 ELSE 1 END) AS b
+FROM cells d JOIN said s ON s.p = d.p AND s.i = d.i LEFT JOIN heard h ON h.p = d.p AND h.j = d.j)),
+edits AS (SELECT s.conv_id, s.turn, c.c AS distance, len(s.r) AS n_reference, len(s.h) AS n_hypothesis FROM cells c JOIN sides s ON s.p = c.p WHERE c.i = len(s.r) AND c.j = len(s.h))"""
 
 
 #: Every character that stands in the pairs as one byte (DuckDB counts edits of bytes), and the distances of these.
