@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bound
+
 # fixed values: the language's digit and group names
 DIGITS = ["không", "một", "hai", "ba", "bốn", "năm", "sáu", "bảy", "tám", "chín"]
 GROUPS = ["", "nghìn", "triệu", "tỷ", "nghìn tỷ", "triệu tỷ", "tỷ tỷ"]
@@ -24,15 +26,19 @@ def _three(n: Column, full: Column) -> Column:
 
 
 def spoken(number: Column) -> Column:
-    n = F.abs(number.cast("long"))
+    return bound(number.cast("long"), _spoken)
+
+
+def _spoken(number: Column) -> Column:
+    n = F.abs(number)
     text = n.cast("string")
     groups = F.ceil(F.char_length(text) / 3).cast("int")
-    padded = F.lpad(text, groups * 3, F.lit("0"))
 
-    def part(k: Column) -> Column:
-        v = F.substr(padded, k * 3 + 1, F.lit(3)).cast("int")
-        unit = F.element_at(F.array(*[F.lit(x) for x in GROUPS]), groups - k)
-        return F.when(v > 0, F.concat_ws(" ", _three(v, k > 0), F.nullif(unit, F.lit(""))))
+    def part(x: Column, k: Column) -> Column:
+        v = F.substr(x["t"], k * 3 + 1, F.lit(3)).cast("int")
+        unit = F.element_at(F.array(*[F.lit(g) for g in GROUPS]), x["g"] - k)
+        return bound(v, lambda v: F.when(v > 0, F.concat_ws(" ", _three(v, k > 0), F.nullif(unit, F.lit("")))))
 
-    said = F.array_join(F.filter(F.transform(F.sequence(F.lit(0), groups - 1), part), lambda x: x.isNotNull()), ", ")
+    padded = F.struct(F.lpad(text, groups * 3, F.lit("0")).alias("t"), groups.alias("g"))
+    said = bound(padded, lambda x: F.array_join(F.filter(F.transform(F.sequence(F.lit(0), x["g"] - 1), lambda k: part(x, k)), lambda w: w.isNotNull()), ", "))
     return F.when(n == 0, F.lit(DIGITS[0])).otherwise(F.concat(F.when(number < 0, F.lit("âm ")).otherwise(F.lit("")), said))

@@ -52,14 +52,15 @@ def repeats_char_ngram(text: Column, n: Column, most: int = 10) -> Column:
     """Whether any n characters in a row stand more than `most` times, overlaps counted: in sorted order, equal ones are
     neighbours."""
 
-    def often(x: Column) -> Column:
-        # by slices of the characters: a place in a string is found by reading up to it
-        grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(x["c"]) - x["n"] + 1), lambda k: F.array_join(F.slice(x["c"], k, x["n"]), "")))
-        pairs = lambda g: F.zip_with(F.slice(g, F.lit(1), F.greatest(F.lit(0), F.size(g) - most)), F.slice(g, most + 1, F.size(g)), lambda a, b: a == b)
-        return F.when(F.size(x["c"]) - x["n"] >= most, bound(grams, lambda g: F.exists(pairs(g), lambda hit: hit))).otherwise(False)
-
-    symbols = F.filter(F.split(F.coalesce(text, F.lit("")), ""), lambda c: c != "")
-    return bound(F.struct(symbols.alias("c"), n.cast("int").alias("n")), often)
+    # one pass of a pattern that looks ahead; a place in a string would be found by reading up to it
+    ahead = F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))"))
+    grams = F.sort_array(F.regexp_extract_all(F.coalesce(text, F.lit("")), ahead, F.lit(1)))
+
+    def often(g: Column) -> Column:
+        pairs = F.zip_with(F.slice(g, F.lit(1), F.greatest(F.lit(0), F.size(g) - most)), F.slice(g, most + 1, F.greatest(F.lit(0), F.size(g))), lambda a, b: a == b)
+        return F.when(F.size(g) > most, F.exists(pairs, lambda hit: hit)).otherwise(False)
+
+    return bound(grams, often)
 
 
 #: Phrases and key words of invented closing lines.
