@@ -377,7 +377,7 @@ def passages(holders: DataFrame) -> DataFrame:
     """(u1, n_passage_words): words in windows of PASSAGE words that stand in another text too."""
     seen = durable(mapped(holders.where(F.size("words") > 0).select("u1", "text", "words"), passage_windows, "u1 long, p int, h long"), "passage-windows")
     shared = durable(seen.groupBy("h").agg(F.min("u1").alias("x"), F.max("u1").alias("y")).where("x <> y").select("h"), "passage-shared")
-    starts = seen.join(shared, "h").groupBy("u1").agg(F.array_sort(F.collect_set("p")).alias("_p"))
+    starts = seen.join(shared, "h").groupBy("u1").agg(F.sort_array(F.collect_set("p")).alias("_p"))
     begin = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-PASSAGE).alias("at"))
     n = F.aggregate("_p", begin, lambda acc, p: F.struct((acc["n"] + F.least(F.lit(PASSAGE), p - acc["at"])).alias("n"), p.alias("at")), lambda acc: acc["n"])
     out = durable(starts.select("u1", n.alias("n_passage_words")), "passages")
