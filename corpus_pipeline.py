@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last return the
 columns of documents.
+
+Edge cases, in every stage: null and empty texts stay (they are clean, and pack as one end id); rows with null doc_id stay;
+exactly repeated rows count as copies, of which the second stage keeps one; one doc_id may stand on different texts, which
+are judged each by its own; further columns are carried along, whatever their names, and dropped by packing; empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,17 +18,18 @@ from voxmill.llm.common import durable, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity grammar rejects go."""
+    """Documents that the toxicity grammar rejects go; without labels of both classes nothing is rejected but by their base rate."""
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8) stays."""
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8) stays: that of the least doc_id.
+    Documents without words are in no group."""
     return neardup.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage, with at most a tenth of it edited, go; an empty benchmark takes none."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
