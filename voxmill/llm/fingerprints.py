@@ -6,7 +6,9 @@ few elements.  An element is the 64-bit digest of a piece together with how ofte
 stay apart.  The sketch has `CELLS` cells of (count, xor of digests, xor of check
 sums) and each element lies in three of them.  Two sketches subtract cell by cell; peeling the difference returns the
 digests that only one side has.  Where peeling fails, both sides are sketched again with sixteen times the cells, until it
-succeeds, so the likeness 1 - |difference| / |union| is that of the full sets.
+succeeds, so the likeness 1 - |difference| / |union| is that of the full sets.  A fingerprint is a sketch's cells in
+base 64: counts and the low halves of check sums of 32 bits, digests of 64.  A reader can subtract two and peel a difference of
+some thirty elements; a greater one takes the larger sketches that are made here.
 
 Edge cases: null text is the empty text; two empty texts are alike (1.0); null doc_id sorts first and repeated rows
 follow each other; the last document's next is the first one, a lone document's is itself; empty tables give empty
@@ -158,8 +160,8 @@ class Sketch:
         return *(np.concatenate(x) for x in zip(*found, strict=True)), done
 
     def texts(self) -> list[str]:
-        rows = np.empty((self.docs, self.cells), dtype=[("n", "<i2"), ("k", "<u8"), ("c", "<u2")])
-        rows["n"], rows["k"], rows["c"] = (x.reshape(self.docs, self.cells) for x in (self.count, self.key, self.check & np.uint64(0xFFFF)))
+        rows = np.empty((self.docs, self.cells), dtype=[("n", "<i4"), ("k", "<u8"), ("c", "<u4")])
+        rows["n"], rows["k"], rows["c"] = (x.reshape(self.docs, self.cells) for x in (self.count, self.key, self.check & np.uint64(0xFFFFFFFF)))
         return [base64.b64encode(r.tobytes()).decode() for r in rows]
 
 
