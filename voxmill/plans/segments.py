@@ -209,7 +209,7 @@ QUERIES = {
     "m16_log_mel": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8), 3), None),
     "m16_log_mel_other": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8, centred_frames=False), 3), None),
     "m17_padded": (m17, "SELECT vec_id, (vec_id % 30 + 1)::INT AS n, 32 AS width, round(list_sum(list_slice(" + _X + ", 1, vec_id % 30 + 1)) + (32 - (vec_id % 30 + 1)) * -11.512925::DOUBLE, 4) AS total FROM embeddings"),
-    "m18_crossfaded": (signal("total", lambda x: S.crossfaded([x, -2 * x], 64)), f"SELECT vec_id, 119 AS n, round(list_sum(list_transform(range(1, 120), lambda k: k * CASE WHEN k <= 55 THEN x[k] WHEN k > 64 THEN -2 * x[k - 55] ELSE x[k] * (1 - (k - 56) / 8) - 2 * x[k - 55] * (k - 56) / 8 END)), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
+    "m18_crossfaded": (signal("total", lambda x: S.crossfaded([x, -2 * x], 64)), f"SELECT vec_id, 119::BIGINT AS n, round(list_sum(list_transform(range(1, 120), lambda k: k * CASE WHEN k <= 55 THEN x[k] WHEN k > 64 THEN -2 * x[k - 55] ELSE x[k] * (1 - (k - 56) / 8) - 2 * x[k - 55] * (k - 56) / 8 END)), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
     "m19_frames_by_bytes": (m19_bytes, f"SELECT conv_id, turn, (750 + floor(750 / strlen(ref) * strlen(gen)))::BIGINT AS frames FROM {_PAIR} WHERE ref <> ''"),
     "m19_seconds_by_words": (m19_words, f"WITH n AS (SELECT conv_id, turn, len({_W.format('ref')}) AS r, len({_W.format('gen')}) AS g FROM {_PAIR}), v AS (SELECT *, CASE WHEN r > 0 THEN r / 6.0 ELSE 2.5 END::DOUBLE AS w FROM n) SELECT conv_id, turn, round(6.0::DOUBLE + g / w / CASE WHEN g < 3 THEN 0.3 ELSE 1.0 END::DOUBLE * (w / 4.0::DOUBLE), 5) AS seconds FROM v"),
     "m20_most_chars": (lambda s, d: t(s, d, "conversations").select("conv_id", "turn", D.most_chars(F.col("text"), F.lit(8.0)).alias("n")), "SELECT conv_id, turn, floor(strlen(text) / 8.0::DOUBLE * 14)::BIGINT AS n FROM conversations"),

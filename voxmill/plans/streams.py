@@ -109,8 +109,8 @@ def r12(s, d):
 QUERIES = {
     "r01_available_now": (r01, "SELECT event_id, user_id, value FROM events WHERE value > 10"),
     "r02_polled": (r02, "SELECT event_id, user_id FROM events WHERE event_id % 2 = 0"),
-    "r04_archived": (r04, "SELECT s_suppkey, s_name, 1 AS copies FROM supplier"),
-    "r08_chunked_output": (r08, "SELECT conv_id, turn, true AS ended, 1 AS marks, regexp_replace(text, '[\\s\\p{Z}]', '', 'g') AS said FROM conversations WHERE text <> ''"),
+    "r04_archived": (r04, "SELECT s_suppkey, s_name, 1::BIGINT AS copies FROM supplier"),
+    "r08_chunked_output": (r08, "SELECT conv_id, turn, true AS ended, 1::BIGINT AS marks, regexp_replace(text, '[\\s\\p{Z}]', '', 'g') AS said FROM conversations WHERE text <> ''"),
     "r12_single_slot": (r12, "WITH e AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type IS NOT NULL) SELECT user_id, count(*) FILTER (b IS NULL OR b <> event_type) AS loads, count(*) FILTER (b <> event_type) AS evictions, count(*) AS requests FROM e GROUP BY 1"),
     "r03_exactly_once": (r03, "SELECT event_id, event_type FROM events"),
     "r05_batch_saves": (r05, "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"),
