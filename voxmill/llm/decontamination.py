@@ -162,7 +162,7 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
         # diagonals e before the band to e behind it; what lies outside of the text agrees with nothing
         from_, to = first - e, first + 2 * (e + 1) + e + m
         lo, hi = max(from_, int(starts[doc])), min(to, int(starts[doc + 1]) - Q)
-        if hi <= lo:
+        if hi - lo < m - e:  # an occurrence has that many code points
             continue
         window = np.full(to - from_, 0xFFFFFFFE, np.uint32)
         window[lo - from_ : hi - from_] = joined[lo:hi]
