@@ -143,7 +143,8 @@ def test_personal_data_and_secrets_beyond_the_base_patterns(spark):
     phones = [f"call +49 30 {rng.randint(1000000, 9999999)} now" for _ in range(30)]
     planted = [f"call 030-{rng.randint(100000, 999999)}x now" for _ in range(40)]
     seeded = [f"call 030-{rng.randint(100000, 999999)}x now" for _ in range(6)]
-    mails = [f"write to {n}@example.org soon" for n in ("ann", "ben", "cat", "dan", "eva", "fin")]
+    names = ("ann", "ben", "cat", "dan", "eva", "fin")
+    mails = [f"write to {a}.{b}@example.org soon" for a in names for b in names]
     handles = [f"write to {n}-at-home soon" for n in ("ann", "ben", "gus", "hal")]
     texts = phones + planted + seeded + mails + handles + [words(rng, 30) for _ in range(30)]
     rows = {r.doc_id: r for r in pii.find(frame(spark, texts)).collect()}
