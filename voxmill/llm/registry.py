@@ -15,6 +15,8 @@ from .packing import op1_best_fit_packing
 from .pii import op9_pii
 from .repeats import op8_suffix_array_dedup
 from .secrets import op10_secret_scans
+from .survivorship import SQL as _GOLDEN
+from .survivorship import op11_golden_record
 from .toxicity import op5_toxicity
 
 
@@ -25,10 +27,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, pipeline]
+    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, op11_golden_record, pipeline]
     return {f.__name__: f for f in out}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: each needs a tokenizer, a model, positions of overlapping matches or a transitive closure (see tests/llm)."""
-    return {}
+    """The others need a tokenizer, a model, positions of overlapping matches, a transitive closure or eigenvectors (see tests/llm)."""
+    return {"op11_golden_record": _GOLDEN}
