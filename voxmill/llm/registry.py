@@ -18,6 +18,7 @@ from .secrets import op10_secret_scans
 from .survivorship import SQL as _GOLDEN
 from .survivorship import op11_golden_record
 from .toxicity import op5_toxicity
+from .whitening import op13_embedding_whitening
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, op11_golden_record, pipeline]
+    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, op11_golden_record, op13_embedding_whitening, pipeline]
     return {f.__name__: f for f in out}
 
 

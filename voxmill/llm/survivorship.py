@@ -69,7 +69,8 @@ def winners(rows: DataFrame, key: list[str], fields: tuple[str, ...], **more: Co
 
 
 def golden_records(clients: DataFrame, hours: int = STALE_HOURS) -> DataFrame:
-    """clients -> (cluster_id, n_records, n_stale, name, email, segment, balance, address), the last five structs of value and client."""
+    """clients -> (cluster_id, n_records, n_stale, name, email, segment, balance, address), the last five structs
+    of value and client, null where no record has a value."""
     stored = durable(prepared(clients), "golden-rows")
     rows = stored.repartition(*PIECE)
     zero, no = F.lit(0), F.lit(False)
@@ -97,7 +98,7 @@ def golden_records(clients: DataFrame, hours: int = STALE_HOURS) -> DataFrame:
     ours = ("name", "email", "balance", "address")
     best = winners(offers, PIECE, ours, segment=F.first("segment"), n_records=F.count("*"), n_stale=F.count_if("_stale"))
     out = winners(best, ["cluster_id"], ours, segment=F.first("segment"), n_records=F.sum("n_records"), n_stale=F.sum("n_stale"))
-    taken = [F.struct(F.col(f)["value"].alias("value"), F.col(f)["client"].alias("client")).alias(f) for f in FIELDS]
+    taken = [F.when(F.col(f).isNotNull(), F.struct(F.col(f)["value"].alias("value"), F.col(f)["client"].alias("client"))).alias(f) for f in FIELDS]
     return out.select("cluster_id", "n_records", "n_stale", *taken)
 
 
