@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .brown import op12_lm_scoring
 from .decontamination import op6_benchmark_decontamination
 from .extraction import op7_html_extraction
 from .fingerprints import op2_document_fingerprints
@@ -28,7 +29,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, op11_golden_record, op13_embedding_whitening, pipeline]
+    out = [op1_best_fit_packing, op2_document_fingerprints, op3_minhash_near_dedup, op4_language_id, op5_toxicity, op6_benchmark_decontamination, op7_html_extraction, op8_suffix_array_dedup, op9_pii, op10_secret_scans, op11_golden_record, op12_lm_scoring, op13_embedding_whitening, pipeline]
     return {f.__name__: f for f in out}
 
 
