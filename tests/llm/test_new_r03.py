@@ -141,3 +141,134 @@ def test_whitening_without_variance_and_of_nothing(spark):
     flat = whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 3.0])], shape)).collect()
     assert [abs(r.whitened[0]) for r in flat] == [1.0, 1.0] and {r.whitened[1] for r in flat} == {None} and flat[0].explained == [1.0, 0.0]
     assert whitening.whiten(spark.createDataFrame([], shape)).count() == 0
+
+
+def sentences(pick, vocabulary, n):
+    return " ".join(pick.choice(vocabulary) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def language_docs():
+    pick = random.Random(12)
+    one, two = ([f"{a}{k}" for k in range(60)] for a in ("Foo", "bar"))
+    rows = [(i, sentences(pick, one if i % 2 else two, pick.randint(0, 80))) for i in range(160)]
+    return [*rows, (900, None), (901, ""), (None, "foo1 null id"), (902, "\t \n"), (3, rows[3][1]), (903, "w" * 100_000 + " ünseen\x0bbar3"), (904, "Σ unseen two " * 3)]
+
+
+def plain_counts(rows):
+    import collections
+    import zlib
+
+    texts = [(i, (t or "").encode().lower().split() + [b""]) for i, t in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
+    seen = collections.Counter(w for (_, words), h in zip(texts, held, strict=True) if not h for w in words)
+    return texts, held, seen
+
+
+def test_scores_are_those_of_the_plain_class_model(spark, language_docs, monkeypatch):
+    """Counts, base and the product of transitions and emissions, all by loops over tokens."""
+    import collections
+
+    from voxmill.llm import brown
+
+    found = {}
+    for name in ("exchanged", "transitions"):
+        monkeypatch.setattr(brown, name, lambda *a, f=getattr(brown, name), name=name: found.setdefault(name, f(*a)))
+    got = brown.score_documents(clashing(spark.createDataFrame(language_docs, "doc_id long, text string").repartition(3)), 4).collect()
+    texts, held, seen = plain_counts(language_docs)
+    total, kinds = sum(seen.values()), len(seen)
+    classes, kept = found["exchanged"]
+    assert kept == sorted(kept) and len(kept) > 1
+
+    core = {w: i for i, (w, _) in enumerate(sorted(((w, c) for w, c in seen.items() if c >= brown.CORE_SEEN and 0 < len(w) <= brown.LONGEST), key=lambda x: (-x[1], x[0])))}
+    unit = {w: brown.U if w == b"" else core.get(w, brown.ending(w)) for _, words in texts for w in words}
+    n, per = collections.Counter(), collections.Counter()
+    for w, c in seen.items():
+        n[unit[w]] += c
+        per[unit[w]] += 1
+    units = [*range(len(core)), *range(brown.CORE, brown.U + 1)]
+    mass = collections.Counter()
+    for u in units:
+        mass[classes[u]] += n[u] + 1
+    paths = [[brown.CLASSES] * 2 + [int(classes[unit[w]]) for w in words] for _, words in texts]
+    grams = [collections.Counter() for _ in range(3)]
+    for p, h in zip(paths, held, strict=True):
+        for i in range(2, len(p)):
+            for k in range(3):
+                grams[k][tuple(p[i - k : i + 1])] += not h
+    grams = [collections.Counter({g: c for g, c in x.items() if c}) for x in grams]
+
+    def chance(gram):
+        if len(gram) == 1:
+            return (grams[0][gram] + 1) / (total + brown.CLASSES + 1)
+        after = [c for g, c in grams[len(gram) - 1].items() if g[:-1] == gram[:-1]]
+        less = chance(gram[1:])
+        return (grams[len(gram) - 1][gram] + len(after) * less) / (sum(after) + len(after)) if after else less
+
+    want = collections.Counter()
+    for (i, words), p in zip(texts, paths, strict=True):
+        score = 0.0
+        for k, w in enumerate(words):
+            u = unit[w]
+            said = 1.0 if u < brown.CORE or u == brown.U else (seen[w] or per[u] + 1) / (n[u] + per[u] + 1)
+            score += math.log10(chance(tuple(p[k : k + 3]))) + math.log10((n[u] + 1) / mass[classes[u]]) + math.log10(said)
+        base = sum(math.log10((seen[w] + 1) / (total + kinds + 1)) for w in words)
+        want[i, len(words), sum(seen[w] > 0 for w in words), round(base, 6), round(score, 6)] += 1
+    assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in got) == want
+    assert {r.train_tokens for r in got} == {total}
+    assert [r.held_out for r in got] and {(r.doc_id, r.held_out) for r in got} == {(i, h) for (i, _), h in zip(texts, held, strict=True)}
+    table = found["transitions"]
+    assert np.allclose((10**table).sum(axis=-1), 1)
+
+
+def test_moves_gain_what_the_likelihood_gains(spark):
+    """The change of a move against the likelihood of the whole table before and after it."""
+    from voxmill.llm import brown
+
+    rng = np.random.default_rng(1)
+    units = rng.integers(0, 40, 3000)
+    units[::50] = brown.U
+    pairs = np.stack([units[:-1], units[1:]])
+    classes = np.full(brown.U + 1, brown.CLASSES)
+    classes[: brown.U] = rng.integers(0, 6, brown.U)
+
+    def table(classes):
+        out = np.zeros((brown.CLASSES + 1,) * 2)
+        np.add.at(out, (classes[pairs[0]], classes[pairs[1]]), 1.0)
+        return out
+
+    for u in (0, 7, 39):
+        left, right = np.zeros(brown.CLASSES + 1), np.zeros(brown.CLASSES + 1)
+        np.add.at(left, classes[pairs[0][(pairs[1] == u) & (pairs[0] != u)]], 1)
+        np.add.at(right, classes[pairs[1][(pairs[0] == u) & (pairs[1] != u)]], 1)
+        own = float(((pairs[0] == u) & (pairs[1] == u)).sum())
+        gain = brown.gains(np.array([u]), left[None], right[None], np.array([own]), classes, table(classes))[0]
+        for to in range(8):
+            moved = classes.copy()
+            moved[u] = to
+            assert abs((brown.likelihood(table(moved)) - brown.likelihood(table(classes))) - (gain[to] - gain[classes[u]])) < 1e-6
+
+
+def test_scores_of_nothing_and_without_training(spark):
+    from voxmill.llm import brown
+
+    shape = "doc_id long, text string"
+    assert brown.score_documents(spark.createDataFrame([], shape)).count() == 0
+    held = next(i for i in range(100) if brown.held_out(i))
+    row = brown.score_documents(spark.createDataFrame([(held, "a b")], shape)).collect()[0]
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.held_out) == (3, 0, 0, 0.0, True) and row.score < 0
+
+
+def test_packed_numbers_come_back():
+    from voxmill.llm import brown
+
+    ids = np.array([0, 1, 255, 256, 70_000, 2**32 - 1], np.uint32)
+    assert (brown.unpacked(brown.packed(ids)) == ids).all()
+
+
+def test_classes_say_more_than_frequencies(spark):
+    """Held-out documents of the given table."""
+    from voxmill.llm import brown
+
+    rows = [r for r in brown.op12_lm_scoring(spark, "/root/testdata/sf0.001").collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) + 0.3 * sum(r.n_tokens for r in rows)

@@ -153,7 +153,8 @@ def gains(units: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarra
     m[k, a, :] -= right
     m[k, :, a] -= left
     m[k, a, a] -= own
-    before, after = m.sum(axis=2), m.sum(axis=1)
+    # the unit's neighbours stand before and after it wherever it goes
+    before, after = m.sum(axis=2) + left, m.sum(axis=1) + right
     was = nlog(m)
     rows = nlog(m + right[:, None, :]) - was
     cols = nlog(m + left[:, :, None]) - was
