@@ -7,7 +7,7 @@ import pytest
 
 from voxmill.functions import signals as S
 from voxmill.functions import text as X
-from voxmill.operators import folds
+from voxmill.operators import folds, stretches
 
 DATA = "/root/testdata/sf0.001"
 
@@ -79,7 +79,7 @@ def test_batches_keep_the_budget(spark):
     assert len(out) == docs.where("n_chars <= 20000").count()
     by = out.groupby("batch")["frames"]
     assert by.sum().max() <= 20000 and by.count().max() <= 8
-    full = folds.bucket_batches(docs, "doc_id", "n_chars", 5000.0).toPandas()
+    full = stretches.bucket_batches(docs, "doc_id", "n_chars", 5000).toPandas()
     assert sorted(full["id"]) == sorted(r[0] for r in docs.select("doc_id").collect())
     sums = full.groupby(["bucket", "batch"])["length"].sum().reset_index()
     last = sums.groupby("bucket")["batch"].transform("max")

@@ -67,10 +67,10 @@ def test_sentences_say_what_they_show(spark):
 
 def test_numbered_is_the_place_in_order(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.pmod("id", F.lit(3)).alias("g"))
-    whole = R.numbered(rows, "k", parts=8).collect()
+    whole = R.numbered(rows, "k").collect()
     assert all(r.k == r._k for r in whole) and len(whole) == 1000
     for g in range(3):
-        mine = sorted((r.k, r._k) for r in R.numbered(rows, "k", ["g"], parts=8).collect() if r.g == g)
+        mine = sorted((r.k, r._k) for r in R.numbered(rows, "k", ["g"]).collect() if r.g == g)
         assert [n for _, n in mine] == list(range(len(mine)))
     assert R.numbered(spark.range(0).toDF("k"), "k").count() == 0
 

@@ -1,7 +1,7 @@
 """Sequential folds: segments, batches, balanced bins.
 
 `streamed` deals rows by key, sorts them inside their partitions and feeds them to a fold whose state is bounded, so a
-large key is never held in memory.
+large key is never held in memory.  `stretches` spreads one key over many tasks.
 """
 
 from __future__ import annotations
@@ -112,25 +112,6 @@ class FrameBatches(Fold):
         return [(row[0], size, self.batch)]
 
 
-class FilledBatches(Fold):
-    """(id, size) to (id, size, batch): a batch is full once its sizes reach `size`; the rest makes a last one."""
-
-    def __init__(self, size: float):
-        self.size, self.batch, self.total = size, 0, 0.0
-
-    def feed(self, row):
-        out = [(row[0], row[1], self.batch)]
-        self.total += row[1] or 0
-        if self.total >= self.size:
-            self.batch, self.total = self.batch + 1, 0.0
-        return out
-
-
-def segmented(words: DataFrame, file: str, fewest: float, most: float) -> DataFrame:
-    """words(file, start, end, word) -> (file, start, end, text) of the segments."""
-    return streamed(words, [file], ["start", "end"], ["start", "end", "word"], lambda: Segments(fewest, most), "start double, end double, text string")
-
-
 def class_runs(counts: list[tuple[int, int]], budget: int, most: int) -> list[tuple[int, int, int, int, int]]:
     """For each class of equal frames, in order: (frames, rows that the open batch takes, its number, the number of the
     batch after it, rows of a batch of this class alone)."""
@@ -172,13 +153,6 @@ def bucket_of(length: Column, low: Column | float, high: Column | float, buckets
     return F.floor((length - low) / (high - low + 1) * buckets).cast("int")
 
 
-def bucket_batches(df: DataFrame, id_: str, length: str, size: float, buckets: int = 200) -> DataFrame:
-    """Rows of like length share a bucket, and each bucket is cut into batches of at least `size` (but the last)."""
-    ends = df.agg(F.min(length).alias("_lo"), F.max(length).alias("_hi"))
-    rows = df.crossJoin(F.broadcast(ends)).select(bucket_of(F.col(length), F.col("_lo"), F.col("_hi"), buckets).alias("bucket"), F.col(id_).cast("long").alias("id"), F.col(length).cast("double").alias("length"))
-    return streamed(rows, ["bucket"], ["id"], ["id", "length"], lambda: FilledBatches(size), "id long, length double, batch long")
-
-
 def balanced(groups: DataFrame, name: str, size: str, bins: int = 5) -> DataFrame:
     """Largest first into the lightest bin, the first of equal ones: (name, size, bin).  The rows are group totals (as many
     as there are speakers or folders); they are folded in one native aggregate."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,22 +16,49 @@ def first_of(rows: DataFrame, key: list[str], order: list) -> DataFrame:
     return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
-def numbered(rows: DataFrame, key: str, by: list[str] | None = None, parts: int = 64, name: str = "_k") -> DataFrame:
-    """rows with their number, from 0, in order of an integer key within `by`.
+#: Rows of a stretch of a table that is numbered or summed in order, once it has more than a task for each core.
+STRETCH_ROWS = 1 << 20
 
-    The key's range is cut at approximate quantiles, rows are numbered within stretches, and the rows before a stretch are
-    counted: no group, and not the whole table, is one task's work.
+
+def stretch_of(rows: DataFrame, key: str, stretch: int = STRETCH_ROWS) -> Column:
+    """The number of a row's stretch, in order of an integer key; as many stretches as the rows ask for.
+
+    Keys that fill their range (a quarter of it at least) are cut evenly, which takes their ends and count only; others at
+    approximate quantiles.
+    """
+    low, high, n = rows.agg(F.min(key), F.max(key), F.count(key)).first()
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // stretch))
+    at = F.col(key).cast("long")
+    if not n or high - low < 4 * max(n, parts):
+        return F.floor((at - F.lit(low or 0)) / F.lit(float((high or 0) - (low or 0) + 1)) * parts).cast("int")
+    lows = rows.stat.approxQuantile(key, [k / parts for k in range(1, parts)], 1 / (4 * parts))
+    borders = sorted({int(x) for x in lows})
+    # as long as there are stretches
+    return F.size(F.filter(F.lit(borders), lambda b: b <= at)) if borders else F.lit(0)
+
+
+def running(rows: DataFrame, key: str, by: list[str], value: Column, name: str) -> DataFrame:
+    """rows with the sum of `value` over the rows before them, in order of an integer key within `by`.
+
+    The key's range is cut into stretches; sums run within a stretch, and the stretches before it are summed up: no
+    group, and not the whole table, is one task's work.
     """
-    by = by or []
-    lows = rows.stat.approxQuantile(key, [k / parts for k in range(1, parts)], 0.002)
-    at = F.size(F.filter(F.lit(sorted({int(x) for x in lows}) or [0]), lambda low: low <= F.col(key)))
-    keyed = rows.withColumn("_at", at)
-    counts = keyed.groupBy(*by, "_at").agg(F.count("*").alias("_n"))
+    keyed = rows.withColumns({"_at": stretch_of(rows, key), "_value": value})
+    sums = keyed.groupBy(*by, "_at").agg(F.sum("_value").alias("_n"))
     # one row for each group and stretch
     before = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*by, "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*by, "_at").orderBy(key))
-    return keyed.withColumn("_inside", inside).join(counts, [*by, "_at"]).withColumn(name, F.col("_before") + F.col("_inside") - 1).drop("_at", "_before", "_inside")
+    sums = sums.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_at").alias("_stretch"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.col("_at").eqNullSafe(F.col("_stretch"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    inside = F.coalesce(F.sum("_value").over(Window.partitionBy(*by, "_at").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = keyed.withColumn("_inside", inside).join(sums, same).withColumn(name, F.col("_before") + F.col("_inside"))
+    return out.drop("_at", "_value", "_stretch", "_before", "_inside", *[f"_by_{c}" for c in by])
+
+
+def numbered(rows: DataFrame, key: str, by: list[str] | None = None, name: str = "_k") -> DataFrame:
+    """rows with their number, from 0, in order of an integer key within `by`."""
+    return running(rows, key, by or [], F.lit(1).cast("long"), name)
 
 
 def capped(rows: DataFrame, group: str, order: list, each: int, overall: int) -> DataFrame:

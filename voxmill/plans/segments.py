@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions import durations as D
 from ..functions import signals as S
+from ..functions import tables
 from ..functions import text as X
-from ..operators import folds
+from ..operators import folds, stretches
+from ..operators.relational import stretch_of
 from ..sources.tables import table as t
 
 
@@ -17,7 +19,16 @@ def g01(s, d):
     e = t(s, d, "events").where("ts is not null")
     at = F.col("ts").cast("timestamp").cast("double") / 3600
     words = e.select(F.col("user_id").alias("file"), at.alias("start"), (at + F.lit(0.5)).alias("end"), F.col("event_type").alias("word"))
-    return folds.segmented(words, "file", 3.0, 40.0).withColumnRenamed("file", "user_id")
+    return stretches.segmented(words, "file", 3.0, 40.0, length=160.0).withColumnRenamed("file", "user_id")
+
+
+def g01_sql(s, d):
+    """The segments of g01 by the table function."""
+    tables.register(s)
+    e = t(s, d, "events").where("ts is not null")
+    at = F.col("ts").cast("timestamp").cast("double") / 3600
+    words = e.select("user_id", at.alias("start"), (at + F.lit(0.5)).alias("end"), F.col("event_type").alias("word"))
+    return s.sql("SELECT * FROM segments(TABLE({words}) PARTITION BY user_id ORDER BY (start, word), 3.0D, 40.0D)", words=words)
 
 
 def g02(s, d):
@@ -44,7 +55,7 @@ def g07(s, d):
 
 
 def g08(s, d):
-    return folds.bucket_batches(t(s, d, "documents"), "doc_id", "n_chars", 20000.0)
+    return stretches.bucket_batches(t(s, d, "documents"), "doc_id", "n_chars", 20000).withColumn("length", F.col("length").cast("double"))
 
 
 def g08_bucket(s, d):
@@ -68,8 +79,7 @@ def g11(s, d):
     """Rows that aren't valid take the next valid one's place, the last ones the first one's.  Within stretches of the key
     by a window, beyond them by the first valid key of the stretches behind."""
     o = t(s, d, "orders").select("o_orderkey", F.when(F.col("o_totalprice").between(50000, 150000), F.col("o_orderkey")).alias("good"))
-    lows = o.stat.approxQuantile("o_orderkey", [k / 64 for k in range(1, 64)], 0.002)
-    keyed = o.withColumn("_at", F.size(F.filter(F.lit(sorted({int(x) for x in lows}) or [0]), lambda low: low <= F.col("o_orderkey"))))
+    keyed = o.withColumn("_at", stretch_of(o, "o_orderkey"))
     # one row for each stretch
     first = keyed.groupBy("_at").agg(F.min("good").alias("_first"))
     behind = Window.orderBy("_at").rowsBetween(1, Window.unboundedFollowing)
@@ -183,8 +193,26 @@ _PAIR = "(SELECT a.conv_id, a.turn, a.text AS ref, b.text AS gen FROM conversati
 _X = "list_transform(embedding, lambda x: x::DOUBLE)"
 #: Rows in order of frames into batches, row by row.
 _BATCHES = "WITH RECURSIVE o AS (SELECT doc_id AS id, n_chars AS frames, row_number() OVER (ORDER BY n_chars, doc_id) AS k FROM documents WHERE n_chars <= 3840), f AS (SELECT id, frames, k, 0::BIGINT AS batch, frames AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.id, o.frames, o.k, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN o.frames ELSE f.total + o.frames END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN 1 ELSE f.n + 1 END FROM f JOIN o ON o.k = f.k + 1) "
+#: Words of a user from the i-th on: as many as fit into 40 hours, cut after the last pause that leaves 3 hours.
+_SEGMENTS = """
+WITH RECURSIVE h AS (
+  SELECT user_id, epoch_us(ts) / 1e6 / 3600 AS h, event_type AS word FROM events WHERE ts IS NOT NULL
+), w AS (
+  SELECT user_id, list(h ORDER BY h, word) AS b, list(h + 0.5 ORDER BY h, word) AS e, list(word ORDER BY h, word) AS t FROM h GROUP BY 1
+), f AS (
+  SELECT user_id, 0::BIGINT AS i, 0::BIGINT AS cut, false AS good, 0::BIGINT AS number FROM w
+  UNION ALL
+  SELECT user_id, CASE WHEN ok THEN last ELSE i + 1 END, last, ok, number + ok::BIGINT FROM (
+    SELECT *, fit > 0 AND e[last] - b[i + 1] >= 3 AND trim(array_to_string(t[i + 1:last], '')) <> '' AS ok FROM (
+      SELECT *, CASE WHEN i + fit = len(b) THEN i + fit ELSE coalesce(list_max(list_filter(range(i + 1, i + fit + 1), lambda k: e[k] - b[i + 1] >= 3 AND b[k + 1] - e[k] > 0.05)), i + fit) END AS last FROM (
+        SELECT f.user_id, f.i, f.number, w.b, w.e, w.t, coalesce(list_position(list_transform(w.e[f.i + 1:], lambda x: x - w.b[f.i + 1] > 40), true) - 1, len(w.b) - f.i)::BIGINT AS fit
+        FROM f JOIN w USING (user_id) WHERE f.i < len(w.b)))))
+SELECT user_id, number - 1 AS number, b[p] AS start, e[cut] AS "end", array_to_string(t[p:cut], ' ') AS text FROM (
+  SELECT *, coalesce(lag(i) OVER (PARTITION BY user_id ORDER BY i), 0) + 1 AS p FROM f) JOIN w USING (user_id) WHERE good
+"""
 QUERIES = {
-    "g01_segments": (g01, None),
+    "g01_segments": (g01, _SEGMENTS),
+    "g01_table_function": (g01_sql, _SEGMENTS),
     "g02_slices": (g02, f"SELECT vec_id, len(list_slice(embedding, 17, 48))::BIGINT AS n, round(list_sum(list_slice({_X}, 17, 48)), 4) AS total FROM embeddings"),
     "g03_silence_cuts": (g03, None),
     "g04_chunk_names": (g04, "SELECT conv_id, turn, printf('%d_chunk_%03d.wav', conv_id, i) AS name FROM (SELECT conv_id, turn, unnest(range(ceil(length(text) / 200)::BIGINT)) AS i FROM conversations WHERE text <> '')"),

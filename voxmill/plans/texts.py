@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
+from ..functions import tables
 from ..functions import text as X
 from ..operators import relational as R
 from ..sources.tables import table as t
@@ -118,12 +119,19 @@ s AS (SELECT conv_id, turn, CASE WHEN f.open = '' THEN f.done WHEN len(f.done) =
 SELECT conv_id, turn, unnest(range(len(s)))::INT AS pos, unnest(s) AS sentence FROM s"""
 
 
+def t06_sql(s, d):
+    """Sentences by the table function."""
+    tables.register(s)
+    return s.sql("SELECT c.conv_id, c.turn, x.pos, x.sentence FROM {turns} c, LATERAL sentences(c.text, 10) x", turns=conv(s, d))
+
+
 QUERIES = {
     "t01_normalized": (column("x", X.normalized), sql("x", NORMAL_SQL.format("text"))),
     "t02_first_line": (column("x", X.first_line), sql("x", "trim(regexp_replace(replace(regexp_replace(lower(string_split(text, chr(10))[1]), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '_', ' '), '[\\s\\p{Z}]+', ' ', 'g'))")),
     "t03_lower_unquoted": (column("x", lambda c: F.replace(F.trim(F.lower(c)), F.lit('"'), F.lit(""))), sql("x", "replace(trim(lower(text)), '\"', '')")),
     "t04_word_count": (column("n", X.word_count), sql("n", "len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> ''))::INT")),
     "t05_words_per_second": (column("wps", lambda c: X.words_per_second(c, F.char_length(c) / 16)), sql("wps", "CASE WHEN length(text) > 0 THEN round(len(list_filter(regexp_split_to_array(text, '[\\s\\p{Z}]+'), lambda x: x <> '')) / (length(text) / 16), 2) ELSE 0.0 END")),
+    "t06_table_function": (t06_sql, _SENTENCES),
     "t06_sentences": (lambda s, d: conv(s, d).select(*_C, F.posexplode(X.sentences(F.col("text"))).alias("pos", "sentence")), _SENTENCES),
     "t12_number_words": (t12, _SPOKEN),
     "t13_digits_spelled": (column("x", lambda c: X.digits_spelled(F.char_length(c).cast("string"), N.DIGITS)), sql("x", "array_to_string(list_transform(string_split(length(text)::VARCHAR, ''), lambda c: ['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín'][c::INT + 1]), ' ')")),

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: folders followed until they are read up, micro-batches saved once, states of jobs.
+"""Structured Streaming jobs: folders followed until they are read up, micro-batches saved once, progress as rows.
 
 Every job names its checkpoint, so that a restart goes on where it stopped, and no source file is ever deleted.
 """
@@ -7,11 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def followed(spark: SparkSession, folder: str, schema: T.StructType, kind: str = "parquet", glob: str | None = None, files: int | None = None, archive: str | None = None, deep: bool = False) -> DataFrame:
@@ -59,34 +57,3 @@ def charted(totals: DataFrame, out: str, checkpoint: str, every: str | None = No
 def new_only(batch: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key isn't among those done, each key once."""
     return batch.join(done.select(key).distinct(), key, "left_anti").dropDuplicates([key])
-
-
-STATUS = "job_id long, status string, n long, at double, id long"
-
-
-def job_states(events: DataFrame, patience_ms: int = 300_000) -> DataFrame:
-    """events(job_id, ts, id, status) -> the last status of each job, with how many events it had.
-
-    The state is one row a job, whatever the order of arrival; a job that no event reaches for `patience_ms` of event time
-    ends as `timeout`.
-    """
-
-    def step(key: tuple, frames, state: GroupState):
-        if state.hasTimedOut:
-            status, n, at, id_ = state.get
-            state.remove()
-            yield pd.DataFrame([[key[0], "timeout", n, at, id_]], columns=["job_id", "status", "n", "at", "id"])
-            return
-        status, n, at, id_ = state.get if state.exists else (None, 0, float("-inf"), -1)
-        for f in frames:
-            n += len(f)
-            last = f.sort_values(["at", "id"]).iloc[-1]
-            if (last["at"], last["id"]) > (at, id_):
-                status, at, id_ = last["status"], float(last["at"]), int(last["id"])
-        state.update((status, n, at, id_))
-        due = max(int(at * 1000), state.getCurrentWatermarkMs()) + patience_ms
-        state.setTimeoutTimestamp(due)
-        yield pd.DataFrame([[key[0], status, n, at, id_]], columns=["job_id", "status", "n", "at", "id"])
-
-    rows = events.where("job_id is not null and ts is not null").withWatermark("ts", "0 seconds").select("job_id", "ts", F.col("ts").cast("double").alias("at"), F.col("id").cast("long").alias("id"), "status")
-    return rows.groupBy("job_id").applyInPandasWithState(step, STATUS, "status string, n long, at double, id long", "update", GroupStateTimeout.EventTimeTimeout)
