@@ -259,6 +259,36 @@ def test_scores_of_nothing_and_without_training(spark):
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.held_out) == (3, 0, 0, 0.0, True) and row.score < 0
 
 
+def test_neighbours_count_every_pair(spark):
+    """Chunks of random texts: what stands before and behind each unit, and the class tables that follow."""
+    import collections
+
+    from voxmill.llm import brown
+    from voxmill.llm.common import durable
+
+    pick = random.Random(3)
+    rows = [(i, sentences(pick, [f"w{k}" for k in range(30)], pick.randint(0, 30))) for i in range(80)]
+    chunks = durable(spark.createDataFrame(rows, "doc_id long, text string").repartition(4).mapInArrow(brown.encode, brown.CHUNK), "test-chunks")
+    core = {f"w{k}".encode(): k for k in range(12)}
+    want = collections.Counter()
+    for i, text in rows:
+        units = [brown.U, *[core.get(w, brown.ending(w)) for w in text.encode().split()], brown.U]
+        want.update([] if brown.held_out(i) else list(zip(units, units[1:], strict=False)))
+    beside = brown.neighbours(chunks, spark.sparkContext.broadcast(core))
+    got, back = collections.Counter(), collections.Counter()
+    for r in beside.collect():
+        for others, times, out, turn in ((r.others, r.times, got, 1), (r.before, r.before_times, back, -1)):
+            for other, n in zip(np.frombuffer(others or b"", "<i4"), np.frombuffer(times or b"", "<i8"), strict=True):
+                out[(r.unit, int(other))[::turn]] += int(n)
+    assert got == want and back == want
+    maps = [np.arange(brown.U + 1) % k for k in (3, 7)]
+    for m, table in zip(maps, brown.class_tables(beside, maps), strict=True):
+        whole = np.zeros_like(table)
+        for (a, b), n in want.items():
+            whole[m[a], m[b]] += n
+        assert (whole == table).all()
+
+
 def test_packed_numbers_come_back():
     from voxmill.llm import brown
 

@@ -6,10 +6,10 @@
    word, unknown ones too, belongs to the unit of its ending (`ENDINGS` of them).  So every word is clustered, and what a worker must
    know of the units is bounded.
 3. Pairs of neighbouring units are counted, and each unit gets one row of its neighbours on both sides.
-4. Exchange: in each round, half of the units (by turns) move to the class that raises the likelihood of the class bigrams most, by
-   the exact change of the sum of n log n over classes.  Moves of a round are decided side by side, so where they lower
-   the likelihood together, only the quarter of the greatest gains is tried, and so on; the search ends after `ROUNDS`, or when
-   neither half has anything to gain.
+4. Exchange: in each round, a third of the units (by turns) move to the class that raises the likelihood of the class bigrams most, by
+   the exact change of the sum of n log n over classes.  Moves of a round are decided side by side and can spoil each other, so
+   all of them, or only a share of the greatest gains, are made, whichever is likeliest; the search ends after `ROUNDS`,
+   or when no part has anything to gain.
 5. P(word | history) = P(class | two classes before) P(unit | class) P(word | unit).  Transitions are interpolated from three
    classes to one (Witten-Bell); a unit of an ending keeps a Witten-Bell share for unknown words, which count as one event there.
    Each factor sums to one.
@@ -42,12 +42,14 @@ CORE, CORE_SEEN, LONGEST = 16_384, 10, 64
 #: Units of words by their last ENDING bytes.
 ENDINGS, ENDING = 2_048, 3
 #: Classes, without that of the end of a text; rounds of exchange.
-CLASSES, ROUNDS = 64, 12
-#: Parts of the units that move by turns.
-HALVES = 2
+CLASSES, ROUNDS = 64, 9
+#: Parts of the units that move by turns, and of the moves, by falling gain, that are tried together.
+PARTS, SHARES = 3, (1, 4, 16, 64, 256)
 CHUNK_BYTES = 4 << 20
 #: Units whose moves one product weighs at once.
 MOVES = 64
+#: Pairs that a task adds up before it sends them on.
+HELD_PAIRS = 2_000_000
 END = b""
 U = CORE + ENDINGS
 CHUNK = "chunk long, docs array<long>, tokens array<int>, ids binary, words array<binary>, seen array<long>"
@@ -97,47 +99,112 @@ def units_of(words: list[bytes], core: dict[bytes, int]) -> np.ndarray:
     return out
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for b in batches:
-        for i in range(b.num_rows):
-            yield {name: b.column(j)[i].as_py() for j, name in enumerate(b.schema.names)}
+def columns_of(batch: pa.RecordBatch, i: int) -> dict:
+    """One chunk: its documents, sizes and numbers, its words, and where joined in, the packed counts of them."""
+    at = {name: k for k, name in enumerate(batch.schema.names)}
+    row = {"docs": batch.column(at["docs"])[i].as_py(), "tokens": batch.column(at["tokens"])[i].values.to_numpy(), "ids": unpacked(batch.column(at["ids"])[i].as_py())}
+    row["words"] = batch.column(at["words"])[i].values.to_pylist()
+    if "seen" in at:
+        seen = batch.column(at["seen"])[i].values
+        row["seen"] = np.empty(0, np.int64) if seen is None else seen.to_numpy()
+    return row
 
 
-def learnt_tokens(row: dict) -> np.ndarray:
-    """Which tokens of a chunk stand in training documents."""
-    return np.repeat([not held_out(d) for d in row["docs"]], row["tokens"])
+def chunk_pairs(row: dict, core: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(a (U + 1) + b, times) of the units a, b that follow each other in a chunk's training documents."""
+    learnt = np.repeat([not held_out(d) for d in row["docs"]], row["tokens"])
+    unit = units_of(row["words"], core)[row["ids"][learnt]]
+    # the end of one text stands before the first word of the next one
+    return np.unique(np.concatenate([[U], unit[:-1]]) * (U + 1) + unit, return_counts=True) if len(unit) else (unit, unit)
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with their sums."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def pairs(chunks: DataFrame, core) -> DataFrame:
+    """(unit, other, n): how often `other` stands behind `unit`, added up over the chunks of a task as far as memory allows."""
+
+    def part(batches):
+        keys, n = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(keys // (U + 1), pa.int32()), pa.array(keys % (U + 1), pa.int32()), pa.array(n, pa.int64())], names=["unit", "other", "n"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                more, times = chunk_pairs(columns_of(b, i), core.value)
+                keys, n = summed(np.concatenate([keys, more]), np.concatenate([n, times]))
+                if len(keys) > HELD_PAIRS:
+                    yield out()
+                    keys, n = keys[:0], n[:0]
+        yield out()
+
+    return chunks.select("docs", "tokens", "ids", "words").mapInArrow(part, "unit int, other int, n long")
+
+
+def lists(rows: DataFrame) -> DataFrame:
+    """(unit, other, n) to a row for each unit: (unit, others, times), packed arrays in order of the others."""
+
+    def part(batches):
+        keys, n = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def out(keys, n):
+            keys, n = summed(keys, n)
+            unit = keys // (U + 1)
+            first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+            ends = np.append(first[1:], len(unit))
+            others = (keys % (U + 1)).astype("<i4")
+            return pa.RecordBatch.from_arrays([pa.array(unit[first], pa.int32()), pa.array([others[a:b].tobytes() for a, b in zip(first, ends, strict=True)]), pa.array([n[a:b].astype("<i8").tobytes() for a, b in zip(first, ends, strict=True)])], names=["unit", "others", "times"])
+
+        for b in batches:
+            keys = np.concatenate([keys, b.column(0).to_numpy().astype(np.int64) * (U + 1) + b.column(1).to_numpy()])
+            n = np.concatenate([n, b.column(2).to_numpy()])
+            # the last unit may go on in the next batch
+            whole = int(np.searchsorted(keys, keys[-1] // (U + 1) * (U + 1))) if len(keys) else 0
+            if whole:
+                yield out(keys[:whole], n[:whole])
+                keys, n = keys[whole:], n[whole:]
+        if len(keys):
+            yield out(keys, n)
+
+    return rows.repartition("unit").sortWithinPartitions("unit", "other").mapInArrow(part, "unit int, others binary, times binary")
 
 
 def neighbours(chunks: DataFrame, core) -> DataFrame:
-    """(unit, n, sides array of (other, left, right)) of every unit: how often `other` stands before it and after it."""
-
-    def pairs(batches):
-        for row in rows_of(batches):
-            unit = units_of(row["words"], core.value)[unpacked(row["ids"])[learnt_tokens(row)]]
-            if len(unit):
-                # the end of one text stands before the first word of the next one
-                key, n = np.unique(np.concatenate([[U], unit[:-1]]) * (U + 1) + unit, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key // (U + 1), pa.int32()), pa.array(key % (U + 1), pa.int32()), pa.array(n, pa.int64())], names=["a", "b", "n"])
-
-    found = chunks.select("docs", "tokens", "ids", "words").mapInArrow(pairs, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    side = F.explode(F.array(F.struct(F.col("b").alias("unit"), F.col("a").alias("other"), F.col("n").alias("left"), F.lit(0).cast("long").alias("right")), F.struct(F.col("a").alias("unit"), F.col("b").alias("other"), F.lit(0).cast("long").alias("left"), F.col("n").alias("right"))))
-    both = found.select(side.alias("s")).select("s.*")
-    # at most 2 (U + 1) neighbours a unit
-    return both.groupBy("unit").agg(F.sum("left").alias("n"), F.collect_list(F.struct("other", "left", "right")).alias("sides"))
-
-
-def profiles(batch: pa.RecordBatch, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(units, left and right counts by class, counts beside itself) of a batch of neighbours' rows."""
-    unit = batch.column(0).to_numpy().astype(np.int64)
-    sides = batch.column(1)
-    size = np.diff(sides.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(unit)), size)
-    other, left, right = (sides.flatten().field(i).to_numpy() for i in range(3))
-    c, own = CLASSES + 1, other == unit[owner]
-    key = owner * c + classes[other]
-    shape = (len(unit), c)
-    out = [np.bincount(key[~own], weights=x[~own], minlength=len(unit) * c).reshape(shape) for x in (left, right)]
-    return unit, *out, np.bincount(owner[own], weights=left[own], minlength=len(unit))
+    """(unit, others, times, before, before_times) of every unit: the units behind it and before it, at most U + 1 of each."""
+    behind = durable(lists(pairs(chunks, core)), "brown-behind")
+
+    def turned(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                other = np.frombuffer(b.column(1)[i].as_py(), "<i4")
+                yield pa.RecordBatch.from_arrays([pa.array(other), pa.array(np.full(len(other), b.column(0)[i].as_py(), np.int32)), pa.array(np.frombuffer(b.column(2)[i].as_py(), "<i8"))], names=["unit", "other", "n"])
+
+    before = lists(behind.mapInArrow(turned, "unit int, other int, n long")).withColumnsRenamed({"others": "before", "times": "before_times"})
+    out = durable(behind.join(before.hint("merge"), "unit", "full"), "brown-neighbours")
+    discard(behind)
+    return out
+
+
+def profiles(batch: pa.RecordBatch, *classes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each class map: (units, left and right counts by class, counts beside itself) of a batch of neighbours' rows."""
+    unit, c = batch.column(0).to_numpy().astype(np.int64), CLASSES + 1
+    sides = []
+    for k in (3, 1):
+        held = [[b or b"" for b in batch.column(x).to_pylist()] for x in (k, k + 1)]
+        owner = np.repeat(np.arange(len(unit)), [len(b) // 4 for b in held[0]])
+        other, n = np.frombuffer(b"".join(held[0]), "<i4"), np.frombuffer(b"".join(held[1]), "<i8")
+        own = other == unit[owner]
+        sides.append((owner[~own], other[~own], n[~own]))
+        itself = np.bincount(owner[own], weights=n[own], minlength=len(unit))
+    return [(unit, *[np.bincount(owner * c + m[other], weights=n, minlength=len(unit) * c).reshape(len(unit), c) for owner, other, n in sides], itself) for m in classes]
 
 
 def nlog(x: np.ndarray) -> np.ndarray:
@@ -171,20 +238,20 @@ def likelihood(table_: np.ndarray) -> float:
     return float(nlog(table_).sum() - nlog(table_.sum(axis=0)).sum() - nlog(table_.sum(axis=1)).sum())
 
 
-def class_table(beside: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """How often each class follows each."""
+def class_tables(beside: DataFrame, maps: list[np.ndarray]) -> list[np.ndarray]:
+    """How often each class follows each, under each class map."""
     c = CLASSES + 1
 
     def part(batches):
-        out = np.zeros((c, c))
+        out = np.zeros((len(maps), c, c))
         for b in batches:
-            unit, left, right, own = profiles(b, classes)
-            np.add.at(out, classes[unit], right)
-            np.add.at(out, (classes[unit], classes[unit]), own)
-        yield pa.RecordBatch.from_pydict({"e": pa.array(np.arange(c * c), pa.int32()), "v": pa.array(out.ravel())})
+            for k, (unit, _, right, own) in enumerate(profiles(b, *maps)):
+                np.add.at(out[k], maps[k][unit], right)
+                np.add.at(out[k], (maps[k][unit], maps[k][unit]), own)
+        yield pa.RecordBatch.from_pydict({"e": pa.array(np.arange(out.size), pa.int32()), "v": pa.array(out.ravel())})
 
-    found = beside.select("unit", "sides").mapInArrow(part, "e int, v double").groupBy("e").agg(F.sum("v").alias("v")).orderBy("e").toArrow()["v"].to_numpy()
-    return found.reshape(c, c) if len(found) else np.zeros((c, c))
+    found = beside.mapInArrow(part, "e int, v double").groupBy("e").agg(F.sum("v").alias("v")).orderBy("e").toArrow()["v"].to_numpy()
+    return list(found.reshape(len(maps), c, c)) if len(found) else [np.zeros((c, c)) for _ in maps]
 
 
 def best_moves(beside: DataFrame, classes: np.ndarray, counts: np.ndarray, turn: int) -> list[tuple[int, int, float]]:
@@ -192,8 +259,8 @@ def best_moves(beside: DataFrame, classes: np.ndarray, counts: np.ndarray, turn:
 
     def part(batches):
         for b in batches:
-            unit, *rest = profiles(b, classes)
-            asked = np.flatnonzero((unit != U) & ((unit * 2654435761 % (1 << 32) >> 16) % HALVES == turn % HALVES))
+            unit, *rest = profiles(b, classes)[0]
+            asked = np.flatnonzero((unit != U) & ((unit * 2654435761 % (1 << 32) >> 16) % PARTS == turn % PARTS))
             for at in range(0, len(asked), MOVES):
                 some = asked[at : at + MOVES]
                 gain = gains(unit[some], *[x[some] for x in rest], classes, counts)
@@ -203,32 +270,32 @@ def best_moves(beside: DataFrame, classes: np.ndarray, counts: np.ndarray, turn:
                 up = more > 1e-6
                 yield pa.RecordBatch.from_pydict({"unit": pa.array(unit[some][up], pa.int32()), "class": pa.array(best[up], pa.int32()), "gain": more[up]})
 
-    found = beside.select("unit", "sides").mapInArrow(part, "unit int, class int, gain double").collect()
+    found = beside.mapInArrow(part, "unit int, class int, gain double").collect()
     return sorted(map(tuple, found), key=lambda m: (-m[2], m[0]))
 
 
-def exchanged(beside: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, list[float]]:
-    """(class of every unit, likelihoods of the rounds that stayed)."""
+def exchanged(beside: DataFrame, sizes: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, list[float]]:
+    """(class of every unit, likelihoods of the rounds that stayed); at first the units are dealt to the classes by falling size."""
     classes = np.full(U + 1, CLASSES, np.int64)
-    sizes = {r.unit: r.n for r in beside.where(F.col("unit") < U).select("unit", "n").collect()}
-    order = sorted(range(U), key=lambda u: (-sizes.get(u, 0), u))
-    classes[order] = np.arange(U) % CLASSES
-    counts = class_table(beside, classes)
+    classes[np.argsort(-sizes[:U], kind="stable")] = np.arange(U) % CLASSES
+    counts = class_tables(beside, [classes])[0]
     kept, idle = [likelihood(counts)], 0
     for turn in range(rounds):
         moves = best_moves(beside, classes, counts, turn)
-        while moves:
+        tried = []
+        for part in SHARES:
             new = classes.copy()
-            for unit, to, _ in moves:
+            for unit, to, _ in moves[: -(-len(moves) // part)]:
                 new[unit] = to
-            after = class_table(beside, new)
-            if likelihood(after) > kept[-1]:
-                classes, counts = new, after
-                kept.append(likelihood(after))
-                break
-            moves = moves[: len(moves) // 4]
-        idle = 0 if moves else idle + 1
-        if idle == HALVES:
+            tried.append(new)
+        tables = class_tables(beside, tried) if moves else [counts]
+        best = int(np.argmax([likelihood(m) for m in tables]))
+        if likelihood(tables[best]) > kept[-1]:
+            classes, counts, idle = tried[best], tables[best], 0
+            kept.append(likelihood(counts))
+        else:
+            idle += 1
+        if idle == PARTS:
             break
     return classes, kept
 
@@ -279,22 +346,23 @@ def coded_documents(chunks: DataFrame, counts: DataFrame, core, model: dict) ->
     """(doc_id, held_out, n_tokens, n_known, base, emission, classes): what a document's own words say, and their classes."""
     rare = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
     known = counts.join(F.broadcast(core), "word", "left_anti").withColumnRenamed("word", "_w").hint("merge")
-    seen = rare.join(F.broadcast(core), "word", "left_anti").join(known, F.col("word") == F.col("_w")).groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("seen"))
+    # place and count in one number: a chunk has under 2^27 words, and a word that isn't core is seen less than 2^36 times
+    packed_ = F.col("at").cast("long") * (1 << 36) + F.col("c")
+    seen = rare.join(F.broadcast(core), "word", "left_anti").join(known, F.col("word") == F.col("_w")).groupBy("chunk").agg(F.collect_list(packed_).alias("seen"))
     whole = chunks.select(F.col("chunk").alias("_chunk"), "docs", "tokens", "ids", "words").join(seen.hint("merge"), F.col("_chunk") == F.col("chunk"), "left").drop("chunk", "_chunk")
     sent = chunks.sparkSession.sparkContext.broadcast(model)
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, emission double, classes binary"
 
     def part(batches):
         m = sent.value
-        for row in rows_of(batches):
+        for row in (columns_of(b, i) for b in batches for i in range(b.num_rows)):
             unit = units_of(row["words"], m["core"])
             c = np.where(unit < CORE, m["seen"][unit], 0)
-            for x in row["seen"] or ():
-                c[x["at"]] = x["c"]
+            c[row["seen"] >> 36] = row["seen"] & ((1 << 36) - 1)
             c[0] = m["texts"]
             share = np.where((unit >= CORE) & (unit < U), m["known"][unit] + np.log10(np.maximum(c, 1)), 0.0)
             share = np.where((unit >= CORE) & (unit < U) & (c == 0), m["unknown"][unit], share)
-            ids = unpacked(row["ids"])
+            ids = row["ids"]
             at = np.cumsum(row["tokens"]) - row["tokens"]
             classes = m["classes"][unit][ids].astype(np.uint8).tobytes()
             sums = [np.add.reduceat(x[ids], at) for x in (np.log10(c + 1.0), m["unit"][unit] + share)]
@@ -334,13 +402,16 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # at most CORE words of LONGEST bytes, and the end
     named = spark.createDataFrame([(w,) for w in [END, *core]], "word binary")
     sent = spark.sparkContext.broadcast(core)
-    beside = durable(neighbours(chunks, sent), "brown-neighbours")
-    classes, _ = exchanged(beside, rounds)
+    beside = neighbours(chunks, sent)
     texts = sum(r.c for r in counts.where(F.octet_length("word") == 0).collect())
     seen = np.array([r.c for r in common] + [0] * (U + 1 - len(common)), np.int64)
     rare = counts.join(F.broadcast(named), "word", "left_anti")
     unit = F.crc32(F.expr(f"substring(word, -{ENDING}, {ENDING})")) % ENDINGS + CORE
     endings = {r.unit: (r.n, r.kinds) for r in rare.groupBy(unit.alias("unit")).agg(F.sum("c").alias("n"), F.count("*").alias("kinds")).collect()}
+    sizes = seen.copy()
+    for u, (n, _) in endings.items():
+        sizes[u] = n
+    classes, _ = exchanged(beside, sizes, rounds)
     model = {"core": core, "seen": seen, "texts": texts, "classes": classes} | emissions(classes, seen, len(core), texts, endings)
     coded = durable(coded_documents(chunks, counts, named, model), "brown-coded")
     discard(chunks, counts, beside)
