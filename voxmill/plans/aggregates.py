@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import distance as E
+from ..operators import quantiles as Q
+from ..sources.store import place
 from ..sources.tables import table as t
 from .scores import rates_sql, turn_pairs
 
@@ -117,9 +119,30 @@ def a19(s, d):
     return r.select(F.least("q", "x").alias("completed"))
 
 
+def placed(s):
+    """Writes a small table to the shared folder and reads it back."""
+
+    def put(df):
+        at = place(s)
+        df.write.parquet(at)
+        return s.read.schema(df.schema).parquet(at)
+
+    return put
+
+
 def a20(s, d):
-    q = F.percentile("l_quantity", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return t(s, d, "lineitem").groupBy("l_returnflag").agg(q.alias("q"), F.count("*").alias("n")).select("l_returnflag", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), F.greatest(F.lit(5), F.least(F.lit(20), F.floor(F.col("n") / 2))).cast("int").alias("bins"))
+    """Box plots: quartiles, and whiskers at the last values within one and a half times their distance."""
+    rows = t(s, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    box = Q.quantiles(rows, ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, placed(s))
+    reach = (F.col("q3") - F.col("q1")) * 1.5
+    x, flag = F.col("l_extendedprice"), F.col("l_returnflag")
+    met = rows.join(box.select(flag.alias("flag"), "q1", "q3"), flag.eqNullSafe(F.col("flag")))
+    ends = met.groupBy("flag").agg(F.min(F.when(x >= F.col("q1") - reach, x)).alias("low"), F.max(F.when(x <= F.col("q3") + reach, x)).alias("high"), F.count_if((x < F.col("q1") - reach) | (x > F.col("q3") + reach)).alias("outliers"))
+    return box.join(ends, flag.eqNullSafe(F.col("flag"))).select("l_returnflag", "q1", "median", "q3", "low", "high", "outliers", Q.bins_for(F.col("n")).alias("bins"))
+
+
+def a20_histogram(s, d):
+    return Q.histogram(t(s, d, "lineitem"), ["l_returnflag"], "l_extendedprice").select("l_returnflag", "bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "n")
 
 
 #: What takes each metric to 0 to 1 (lower is better for the first two): shift and scale.
@@ -183,7 +206,8 @@ QUERIES = {
     "a17_shard_merge": (a17, "WITH c AS (SELECT DISTINCT source, unnest(string_split(text, '')) AS c FROM documents), v AS (SELECT source, count(*) AS v FROM c WHERE c <> '' GROUP BY 1) SELECT d.source, count(*) AS n_rows, count(*) FILTER (n_chars < 100) AS bad, coalesce(max(v), 0) AS vocabulary FROM documents d LEFT JOIN v ON v.source = d.source GROUP BY 1 UNION ALL SELECT 'all', count(*), count(*) FILTER (n_chars < 100), (SELECT count(DISTINCT c) FROM c WHERE c <> '') FROM documents"),
     "a18_training_plan": (a18, "WITH r AS (SELECT max(n_chars) AS longest, ceil(sum(n_chars) / 38400)::BIGINT AS u FROM documents) SELECT longest, u AS updates_per_epoch, floor(1200000 / u)::BIGINT AS epochs FROM r"),
     "a19_completed": (a19, "SELECT least(count(quality), count(toxic)) AS completed FROM labels"),
-    "a20_quartiles": (a20, "SELECT l_returnflag, quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.5) AS median, quantile_cont(l_quantity, 0.75) AS q3, greatest(5, least(20, count(*) // 2))::INT AS bins FROM lineitem GROUP BY 1"),
+    "a20_quartiles": (a20, "WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3, count(*) AS n FROM lineitem GROUP BY 1) SELECT q.l_returnflag, q1, median, q3, min(l_extendedprice) FILTER (l_extendedprice >= q1 - (q3 - q1) * 1.5::DOUBLE) AS low, max(l_extendedprice) FILTER (l_extendedprice <= q3 + (q3 - q1) * 1.5::DOUBLE) AS high, count(*) FILTER (l_extendedprice < q1 - (q3 - q1) * 1.5::DOUBLE OR l_extendedprice > q3 + (q3 - q1) * 1.5::DOUBLE) AS outliers, greatest(5, least(20, n // 2))::INT AS bins FROM lineitem l JOIN q ON l.l_returnflag IS NOT DISTINCT FROM q.l_returnflag GROUP BY ALL"),
+    "a20_histogram": (a20_histogram, "WITH e AS (SELECT l_returnflag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, greatest(5, least(20, count(*) // 2))::INT AS bins FROM lineitem GROUP BY 1), c AS (SELECT l.l_returnflag, least(bins - 1, floor((l_extendedprice - lo) / ((hi - lo) / bins)))::INT AS bin, count(*) AS n FROM lineitem l JOIN e ON l.l_returnflag = e.l_returnflag GROUP BY 1, 2), b AS (SELECT *, unnest(range(bins))::INT AS bin FROM e) SELECT b.l_returnflag, b.bin, round(lo + (hi - lo) / bins * b.bin, 6) AS low, round(lo + (hi - lo) / bins * (b.bin + 1), 6) AS high, coalesce(n, 0) AS n FROM b LEFT JOIN c ON b.l_returnflag = c.l_returnflag AND b.bin = c.bin"),
     "a21_radar_axis": (a21, "WITH l AS (SELECT l_orderkey, l_linenumber, ['mcd', 'wer', 'pesq', 'stoi', 'utmos', 'f0_correlation', 'other'][(l_orderkey + l_linenumber) % 7 + 1] AS metric, l_quantity / 10 - 0.5::DOUBLE AS x FROM lineitem) SELECT l_orderkey, l_linenumber, metric, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE metric WHEN 'mcd' THEN 1 - x / 15 WHEN 'wer' THEN 1 - x WHEN 'pesq' THEN (x + 0.5::DOUBLE) / 5 WHEN 'utmos' THEN (x - 1) / 4 WHEN 'f0_correlation' THEN (x + 1) / 2 ELSE x END)), 6) AS axis FROM l"),
     "a22_model_comparison": (a22, "SELECT user_id, coalesce(round(avg(value) FILTER (event_type = 'click'), 4), 0.0) AS click, coalesce(round(avg(value) FILTER (event_type = 'view'), 4), 0.0) AS view_ FROM events GROUP BY 1"),
     "a23_known_metrics": (a23, "SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1"),

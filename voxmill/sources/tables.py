@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .formats import register
 from .store import exists, is_folder, opened
 
 
@@ -32,22 +33,7 @@ def stem(path: Column) -> Column:
 
 def shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Rows of Arrow files, each read where it is; columns by name, missing ones null."""
-    fields = T.StructType.fromDDL(schema)
-    kinds = to_arrow_schema(fields)
-
-    def run(batches):
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                fs, path = opened(uri)
-                with fs.open_input_file(path) as held:
-                    reader = pa.ipc.open_file(held)
-                    for k in range(reader.num_record_batches):
-                        part = reader.get_batch(k)
-                        there = [part.column(part.schema.get_field_index(f.name)).cast(f.type) if f.name in part.schema.names else pa.nulls(part.num_rows, f.type) for f in kinds]
-                        yield pa.RecordBatch.from_arrays(there, schema=kinds)
-
-    listed = files(spark, folder, "*.arrow").orderBy("path").select("uri")
-    return listed.repartition(spark.sparkContext.defaultParallelism, "uri").mapInArrow(run, fields)
+    return register(spark).read.format("arrow_ipc").schema(schema).load(folder)
 
 
 def write_shards(rows: DataFrame, folder: str) -> None:
@@ -190,37 +176,9 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return parsed.where("r._broken is null").select("r.*").drop("_broken")
 
 
-def riff_seconds(source) -> float | None:
-    """Seconds of a RIFF file from its chunks' heads; the samples aren't read."""
-    head = source.read(12)
-    if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
-        return None
-    rate = None
-    while len(chunk := source.read(8)) == 8:
-        size = int.from_bytes(chunk[4:], "little")
-        if chunk[:4] == b"fmt ":
-            rate = int.from_bytes(source.read(16)[8:12], "little")
-            size -= 16
-        elif chunk[:4] == b"data":
-            return size / rate if rate else None
-        source.seek(source.tell() + size + size % 2)
-    return None
-
-
 def wav_durations(spark: SparkSession, folder: str) -> DataFrame:
     """path and seconds of audio files, by the heads of their chunks; null where they tell nothing."""
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for uri in batch.column(1).to_pylist():
-                fs, path = opened(uri)
-                with fs.open_input_file(path) as held:
-                    out.append(riff_seconds(held))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["path", "seconds"])
-
-    listed = files(spark, folder, "*.wav").select("path", "uri")
-    return listed.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(run, "path string, seconds double")
+    return register(spark).read.format("wav").schema("path string, seconds double").load(folder)
 
 
 def probed_durations(spark: SparkSession, folder: str, decode: Callable[[bytes], float | None]) -> DataFrame:
