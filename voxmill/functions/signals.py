@@ -5,12 +5,13 @@ Each has a plain numpy function and, as `column(function)`, an Arrow-batched col
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .voice import pitch as pitch
+from .voice import resampled, stoi, vocoded
+
 FLOOR = 1e-10
 
 
@@ -108,38 +109,13 @@ def framed_rms(x: np.ndarray, frame: int = 2048, hop: int = 512) -> np.ndarray:
     return np.sqrt(np.maximum(total[start + frame] - total[start], 0) / frame)
 
 
-def resampled(x: np.ndarray, rate: int, to: int, zeros: int = 6, rolloff: float = 0.99) -> np.ndarray:
-    """On another grid by a Hann-windowed sinc, whose band is the narrower of the two; as many values as fit, the last one up."""
-    x = np.asarray(x, float)
-    if rate == to or not len(x):
-        return x
-    common = math.gcd(rate, to)
-    rate, to = rate // common, to // common
-    cut = min(rate, to) * rolloff
-    reach = math.ceil(zeros * rate / cut)
-    taps = np.arange(-reach, reach + rate)
-    # one row of weights for each of the `to` phases of a block of `rate` samples
-    at = (np.arange(0, -to, -1)[:, None] / to + taps[None, :] / rate) * cut
-    at = np.clip(at, -zeros, zeros)
-    kernel = np.sinc(at) * np.cos(at * np.pi / zeros / 2) ** 2 * (cut / rate)
-    n = math.ceil(len(x) * to / rate)
-    padded = np.pad(x, (reach, reach + rate + rate * 2))
-    blocks = np.lib.stride_tricks.sliding_window_view(padded, len(taps))[: len(x) + 1 : rate]
-    return (blocks @ kernel.T).ravel()[:n]
-
-
-def stretched(x: np.ndarray, n: int) -> np.ndarray:
-    """The stand-in of a time stretch: n values by linear interpolation; a phase vocoder takes its place by argument."""
-    return np.interp(np.linspace(0, max(0, len(x) - 1), n), np.arange(len(x)), x) if len(x) else x
-
-
-def time_aligned(a: np.ndarray, b: np.ndarray, most: float = 1.35, stretch=stretched) -> tuple[np.ndarray, np.ndarray]:
+def time_aligned(a: np.ndarray, b: np.ndarray, most: float = 1.35, stretch=None) -> tuple[np.ndarray, np.ndarray]:
     """Both at the shorter length; before that b is stretched to a's, where their ratio lies within `most`."""
     a, b = (centred(v) for v in (a, b))
     if not len(a) or not len(b):
         return a, b
     if 1 / most <= len(b) / len(a) <= most:
-        b = stretch(b, len(a))
+        b = (stretch or vocoded)(b, len(a))
     n = min(len(a), len(b))
     return a[:n], b[:n]
 
@@ -184,10 +160,10 @@ def listening_score(a: np.ndarray, b: np.ndarray, rate: int, score, least: int =
         return None
 
 
-def intelligibility(a: np.ndarray, b: np.ndarray, rate: int, score, prepare=prepared_pair) -> float:
-    """score(a, b, rate) within 0 and 1; 0 under a quarter of a second."""
+def intelligibility(a: np.ndarray, b: np.ndarray, rate: int, score=None, prepare=prepared_pair) -> float:
+    """score(a, b, rate) of a prepared pair, short-time objective intelligibility, within 0 and 1; 0 under a quarter of a second."""
     a, b = prepare(a, b)
-    return 0.0 if min(len(a), len(b)) < 0.25 * rate else float(np.clip(score(a, b, rate), 0.0, 1.0))
+    return 0.0 if min(len(a), len(b)) < 0.25 * rate else float(np.clip((score or stoi)(a, b, rate), 0.0, 1.0))
 
 
 def isolated(metrics: dict):
