@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distance as E
 from ..operators import quantiles as Q
-from ..sources.store import place
+from ..sources.store import writer
 from ..sources.tables import table as t
 from .scores import rates_sql, turn_pairs
 
@@ -119,21 +119,10 @@ def a19(s, d):
     return r.select(F.least("q", "x").alias("completed"))
 
 
-def placed(s):
-    """Writes a small table to the shared folder and reads it back."""
-
-    def put(df):
-        at = place(s)
-        df.write.parquet(at)
-        return s.read.schema(df.schema).parquet(at)
-
-    return put
-
-
 def a20(s, d):
     """Box plots: quartiles, and whiskers at the last values within one and a half times their distance."""
     rows = t(s, d, "lineitem").select("l_returnflag", "l_extendedprice")
-    box = Q.quantiles(rows, ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, placed(s))
+    box = Q.quantiles(rows, ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, writer(s))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     x, flag = F.col("l_extendedprice"), F.col("l_returnflag")
     met = rows.join(box.select(flag.alias("flag"), "q1", "q3"), flag.eqNullSafe(F.col("flag")))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import distance as E
 from ..functions import sentences as Y
 from ..functions import text as X
+from ..operators import variants as V
+from ..sources.store import writer
 from ..sources.tables import table as t
 from .scores import CHAR_ERRORS_SQL, turn_pairs, word_errors_sql
 from .texts import title_of
@@ -81,25 +84,27 @@ def h01(s, d):
     return t(s, d, "events").select("event_id", F.get_json_object(embedded(html), "$.k").alias("k"))
 
 
-ITEM = "richItemRenderer STRUCT<content: STRUCT<videoRenderer: STRING, lockupViewModel: STRING>>, gridVideoRenderer STRING, continuationItemRenderer STRING"
-TABS = f"contents STRUCT<twoColumnBrowseResultsRenderer: STRUCT<tabs: ARRAY<STRUCT<tabRenderer: STRUCT<content: STRUCT<richGridRenderer: STRUCT<contents: ARRAY<STRUCT<{ITEM}>>>, sectionListRenderer: STRUCT<contents: ARRAY<STRUCT<itemSectionRenderer: STRUCT<contents: ARRAY<STRUCT<gridRenderer: STRUCT<items: ARRAY<STRUCT<{ITEM}>>>>>>>>>>>>>>>".replace("STRUCT<richItemRenderer STRUCT", "STRUCT<richItemRenderer: STRUCT").replace(", gridVideoRenderer STRING", ", gridVideoRenderer: STRING").replace(", continuationItemRenderer STRING", ", continuationItemRenderer: STRING")
-MORE = f"onResponseReceivedActions ARRAY<STRUCT<appendContinuationItemsAction: STRUCT<continuationItems: ARRAY<STRUCT<{ITEM}>>>>>".replace("STRUCT<richItemRenderer STRUCT", "STRUCT<richItemRenderer: STRUCT").replace(", gridVideoRenderer STRING", ", gridVideoRenderer: STRING").replace(", continuationItemRenderer STRING", ", continuationItemRenderer: STRING")
+#: What a video may be, the first of an item's counting, and where the next page is asked for.
+VIDEOS, NEXT = ("lockupViewModel", "videoRenderer", "gridVideoRenderer"), "continuationItemRenderer"
 
 
-def listed(rows, key: str, items):
-    """(key, pos, video, title, token) of the items of a page, in order.
+def listed(nodes, key: str, put):
+    """(key, pos, video, title, token) of the items below the nodes, in order, however deep they lie.
 
-    An item's video is its lockup, else its renderer, else the one of the old layout; an item without one may carry a
-    token, and the last of a page is where the next page is asked for.
+    An item's video is its lockup, else its renderer, else the one of the old layout, each if it isn't empty; an item without
+    one may carry a token, and the last of a page is where the next page is asked for.
     """
-    each = rows.select(key, F.posexplode(items).alias("pos", "i"))
-    there = lambda c: F.when(~F.coalesce(c, F.lit("{}")).isin("{}", ""), c)
-    lockup, video, grid = (there(F.col(c)) for c in ("i.richItemRenderer.content.lockupViewModel", "i.richItemRenderer.content.videoRenderer", "i.gridVideoRenderer"))
-    one = F.coalesce(video, grid)
-    id_ = F.when(lockup.isNotNull(), F.get_json_object(lockup, "$.contentId")).otherwise(F.get_json_object(one, "$.videoId"))
-    title = F.when(lockup.isNotNull(), F.coalesce(F.get_json_object(lockup, "$.metadata.lockupMetadataViewModel.title.content"), F.lit(""))).otherwise(F.coalesce(title_of(F.get_json_object(one, "$.title")), F.lit("")))
-    token = F.get_json_object("i.continuationItemRenderer", "$.continuationEndpoint.continuationCommand.token")
-    return each.select(key, "pos", F.nullif(id_, F.lit("")).alias("video"), title.alias("title"), F.nullif(token, F.lit("")).alias("token"))
+    each = V.found(nodes, key, (*VIDEOS, NEXT), put).where("to_json(node) <> '{}'")
+    text = lambda path: F.expr(f"try_variant_get(node, '{path}', 'string')")
+    lockup = F.col("name") == VIDEOS[0]
+    title = F.when(lockup, text("$.metadata.lockupMetadataViewModel.title.content")).otherwise(title_of(F.to_json(F.expr("try_variant_get(node, '$.title', 'variant')"))))
+    rank = F.array_position(F.array(*map(F.lit, VIDEOS)), F.col("name"))
+    video = F.when(rank > 0, F.struct(rank.alias("rank"), "path", F.nullif(F.when(lockup, text("$.contentId")).otherwise(text("$.videoId")), F.lit("")).alias("id"), F.coalesce(title, F.lit("")).alias("title")))
+    token = F.when(F.col("name") == NEXT, F.struct("path", F.nullif(text("$.continuationEndpoint.continuationCommand.token"), F.lit("")).alias("token")))
+    items = each.groupBy(key, "item").agg(F.min(video).alias("v"), F.max(token).alias("t"))
+    # a page's items
+    pos = (F.row_number().over(Window.partitionBy(key).orderBy("item")) - 1).alias("pos")
+    return items.select(key, pos, F.col("v.id").alias("video"), F.col("v.title").alias("title"), F.col("t.token").alias("token"))
 
 
 def videos(found, key: str):
@@ -123,23 +128,27 @@ def crafted(s, d):
     return t(s, d, "nation").select("n_nationkey", text("[", F.concat_ws(",", *items), "]").alias("items"))
 
 
+def wrapped(items):
+    """The list of every third page, a level deeper than any layout that is known."""
+    return F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit('[{"shelf":{"rows":[{"entries":'), items, F.lit("}]}}]"))).otherwise(items)
+
+
 def h02(s, d):
+    put = writer(s)
     rows = crafted(s, d)
-    rich = F.concat(F.lit('{"tabRenderer":{"content":{"richGridRenderer":{"contents":'), "items", F.lit("}}}}"))
-    old = F.concat(F.lit('{"tabRenderer":{"content":{"sectionListRenderer":{"contents":[{"itemSectionRenderer":{"contents":[{"gridRenderer":{"items":'), "items", F.lit("}}]}}]}}}}"))
+    rich = F.concat(F.lit('{"tabRenderer":{"content":{"richGridRenderer":{"contents":'), wrapped(F.col("items")), F.lit("}}}}"))
+    old = F.concat(F.lit('{"tabRenderer":{"content":{"sectionListRenderer":{"contents":[{"itemSectionRenderer":{"contents":[{"gridRenderer":{"items":'), wrapped(F.col("items")), F.lit("}}]}}]}}}}"))
     data = F.concat(F.lit('{"contents":{"twoColumnBrowseResultsRenderer":{"tabs":[{"tabRenderer":{"title":"Home"}},'), F.when(F.col("n_nationkey") % 2 == 0, rich).otherwise(old), F.lit("]}}}"))
-    tabs = F.from_json(data, TABS)["contents"]["twoColumnBrowseResultsRenderer"]["tabs"]
-    rich_items = F.get(F.filter(F.transform(tabs, lambda x: x["tabRenderer"]["content"]["richGridRenderer"]["contents"]), lambda x: x.isNotNull()), F.lit(0))
-    sections = F.flatten(F.filter(F.transform(tabs, lambda x: x["tabRenderer"]["content"]["sectionListRenderer"]["contents"]), lambda x: x.isNotNull()))
-    grids = F.filter(F.flatten(F.transform(sections, lambda x: F.transform(x["itemSectionRenderer"]["contents"], lambda y: y["gridRenderer"]["items"]))), lambda x: x.isNotNull())
-    return videos(listed(rows, "n_nationkey", F.coalesce(rich_items, F.get(grids, F.lit(0)))), "n_nationkey")
+    grids = ("richGridRenderer", "gridRenderer")
+    grid = V.first_found(V.found(V.rooted(rows, "n_nationkey", data), "n_nationkey", grids, put), "n_nationkey", grids)
+    return videos(listed(grid, "n_nationkey", put), "n_nationkey")
 
 
 def h03(s, d):
-    data = F.concat(F.lit('{"onResponseReceivedActions":[{"other":1},{"appendContinuationItemsAction":{"continuationItems":'), "items", F.lit("}}]}"))
-    actions = F.from_json(data, MORE)["onResponseReceivedActions"]
-    items = F.flatten(F.filter(F.transform(actions, lambda x: x["appendContinuationItemsAction"]["continuationItems"]), lambda x: x.isNotNull()))
-    return videos(listed(crafted(s, d), "n_nationkey", items), "n_nationkey")
+    data = F.concat(F.lit('{"onResponseReceivedActions":[{"other":1},{"appendContinuationItemsAction":{"continuationItems":'), wrapped(F.col("items")), F.lit("}}]}"))
+    put = writer(s)
+    more = V.found(V.rooted(crafted(s, d), "n_nationkey", data), "n_nationkey", ("appendContinuationItemsAction",), put)
+    return videos(listed(more.withColumn("name", F.lit("")), "n_nationkey", put), "n_nationkey")
 
 
 def h06(s, d):

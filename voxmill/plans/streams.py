@@ -38,6 +38,19 @@ def r06(s, d):
     return s.read.parquet(f"{out}/chart")
 
 
+def r06_progress(s, d):
+    """Files read a micro-batch each; what the listener heard of them, to the last share of the whole."""
+    at = place(s)
+    rows = t(s, d, "events").select("event_id", "event_type")
+    rows.repartition(6, "event_type").write.parquet(f"{at}/in")
+    heard = []
+    with jobs.watched(s, jobs.Progress(rows.count(), lambda seen, share: heard.append((seen, share)))) as progress:
+        jobs.saved(jobs.followed(s, f"{at}/in", rows.schema, files=1), f"{at}/out", f"{at}/state").awaitTermination()
+        told = progress.rows(s)
+    last = s.createDataFrame([max(heard, default=(0, None))], "seen long, share double")
+    return told.agg(F.sum("rows").alias("n_rows")).crossJoin(F.broadcast(last))
+
+
 #: Event types that end a job, and the hours after which silence does.
 ENDS, PATIENCE = {"purchase": "completed", "error": "failed"}, 12
 
@@ -126,6 +139,7 @@ QUERIES = {
     "r03_exactly_once": (r03, "SELECT event_id, event_type FROM events"),
     "r05_batch_saves": (r05, "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"),
     "r06_live_chart": (r06, "SELECT event_type, count(*) AS n, max(value) AS most FROM events GROUP BY 1"),
+    "r06_progress": (r06_progress, "SELECT count(*) AS n_rows, count(*) AS seen, 1.0::DOUBLE AS share FROM events"),
     "r07_job_states": (r07, f"WITH e AS (SELECT user_id, epoch_ms(ts) AS ms, event_type, row_number() OVER w AS k, lead(epoch_ms(ts)) OVER w AS then_ms FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE CASE WHEN coalesce(then_ms, (SELECT max(ms) - 1000 FROM e)) - ms >= {PATIENCE * 3_600_000} THEN 'timeout' END END AS ended FROM e) SELECT user_id AS job_id, coalesce(arg_min(ended, k) FILTER (ended IS NOT NULL), 'processing') AS status, coalesce(min(k) FILTER (ended IS NOT NULL), count(*)) AS n FROM s GROUP BY 1"),
     "r10_fallbacks": (r10, "WITH c AS (SELECT *, CASE WHEN turn % 3 <> 0 AND length(text) BETWEEN 20 AND 400 THEN text END AS p, CASE WHEN length('~ ' || text) BETWEEN 20 AND 400 THEN '~ ' || text END AS q FROM conversations) SELECT conv_id, turn, coalesce(p, q) AS said, CASE WHEN p IS NOT NULL THEN 'primary' WHEN q IS NOT NULL THEN 'secondary' ELSE 'rejected' END AS route FROM c"),
     "r11_retries": (r11, "WITH a AS (SELECT s_suppkey, unnest([1, 2, 3]) AS attempt FROM supplier), h AS (SELECT *, floor(('0x' || substr(md5(s_suppkey || ':' || attempt), 1, 8))::BIGINT / 4294967296 * 100)::INT AS reference FROM a) SELECT s_suppkey, min(attempt)::INT AS attempt, arg_min(reference, attempt) AS reference FROM h WHERE reference < 60 GROUP BY 1"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import han as H
 from ..functions import numbers as N
 from ..functions import tables
 from ..functions import text as X
@@ -119,6 +120,23 @@ s AS (SELECT conv_id, turn, CASE WHEN f.open = '' THEN f.done WHEN len(f.done) =
 SELECT conv_id, turn, unnest(range(len(s)))::INT AS pos, unnest(s) AS sentence FROM s"""
 
 
+#: Words of a small dictionary, how often they are seen, and their readings.
+WORDS = [
+    ("中", 60, "zhong1"), ("国", 50, "guo2"), ("中国", 400, "zhong1 guo2"), ("人", 300, "ren2"), ("中国人", 90, "zhong1 guo2 ren2"), ("国人", 8, "guo2 ren2"),
+    ("大", 200, "da4"), ("学", 80, "xue2"), ("生", 90, "sheng1"), ("大学", 160, "da4 xue2"), ("学生", 150, "xue2 sheng1"), ("大学生", 40, "da4 xue2 sheng1"), ("生活", 120, "sheng1 huo2"),
+    ("长", 70, "chang2"), ("长大", 30, "zhang3 da4"), ("成长", 25, "cheng2 zhang3"), ("银行", 45, "yin2 hang2"), ("行", 110, "xing2"), ("行人", 20, "xing2 ren2"), ("音乐", 60, "yin1 yue4"), ("乐", 50, "le4"), ("快乐", 75, "kuai4 le4"),
+]
+
+
+def t19_readings(s, d):
+    """Readings of texts in which two of three words are put in Chinese, by their check sums."""
+    words = s.createDataFrame([(w, n, r.split()) for w, n, r in WORDS], "word string, n long, readings array<string>")
+    put = lambda w: F.crc32(w.cast("binary"))
+    said = F.transform(F.split("text", " "), lambda w: F.when(put(w) % 3 == 0, w).otherwise(F.element_at(F.array(*[F.lit(w) for w, _, _ in WORDS]), (put(w) % len(WORDS) + 1).cast("int"))))
+    found = conv(s, d).select(*_C, H.symbols_column(words)(F.array_join(said, "")).alias("symbols"))
+    return found.select(*_C, F.size("symbols").alias("n"), F.array_join("symbols", "").alias("x"))
+
+
 def t06_sql(s, d):
     """Sentences by the table function."""
     tables.register(s)
@@ -141,6 +159,7 @@ QUERIES = {
     "t22_terminated": (column("x", X.terminated), sql("x", "CASE WHEN text LIKE '%. ' OR text LIKE '%。' THEN text WHEN text LIKE '%.' THEN text || ' ' ELSE text || '. ' END")),
     "t23_clock": (column("x", lambda c: X.clock(F.char_length(c))), sql("x", "printf('%02d:%02d:%02d', length(text) // 3600, (length(text) % 3600) // 60, length(text) % 60)")),
     "t08_reading_chunks": (lambda s, d: conv(s, d).select(*_C, F.posexplode(X.reading_chunks(F.col("text"))).alias("pos", "chunk")), None),
+    "t19_readings": (t19_readings, None),
     "t19_symbols": (column("x", X.spaced_symbols), sql("x", "regexp_replace(translate(text, ';“”‘’', ',\"\"'''''), '([^ :''\"A-Za-z0-9])([A-Za-z0-9]{{2,}})', '\\1 \\2', 'g')".replace("{{", "{").replace("}}", "}"))),
     "t21_vocabulary_ids": (t21, "WITH v AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents WHERE lang = 'de') WHERE c <> ''), w AS (SELECT conv_id, turn, text, max(length(text)) OVER (PARTITION BY conv_id) AS w FROM conversations), p AS (SELECT conv_id, turn, text, unnest(range(w)) AS pos FROM w) SELECT conv_id, turn, pos::INT AS pos, CASE WHEN pos >= length(text) THEN -1 ELSE coalesce(id, 0) END::INT AS id FROM p LEFT JOIN v ON v.c = substr(text, pos + 1, 1)"),
     "t27_joined_segments": (t27, sql("said", "array_to_string(list_filter(list_transform(string_split(text, '. '), lambda x: trim(x)), lambda x: x <> ''), ' ')")),

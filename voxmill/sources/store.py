@@ -19,6 +19,17 @@ def place(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
+def writer(spark: SparkSession):
+    """A function that writes a table to the shared folder and reads it back."""
+
+    def put(df: DataFrame) -> DataFrame:
+        at = place(spark)
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    return put
+
+
 def _at(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
