@@ -54,20 +54,20 @@ def runs(flags: np.ndarray) -> np.ndarray:
 
 
 def split_points(x: np.ndarray, rate: int, quiet: float = -45.0, least: float = 2.0, longest: float = 900.0, block: float = 0.1) -> np.ndarray:
-    """Seconds to cut at: the middles of silences, and where two cuts lie further apart than `longest`, the quietest block
+    """Seconds to cut at: the middles of silences, rounded down to blocks, and where two cuts lie further apart than `longest`, the quietest block
     in the last fifth of the allowed stretch.  0 and the end are cuts, too."""
     size = max(1, int(rate * block))
     block = size / rate
     level = decibels(x, size)
     end = len(x) / rate
-    silent = [(a + b) / 2 * block for a, b in runs(level < quiet) if (b - a) * block >= least]
-    cuts = [0.0]
-    for target in [*silent, end]:
-        while target - cuts[-1] > longest:
-            lo, hi = int((cuts[-1] + 0.8 * longest) / block), int((cuts[-1] + longest) / block)
-            cuts.append((lo + int(np.argmin(level[lo : max(hi, lo + 1)]))) * block)
+    few, many = int(least / block), int(longest / block)
+    cuts = [0]
+    for target in [*[(a + b) // 2 for a, b in runs(level < quiet) if b - a >= few], len(level)]:
+        while target - cuts[-1] > many and int(many * 0.8) < many:
+            lo = cuts[-1] + int(many * 0.8)
+            cuts.append(lo + int(np.argmin(level[lo : cuts[-1] + many])))
         cuts.append(target)
-    return np.unique(np.round(cuts, 6))
+    return np.unique(np.round([*(k * block for k in cuts[:-1]), end], 6))
 
 
 def trimmed(x: np.ndarray, below: float = 45.0, frame: int = 2048, hop: int = 512, least: int = 256, share: float = 0.15) -> np.ndarray:
@@ -88,13 +88,14 @@ def edges_trimmed(x: np.ndarray, rate: int, quiet: float = -42.0) -> np.ndarray:
 
 
 def silence_shortened(x: np.ndarray, rate: int, quiet: float = -50.0, least: float = 1.0, keep: float = 0.5, block: float = 0.01) -> np.ndarray:
-    """Silences of `least` seconds or more keep `keep` seconds at either side of what is heard."""
+    """Silences of `least` seconds or more keep `keep` seconds at the side of what is heard."""
     size = max(1, int(rate * block))
     block = size / rate
     stay = np.ones(len(x), bool)
     for a, b in runs(decibels(x, size) < quiet):
         if (b - a) * block >= least:
-            lo, hi = a * size + int(keep * rate), min(len(x), b * size) - int(keep * rate)
+            end = b * size >= len(x)
+            lo, hi = a * size + int(keep * rate) * (a > 0), len(x) if end else b * size - int(keep * rate)
             stay[lo : max(lo, hi)] = False
     return x[stay]
 

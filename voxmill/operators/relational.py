@@ -43,17 +43,17 @@ def running(rows: DataFrame, key: str, by: list[str], value: Column, name: str)
     The key's range is cut into stretches; sums run within a stretch, and the stretches before it are summed up: no
     group, and not the whole table, is one task's work.
     """
-    keyed = rows.withColumns({"_at": stretch_of(rows, key), "_value": value})
-    sums = keyed.groupBy(*by, "_at").agg(F.sum("_value").alias("_n"))
+    keyed = rows.withColumns({"_running_at": stretch_of(rows, key), "_running_value": value})
+    sums = keyed.groupBy(*by, "_running_at").agg(F.sum("_running_value").alias("_running_n"))
     # one row for each group and stretch
-    before = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_at").alias("_stretch"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    same = F.col("_at").eqNullSafe(F.col("_stretch"))
+    before = Window.partitionBy(*by).orderBy("_running_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(c).alias(f"_running_by_{c}") for c in by], F.col("_running_at").alias("_running_stretch"), F.coalesce(F.sum("_running_n").over(before), F.lit(0)).alias("_running_before"))
+    same = F.col("_running_at").eqNullSafe(F.col("_running_stretch"))
     for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    inside = F.coalesce(F.sum("_value").over(Window.partitionBy(*by, "_at").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = keyed.withColumn("_inside", inside).join(sums, same).withColumn(name, F.col("_before") + F.col("_inside"))
-    return out.drop("_at", "_value", "_stretch", "_before", "_inside", *[f"_by_{c}" for c in by])
+        same = same & F.col(c).eqNullSafe(F.col(f"_running_by_{c}"))
+    inside = F.coalesce(F.sum("_running_value").over(Window.partitionBy(*by, "_running_at").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = keyed.withColumn("_running_inside", inside).join(sums, same).withColumn(name, F.col("_running_before") + F.col("_running_inside"))
+    return out.drop("_running_at", "_running_value", "_running_stretch", "_running_before", "_running_inside", *[f"_running_by_{c}" for c in by])
 
 
 def numbered(rows: DataFrame, key: str, by: list[str] | None = None, name: str = "_k") -> DataFrame:

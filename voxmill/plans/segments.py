@@ -11,7 +11,9 @@ from ..functions import signals as S
 from ..functions import tables
 from ..functions import text as X
 from ..operators import folds, stretches
+from ..operators import silence as Z
 from ..operators.relational import stretch_of
+from ..sources.store import writer
 from ..sources.tables import table as t
 
 
@@ -41,6 +43,20 @@ def g03(s, d):
     return t(s, d, "embeddings").select("vec_id", cuts(F.col("embedding")).alias("cuts"))
 
 
+def recordings(s, d):
+    """Levels of ten long recordings: the vectors of each label, one after the other, in blocks of eight samples."""
+    pieces = t(s, d, "embeddings").select("label", "vec_id", "embedding")
+    return writer(s)(Z.blocks(pieces, "label", "vec_id", "embedding", 8))
+
+
+def g03_long(s, d):
+    return Z.split_points(recordings(s, d), "label", -20.0, 2, 30, length=120)
+
+
+def m27_long(s, d):
+    return Z.left_out(recordings(s, d), "label", -19.0, 3, 1)
+
+
 def g04(s, d):
     n = F.ceil(F.char_length("text") / 200).cast("int")
     return t(s, d, "conversations").where("text <> ''").select("conv_id", "turn", F.explode(F.sequence(F.lit(0), n - 1)).alias("i")).select("conv_id", "turn", F.format_string("%d_chunk_%03d.wav", "conv_id", "i").alias("name"))
@@ -208,6 +224,18 @@ _PAIR = "(SELECT a.conv_id, a.turn, a.text AS ref, b.text AS gen FROM conversati
 _X = "list_transform(embedding, lambda x: x::DOUBLE)"
 #: Rows in order of frames into batches, row by row.
 _BATCHES = "WITH RECURSIVE o AS (SELECT doc_id AS id, n_chars AS frames, row_number() OVER (ORDER BY n_chars, doc_id) AS k FROM documents WHERE n_chars <= 3840), f AS (SELECT id, frames, k, 0::BIGINT AS batch, frames AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.id, o.frames, o.k, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN o.frames ELSE f.total + o.frames END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN 1 ELSE f.n + 1 END FROM f JOIN o ON o.k = f.k + 1) "
+#: Levels of blocks of recordings (b), their numbers (n) and the runs of those under a level (r).
+_RUNS = """v AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS p, embedding AS x FROM embeddings), b AS (
+  SELECT label, p * 8 + i AS k, round(20 * log10(greatest(sqrt(list_sum(list_transform(x[i * 8 + 1:i * 8 + 8], lambda y: y::DOUBLE * y::DOUBLE)) / 8), 1e-10)), 6) AS level FROM v, (SELECT unnest(range(8)) AS i)
+), n AS (SELECT label, max(k) + 1 AS n FROM b GROUP BY 1), q AS (SELECT label, k, k - row_number() OVER (PARTITION BY label ORDER BY k) AS g FROM b WHERE level < {quiet}), r AS (SELECT label, min(k) AS first, max(k) + 1 AS last FROM q GROUP BY label, g)"""
+#: Cuts of recordings: middles of silences, and from each on the quietest blocks where the next is too far.
+_CUTS = "WITH RECURSIVE " + _RUNS.format(quiet=-20.0) + """, m AS (SELECT label, (first + last) // 2 AS cut FROM r WHERE last - first >= 2),
+e AS (SELECT label, 0 AS cut FROM n UNION SELECT label, n FROM n UNION SELECT label, cut FROM m), l AS (SELECT label, list(level ORDER BY k) AS l FROM b GROUP BY 1),
+i AS (SELECT label, cut AS a, lead(cut) OVER (PARTITION BY label ORDER BY cut) AS z FROM e), f AS (
+  SELECT label, a, z FROM i WHERE z IS NOT NULL
+  UNION ALL
+  SELECT f.label, f.a + 24 + list_position(l.l[f.a + 25:f.a + 30], list_min(l.l[f.a + 25:f.a + 30])) - 1, f.z FROM f JOIN l USING (label) WHERE f.z - f.a > 30)
+SELECT DISTINCT label, a AS cut FROM f UNION SELECT label, n FROM n"""
 #: Words of a user from the i-th on: as many as fit into 40 hours, cut after the last pause that leaves 3 hours.
 _SEGMENTS = """
 WITH RECURSIVE h AS (
@@ -230,6 +258,8 @@ QUERIES = {
     "g01_table_function": (g01_sql, _SEGMENTS),
     "g02_slices": (g02, f"SELECT vec_id, len(list_slice(embedding, 17, 48))::BIGINT AS n, round(list_sum(list_slice({_X}, 17, 48)), 4) AS total FROM embeddings"),
     "g03_silence_cuts": (g03, None),
+    "g03_long_recordings": (g03_long, _CUTS),
+    "m27_long_recordings": (m27_long, f"WITH {_RUNS.format(quiet=-19.0)}, s AS (SELECT label, CASE WHEN first = 0 THEN 0 ELSE first + 1 END AS a, CASE WHEN last = n THEN n ELSE last - 1 END AS b FROM r JOIN n USING (label) WHERE last - first >= 3) SELECT label, a AS \"from\", b AS \"to\" FROM s WHERE a < b"),
     "g04_chunk_names": (g04, "SELECT conv_id, turn, printf('%d_chunk_%03d.wav', conv_id, i) AS name FROM (SELECT conv_id, turn, unnest(range(ceil(length(text) / 200)::BIGINT)) AS i FROM conversations WHERE text <> '')"),
     "g05_long_only": (g05, "SELECT page_id FROM pages WHERE length(html) > 3600 AND url NOT LIKE '%\\_chunk\\_%' ESCAPE '\\'"),
     "g06_pieces": (g06, None),
