@@ -91,3 +91,11 @@ def mse(a: Column, b: Column) -> Column:
 
 def pcm16(x: Column) -> Column:
     return F.transform(x, lambda v: F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), v.cast("double"))) * 32767).cast("int"))
+
+
+def framed_rms(x: Column, frame: int, hop: int) -> Column:
+    """Levels of frames that are centred on every `hop`-th sample, over zero padding."""
+    half = F.array_repeat(F.lit(0.0), frame // 2)
+    padded = F.concat(half, F.transform(x, lambda v: v.cast("double")), half)
+    squares = lambda k: F.aggregate(F.slice(padded, (k * hop + 1).cast("int"), frame), F.lit(0.0), lambda a, v: a + v * v)
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(x) / hop).cast("int")), lambda k: F.sqrt(squares(k) / frame))

@@ -57,3 +57,16 @@ def edited(x: Column, spans: list[tuple[int, int]]) -> Column:
         return keep
 
     return F.transform(x, lambda v, i: F.struct(v.cast("double").alias("value"), outside(i).alias("keep")))
+
+
+def joined(parts: list[Column], gap: Column) -> Column:
+    """Arrays one after the other, `gap` between them."""
+    out = [parts[0]]
+    for p in parts[1:]:
+        out += [gap, p]
+    return F.concat(*out)
+
+
+def real_time_factor(spent: Column, duration: Column) -> Column:
+    """Seconds of synthesis for a second of sound; null without any."""
+    return F.when(duration > 0, spent / duration)

@@ -93,6 +93,24 @@ def clock(seconds: Column) -> Column:
     return F.format_string("%02d:%02d:%02d", F.floor(whole / 3600), F.floor(whole % 3600 / 60), whole % 60)
 
 
+def channel_id(url: Column) -> Column:
+    """The id behind /channel/, which begins with UC; empty without one."""
+    return F.coalesce(F.regexp_extract(url, r"(?U)/channel/(UC[\w-]+)", 1), F.lit(""))
+
+
+def channel_user(url: Column) -> Column:
+    """The name behind /@, else behind /c/; empty without one."""
+    name = lambda mark: F.nullif(F.regexp_extract(url, r"(?U)/" + mark + r"([\w.-]+)", 1), F.lit(""))
+    return F.coalesce(name("@"), name("c/"), F.lit(""))
+
+
+def spoken_time(seconds: Column) -> Column:
+    """`1h 2m 3.00s`, without leading zero parts."""
+    hours, minutes = F.floor(seconds / 3600).cast("int"), F.floor(seconds % 3600 / 60).cast("int")
+    rest = F.when(seconds.isNotNull(), F.format_string("%.2fs", (seconds % 60).cast("double")))
+    return F.when(hours > 0, F.concat(hours.cast("string"), F.lit("h "), minutes.cast("string"), F.lit("m "), rest)).when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m "), rest)).otherwise(rest)
+
+
 def safe_name(name: Column, default: str = "unknown_model") -> Column:
     clean = F.regexp_replace(F.regexp_replace(name, r"(?U)[^\p{L}\p{N}_\-.]", "_"), "_+", "_")
     return F.coalesce(F.nullif(F.regexp_replace(clean, "^_+|_+$", ""), F.lit("")), F.lit(default))

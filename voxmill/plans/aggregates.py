@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import distance as E
+from ..functions.durations import real_time_factor
 from ..operators import quantiles as Q
 from ..sources.store import writer
 from ..sources.tables import table as t
@@ -75,7 +76,8 @@ def a12(s, d):
 
 
 def a13(s, d):
-    return t(s, d, "documents").select(F.explode(F.array_distinct(F.split("text", ""))).alias("ch")).where("ch <> ''").distinct()
+    # the order of UTF-8 is that of code points
+    return t(s, d, "documents").select(F.explode(F.array_distinct(F.split("text", ""))).alias("ch")).where("ch <> ''").distinct().orderBy("ch")
 
 
 def a14(s, d):
@@ -83,7 +85,11 @@ def a14(s, d):
 
 
 def a15(s, d):
-    return t(s, d, "events").where("event_type = 'nothing'").agg(F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"))
+    """Running sums of every kind of event over how many there are, 0 for a kind without any."""
+    e = t(s, d, "events")
+    kinds = e.select("event_type").distinct().unionByName(s.range(1).select(F.lit("nothing").alias("event_type")))
+    sums = e.groupBy(F.col("event_type").alias("kind")).agg(F.sum("value").alias("total"), F.count("value").alias("n"))
+    return kinds.join(sums, F.col("event_type").eqNullSafe(F.col("kind")), "left").select("event_type", F.round(F.when(F.col("n") > 0, F.col("total") / F.col("n")).otherwise(0.0), 6).alias("mean"))
 
 
 def symbols(rows, *by):
@@ -161,6 +167,23 @@ def a23(s, d):
     return t(s, d, "events").join(F.broadcast(known), "event_type").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+METRICS = ("click", "purchase")
+
+
+def a23_files(s, d):
+    """Results by files (here: events by type): a sample of a metric that is unknown keeps a row without one, and its value goes
+    to the sample's other metrics only if these are known."""
+    e = t(s, d, "events").where("value is not null").select(F.pmod("event_id", F.lit(997)).alias("sample_id"), "event_id", "event_type", "value")
+    cells = [F.max_by(F.when(F.col("event_type") == m, F.col("value")), F.when(F.col("event_type") == m, F.col("event_id"))).alias(m) for m in METRICS]
+    return e.groupBy("sample_id").agg(*cells)
+
+
+def a26(s, d):
+    """Real-time factors: seconds of synthesis (here: prices) for a second of sound."""
+    rtf = real_time_factor(F.col("l_extendedprice") / 1000, F.col("l_quantity") - 1)
+    return t(s, d, "lineitem").select("l_orderkey", "l_linenumber", rtf.alias("rtf"))
+
+
 def a24(s, d):
     h = t(s, d, "documents").agg((F.sum("n_chars") / 3600.0).alias("hours"))
     return h.select(F.ceil(1000 / F.greatest("hours", F.lit(0.01))).alias("epochs"))
@@ -190,7 +213,7 @@ QUERIES = {
     "a12_sizes": (a12, "SELECT l_suppkey, round(sum(l_extendedprice), 1) AS size, count(*) AS files FROM lineitem GROUP BY 1"),
     "a13_vocabulary": (a13, "SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents"),
     "a14_micro_average": (a14, f"{rates_sql('filter')} SELECT round(avg(wer), 5) AS metric FROM rates"),
-    "a15_mean_or_zero": (a15, "SELECT coalesce(avg(value), 0.0) AS mean FROM events WHERE event_type = 'nothing'"),
+    "a15_mean_or_zero": (a15, "SELECT event_type, round(coalesce(sum(value) / nullif(count(value), 0), 0), 6) AS mean FROM events GROUP BY 1 UNION ALL SELECT 'nothing', 0.0::DOUBLE"),
     "a16_hours": (a16, "SELECT round(sum(n_chars) / 3600, 2) AS hours, count(*) AS samples, (SELECT count(DISTINCT c) FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '') AS vocabulary FROM documents"),
     "a17_shard_merge": (a17, "WITH c AS (SELECT DISTINCT source, unnest(string_split(text, '')) AS c FROM documents), v AS (SELECT source, count(*) AS v FROM c WHERE c <> '' GROUP BY 1) SELECT d.source, count(*) AS n_rows, count(*) FILTER (n_chars < 100) AS bad, coalesce(max(v), 0) AS vocabulary FROM documents d LEFT JOIN v ON v.source = d.source GROUP BY 1 UNION ALL SELECT 'all', count(*), count(*) FILTER (n_chars < 100), (SELECT count(DISTINCT c) FROM c WHERE c <> '') FROM documents"),
     "a18_training_plan": (a18, "WITH r AS (SELECT max(n_chars) AS longest, ceil(sum(n_chars) / 38400)::BIGINT AS u FROM documents) SELECT longest, u AS updates_per_epoch, floor(1200000 / u)::BIGINT AS epochs FROM r"),
@@ -200,6 +223,8 @@ QUERIES = {
     "a21_radar_axis": (a21, "WITH l AS (SELECT l_orderkey, l_linenumber, ['mcd', 'wer', 'pesq', 'stoi', 'utmos', 'f0_correlation', 'other'][(l_orderkey + l_linenumber) % 7 + 1] AS metric, l_quantity / 10 - 0.5::DOUBLE AS x FROM lineitem) SELECT l_orderkey, l_linenumber, metric, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE metric WHEN 'mcd' THEN 1 - x / 15 WHEN 'wer' THEN 1 - x WHEN 'pesq' THEN (x + 0.5::DOUBLE) / 5 WHEN 'utmos' THEN (x - 1) / 4 WHEN 'f0_correlation' THEN (x + 1) / 2 ELSE x END)), 6) AS axis FROM l"),
     "a22_model_comparison": (a22, "SELECT user_id, coalesce(round(avg(value) FILTER (event_type = 'click'), 4), 0.0) AS click, coalesce(round(avg(value) FILTER (event_type = 'view'), 4), 0.0) AS view_ FROM events GROUP BY 1"),
     "a23_known_metrics": (a23, "SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1"),
+    "a23_by_files": (a23_files, "SELECT event_id % 997 AS sample_id, arg_max(value, event_id) FILTER (event_type = 'click') AS click, arg_max(value, event_id) FILTER (event_type = 'purchase') AS purchase FROM events WHERE value IS NOT NULL GROUP BY 1"),
+    "ext_real_time_factor": (a26, "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 1 THEN l_extendedprice / 1000 / (l_quantity - 1) END AS rtf FROM lineitem"),
     "a24_epochs": (a24, "SELECT ceil(1000 / greatest(sum(n_chars) / 3600.0, 0.01))::BIGINT AS epochs FROM documents"),
     "a25_report_total": (a25, "WITH r AS (SELECT (SELECT 2 * count(*) FROM documents WHERE doc_id % 3 = 0) AS old, (SELECT count(DISTINCT doc_id) FROM labels) AS now, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS moved) SELECT old, now, moved, greatest(old, now + moved) AS total FROM r"),
 }

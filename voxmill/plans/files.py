@@ -136,10 +136,13 @@ def urls(s, d):
 
 
 def s15(s, d):
+    """A list for each 40 pages: their sites, before them the first one again, an empty text and a number."""
     at = store.place(s)
-    held = [r[0] for r in urls(s, d).orderBy("page_id").select("url").collect()]
-    sinks.document(s, f"{at}/urls.json", [*held[:1], "", 7, *held])
-    return tables.url_list(s, f"{at}/urls.json")
+    sites = urls(s, d).withColumn("list", F.floor(F.col("page_id") / 40).cast("string"))
+    each = sites.groupBy("list").agg(F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("held"))
+    whole = F.concat(F.array(F.col("held")[0]["url"], F.lit(""), F.lit("7")), F.col("held.url"))
+    store.write_files(each.select(F.concat("list", F.lit(".json")).alias("name"), F.replace(F.to_json(whole), F.lit('"7"'), F.lit("7")).alias("content")), at)
+    return tables.url_lists(s, at)
 
 
 def s16(s, d):
@@ -158,10 +161,14 @@ def s17(s, d):
 
 
 def s18(s, d):
+    """A report of all metrics but one, that nothing measured; texts with quotes and line breaks come back as they were."""
     at = store.place(s)
-    rows = t(s, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, F.col("quality") / 2).alias("value"))
-    sinks.csv_report(rows, at)
-    return s.read.option("header", True).csv(at).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("value").cast("double").alias("value"))
+    n, q = F.col("n_chars"), F.col("quality")
+    both = t(s, d, "documents").join(t(s, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic")), "doc_id")
+    rows = both.select(F.concat(F.lit("sample "), "doc_id").alias("sample_id"), "text", (n / 100).alias("mcd"), F.when(F.col("toxic") == 0, 1.5 + 2 * q).alias("pesq"), (1 / (1 + q)).alias("stoi"), (n % 5).alias("utmos"), (n % 200 / 100 - 1).alias("f0_correlation"), F.when(n > 500, n % 7 / 4).alias("wer"))
+    sinks.metric_report(rows, at)
+    read = sinks.read_report(s, at)
+    return read.select("sample_id", F.md5("text").alias("text"), *sinks.METRICS)
 
 
 def s19(s, d):
@@ -352,16 +359,17 @@ def s35(s, d):
 
 
 def j15(s, d):
+    """Saved results of suppliers, every second one broken; asked for those of all customers' numbers, too."""
     at = store.place(s)
-    good = [r[0] for r in t(s, d, "region").select("r_name").orderBy("r_name").collect()]
-    for k, name in enumerate(good):
-        path = f"{at}/{sinks.result_name(f'{name}/v1', 'wer')}"
-        store.write_bytes(s, path, b"{broken" if k % 2 else json.dumps({"samples": [{"value": k}] * k}).encode())
-    rows = []
-    for name in [*good, "NONE"]:
-        found = sinks.existing_result(s, at, f"{name}/v1", "wer")
-        rows.append((name, None if found is None else float(len(found["samples"])), store.exists(s, f"{at}/{sinks.result_name(f'{name}/v1', 'wer')}.backup")))
-    return s.createDataFrame(rows, "model string, samples double, aside boolean")
+    sup = t(s, d, "supplier").select(F.concat("s_suppkey", F.lit("/v 1")).alias("model"), "s_suppkey")
+    samples = F.to_json(F.struct(F.array_repeat(F.struct(F.col("s_suppkey").alias("value")), (F.col("s_suppkey") % 5).cast("int") + 1).alias("samples")))
+    name = sinks.result_name_of(F.col("model"), "wer")
+    store.write_files(sup.select(name.alias("name"), F.when(F.col("s_suppkey") % 2 == 1, F.lit("{broken")).otherwise(samples).alias("content")), at)
+    asked = t(s, d, "customer").select(F.concat("c_custkey", F.lit("/v 1")).alias("model"))
+    found = sinks.existing_results(s, at, asked, "wer")
+    left = tables.files(s, at, "*.json.backup").select(F.regexp_replace("path", r"\.backup$", "").alias("file"), F.lit(True).alias("aside"))
+    each = found.withColumn("file", sinks.result_name_of(F.col("model"), "wer")).join(left, "file", "left")
+    return each.select("model", F.json_array_length(F.get_json_object("result", "$.samples")).alias("samples"), F.coalesce("aside", F.lit(False)).alias("aside"))
 
 
 def r09(s, d):
@@ -389,10 +397,10 @@ QUERIES = {
     "s12_spoken_chapters": (s12, "WITH u AS (SELECT *, s_nationkey || '-' || s_suppkey || '-0001' AS u FROM supplier) SELECT u AS utt, 'ref' AS ref_text, 'clean/' || s_nationkey || '/' || s_suppkey || '/' || u || '.flac' AS ref_wav, ' ' || lower(s_name) AS gen_text, 'clean/' || s_nationkey || '/' || s_suppkey || '/' || u || '.flac' AS gen_wav FROM u"),
     "s13_first_lines": (s13, "SELECT 'a' || s_suppkey || '.wav' AS audio, 'said ' || s_suppkey AS text FROM supplier"),
     "s14_json_lines": (s14, "SELECT role AS language, conv_id || '-' || turn AS wav, length(text)::INT AS n_chars, round(length(text) / 16, 4) AS duration FROM conversations WHERE turn % 4 <> 3"),
-    "s15_url_list": (s15, f"WITH u AS (SELECT {_URL} AS url, row_number() OVER (ORDER BY page_id) + 2 AS k FROM pages), a AS (SELECT * FROM u UNION ALL SELECT url, 0 FROM u WHERE k = 3 UNION ALL SELECT '7', 2) SELECT url, min(k)::INT AS pos FROM a GROUP BY 1"),
+    "s15_url_list": (s15, f"WITH u AS (SELECT (page_id // 40)::VARCHAR AS list, {_URL} AS url, row_number() OVER (PARTITION BY page_id // 40 ORDER BY page_id) + 2 AS k FROM pages), a AS (SELECT list, url, k FROM u UNION ALL SELECT list, url, 0 FROM u WHERE k = 3 UNION ALL SELECT DISTINCT list, '7', 2 FROM u) SELECT list, url, min(k)::INT AS pos FROM a GROUP BY 1, 2"),
     "s16_tolerant_json": (s16, "SELECT n_nationkey, CASE WHEN n_nationkey % 5 > 1 THEN n_name END AS name FROM nation"),
     "s17_sheet": (s17, f"SELECT {_URL} AS url FROM pages WHERE page_id % 6 > 1"),
-    "s18_csv_report": (s18, "SELECT doc_id, CASE WHEN toxic = 1 THEN quality / 2 END AS value FROM labels"),
+    "s18_csv_report": (s18, "SELECT 'sample ' || doc_id AS sample_id, md5(nullif(text, '')) AS text, n_chars / 100 AS mcd, CASE WHEN toxic = 0 THEN 1.5::DOUBLE + 2 * quality END AS pesq, 1 / (1 + quality) AS stoi, (n_chars % 5)::DOUBLE AS utmos, n_chars % 200 / 100 - 1 AS f0_correlation, CASE WHEN n_chars > 500 THEN n_chars % 7 / 4 END AS wer, NULL::DOUBLE AS cer FROM documents JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY 1) USING (doc_id)"),
     "s19_atomic_json": (s19, "SELECT (SELECT count(*) FROM documents) AS total, r_name AS name FROM region"),
     "s20_history": (s20, "SELECT event_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type FROM events"),
     "s21_prepared": (s21, "SELECT 'rows' AS what, count(*) AS n FROM conversations UNION ALL SELECT 'symbols', count(DISTINCT c) FROM (SELECT unnest(string_split(text, '')) AS c FROM conversations) WHERE c <> chr(10) UNION ALL SELECT 'chars', sum(length(text))::BIGINT FROM conversations"),
@@ -412,6 +420,6 @@ QUERIES = {
     "s34_named_results": (s34, "SELECT CASE WHEN doc_id % 2 = 0 THEN 'm_1' ELSE 'm_2' END AS model, 'wer' AS metric, doc_id AS sample_id, quality::BIGINT AS value FROM labels"),
     "s35_preloaded": (s35, "SELECT page_id, url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0 OR page_id % 4 = 0)"),
     "h07_overlaid": (h07, "SELECT unnest(range(4))::INT AS pos, unnest(['epochs', 'batch', 'rate', 'logger']) AS name, unnest(['100', '1600', '7.5e-5', 'none']) AS value"),
-    "j15_existing_results": (j15, "SELECT r_name AS model, CASE WHEN k % 2 = 0 THEN k::DOUBLE END AS samples, k % 2 = 1 AS aside FROM (SELECT r_name, row_number() OVER (ORDER BY r_name) - 1 AS k FROM region) UNION ALL SELECT 'NONE', NULL, false"),
+    "j15_existing_results": (j15, "SELECT c_custkey || '/v 1' AS model, CASE WHEN s_suppkey % 2 = 0 THEN (s_suppkey % 5 + 1)::INT END AS samples, coalesce(s_suppkey % 2 = 1, false) AS aside FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey"),
     "r09_quarantine": (r09, "SELECT event_id, CASE WHEN event_id % 10 > 0 THEN event_type END AS event_type, CASE WHEN event_id % 10 > 0 THEN 'good' ELSE 'quarantine' END AS route FROM events"),
 }

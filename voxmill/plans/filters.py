@@ -125,7 +125,11 @@ def p17(s, d):
 
 
 def p18(s, d):
-    return t(s, d, "pages").select("page_id", F.nullif(F.regexp_extract("url", r"/([a-z]{2})/([0-9]+)", 2), F.lit("")).alias("channel"))
+    """Addresses of channels from those of pages: by id, by either form of a name, with both, and without."""
+    k, n = F.col("page_id") % 5, F.col("page_id").cast("string")
+    tail = F.when(k == 0, F.concat(F.lit("/channel/UC_"), n, F.lit("-x/videos"))).when(k == 1, F.concat(F.lit("/@née.user-"), n, F.lit("/about"))).when(k == 2, F.concat(F.lit("/c/shop."), n)).when(k == 3, F.concat(F.lit("/c/old"), n, F.lit("/@new"), n, F.lit("?a=/channel/XX1"))).otherwise("/watch")
+    url = F.concat("url", tail)
+    return t(s, d, "pages").select("page_id", X.channel_id(url).alias("channel"), X.channel_user(url).alias("user"))
 
 
 def p19(s, d):
@@ -173,10 +177,10 @@ def p22(s, d):
 
 
 def p23(s, d):
-    from pyspark.sql import Window
-
-    k = F.row_number().over(Window.partitionBy("text").orderBy("doc_id"))
-    return t(s, d, "documents").select("doc_id", F.concat(F.md5("text"), F.when(k > 1, F.concat(F.lit("__dup"), k.cast("string"))).otherwise("")).alias("name"))
+    """Texts by their digests; the second of a name is its __dup2, in order of ids.  Places are counted by stretches of ids, as all
+    empty texts have one name."""
+    named = R.numbered(t(s, d, "documents").select("doc_id", F.md5("text").alias("name")), "doc_id", ["name"])
+    return named.select("doc_id", F.concat("name", F.when(F.col("_k") > 0, F.concat(F.lit("__dup"), (F.col("_k") + 1).cast("string"))).otherwise("")).alias("name"))
 
 
 def p24(s, d):
@@ -232,7 +236,7 @@ QUERIES = {
     "p15_defaults": (p15, "SELECT p_partkey AS id, coalesce(p_name, '') AS text, coalesce(p_brand, 'unknown') AS speaker, coalesce(p_type, 'unknown') AS gender FROM part"),
     "p16_sample_ids": (p16, "SELECT doc_id, replace(source, '.', '_') || '_' || lpad((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::VARCHAR, 6, '0') AS sample_id FROM documents"),
     "p17_canonical_url": (p17, "WITH u AS (SELECT page_id, page_id % 6 AS k, regexp_extract(url, '//([^/?#]+)', 1) AS n FROM pages) SELECT page_id, CASE k WHEN 0 THEN 'https://www.youtube.com/@' || n || '/videos' WHEN 1 THEN 'https://www.youtube.com/UC' || regexp_extract(n, '^[\\w-]+') || '/videos' WHEN 2 THEN 'https://www.youtube.com/c/' || n || '/videos' WHEN 3 THEN 'https://www.youtube.com/c/' || n || '/videos' WHEN 4 THEN 'https://www.youtube.com/@' || n || '/videos' END AS canonical FROM u"),
-    "p18_channel_id": (p18, "SELECT page_id, nullif(regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2), '') AS channel FROM pages"),
+    "p18_channel_id": (p18, "SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'UC_' || page_id || '-x' ELSE '' END AS channel, CASE page_id % 5 WHEN 1 THEN 'née.user-' || page_id WHEN 2 THEN 'shop.' || page_id WHEN 3 THEN 'new' || page_id ELSE '' END AS user FROM pages"),
     "p19_scan_classes": (p19, "WITH o AS (SELECT o_custkey, count(*) AS listed, count(*) FILTER (o_orderstatus = 'F') AS found FROM orders GROUP BY 1), c AS (SELECT c_custkey, c_acctbal, coalesce(listed, 0) AS listed, coalesce(found, 0) AS found FROM customer LEFT JOIN o ON c_custkey = o_custkey), k AS (SELECT *, CASE WHEN c_custkey % 10 = 0 THEN 'rejected' WHEN c_acctbal < 0 THEN 'error' WHEN found > 0 THEN 'success' WHEN listed = 0 THEN 'empty' ELSE 'all_skipped' END AS kind FROM c) SELECT kind, count(*) AS n, sum(CASE WHEN kind IN ('rejected', 'error') THEN 0 ELSE found END)::BIGINT AS n_found, sum(CASE WHEN kind IN ('rejected', 'error') THEN 0 ELSE listed - found END)::BIGINT AS n_skipped FROM k GROUP BY 1"),
     "p20_dialect": (p20, f"WITH p AS (SELECT {_PLACES} AS k, {_SPOKEN} AS v), c AS (SELECT c_custkey, k, v, trim(lower(coalesce(CASE WHEN c_custkey % 3 = 0 THEN k[c_custkey * 7 % len(k) + 1] WHEN c_custkey % 3 = 1 THEN 'tp ' || k[c_custkey * 7 % len(k) + 1] || ' tinh' WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END, ''))) AS x FROM customer, p) SELECT c_custkey, coalesce(v[list_position(k, x)], v[list_position(k, list_filter(k, lambda y: contains(x, y))[1])], 'bắc') AS dialect FROM c"),
     "p21_tagged": (p21, "SELECT conv_id, turn, '<' || role || '> ' || text AS tagged FROM conversations"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
@@ -97,16 +99,28 @@ def m23(s, d):
     return t(s, d, "embeddings").select("vec_id", F.aggregate(A.peak_blended(F.col("embedding")), F.lit(0).cast("long"), lambda a, v: a + v).alias("x"))
 
 
+def m29(s, d):
+    """Levels of centred frames of 16 samples, every 8."""
+    level = A.framed_rms(F.col("embedding"), 16, 8)
+    return t(s, d, "embeddings").select("vec_id", F.posexplode(F.transform(level, lambda x: F.round(x, 6))).alias("frame", "rms"))
+
+
+def at_rate(s, d, rate, to):
+    """Vectors and their next ones, as recordings at one rate, at another."""
+    heard = S.column(lambda x: S.resampled(x, rate, to))
+    v = t(s, d, "embeddings").select("vec_id", heard(F.col("embedding")).alias("embedding"))
+    return v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+
+
 def m30(s, d):
-    """Batches through the model seam (here: the first half of the samples is the embedding), then cosines."""
-    embedded = lambda c: F.slice(c, F.lit(1), (F.size(c) / 2).cast("int"))
-    return neighbours(s, d).select("vec_id", F.round(A.cosine(embedded(F.col("embedding")), embedded(F.col("other"))), 6).alias("similarity"))
+    """Recordings of 24 kHz at 16 kHz, which stand for their embeddings; then cosines."""
+    return at_rate(s, d, 24000, 16000).select("vec_id", F.round(A.cosine(F.col("embedding"), F.col("other")), 6).alias("similarity"))
 
 
 def m31(s, d):
-    """Pairs of which one side can't be read have no metric."""
+    """Pairs of 16 kHz at 24 kHz; those of which one side can't be read have no metric."""
     other = F.when(F.col("vec_id") % 6 != 0, F.col("other"))
-    return neighbours(s, d).select("vec_id", F.round(A.l1(F.col("embedding"), other), 6).alias("distance"))
+    return at_rate(s, d, 16000, 24000).select("vec_id", F.round(A.l1(F.col("embedding"), other), 6).alias("distance"))
 
 
 def p10(s, d):
@@ -151,6 +165,16 @@ def rates_sql(policy: str) -> str:
     return f"WITH RECURSIVE {WORD_ERRORS_SQL}, {RATES_SQL.format(both=b, reference=r, hypothesis=h, both_c=bc, reference_c=rc, hypothesis_c=hc)}"
 
 
+def resampled_sql(x: str, rate: int, to: int) -> str:
+    """A list at another rate: each value the sum of all, weighted by a Hann-windowed sinc of their distance."""
+    common = math.gcd(rate, to)
+    rate, to = rate // common, to // common
+    cut = min(rate, to) * 0.99
+    far = f"((j / {rate} - m / {to}) * {cut}::DOUBLE)"
+    weight = f"CASE WHEN abs({far}) >= 6 THEN 0 WHEN {far} = 0 THEN 1 ELSE sin(pi() * {far}) / (pi() * {far}) * pow(cos({far} * pi() / 12), 2) END * {cut}::DOUBLE / {rate}"
+    return f"list_transform(range(ceil(len({x}) * {to} / {rate})::BIGINT), lambda m: list_sum(list_transform(range(len({x})), lambda j: {x}[j + 1] * {weight})))"
+
+
 _V = "list_transform(embedding, lambda x: x::DOUBLE)"
 _NEXT = "(SELECT a.vec_id, list_transform(a.embedding, lambda x: x::DOUBLE) AS a, list_transform(b.embedding, lambda x: x::DOUBLE) AS b FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"
 QUERIES = {
@@ -164,11 +188,11 @@ QUERIES = {
     "m14_isolated_metrics": (m14, f"SELECT vec_id, CASE WHEN vec_id % 3 > 0 THEN round(list_max({_V}), 6) END AS loudest, round(list_avg({_V}), 6) AS middle, CASE WHEN vec_id % 4 > 0 THEN 1.0::DOUBLE END AS gone FROM embeddings"),
     "m15_channels": (m15, f"SELECT vec_id, round(list_sum(list_transform(range(1, 33), lambda k: (x[2 * k - 1] + x[2 * k]) / 2 * k)), 5) AS mono, round(list_sum(list_transform(range(1, 65), lambda k: 2 * x[k] * k)), 5) AS stereo, round(list_sum(list_transform(range(1, 17), lambda k: (x[4 * k - 3] + 2 * x[4 * k - 2]) * k)), 5) AS two FROM (SELECT vec_id, {_V} AS x FROM embeddings)"),
     "m23_peak_blend": (m23, f"SELECT vec_id, list_sum(list_transform(x, lambda v: trunc(((CASE WHEN p > 1 THEN v / p ELSE v END) / p * 0.45::DOUBLE + 0.5::DOUBLE * (CASE WHEN p > 1 THEN v / p ELSE v END)) * 32767)::BIGINT))::BIGINT AS x FROM (SELECT vec_id, x, list_max(list_transform(x, lambda v: abs(v))) AS p FROM (SELECT vec_id, {_V} AS x FROM embeddings))"),
-    "m30_batch_similarity": (m30, f"SELECT vec_id, round(list_dot_product(a[:32], b[:32]) / (sqrt(list_dot_product(a[:32], a[:32])) * sqrt(list_dot_product(b[:32], b[:32]))), 6) AS similarity FROM {_NEXT}"),
-    "m31_pairs_or_null": (m31, f"SELECT vec_id, CASE WHEN vec_id % 6 > 0 THEN round(list_avg(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))), 6) END AS distance FROM {_NEXT}"),
+    "m30_batch_similarity": (m30, f"SELECT vec_id, round(list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) AS similarity FROM (SELECT vec_id, {resampled_sql('a', 24000, 16000)} AS a, {resampled_sql('b', 24000, 16000)} AS b FROM {_NEXT})"),
+    "m31_pairs_or_null": (m31, f"SELECT vec_id, CASE WHEN vec_id % 6 > 0 THEN round(list_avg(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))), 6) END AS distance FROM (SELECT vec_id, {resampled_sql('a', 16000, 24000)} AS a, {resampled_sql('b', 16000, 24000)} AS b FROM {_NEXT})"),
     "m13_cosine": (m13, f"SELECT vec_id, round(list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) AS similarity FROM {_NEXT}"),
     "m24_pcm": (vectors("x", lambda e: F.aggregate(A.pcm16(e), F.lit(0).cast("long"), lambda a, v: a + v)), f"SELECT vec_id, list_sum(list_transform({_V}, lambda x: round(greatest(-1.0, least(1.0, x)) * 32767)))::BIGINT AS x FROM embeddings"),
     "m25_losses": (m25, f"SELECT vec_id, round(list_avg(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))), 6) AS l1, round(list_avg(list_transform(list_zip(a, b), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) AS mse FROM {_NEXT}"),
     "p10_non_silent": (p10, f"SELECT vec_id, CASE WHEN len(embedding) < 32 THEN 'too short' WHEN sqrt(list_avg(list_transform({_V}, lambda x: x * x))) < 0.1 THEN 'silent' ELSE 'ok' END AS reason FROM embeddings"),
-    "m29_rms": (vectors("rms", lambda e: F.round(A.rms(e), 6)), f"SELECT vec_id, round(sqrt(list_avg(list_transform({_V}, lambda x: x * x))), 6) AS rms FROM embeddings"),
+    "m29_framed_rms": (m29, f"SELECT vec_id, k::INT AS frame, round(sqrt(list_sum(list_transform(range(k * 8 - 8, k * 8 + 8), lambda i: CASE WHEN i BETWEEN 0 AND len(v) - 1 THEN v[i + 1] * v[i + 1] ELSE 0 END)) / 16), 6) AS rms FROM (SELECT vec_id, {_V} AS v, unnest(range(len(embedding) // 8 + 1)) AS k FROM embeddings)"),
 }

@@ -15,6 +15,7 @@ from ..operators import silence as Z
 from ..operators.relational import stretch_of
 from ..sources.store import writer
 from ..sources.tables import table as t
+from .scores import resampled_sql
 
 
 def g01(s, d):
@@ -138,9 +139,25 @@ def m22(s, d):
 
 
 def m17(s, d):
-    e = t(s, d, "embeddings").select("vec_id", F.slice("embedding", F.lit(1), (F.pmod("vec_id", F.lit(30)) + 1).cast("int")).alias("x"))
-    wide = D.padded(F.col("x"), F.lit(32), -11.512925)
-    return e.select("vec_id", F.size("x").alias("n"), F.size(wide).alias("width"), F.round(F.aggregate(wide, F.lit(0.0), lambda a, v: a + v), 4).alias("total"))
+    """Rows of a batch (eight vectors) are padded to its longest one."""
+    e = t(s, d, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 8).alias("batch"), F.slice("embedding", F.lit(1), (F.pmod("vec_id", F.lit(30)) + 1).cast("int")).alias("x"))
+    longest = e.groupBy("batch").agg(F.max(F.size("x")).alias("width"))
+    wide = e.join(longest, "batch").withColumn("wide", D.padded(F.col("x"), F.col("width"), -11.512925))
+    return wide.select("vec_id", F.size("x").alias("n"), F.size("wide").alias("width"), F.round(F.aggregate("wide", F.lit(0.0), lambda a, v: a + v), 4).alias("total"))
+
+
+def m18_joint(s, d):
+    """Three parts of each vector, 50 ms of silence at 64 samples a second between them."""
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    gap = F.array_repeat(F.lit(0.0), int(0.05 * 64))
+    whole = D.joined([F.slice(x, 1, 20), F.slice(x, 21, 20), F.slice(x, 41, 24)], gap)
+    return t(s, d, "embeddings").select("vec_id", F.posexplode(whole).alias("k", "v")).groupBy("vec_id").agg(F.count("*").alias("n"), F.round(F.sum((F.col("k") + 1) * F.col("v")), 5).alias("total"))
+
+
+def g08_order(s, d):
+    """Batches of g08 in an order that a seed decides: the digest of the seed and the batch."""
+    each = g08(s, d)
+    return each.select("bucket", "batch", "id", F.md5(F.concat_ws(":", F.lit("666"), "bucket", "batch").cast("binary")).alias("place"))
 
 
 def signal(name, fn, places=5):
@@ -224,6 +241,8 @@ _PAIR = "(SELECT a.conv_id, a.turn, a.text AS ref, b.text AS gen FROM conversati
 _X = "list_transform(embedding, lambda x: x::DOUBLE)"
 #: Rows in order of frames into batches, row by row.
 _BATCHES = "WITH RECURSIVE o AS (SELECT doc_id AS id, n_chars AS frames, row_number() OVER (ORDER BY n_chars, doc_id) AS k FROM documents WHERE n_chars <= 3840), f AS (SELECT id, frames, k, 0::BIGINT AS batch, frames AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.id, o.frames, o.k, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN o.frames ELSE f.total + o.frames END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN 1 ELSE f.n + 1 END FROM f JOIN o ON o.k = f.k + 1) "
+#: Rows of each bucket in order of ids into batches, row by row.
+_BUCKETS = "WITH RECURSIVE e AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents), o AS (SELECT floor((n_chars - lo) / (hi - lo + 1) * 200)::INT AS bucket, doc_id AS id, n_chars::DOUBLE AS length FROM documents, e), r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS k FROM o), f AS (SELECT bucket, id, length, k, 0::BIGINT AS batch, length AS total FROM r WHERE k = 1 UNION ALL SELECT r.bucket, r.id, r.length, r.k, CASE WHEN f.total >= 20000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total >= 20000 THEN r.length ELSE f.total + r.length END FROM f JOIN r ON r.bucket = f.bucket AND r.k = f.k + 1) "
 #: Levels of blocks of recordings (b), their numbers (n) and the runs of those under a level (r).
 _RUNS = """v AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS p, embedding AS x FROM embeddings), b AS (
   SELECT label, p * 8 + i AS k, round(20 * log10(greatest(sqrt(list_sum(list_transform(x[i * 8 + 1:i * 8 + 8], lambda y: y::DOUBLE * y::DOUBLE)) / 8), 1e-10)), 6) AS level FROM v, (SELECT unnest(range(8)) AS i)
@@ -264,13 +283,13 @@ QUERIES = {
     "g05_long_only": (g05, "SELECT page_id FROM pages WHERE length(html) > 3600 AND url NOT LIKE '%\\_chunk\\_%' ESCAPE '\\'"),
     "g06_pieces": (g06, None),
     "g07_frame_batches": (g07, _BATCHES + "SELECT id, frames::DOUBLE AS frames, batch FROM f"),
-    "g08_bucket_batches": (g08, "WITH RECURSIVE e AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents), o AS (SELECT floor((n_chars - lo) / (hi - lo + 1) * 200)::INT AS bucket, doc_id AS id, n_chars::DOUBLE AS length FROM documents, e), r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS k FROM o), f AS (SELECT bucket, id, length, k, 0::BIGINT AS batch, length AS total FROM r WHERE k = 1 UNION ALL SELECT r.bucket, r.id, r.length, r.k, CASE WHEN f.total >= 20000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total >= 20000 THEN r.length ELSE f.total + r.length END FROM f JOIN r ON r.bucket = f.bucket AND r.k = f.k + 1) SELECT bucket, id, length, batch FROM f"),
+    "g08_bucket_batches": (g08, _BUCKETS + "SELECT bucket, id, length, batch FROM f"),
     "g08_buckets": (g08_bucket, "SELECT doc_id, floor((n_chars - lo) / (hi - lo + 1) * 200)::INT AS bucket FROM documents, (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents)"),
     "g09_balanced": (g09, "WITH RECURSIVE z AS (SELECT s_nationkey::VARCHAR AS name, sum(abs(s_acctbal)) AS size FROM supplier GROUP BY 1), o AS (SELECT *, row_number() OVER (ORDER BY size DESC, name) AS k FROM z), p AS (SELECT 0::BIGINT AS k, NULL::VARCHAR AS name, NULL::DOUBLE AS size, NULL::INT AS bin, [0, 0, 0, 0, 0]::DOUBLE[] AS sums UNION ALL SELECT o.k, o.name, o.size, list_position(p.sums, list_min(p.sums))::INT - 1, list_transform(p.sums, lambda x, i: CASE WHEN i = list_position(p.sums, list_min(p.sums)) THEN x + o.size ELSE x END) FROM p JOIN o ON o.k = p.k + 1) SELECT name, round(size, 2) AS size, bin FROM p WHERE k > 0"),
     "g10_epoch_order": (g10, _BATCHES + "SELECT id, batch, md5('666:' || batch) AS place_0, md5('667:' || batch) AS place_1 FROM f"),
     "g11_skip_invalid": (g11, "WITH g AS (SELECT *, CASE WHEN o_totalprice BETWEEN 50000 AND 150000 THEN o_orderkey END AS g FROM orders) SELECT o_orderkey, coalesce(min(g) OVER (ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), min(g) OVER ()) AS used FROM g"),
     "g12_edit_mask": (g12, f"SELECT vec_id, len(embedding)::INT AS n, len(embedding)::INT - 15 AS n_kept, round(list_sum({_X}) - list_sum(list_slice({_X}, 11, 20)) - list_sum(list_slice({_X}, 41, 45)), 5) AS total FROM embeddings"),
-    "m03_trimmed": (signal("total", lambda x: S.trimmed(x, 6.0, 8, 4, 4)), None),
+    "m03_trimmed": (signal("total", lambda x: S.trimmed(x, 6.0, 8, 4, 4)), f"WITH x AS (SELECT vec_id, {_X} AS x FROM embeddings), l AS (SELECT vec_id, x, list_transform(range(len(x) // 4 + 1), lambda k: 20 * log10(greatest(sqrt(list_sum(list_transform(range(k * 4 - 4, k * 4 + 4), lambda i: CASE WHEN i BETWEEN 0 AND len(x) - 1 THEN x[i + 1] * x[i + 1] ELSE 0 END)) / 8), 1e-10))) AS l FROM x), f AS (SELECT vec_id, x, list_filter(range(len(l)), lambda k: l[k + 1] > list_max(l) - 6) AS f FROM l), c AS (SELECT vec_id, x, x[f[1] * 4 + 1:least(len(x), (f[-1] + 1) * 4)] AS c FROM f), t AS (SELECT vec_id, CASE WHEN len(c) >= greatest(4, 0.15 * len(x)) THEN c ELSE x END AS y FROM c) SELECT vec_id, len(y) AS n, round(list_sum(list_transform(range(1, len(y) + 1), lambda k: k * y[k])), 5) AS total FROM t"),
     "m06_time_aligned": (with_next("total", lambda a, b: np.concatenate(S.time_aligned(sung(a), sung(b, 0.5)))), None),
     "m07_prepared_pair": (with_next("total", lambda a, b: np.concatenate(S.prepared_pair(sung(a), sung(b, 0.5)))), None),
     "m10_listening_gate": (with_next("score", lambda a, b: S.listening_score(np.tile(a, 20), np.tile(b, 20) if b[0] > 0 else b, 24000 if a[0] > 0 else 8000, correlated, prepare=S.time_aligned)), None),
@@ -278,10 +297,12 @@ QUERIES = {
     "m28_clipped_reference": (signal("total", lambda x: S.clipped_reference(spoken(np.tile(x, 1)), 100, 1.0, 2.0)), None),
     "m08_contours": (m08, None),
     "m09_cepstral_distortion": (against_next("mcd", lambda a, b: S.cepstral_distortion(a, b, 16000)), None),
-    "m15_resampled": (signal("total", lambda x: S.resampled(x, 24000, 16000)), None),
+    "m15_resampled": (signal("total", lambda x: S.resampled(x, 24000, 16000)), f"SELECT vec_id, len(y) AS n, round(list_sum(list_transform(range(1, len(y) + 1), lambda k: k * y[k])), 5) AS total FROM (SELECT vec_id, {resampled_sql('x', 24000, 16000)} AS y FROM (SELECT vec_id, {_X} AS x FROM embeddings))"),
     "m16_log_mel": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8), 3), None),
     "m16_log_mel_other": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8, centred_frames=False), 3), None),
-    "m17_padded": (m17, "SELECT vec_id, (vec_id % 30 + 1)::INT AS n, 32 AS width, round(list_sum(list_slice(" + _X + ", 1, vec_id % 30 + 1)) + (32 - (vec_id % 30 + 1)) * -11.512925::DOUBLE, 4) AS total FROM embeddings"),
+    "m17_padded": (m17, "SELECT vec_id, n::INT AS n, width::INT AS width, round(list_sum(list_slice(" + _X + ", 1, n)) + (width - n) * -11.512925::DOUBLE, 4) AS total FROM (SELECT *, max(n) OVER (PARTITION BY vec_id // 8) AS width FROM (SELECT *, vec_id % 30 + 1 AS n FROM embeddings))"),
+    "m18_silent_joints": (m18_joint, f"SELECT vec_id, 70::BIGINT AS n, round(list_sum(list_transform(range(1, 65), lambda k: (k + CASE WHEN k > 40 THEN 6 WHEN k > 20 THEN 3 ELSE 0 END) * x[k])), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
+    "g08_seeded_order": (g08_order, _BUCKETS + "SELECT bucket, batch, id, md5('666:' || bucket || ':' || batch) AS place FROM f"),
     "m18_crossfaded": (signal("total", lambda x: S.crossfaded([x, -2 * x], 64)), f"SELECT vec_id, 119::BIGINT AS n, round(list_sum(list_transform(range(1, 120), lambda k: k * CASE WHEN k <= 55 THEN x[k] WHEN k > 64 THEN -2 * x[k - 55] ELSE x[k] * (1 - (k - 56) / 8) - 2 * x[k - 55] * (k - 56) / 8 END)), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
     "m19_frames_by_bytes": (m19_bytes, f"SELECT conv_id, turn, (750 + floor(750 / strlen(ref) * strlen(gen)))::BIGINT AS frames FROM {_PAIR} WHERE ref <> ''"),
     "m19_seconds_by_words": (m19_words, f"WITH n AS (SELECT conv_id, turn, len({_W.format('ref')}) AS r, len({_W.format('gen')}) AS g FROM {_PAIR}), v AS (SELECT *, CASE WHEN r > 0 THEN r / 6.0 ELSE 2.5 END::DOUBLE AS w FROM n) SELECT conv_id, turn, round(6.0::DOUBLE + g / w / CASE WHEN g < 3 THEN 0.3 ELSE 1.0 END::DOUBLE * (w / 4.0::DOUBLE), 5) AS seconds FROM v"),

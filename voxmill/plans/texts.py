@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import han as H
@@ -71,7 +70,8 @@ def t20(s, d):
 def t21(s, d):
     """Characters as numbers of a vocabulary (of German texts, in order of code points), 0 for others, -1 behind the end."""
     held = t(s, d, "documents").where("lang = 'de'").select(F.explode(F.array_distinct(F.split("text", ""))).alias("symbol")).where("symbol <> ''").distinct()
-    numbers = held.select(F.transform(F.array_sort(F.collect_set("symbol").over(Window.partitionBy())), lambda x, i: F.struct(x.alias("symbol"), i.alias("id"))).alias("v")).limit(1).select(F.inline("v"))
+    # as many as there are code points, at most
+    numbers = held.agg(F.array_sort(F.collect_set("symbol")).alias("v")).select(F.posexplode("v").alias("id", "symbol"))
     wide = conv(s, d).groupBy("conv_id").agg(F.max(F.char_length("text")).alias("width"))
     cells = conv(s, d).join(wide, "conv_id").select(*_C, F.split("text", "").alias("c"), F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("pos")).select(*_C, "pos", F.nullif(F.get("c", F.col("pos")), F.lit("")).alias("symbol"))
     # a vocabulary has as many rows as there are code points, at most
@@ -157,6 +157,7 @@ QUERIES = {
     "t18_translated": (t18, "SELECT conv_id, turn, '\"a\" ''b'', ，！？' || translate(text, ';“”‘’', ',\"\"''''') AS quotes, '“a” ‘b’; ,!?' || translate(text, '，！？', ',!?') AS wide FROM conversations"),
     "t20_byte_ids": (t20, "WITH c AS (SELECT conv_id, turn, hex(encode(text)) AS h, max(strlen(text)) OVER (PARTITION BY conv_id) AS w FROM conversations), b AS (SELECT conv_id, turn, w, list_concat(list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT), list_transform(range(w - length(h) // 2), lambda k: -1::BIGINT)) AS x FROM c) SELECT conv_id, turn, w::INT AS n, list_reduce(x, lambda a, y: (a * 31 + y + 1) % 1000003, 0::BIGINT) AS digest FROM b"),
     "t22_terminated": (column("x", X.terminated), sql("x", "CASE WHEN text LIKE '%. ' OR text LIKE '%。' THEN text WHEN text LIKE '%.' THEN text || ' ' ELSE text || '. ' END")),
+    "t23_spoken": (column("x", lambda c: X.spoken_time(F.char_length(c) * 7.25)), sql("x", "CASE WHEN length(text) * 7.25 >= 3600 THEN floor(length(text) * 7.25 / 3600)::INT || 'h ' ELSE '' END || CASE WHEN length(text) * 7.25 >= 60 THEN floor((length(text) * 7.25) % 3600 / 60)::INT || 'm ' ELSE '' END || printf('%.2fs', ((length(text) * 7.25) % 60)::DOUBLE)")),
     "t23_clock": (column("x", lambda c: X.clock(F.char_length(c))), sql("x", "printf('%02d:%02d:%02d', length(text) // 3600, (length(text) % 3600) // 60, length(text) % 60)")),
     "t08_reading_chunks": (lambda s, d: conv(s, d).select(*_C, F.posexplode(X.reading_chunks(F.col("text"))).alias("pos", "chunk")), None),
     "t19_readings": (t19_readings, None),

@@ -6,10 +6,11 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import safe_name
 from . import store
 
 
@@ -18,6 +19,23 @@ def csv_report(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
+#: The metrics of a report, in order.
+METRICS = ("mcd", "pesq", "stoi", "utmos", "f0_correlation", "wer", "cer")
+
+
+def metric_report(rows: DataFrame, path: str) -> None:
+    """sample_id, text and all metrics, in their order, as CSV; a metric that the rows haven't, or a null one, is an empty field."""
+    cells = [F.col(m).cast("double").alias(m) if m in rows.columns else F.lit(None).cast("double").alias(m) for m in METRICS]
+    plain = rows.select("sample_id", "text", *cells)
+    plain.write.mode("overwrite").options(header=True, nullValue="", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A report that metric_report wrote; texts may hold line breaks."""
+    schema = T.StructType([T.StructField("sample_id", T.StringType()), T.StructField("text", T.StringType()), *[T.StructField(m, T.DoubleType()) for m in METRICS]])
+    return spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(path)
+
+
 def json_results(rows: DataFrame, summary: DataFrame, path: str) -> None:
     """JSON lines, and the summary beside them."""
     rows.write.mode("overwrite").json(f"{path}/rows")
@@ -93,13 +111,33 @@ def result_name(model: str, metric: str) -> str:
     return f"{safe}_{metric}.json"
 
 
-def existing_result(spark: SparkSession, folder: str, model: str, metric: str) -> dict | None:
-    """What was saved for a model and metric; a broken file is moved aside and counts as none."""
-    path = f"{folder}/{result_name(model, metric)}"
-    found = read_document(spark, path, {})
-    if not found and store.exists(spark, path):
-        quarantined(spark, path)
-    return found or None
+def result_name_of(model: Column, metric: str) -> Column:
+    """result_name of a column of models."""
+    return F.concat(safe_name(model), F.lit(f"_{metric}.json"))
+
+
+def existing_results(spark: SparkSession, folder: str, models: DataFrame, metric: str) -> DataFrame:
+    """models(model) -> (model, result JSON): what was saved for each, null where there is nothing.
+
+    The folder is read once; broken files, which count as none, are moved aside where they are found, each to the first free
+    .backup name.
+    """
+    held = spark.read.option("pathGlobFilter", f"*_{metric}.json").text(folder, wholetext=True)
+    parsed = F.try_parse_json("value")
+    good = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT<") & (F.to_json(parsed) != "{}"), F.lit(False))
+    uri = F.col("_metadata.file_path")
+    read = store.writer(spark)(held.select(uri.alias("uri"), F.substring_index(uri, "/", -1).alias("file"), "value", good.alias("good")))
+    read.where("not good").select("uri").foreachPartition(_set_aside)
+    found = read.where("good").select(F.url_decode("file").alias("file"), F.col("value").alias("result"))
+    return models.withColumn("file", result_name_of(F.col("model"), metric)).join(found, "file", "left").drop("file")
+
+
+def _set_aside(rows) -> None:
+    for row in rows:
+        fs, path = store.opened(row.uri)
+        there = lambda name: fs.get_file_info(name).type.name != "NotFound"
+        if there(path):
+            fs.move(path, next(n for k in range(1 << 30) if not there(n := f"{path}.backup" + (f".{k}" if k else ""))))
 
 
 def split_broken(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:

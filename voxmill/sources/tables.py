@@ -134,11 +134,12 @@ def flat_or_deep(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
-def url_list(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array: its texts, trimmed, empty ones left out, each at the first place where it stands."""
-    held = spark.read.text(path, wholetext=True)
-    each = held.select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "url")).select("pos", F.trim("url").alias("url"))
-    return each.where("url <> ''").groupBy("url").agg(F.min("pos").alias("pos"))
+def url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON arrays, one a file: (list, url, pos) of their texts, trimmed, empty ones left out, each at the first place where it stands."""
+    name = stem(F.substring_index(F.col("_metadata.file_path"), "/", -1))
+    held = spark.read.text(folder, wholetext=True).select(name.alias("list"), "value")
+    each = held.select("list", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "url")).select("list", "pos", F.trim("url").alias("url"))
+    return each.where("url <> ''").groupBy("list", "url").agg(F.min("pos").alias("pos"))
 
 
 def sheet(spark: SparkSession, path: str) -> DataFrame:
