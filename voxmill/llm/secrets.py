@@ -3,10 +3,11 @@
 A string that a byte-pair vocabulary has not seen breaks into many short tokens.  Candidates are runs of 16 or more
 characters of a key alphabet, with or without digits; one whose characters per token fall to `RATIO` or lower is
 random, unless it is a known digest length in hex, a UUID, a number, or words and numbers whose letter runs the
-vocabulary itself encodes in few tokens.  Base spans (assignments, access keys, long hex) are kept whatever the test says; a random
+vocabulary itself encodes in few tokens.  Words that no vocabulary has are inefficient, too: a candidate of letters in the case of words is
+random only if its pairs of letters are no likelier in this document than by chance.  Base spans (assignments, access keys, long hex) are kept whatever the test says; a random
 string inside a base span adds nothing.
 
-Edge cases: null text is the empty text; ties and repeated rows are rows of their own; empty tables give empty
+Edge cases: null text is the empty text; ties and repeated rows are rows of their own; texts of any length are scanned whole, and judged by all their letters; empty tables give empty
 results; further columns are ignored by the scan and kept by the redaction.
 """
 
@@ -16,6 +17,7 @@ import functools
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ WORDS = 3
 SHORTEST = 16
 #: Hex digits of known digests (crc and md5 to sha512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
+#: Pairs of letters that the vocabulary stands for beside a document's own.
+PRIOR_PAIRS = 300.0
 KINDS = ("assign", "access", "hex", "random")
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long, n_found long"
 
@@ -76,6 +80,32 @@ def random_string(s: str, path: str, ratio: float = RATIO) -> bool:
     return len(s) / max(1, len(encoding(path).encode_ordinary(s))) <= ratio and not known(s, path)
 
 
+def letter_pairs(text: str) -> np.ndarray:
+    """[26, 26] how often each ASCII letter, in either case, follows each."""
+    b = np.frombuffer(text.encode("ascii", "replace").lower(), np.uint8).astype(np.int64) - 97
+    both = (b[:-1] >= 0) & (b[:-1] < 26) & (b[1:] >= 0) & (b[1:] < 26)
+    return np.bincount(b[:-1][both] * 26 + b[1:][both], minlength=676).reshape(26, 26).astype(float)
+
+
+@functools.lru_cache(maxsize=2)
+def usual_pairs(path: str) -> np.ndarray:
+    """Shares of pairs of letters in the vocabulary's tokens."""
+    n = letter_pairs(" ".join(t.decode("utf-8", "ignore") for t in encoding(path).token_byte_values())) + 1
+    return n / n.sum()
+
+
+def worded(s: str, text: str, path: str) -> bool:
+    """Whether letters in the case of words (small, at most the first one great) follow each other as in the document and the
+    vocabulary, rather than each as likely as any other."""
+    runs = _LETTERS.findall(s)
+    if any(not r[1:].islower() for r in runs if len(r) > 1) or any(c.isdigit() for c in s):
+        return False
+    # without the candidate itself, however often it stands there
+    n = letter_pairs(text.replace(s, " ")) + PRIOR_PAIRS * usual_pairs(path)
+    gain = np.log(26 * n / n.sum(axis=1, keepdims=True))
+    return float((letter_pairs(s) * gain).sum()) > 0
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, order of the kind, end) of the base patterns; failing matches are dropped, without another try."""
     out = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 6]
@@ -88,7 +118,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def added_spans(text: str, base: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
     out = []
     for m in _CANDIDATE.finditer(text):
-        if random_string(m[0], path) and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+        if random_string(m[0], path) and not any(a <= m.start() and m.end() <= b for a, _, b in base) and not worded(m[0], text, path):
             out.append((m.start(), 3, m.end()))
     return out
 
