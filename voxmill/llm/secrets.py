@@ -95,10 +95,10 @@ def usual_pairs(path: str) -> np.ndarray:
 
 
 def worded(s: str, text: str, path: str) -> bool:
-    """Whether letters in the case of words (small, at most the first one great) follow each other as in the document and the
+    """Whether letters in the case of words (small, all great, or the first one great) follow each other as in the document and the
     vocabulary, rather than each as likely as any other."""
     runs = _LETTERS.findall(s)
-    if any(not r[1:].islower() for r in runs if len(r) > 1) or any(c.isdigit() for c in s):
+    if any(not r[1:].islower() and not r.isupper() for r in runs if len(r) > 1) or any(c.isdigit() for c in s):
         return False
     # without the candidate itself, however often it stands there
     n = letter_pairs(text.replace(s, " ")) + PRIOR_PAIRS * usual_pairs(path)
