@@ -1,17 +1,22 @@
 """Main text of web pages by composite text density.
 
 The page becomes a tree; scripts, menus, forms and the like are cut off by tag.  Names and roles of adverts, notices,
-comments and the like (a whole class, id or role: `ad`, `cookie-notice`, `sidebar-left`, not `social-contract` or
-`has-sidebar`) are evidence only: a node that bears one is cut off where it holds less than `SHARE` of the page's
-text or is less dense than the page, unless the densest subtree lies in it or hardly any text would be left; where there
-is an <article> or <main>, all of them go but those around its densest subtree.  For each node left, the composite
-density is its characters per tag, damped by how much of the text and of the tags are links.  The node whose children's densities sum to the most holds the article; below it, a block is dropped
-where its density falls under the least density on the path from the body to that node and most of its text is links.
-A surrounding <article> or <main> of the chosen node is taken whole.
+comments and the like (a whole class, id or role of a block: `ad`, `cookie-notice`, `sidebar-left`, not `social-contract` or
+`has-sidebar`) are evidence only:
+* In an <article> or <main>, adverts and comments go, and other named blocks unless they are prose of the article: `PROSE_SHARE` of its
+  text at least, half as dense, and hardly of links.
+* On other pages a named block goes where it holds less than `SHARE` of the page's text or is less dense than the page, unless
+  the densest subtree lies in it, hardly any text would be left, or its name can be a topic and it is prose of the densest
+  subtree.  Comments and adverts go even where they outweigh the page, if a block elsewhere holds a post.
+For each node left, the composite density is its characters per tag, damped by how much of the text and of the tags are links.
+The node whose children's densities sum to the most holds the article; below it, a block is dropped where its density falls under
+the least density on the path from the body to that node and most of its text is links.  A surrounding <article> or <main> of the
+chosen node is taken whole, its lists of links too.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are joined by one newline;
 a <br> is white space.  Edge cases: null html is the empty page; a page without markup is one block; unclosed, nested
-and stray tags are repaired as browsers do for paragraphs, list items and table cells; extra columns are ignored.
+and stray tags are repaired as browsers do for paragraphs, list items and table cells; of equally dense nodes the first counts;
+repeated pages are rows of their own; pages of any length are read whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +50,11 @@ NAMES = frozenset(
     "comment comments disqus cookie cookies consent gdpr notice alert newsletter subscribe signup login share sharing social related recommended popup modal "
     "overlay footer masthead toolbar pagination pager widget widgets search skip contentinfo complementary".split()
 )
+#: Names that are noise wherever they stand, and such as an article may be about.
+SURE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus".split())
+TOPICS = frozenset("alert banner consent cookie cookies gdpr menu notice related search share sharing social".split())
+#: Of an article's text and density, what a named block must have that is prose of it; characters of a post beside comments.
+PROSE_SHARE, PROSE_DENSITY, POST_CHARS = 0.1, 0.5, 80
 #: Parts of a name that say nothing of what it names.
 PLACES = frozenset(
     "area bar block bottom box button buttons col column container content footer form group header inner item items left link links list module outer panel post posts "
@@ -62,7 +72,7 @@ ENDS_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot",
 class Node:
     __slots__ = ("tag", "items", "parent", "noise", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool = False, named: bool = False):
+    def __init__(self, tag: str, parent: Node | None, noise: bool = False, named: frozenset = frozenset()):
         self.tag, self.items, self.parent, self.noise, self.named = tag, [], parent, noise, named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -104,16 +114,17 @@ def is_noise(tag: str, attributes: str, stack: Open) -> bool:
     return bool(attributes) and tag not in ("html", "body", "article", "main") and bool(_HIDDEN.search(attributes))
 
 
-def is_named(tag: str, attributes: str) -> bool:
-    """Whether a whole class, id or role names noise: one of NAMES, or several of them or with PLACES only."""
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+def names_of(tag: str, attributes: str) -> frozenset:
+    """What a whole class, id or role of a block says of noise: its words among NAMES, where it has no others but PLACES."""
+    if not attributes or tag not in BLOCKS or tag in ("html", "body", "article", "main"):
+        return frozenset()
+    out: set[str] = set()
     for m in _NAME.finditer(attributes):
         for token in (m[1] or m[2] or m[3] or "").split():
             parts = {p.lower() for p in _PART.findall(token)}
             if parts & NAMES and parts <= NAMES | PLACES:
-                return True
-    return False
+                out |= parts & NAMES
+    return frozenset(out)
 
 
 def markup(page: str):
@@ -185,7 +196,7 @@ def parse(page: str) -> Node:
                 place = stack.last(*ends)
                 if place > stack.last(*borders):
                     stack.cut(place)
-            node = Node(tag, stack.nodes[-1], is_noise(tag, attributes, stack), is_named(tag, attributes))
+            node = Node(tag, stack.nodes[-1], is_noise(tag, attributes, stack), names_of(tag, attributes))
             stack.nodes[-1].items.append(node)
             if tag != "hr" and not (attributes.endswith("/") and tag in ("svg", "path")):
                 stack.push(node)
@@ -266,53 +277,85 @@ def densest(order: list[Node]) -> Node:
     return max((n for n in order if n.tag in BLOCKS), key=lambda n: n.total)
 
 
-def cut_named(root: Node, order: list[Node]) -> bool:
-    """Marks the named nodes that are cut off as noise; says whether there are any."""
-    holders = set()
+def around(n: Node | None, tags: tuple[str, ...] = ()) -> list[Node]:
+    """A node and those it lies in, or only those of some tags."""
+    out = []
+    while n is not None:
+        if not tags or n.tag in tags:
+            out.append(n)
+        n = n.parent
+    return out
+
+
+def is_prose(n: Node, of: Node) -> bool:
+    """Whether a block reads like a part of a text, and is no small part of it."""
+    return n.chars >= PROSE_SHARE * of.chars and n.density >= PROSE_DENSITY * of.density and 3 * n.link_chars <= n.chars
+
+
+def without_comments(root: Node, order: list[Node]) -> list[Node]:
+    """Cuts all adverts and comments, if the densest node lies in one and the rest holds a post; returns the nodes left."""
     marked = [x for x in order if x.tag in ("article", "main") and x.chars]
-    n = densest(marked or order)
-    below = [n]
+    best = densest(order)
+    if not any(n.named & SURE for n in around(best)):
+        return order
+    dense, sure = best.density, [n for n in order if n.named & SURE]
+    for n in sure:
+        n.noise = True
+    left = measure(root)
+    post = densest(left)
+    if post.chars - post.link_chars >= POST_CHARS and post.density >= PROSE_DENSITY * dense and (not marked or around(post, ("article", "main"))):
+        return left
+    for n in sure:
+        n.noise = False
+    return measure(root)
+
+
+def cut_named(root: Node, order: list[Node]) -> list[Node]:
+    """Cuts the named nodes that are noise; returns the nodes left."""
+    order = without_comments(root, order)
+    marked = [x for x in order if x.tag in ("article", "main") and x.chars]
+    best = densest(marked or order)
+    below = [best]
     for x in below:
         below += [y for y in x.items if isinstance(y, Node) and not y.noise]
-    for n in (n, densest([x for x in below if x.tag in BLOCKS])):
-        while n is not None:
-            holders.add(id(n))
-            n = n.parent
-    cut = [n for n in order if n.named and id(n) not in holders and (marked or n.chars < SHARE * root.chars or n.density < root.density)]
+    holders = {id(n) for top in (best, densest([x for x in below if x.tag in BLOCKS])) for n in around(top)}
+
+    def stays(n: Node) -> bool:
+        if id(n) in holders:
+            return True
+        if marked:
+            inside = around(n, ("article", "main"))
+            return bool(inside) and not n.named & SURE and is_prose(n, inside[-1])
+        if n.chars >= SHARE * root.chars and n.density >= root.density:
+            return True
+        return n.named <= TOPICS and best is not root and any(x is best for x in around(n)) and is_prose(n, best)
+
+    cut = [n for n in order if n.named and not stays(n)]
+    if not cut:
+        return order
+    whole = root.chars
     for n in cut:
         n.noise = True
-    # nested ones count once: a cut node's own cut parts are not reached
-    left, todo = 0, [root]
-    while todo:
-        for x in todo.pop().items:
-            if isinstance(x, str):
-                left += len("".join(x.split()))
-            elif not x.noise:
-                todo.append(x)
-    if not marked and left < REST * root.chars:
+    # adverts and comments count for nothing; a cut node's own parts are counted with it
+    sure = sum(n.chars for n in cut if n.named & SURE and not any(x.noise for x in around(n.parent)))
+    left = measure(root)
+    if not marked and root.chars < REST * (whole - sure):
         for n in cut:
-            n.noise = False
-    return bool(cut)
+            n.noise = bool(n.named & SURE)
+        left = measure(root)
+    return left
 
 
 def main_text(page: str) -> str:
     root = parse(page)
-    order = measure(root)
-    if cut_named(root, order):
-        order = measure(root)
+    order = cut_named(root, measure(root))
     best = densest(order)
-    up = best
-    while up is not None:
-        if up.tag in ("article", "main"):
-            best = up
-        up = up.parent
+    marked = around(best, ("article", "main"))
+    if marked:
+        return "\n".join(blocks(marked[-1], 0.0))
     if not best.total:
         best = root
-    path, n = [], best
-    while n is not None:
-        path.append(n.density)
-        n = n.parent
-    return "\n".join(blocks(best, min(path)))
+    return "\n".join(blocks(best, min(n.density for n in around(best))))
 
 
 def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
