@@ -149,6 +149,8 @@ def test_personal_data_and_secrets_beyond_the_base_patterns(spark):
     texts = phones + planted + seeded + mails + handles + [words(rng, 30) for _ in range(30)]
     rows = {r.doc_id: r for r in pii.find(frame(spark, texts)).collect()}
     assert all(rows[k].n_found == 1 for k in range(30))
+    # all identifiers behind the word of the phones, few or many
+    assert all(rows[30 + k].n_context == 1 for k in range(len(planted + seeded)))
     # the handles stand behind a word that precedes e-mail addresses
     at = len(phones + planted + seeded + mails)
     assert sum(rows[at + k].n_context > 0 for k in range(4)) == 4

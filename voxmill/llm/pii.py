@@ -5,7 +5,8 @@ the seeds themselves, what stands between them in runs of tokens with digits, to
 token with a letter that stands behind a word which precedes `SUPPORT` different known values ("loose" tokens).  A mention
 has two lexical patterns: the word before it with the shape of its characters, and that word alone (where all tokens behind it
 are counted).  A pattern's
-confidence is the smoothed mean over its mentions (1 for a seed, else the value's); a value's is the noisy-or over its
+confidence is the smoothed mean over its mentions (1 for a seed, else the value's), for a word alone over its seeds and
+the ordinary words behind it; a value's is the noisy-or over its
 patterns, or for loose tokens 1 once found, else 0.  Values of confident patterns with enough different known values are
 known from the next round on, and support further patterns; rounds go on until no value is new, and then with the loose
 tokens that the new values bring, until these bring none.  Loose tokens of unknown values are counted only.
@@ -14,7 +15,7 @@ Positions: `split` gives the text between matches and `regexp_extract_all` the m
 in code points.  The patterns are those of the contract written with possessive repeats, and tied to the start of a run
 of characters (or the end of the match before), which changes no match and keeps long runs linear.
 
-Edge cases: null text is the empty text; repeated rows get the same spans each; null doc_id is a key like any other;
+Edge cases: null text is the empty text; texts of any length are read whole; repeated rows get the same spans each; null doc_id is a key like any other;
 empty tables give empty results; extra columns are ignored.
 """
 
@@ -186,11 +187,14 @@ def loose_hits(docs: DataFrame, good: DataFrame, lefts: DataFrame) -> DataFrame:
 
 def both_patterns(rows: DataFrame) -> DataFrame:
     """Every row once by word and shape and, where `_c` says that all tokens behind the word are counted, by the word alone."""
-    return rows.withColumn("pattern", F.explode(F.when(F.col("_c"), F.array(F.xxhash64("left", "shape"), F.xxhash64("left"))).otherwise(F.array(F.xxhash64("left", "shape")))))
+    shaped, alone = F.struct(F.xxhash64("left", "shape").alias("pattern"), F.lit(False).alias("alone")), F.struct(F.xxhash64("left").alias("pattern"), F.lit(True).alias("alone"))
+    return rows.withColumn("_p", F.explode(F.when(F.col("_c"), F.array(shaped, alone)).otherwise(F.array(shaped)))).select("*", "_p.pattern", "_p.alone").drop("_p")
 
 
 def settled(edges: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(confident patterns, known values) when no round brings a new value; edges: pattern, value, n, seed, loose."""
+    """(confident patterns, known values) when no round brings a new value; edges: pattern, alone, value, n, seed, loose.
+
+    Behind a word alone, mentions of unknown values say nothing for or against it: the more there are, the more is found.  Ordinary words there do."""
     scores, count = None, -1
     while True:
         score = edges.join(known.withColumn("_k", F.lit(1)), "value", "left")
@@ -198,7 +202,8 @@ def settled(edges: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
             score = score.join(scores, "value", "left")
         soft = F.coalesce("_s", F.lit(0.0)) if scores is not None else F.lit(0.0)
         score = score.withColumn("score", F.when(F.col("_k") == 1, 1.0).when(F.col("loose"), 0.0).otherwise(soft))
-        totals = score.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / (F.sum("n") + 1)).alias("confidence"), F.count_distinct(F.when(F.col("_k") == 1, F.col("value"))).alias("known"))
+        counts = F.when(F.col("alone") & F.col("_k").isNull() & ~F.col("loose"), 0).otherwise(F.col("n"))
+        totals = score.groupBy("pattern").agg((F.sum(counts * F.col("score")) / (F.sum(counts) + 1)).alias("confidence"), F.count_distinct(F.when(F.col("_k") == 1, F.col("value"))).alias("known"))
         patterns = durable(totals.where("confidence > 0"), "pii-patterns")
         good = patterns.where((F.col("confidence") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern")
         known = durable(known.union(edges.where("value IS NOT NULL").join(good, "pattern", "left_semi").select("value")).distinct(), "pii-known")
@@ -229,14 +234,14 @@ def discovered(found: DataFrame, docs: DataFrame) -> DataFrame:
         flag = lefts.select("left", F.lit(True).alias("_f"))
         rows = spots.withColumn("loose", F.lit(False)).unionByName(loose.select("left", "shape", "value", "n", F.lit(None).cast("int").alias("seed"), F.lit(True).alias("loose")))
         rows = rows.join(flag, "left", "left").withColumn("_c", F.coalesce("_f", F.lit(False))).where("_c OR NOT loose")
-        edges = durable(both_patterns(rows).select("pattern", "value", "n", "seed", "loose"), "pii-graph")
+        edges = durable(both_patterns(rows).select("pattern", "alone", "value", "n", "seed", "loose"), "pii-graph")
         good, known = settled(edges, known)
         if edges.where("loose").join(good, "pattern", "left_semi").limit(1).count():
             hits = durable(loose_hits(docs, good, lefts), "pii-hits")
             words = durable(hits.select("value").distinct(), "pii-loose-known")
             known = known.union(words).distinct()
     if good is None:
-        good, _ = settled(spots.withColumn("_c", F.lit(False)).withColumn("loose", F.lit(False)).transform(both_patterns).select("pattern", "value", "n", "seed", "loose"), known)
+        good, _ = settled(spots.withColumn("_c", F.lit(False)).withColumn("loose", F.lit(False)).transform(both_patterns).select("pattern", "alone", "value", "n", "seed", "loose"), known)
     behind = lefts.select("left", F.lit(True).alias("_f"))
     mine = found.where("seed IS NULL").join(behind, "left", "left").withColumn("_c", F.coalesce("_f", F.lit(False)))
     out = both_patterns(mine).join(good, "pattern", "left_semi").select("doc_id", "key", "start", "end").distinct()
