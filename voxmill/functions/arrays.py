@@ -93,6 +93,11 @@ def pcm16(x: Column) -> Column:
     return F.transform(x, lambda v: F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), v.cast("double"))) * 32767).cast("int"))
 
 
+def placed_total(x: Column) -> Column:
+    """The sum of the values, each times its place from 1."""
+    return F.aggregate(F.transform(x, lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+
+
 def framed_rms(x: Column, frame: int, hop: int) -> Column:
     """Levels of frames that are centred on every `hop`-th sample, over zero padding."""
     half = F.array_repeat(F.lit(0.0), frame // 2)

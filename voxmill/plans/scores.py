@@ -50,7 +50,7 @@ def m25(s, d):
 
 def m04(s, d):
     """The next vector at this one's loudness."""
-    return neighbours(s, d).select("vec_id", F.round(A.total(F.transform(A.rms_matched(F.col("other"), F.col("embedding")), lambda v: F.abs(v))), 5).alias("x"))
+    return neighbours(s, d).select("vec_id", F.round(A.placed_total(A.rms_matched(F.col("other"), F.col("embedding"))), 5).alias("x"))
 
 
 def m05(s, d):
@@ -96,7 +96,7 @@ def m15(s, d):
 
 
 def m23(s, d):
-    return t(s, d, "embeddings").select("vec_id", F.aggregate(A.peak_blended(F.col("embedding")), F.lit(0).cast("long"), lambda a, v: a + v).alias("x"))
+    return t(s, d, "embeddings").select("vec_id", A.placed_total(A.peak_blended(F.col("embedding"))).cast("long").alias("x"))
 
 
 def m29(s, d):
@@ -181,17 +181,17 @@ QUERIES = {
     "e01_word_distance": (e01, f"WITH RECURSIVE {WORD_ERRORS_SQL} SELECT conv_id, turn, distance::INT AS distance FROM edits"),
     **{f"e02_error_rates_{p}": (rates(p), f"{rates_sql(p)} SELECT conv_id, turn, round(wer, 6) AS wer, round(cer, 6) AS cer FROM rates") for p in E.POLICIES},
     "m01_mono_peak": (vectors("x", lambda e: F.round(A.peak(A.mono(e)), 6)), f"SELECT vec_id, round(list_max(list_transform({_V}, lambda x: abs(x - m))), 6) AS x FROM (SELECT *, list_avg({_V}) AS m FROM embeddings)"),
-    "m02_peak_normalized": (vectors("x", lambda e: F.round(A.total(A.peak_normalized(e)), 5)), f"SELECT vec_id, round(list_sum(list_transform({_V}, lambda x: x * least(0.95 / p, 20.0))), 5) AS x FROM (SELECT *, list_max(list_transform({_V}, lambda x: abs(x))) AS p FROM embeddings)"),
-    "m04_rms_matched": (m04, f"SELECT vec_id, round(list_sum(list_transform(b, lambda x: abs(x) * greatest(0.25, least(4.0, ra / rb)))), 5) AS x FROM (SELECT *, sqrt(list_avg(list_transform(a, lambda x: x * x))) AS ra, sqrt(list_avg(list_transform(b, lambda x: x * x))) AS rb FROM {_NEXT})"),
+    "m02_peak_normalized": (vectors("x", lambda e: F.round(A.placed_total(A.peak_normalized(e)), 5)), f"SELECT vec_id, round(list_sum(list_transform({_V}, lambda x, k: k * (x * least(0.95 / p, 20.0)))), 5) AS x FROM (SELECT *, list_max(list_transform({_V}, lambda x: abs(x))) AS p FROM embeddings)"),
+    "m04_rms_matched": (m04, f"SELECT vec_id, round(list_sum(list_transform(b, lambda x, k: k * (x * greatest(0.25, least(4.0, ra / rb))))), 5) AS x FROM (SELECT *, sqrt(list_avg(list_transform(a, lambda x: x * x))) AS ra, sqrt(list_avg(list_transform(b, lambda x: x * x))) AS rb FROM {_NEXT})"),
     "m05_fitted": (m05, f"WITH e AS (SELECT vec_id, {_V} AS x, (vec_id % 100)::INT AS n FROM embeddings) SELECT vec_id, n, n AS size, round(coalesce(list_sum(list_transform(list_zip(x[:n], range(1, n + 1)), lambda z: z[1] * z[2])), 0), 5) AS total FROM e"),
     "m12_opinion": (m12, f"SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 1.0 ELSE greatest(1.0, least(5.0, round(3 + 4 * list_avg({_V}) * 10, 6))) END AS score FROM embeddings"),
     "m14_isolated_metrics": (m14, f"SELECT vec_id, CASE WHEN vec_id % 3 > 0 THEN round(list_max({_V}), 6) END AS loudest, round(list_avg({_V}), 6) AS middle, CASE WHEN vec_id % 4 > 0 THEN 1.0::DOUBLE END AS gone FROM embeddings"),
     "m15_channels": (m15, f"SELECT vec_id, round(list_sum(list_transform(range(1, 33), lambda k: (x[2 * k - 1] + x[2 * k]) / 2 * k)), 5) AS mono, round(list_sum(list_transform(range(1, 65), lambda k: 2 * x[k] * k)), 5) AS stereo, round(list_sum(list_transform(range(1, 17), lambda k: (x[4 * k - 3] + 2 * x[4 * k - 2]) * k)), 5) AS two FROM (SELECT vec_id, {_V} AS x FROM embeddings)"),
-    "m23_peak_blend": (m23, f"SELECT vec_id, list_sum(list_transform(x, lambda v: trunc(((CASE WHEN p > 1 THEN v / p ELSE v END) / p * 0.45::DOUBLE + 0.5::DOUBLE * (CASE WHEN p > 1 THEN v / p ELSE v END)) * 32767)::BIGINT))::BIGINT AS x FROM (SELECT vec_id, x, list_max(list_transform(x, lambda v: abs(v))) AS p FROM (SELECT vec_id, {_V} AS x FROM embeddings))"),
+    "m23_peak_blend": (m23, f"SELECT vec_id, list_sum(list_transform(x, lambda v, k: k * trunc(((CASE WHEN p > 1 THEN v / p ELSE v END) / p * 0.45::DOUBLE + 0.5::DOUBLE * (CASE WHEN p > 1 THEN v / p ELSE v END)) * 32767)::BIGINT))::BIGINT AS x FROM (SELECT vec_id, x, list_max(list_transform(x, lambda v: abs(v))) AS p FROM (SELECT vec_id, {_V} AS x FROM embeddings))"),
     "m30_batch_similarity": (m30, f"SELECT vec_id, round(list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) AS similarity FROM (SELECT vec_id, {resampled_sql('a', 24000, 16000)} AS a, {resampled_sql('b', 24000, 16000)} AS b FROM {_NEXT})"),
     "m31_pairs_or_null": (m31, f"SELECT vec_id, CASE WHEN vec_id % 6 > 0 THEN round(list_avg(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))), 6) END AS distance FROM (SELECT vec_id, {resampled_sql('a', 16000, 24000)} AS a, {resampled_sql('b', 16000, 24000)} AS b FROM {_NEXT})"),
     "m13_cosine": (m13, f"SELECT vec_id, round(list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) AS similarity FROM {_NEXT}"),
-    "m24_pcm": (vectors("x", lambda e: F.aggregate(A.pcm16(e), F.lit(0).cast("long"), lambda a, v: a + v)), f"SELECT vec_id, list_sum(list_transform({_V}, lambda x: round(greatest(-1.0, least(1.0, x)) * 32767)))::BIGINT AS x FROM embeddings"),
+    "m24_pcm": (vectors("x", lambda e: A.placed_total(A.pcm16(e)).cast("long")), f"SELECT vec_id, list_sum(list_transform({_V}, lambda x, k: k * round(greatest(-1.0, least(1.0, x)) * 32767)))::BIGINT AS x FROM embeddings"),
     "m25_losses": (m25, f"SELECT vec_id, round(list_avg(list_transform(list_zip(a, b), lambda z: abs(z[1] - z[2]))), 6) AS l1, round(list_avg(list_transform(list_zip(a, b), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 6) AS mse FROM {_NEXT}"),
     "p10_non_silent": (p10, f"SELECT vec_id, CASE WHEN len(embedding) < 32 THEN 'too short' WHEN sqrt(list_avg(list_transform({_V}, lambda x: x * x))) < 0.1 THEN 'silent' ELSE 'ok' END AS reason FROM embeddings"),
     "m29_framed_rms": (m29, f"SELECT vec_id, k::INT AS frame, round(sqrt(list_sum(list_transform(range(k * 8 - 8, k * 8 + 8), lambda i: CASE WHEN i BETWEEN 0 AND len(v) - 1 THEN v[i + 1] * v[i + 1] ELSE 0 END)) / 16), 6) AS rms FROM (SELECT vec_id, {_V} AS v, unnest(range(len(embedding) // 8 + 1)) AS k FROM embeddings)"),
