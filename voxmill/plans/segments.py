@@ -241,6 +241,27 @@ _PAIR = "(SELECT a.conv_id, a.turn, a.text AS ref, b.text AS gen FROM conversati
 _X = "list_transform(embedding, lambda x: x::DOUBLE)"
 #: Rows in order of frames into batches, row by row.
 _BATCHES = "WITH RECURSIVE o AS (SELECT doc_id AS id, n_chars AS frames, row_number() OVER (ORDER BY n_chars, doc_id) AS k FROM documents WHERE n_chars <= 3840), f AS (SELECT id, frames, k, 0::BIGINT AS batch, frames AS total, 1 AS n FROM o WHERE k = 1 UNION ALL SELECT o.id, o.frames, o.k, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN o.frames ELSE f.total + o.frames END, CASE WHEN f.total + o.frames > 3840 OR f.n >= 64 THEN 1 ELSE f.n + 1 END FROM f JOIN o ON o.k = f.k + 1) "
+def log_mel_sql(edge: int, slaney: bool) -> str:
+    """Log mels of 64 samples at 24 kHz: frames of 64, every 16, of the signal mirrored by `edge` at its ends; 8 bands by either scale."""
+    top = 12000
+    if slaney:
+        last = f"(15 + ln({top} / 1000) * 27 / ln(6.4))"
+        hz = f"CASE WHEN i * {last} / 9 < 15 THEN i * {last} / 9 * 200 / 3 ELSE 1000 * exp((i * {last} / 9 - 15) * ln(6.4) / 27) END"
+    else:
+        hz = f"700 * (pow(10, i * log10(1 + {top} / 700) / 9) - 1)"
+    area = "2 / (hz[b + 3] - hz[b + 1])" if slaney else "1"
+    part = "pow(list_sum(list_transform(f, lambda v, j: v * {0}(2 * pi() * (j - 1) * k / 64))), 2)"
+    size = f"sqrt({part.format('cos')} + {part.format('sin')})"
+    size = f"sqrt({size} * {size} + 1e-9::DOUBLE)" if slaney else size
+    at = f"(t * 16 + j - {edge})"
+    return f"""WITH p AS (SELECT list_transform(range(10), lambda i: {hz}) AS hz),
+w AS (SELECT list_transform(range(8), lambda b: list_transform(range(33), lambda k: greatest(0, least((k * 375 - hz[b + 1]) / (hz[b + 2] - hz[b + 1]), (hz[b + 3] - k * 375) / (hz[b + 3] - hz[b + 2]))) * {area})) AS w FROM p),
+f AS (SELECT vec_id, t, list_transform(range(64), lambda j: x[CASE WHEN {at} < 0 THEN -{at} WHEN {at} > 63 THEN 126 - {at} ELSE {at} END + 1] * (0.5::DOUBLE - 0.5::DOUBLE * cos(2 * pi() * j / 64))) AS f FROM (SELECT vec_id, {_X} AS x, unnest(range({2 * edge} // 16 + 1)) AS t FROM embeddings)),
+m AS (SELECT vec_id, t, list_transform(range(33), lambda k: {size}) AS m FROM f),
+y AS (SELECT vec_id, t, list_transform(range(8), lambda b: ln(greatest(list_sum(list_transform(m, lambda v, k: v * w[b + 1][k])), 1e-5::DOUBLE))) AS y FROM m, w)
+SELECT vec_id, sum(len(y))::BIGINT AS n, round(sum(list_sum(list_transform(y, lambda v, b: (t * 8 + b) * v))), 3) AS total FROM y GROUP BY vec_id"""
+
+
 #: Rows of each bucket in order of ids into batches, row by row.
 _BUCKETS = "WITH RECURSIVE e AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents), o AS (SELECT floor((n_chars - lo) / (hi - lo + 1) * 200)::INT AS bucket, doc_id AS id, n_chars::DOUBLE AS length FROM documents, e), r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS k FROM o), f AS (SELECT bucket, id, length, k, 0::BIGINT AS batch, length AS total FROM r WHERE k = 1 UNION ALL SELECT r.bucket, r.id, r.length, r.k, CASE WHEN f.total >= 20000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.total >= 20000 THEN r.length ELSE f.total + r.length END FROM f JOIN r ON r.bucket = f.bucket AND r.k = f.k + 1) "
 #: Levels of blocks of recordings (b), their numbers (n) and the runs of those under a level (r).
@@ -298,8 +319,8 @@ QUERIES = {
     "m08_contours": (m08, None),
     "m09_cepstral_distortion": (against_next("mcd", lambda a, b: S.cepstral_distortion(a, b, 16000)), None),
     "m15_resampled": (signal("total", lambda x: S.resampled(x, 24000, 16000)), f"SELECT vec_id, len(y) AS n, round(list_sum(list_transform(range(1, len(y) + 1), lambda k: k * y[k])), 5) AS total FROM (SELECT vec_id, {resampled_sql('x', 24000, 16000)} AS y FROM (SELECT vec_id, {_X} AS x FROM embeddings))"),
-    "m16_log_mel": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8), 3), None),
-    "m16_log_mel_other": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8, centred_frames=False), 3), None),
+    "m16_log_mel": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8), 3), log_mel_sql(32, False)),
+    "m16_log_mel_other": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8, centred_frames=False), 3), log_mel_sql(24, True)),
     "m17_padded": (m17, "SELECT vec_id, n::INT AS n, width::INT AS width, round(list_sum(list_slice(" + _X + ", 1, n)) + (width - n) * -11.512925::DOUBLE, 4) AS total FROM (SELECT *, max(n) OVER (PARTITION BY vec_id // 8) AS width FROM (SELECT *, vec_id % 30 + 1 AS n FROM embeddings))"),
     "m18_silent_joints": (m18_joint, f"SELECT vec_id, 70::BIGINT AS n, round(list_sum(list_transform(range(1, 65), lambda k: (k + CASE WHEN k > 40 THEN 6 WHEN k > 20 THEN 3 ELSE 0 END) * x[k])), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
     "g08_seeded_order": (g08_order, _BUCKETS + "SELECT bucket, batch, id, md5('666:' || bucket || ':' || batch) AS place FROM f"),
