@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from .voice import pitch as pitch
 from .voice import resampled, stoi, vocoded
 
 FLOOR = 1e-10

@@ -10,12 +10,6 @@ def pending(rows: DataFrame, done: DataFrame, on: str | list[str]) -> DataFrame:
     return rows.join(done, on, "left_anti")
 
 
-def first_of(rows: DataFrame, key: list[str], order: list) -> DataFrame:
-    """One row for each key, the first in order."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
-
-
 #: Rows of a stretch of a table that is numbered or summed in order, once it has more than a task for each core.
 STRETCH_ROWS = 1 << 20
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from ..sources import sinks, store, tables

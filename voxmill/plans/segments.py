@@ -10,6 +10,7 @@ from ..functions import durations as D
 from ..functions import signals as S
 from ..functions import tables
 from ..functions import text as X
+from ..functions import voice as V
 from ..operators import folds, stretches
 from ..operators import silence as Z
 from ..operators.relational import stretch_of
@@ -220,7 +221,7 @@ def against_next(name, fn):
 def m08(s, d):
     """Pitch is found once for each voice, over all cores, and its contour compared with the next one's."""
     v = t(s, d, "embeddings").select("vec_id", "embedding").repartition(s.sparkContext.defaultParallelism, "vec_id")
-    found = v.select("vec_id", S.column(lambda x: S.pitch(sung(x), RATE))(F.col("embedding")).alias("contour"))
+    found = v.select("vec_id", S.column(lambda x: V.pitch(sung(x), RATE))(F.col("embedding")).alias("contour"))
     both = found.join(found.select((F.col("vec_id") - 1).alias("vec_id"), F.col("contour").alias("other")), "vec_id")
     return both.select("vec_id", S.column(S.contour_similarity, "double")(F.col("contour"), F.col("other")).alias("similarity"))
 

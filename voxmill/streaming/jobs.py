@@ -10,7 +10,6 @@ from contextlib import contextmanager
 from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
