@@ -91,3 +91,21 @@ def test_third_octaves_hold_their_middles():
     bands, hz = V.third_octaves(), np.linspace(0, 5000, 257)
     assert [int(b @ (np.abs(hz - 150 * 2 ** (k / 3)) < 10)) > 0 for k, b in enumerate(bands)] == [True] * 15
     assert bands.sum(axis=0).max() == 1
+
+
+def test_metrics_of_pairs_fail_alone(spark):
+    from voxmill.plans.segments import m14_pairs
+
+    rows = {r.vec_id: r for r in m14_pairs(spark, "/root/testdata/sf0.001").collect()}
+    assert len(rows) > 100
+    for k, r in rows.items():
+        if k % 7 == 0:
+            assert (r.mcd, r.stoi, r.f0_correlation, r.pesq) == (None,) * 4
+        elif k % 5 == 0:
+            # silence: no pitch and nothing understood, but a distance
+            assert r.mcd > 0 and r.stoi < 0.1 and r.f0_correlation is None
+        elif k % 4 == 0:
+            assert r.mcd > 0 and r.stoi == 0.0 and r.f0_correlation is None and r.pesq is None
+        else:
+            assert r.mcd > 0 and 0 <= r.stoi <= 1 and r.pesq is not None
+    assert sum(r.f0_correlation is not None for r in rows.values()) > 20

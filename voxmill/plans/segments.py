@@ -226,6 +226,33 @@ def m08(s, d):
     return both.select("vec_id", S.column(S.contour_similarity, "double")(F.col("contour"), F.col("other")).alias("similarity"))
 
 
+def calculator(a, b):
+    """The metrics of a pair of voices, of which some need what others don't: a second half that is missing, short, or silent."""
+    rate = RATE
+    return {
+        "mcd": lambda: S.cepstral_distortion(a, b, rate),
+        "stoi": lambda: S.intelligibility(a, b, rate),
+        "f0_correlation": lambda: S.contour_similarity(V.pitch(a, rate), V.pitch(b, rate)),
+        "pesq": lambda: S.listening_score(a, b, rate, correlated),
+    }
+
+
+def m14_pairs(s, d):
+    """All metrics of every voice and the next one; of every fourth pair the next is cut to 20 ms, of every fifth it is silent, and of
+    every seventh it can't be read.  What fails is null, alone."""
+    v = t(s, d, "embeddings").select("vec_id", "embedding").repartition(s.sparkContext.defaultParallelism, "vec_id")
+    both = v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+    change = F.when(F.col("vec_id") % 7 == 0, 3).when(F.col("vec_id") % 5 == 0, 2).when(F.col("vec_id") % 4 == 0, 1).otherwise(0)
+
+    def heard(pair, k):
+        a, b = sung(pair[:64]), sung(pair[64:])
+        return calculator(a, (b, b[: RATE // 50], 0 * b, None)[int(k)])
+
+    metrics = {name: (lambda x, k, name=name: heard(x, k)[name]()) for name in ("mcd", "stoi", "f0_correlation", "pesq")}
+    found = both.select("vec_id", S.isolated(metrics)(F.concat("embedding", "other"), change).alias("m"))
+    return found.select("vec_id", *[F.round(F.col("m")[name], 6).alias(name) for name in metrics])
+
+
 def t25(s, d):
     stamps = X.even_timestamps(F.col("text"), F.char_length("text") / 16)
     return t(s, d, "conversations").select("conv_id", "turn", F.posexplode(stamps)).select("conv_id", "turn", "pos", "col.word", F.col("col.end").alias("end_time"))
@@ -319,6 +346,7 @@ QUERIES = {
     "m28_clipped_reference": (signal("total", lambda x: S.clipped_reference(spoken(np.tile(x, 1)), 100, 1.0, 2.0)), None),
     "m08_contours": (m08, None),
     "m09_cepstral_distortion": (against_next("mcd", lambda a, b: S.cepstral_distortion(a, b, 16000)), None),
+    "m14_pairs": (m14_pairs, None),
     "m15_resampled": (signal("total", lambda x: S.resampled(x, 24000, 16000)), f"SELECT vec_id, len(y) AS n, round(list_sum(list_transform(range(1, len(y) + 1), lambda k: k * y[k])), 5) AS total FROM (SELECT vec_id, {resampled_sql('x', 24000, 16000)} AS y FROM (SELECT vec_id, {_X} AS x FROM embeddings))"),
     "m16_log_mel": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8), 3), log_mel_sql(32, False)),
     "m16_log_mel_other": (signal("total", lambda x: S.log_mel(x, 24000, 64, 16, 8, centred_frames=False), 3), log_mel_sql(24, True)),
