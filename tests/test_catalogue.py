@@ -15,7 +15,7 @@ QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 def rows(df):
     def plain(v):
         v = v.item() if hasattr(v, "item") else v
-        if v is None or v != v or str(v) == "<NA>":
+        if v is None or str(v) == "<NA>" or v != v:
             return None
         return round(v, 6) if isinstance(v, float) else v
 

@@ -367,7 +367,7 @@ def j15(s, d):
     found = sinks.existing_results(s, at, asked, "wer")
     left = tables.files(s, at, "*.json.backup").select(F.regexp_replace("path", r"\.backup$", "").alias("file"), F.lit(True).alias("aside"))
     each = found.withColumn("file", sinks.result_name_of(F.col("model"), "wer")).join(left, "file", "left")
-    return each.select("model", F.json_array_length(F.get_json_object("result", "$.samples")).alias("samples"), F.coalesce("aside", F.lit(False)).alias("aside"))
+    return each.select("model", F.json_array_length(F.get_json_object("result", "$.samples")).cast("double").alias("samples"), F.coalesce("aside", F.lit(False)).alias("aside"))
 
 
 def r09(s, d):
@@ -418,6 +418,6 @@ QUERIES = {
     "s34_named_results": (s34, "SELECT CASE WHEN doc_id % 2 = 0 THEN 'm_1' ELSE 'm_2' END AS model, 'wer' AS metric, doc_id AS sample_id, quality::BIGINT AS value FROM labels"),
     "s35_preloaded": (s35, "SELECT page_id, url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0 OR page_id % 4 = 0)"),
     "h07_overlaid": (h07, "SELECT unnest(range(4))::INT AS pos, unnest(['epochs', 'batch', 'rate', 'logger']) AS name, unnest(['100', '1600', '7.5e-5', 'none']) AS value"),
-    "j15_existing_results": (j15, "SELECT c_custkey || '/v 1' AS model, CASE WHEN s_suppkey % 2 = 0 THEN (s_suppkey % 5 + 1)::INT END AS samples, coalesce(s_suppkey % 2 = 1, false) AS aside FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey"),
+    "j15_existing_results": (j15, "SELECT c_custkey || '/v 1' AS model, CASE WHEN s_suppkey % 2 = 0 THEN (s_suppkey % 5 + 1)::DOUBLE END AS samples, coalesce(s_suppkey % 2 = 1, false) AS aside FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey"),
     "r09_quarantine": (r09, "SELECT event_id, CASE WHEN event_id % 10 > 0 THEN event_type END AS event_type, CASE WHEN event_id % 10 > 0 THEN 'good' ELSE 'quarantine' END AS route FROM events"),
 }
