@@ -60,3 +60,18 @@ def test_lists_keep_first_places(spark, tmp_path):
     rows = [("x.json", '["b", " a ", "", 7, "b", null]'), ("y.json", "[]"), ("z.json", "{broken")]
     store.write_files(spark.createDataFrame(rows, "name string, content string"), str(tmp_path / "l"))
     assert sorted(tuple(r) for r in tables.url_lists(spark, str(tmp_path / "l")).collect()) == [("x", "7", 3), ("x", "a", 1), ("x", "b", 0)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 40])
+def test_fades_and_edges_are_those_of_whole_signals(spark, n):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    rows = [(rng.normal(size=a).tolist(), (rng.normal(size=b) * rng.choice([1.0, 1e-3], b)).tolist()) for a, b in ((0, 3), (4, 0), (7, 9), (30, 50), (1, 1))]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    for r, x in zip(df.select("a", "b", A.crossfaded(F.col("a"), F.col("b"), n).alias("x")).collect(), rows, strict=True):
+        want = S.crossfaded([np.array(x[0]), np.array(x[1])], n, 1.0)
+        assert r.x == pytest.approx(want.tolist())
+    for step in (1, 4):
+        for r in df.select("b", A.edges_trimmed(F.col("b"), step, -30.0).alias("x")).collect():
+            assert r.x == S.edges_trimmed(np.array(r.b), step * 1000, -30.0).tolist()

@@ -104,3 +104,20 @@ def framed_rms(x: Column, frame: int, hop: int) -> Column:
     padded = F.concat(half, F.transform(x, lambda v: v.cast("double")), half)
     squares = lambda k: F.aggregate(F.slice(padded, (k * hop + 1).cast("int"), frame), F.lit(0.0), lambda a, v: a + v * v)
     return F.transform(F.sequence(F.lit(0), F.floor(F.size(x) / hop).cast("int")), lambda k: F.sqrt(squares(k) / frame))
+
+
+def crossfaded(a: Column, b: Column, n: int) -> Column:
+    """One after the other, their last and first `n` values, as far as both have them, mixed linearly."""
+    k = F.least(F.lit(n), F.size(a), F.size(b))
+    fade = lambda i: F.when(k > 1, 1 - i / (k - 1)).otherwise(1.0)
+    mixed = F.transform(F.filter(F.sequence(F.lit(0), F.greatest(k, F.lit(1)) - 1), lambda i: i < k), lambda i: F.get(a, F.size(a) - k + i) * fade(i) + F.get(b, i) * (1 - fade(i)))
+    return F.concat(F.slice(a, F.lit(1), F.size(a) - k), mixed, F.slice(b, k + 1, F.size(b) - k))
+
+
+def edges_trimmed(x: Column, step: int, quiet: float) -> Column:
+    """Without the steps at both ends whose level in dB lies under `quiet`; empty where all do."""
+    power = lambda b: F.aggregate(F.slice(x, b * step + 1, F.lit(step)), F.lit(0.0), lambda a, v: a + v * v) / F.least(F.lit(step), F.size(x) - b * step)
+    steps = F.filter(F.sequence(F.lit(0), F.ceil(F.greatest(F.size(x), F.lit(1)) / step).cast("int") - 1), lambda b: b * step < F.size(x))
+    loud = F.filter(steps, lambda b: 20 * F.log10(F.greatest(F.sqrt(power(b)), F.lit(1e-10))) >= quiet)
+    first = F.array_min(loud) * step
+    return F.when(F.size(loud) > 0, F.slice(x, first + 1, (F.array_max(loud) + 1) * step - first)).otherwise(F.slice(x, 1, 0))

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import arrays as A
 from ..functions import durations as D
 from ..functions import signals as S
 from ..functions import tables
@@ -161,6 +162,17 @@ def g08_order(s, d):
     return each.select("bucket", "batch", "id", F.md5(F.concat_ws(":", F.lit("666"), "bucket", "batch").cast("binary")).alias("place"))
 
 
+def placed(make):
+    """What an expression makes of each vector: how many values, and their sum by place."""
+
+    def query(s, d):
+        x = F.transform("embedding", lambda v: v.cast("double"))
+        out = t(s, d, "embeddings").select("vec_id", make(x).alias("y"))
+        return out.select("vec_id", F.size("y").cast("long").alias("n"), F.round(A.placed_total(F.col("y")), 5).alias("total"))
+
+    return query
+
+
 def signal(name, fn, places=5):
     """fn of each vector as (n, total): how many values come out, and their sum, each counted by its place."""
 
@@ -353,13 +365,13 @@ QUERIES = {
     "m17_padded": (m17, "SELECT vec_id, n::INT AS n, width::INT AS width, round(list_sum(list_slice(" + _X + ", 1, n)) + (width - n) * -11.512925::DOUBLE, 4) AS total FROM (SELECT *, max(n) OVER (PARTITION BY vec_id // 8) AS width FROM (SELECT *, vec_id % 30 + 1 AS n FROM embeddings))"),
     "m18_silent_joints": (m18_joint, f"SELECT vec_id, 70::BIGINT AS n, round(list_sum(list_transform(range(1, 65), lambda k: (k + CASE WHEN k > 40 THEN 6 WHEN k > 20 THEN 3 ELSE 0 END) * x[k])), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
     "g08_seeded_order": (g08_order, _BUCKETS + "SELECT bucket, batch, id, md5('666:' || bucket || ':' || batch) AS place FROM f"),
-    "m18_crossfaded": (signal("total", lambda x: S.crossfaded([x, -2 * x], 64)), f"SELECT vec_id, 119::BIGINT AS n, round(list_sum(list_transform(range(1, 120), lambda k: k * CASE WHEN k <= 55 THEN x[k] WHEN k > 64 THEN -2 * x[k - 55] ELSE x[k] * (1 - (k - 56) / 8) - 2 * x[k - 55] * (k - 56) / 8 END)), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
+    "m18_crossfaded": (placed(lambda x: A.crossfaded(x, F.transform(x, lambda v: -2 * v), int(0.15 * 64))), f"SELECT vec_id, 119::BIGINT AS n, round(list_sum(list_transform(range(1, 120), lambda k: k * CASE WHEN k <= 55 THEN x[k] WHEN k > 64 THEN -2 * x[k - 55] ELSE x[k] * (1 - (k - 56) / 8) - 2 * x[k - 55] * (k - 56) / 8 END)), 5) AS total FROM (SELECT vec_id, {_X} AS x FROM embeddings)"),
     "m19_frames_by_bytes": (m19_bytes, f"SELECT conv_id, turn, (750 + floor(750 / strlen(ref) * strlen(gen)))::BIGINT AS frames FROM {_PAIR} WHERE ref <> ''"),
     "m19_seconds_by_words": (m19_words, f"WITH n AS (SELECT conv_id, turn, len({_W.format('ref')}) AS r, len({_W.format('gen')}) AS g FROM {_PAIR}), v AS (SELECT *, CASE WHEN r > 0 THEN r / 6.0 ELSE 2.5 END::DOUBLE AS w FROM n) SELECT conv_id, turn, round(6.0::DOUBLE + g / w / CASE WHEN g < 3 THEN 0.3 ELSE 1.0 END::DOUBLE * (w / 4.0::DOUBLE), 5) AS seconds FROM v"),
     "m20_most_chars": (lambda s, d: t(s, d, "conversations").select("conv_id", "turn", D.most_chars(F.col("text"), F.lit(8.0)).alias("n")), "SELECT conv_id, turn, floor(strlen(text) / 8.0::DOUBLE * 14)::BIGINT AS n FROM conversations"),
     "m21_frames": (lambda s, d: t(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(D.frames(F.col("l_quantity")), 4).alias("frames")), "SELECT l_orderkey, l_linenumber, round(l_quantity * 24000 / 256, 4) AS frames FROM lineitem"),
     "m22_masked_mean": (m22, f"SELECT vec_id, round(list_avg(list_slice({_X}, vec_id % 20 + 1, 40)), 6) AS mean FROM embeddings"),
-    "m26_edges_trimmed": (signal("total", lambda x: S.edges_trimmed(x, 1000, -12.0)), f"WITH x AS (SELECT vec_id, {_X} AS x FROM embeddings), l AS (SELECT vec_id, x, list_filter(range(1, len(x) + 1), lambda k: 20 * log10(greatest(abs(x[k]), 1e-10)) >= -12) AS l FROM x), c AS (SELECT vec_id, CASE WHEN len(l) > 0 THEN x[l[1]:l[-1]] ELSE [] END AS c FROM l) SELECT vec_id, len(c) AS n, round(coalesce(list_sum(list_transform(range(1, len(c) + 1), lambda k: k * c[k])), 0), 5) AS total FROM c"),
+    "m26_edges_trimmed": (placed(lambda x: A.edges_trimmed(x, 1, -12.0)), f"WITH x AS (SELECT vec_id, {_X} AS x FROM embeddings), l AS (SELECT vec_id, x, list_filter(range(1, len(x) + 1), lambda k: 20 * log10(greatest(abs(x[k]), 1e-10)) >= -12) AS l FROM x), c AS (SELECT vec_id, CASE WHEN len(l) > 0 THEN x[l[1]:l[-1]] ELSE [] END AS c FROM l) SELECT vec_id, len(c) AS n, round(coalesce(list_sum(list_transform(range(1, len(c) + 1), lambda k: k * c[k])), 0), 5) AS total FROM c"),
     "m27_silence_shortened": (signal("total", lambda x: S.silence_shortened(x, 16, -12.0, 0.5, 0.125, 0.0625)), None),
     "t25_even_timestamps": (t25, f"WITH w AS (SELECT conv_id, turn, length(text) / 16 AS s, {_W.format('text')} AS w FROM conversations), p AS (SELECT *, unnest(range(len(w))) AS i FROM w WHERE s > 0) SELECT conv_id, turn, i::INT AS pos, w[i + 1] AS word, round((i + 1) * (s / len(w)), 3) AS end_time FROM p"),
     "t26_sane_timestamps": (t26, "WITH e AS (SELECT user_id, greatest(0, min(value) - 5) AS b, least(20, max(value)) AS f, min(event_type) AS word FROM events GROUP BY 1) SELECT user_id, word, round(b, 3) AS begin_time, round(CASE WHEN f <= b THEN least(20, b + 0.05) ELSE f END, 3) AS end_time FROM e"),
