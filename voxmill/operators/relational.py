@@ -31,6 +31,16 @@ def stretch_of(rows: DataFrame, key: str, stretch: int = STRETCH_ROWS) -> Column
     return F.size(F.filter(F.lit(borders), lambda b: b <= at)) if borders else F.lit(0)
 
 
+#: Rows of a task whose work doesn't show in their bytes, and the most tasks for that.
+SPREAD_ROWS, SPREAD_TASKS = 1_000, 10_000
+
+
+def spread(rows: DataFrame, key: str | Column, like: DataFrame | None = None, each: int = SPREAD_ROWS) -> DataFrame:
+    """rows dealt out by their number, as many as `like` has: by bytes few tasks would take all of what is short, but long at work."""
+    n = (rows if like is None else like).count()
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, min(SPREAD_TASKS, -(-n // each))), key)
+
+
 def running(rows: DataFrame, key: str, by: list[str], value: Column, name: str) -> DataFrame:
     """rows with the sum of `value` over the rows before them, in order of an integer key within `by`.
 

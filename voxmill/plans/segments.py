@@ -14,7 +14,7 @@ from ..functions import text as X
 from ..functions import voice as V
 from ..operators import folds, stretches
 from ..operators import silence as Z
-from ..operators.relational import stretch_of
+from ..operators.relational import spread, stretch_of
 from ..sources.store import writer
 from ..sources.tables import table as t
 from .scores import resampled_sql
@@ -187,18 +187,27 @@ def signal(name, fn, places=5):
     return query
 
 
+def pairs_of_next(v, column):
+    """Each row and the next one's `column` as `other`, dealt out by their number."""
+    both = v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col(column).alias("other")), "vec_id")
+    return spread(both, "vec_id", like=v)
+
+
 def with_next(name, fn):
-    """As `signal`, of each vector and the next one, or of a single value, null where there is none."""
+    """As `signal`, of each vector and the next one, or of a single value, null where there is none: how many values, and the sum of their sizes.
+    They are summed up where they are made."""
 
     def made(a, b):
         y = fn(a, b)
-        return None if y is None else np.asarray(y, float).ravel()
+        if y is None:
+            return None
+        y = np.abs(np.asarray(y, float).ravel())
+        return np.array([len(y), y.cumsum()[-1] if len(y) else 0.0])
 
     def query(s, d):
-        v = t(s, d, "embeddings").select("vec_id", "embedding")
-        both = v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+        both = pairs_of_next(t(s, d, "embeddings").select("vec_id", "embedding"), "embedding")
         out = both.select("vec_id", S.column(made)(F.col("embedding"), F.col("other")).alias("m"))
-        return out.select("vec_id", F.size("m").alias("n"), F.round(F.aggregate("m", F.lit(0.0), lambda a, x: a + F.abs(x)), 5).alias(name))
+        return out.select("vec_id", F.get("m", F.lit(0)).cast("int").alias("n"), F.round(F.get("m", F.lit(1)), 5).alias(name))
 
     return query
 
