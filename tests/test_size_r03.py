@@ -36,3 +36,35 @@ def test_pairs_are_summed_where_they_are_made_and_dealt_out_by_number(spark):
         assert "REPARTITION_BY_NUM" in plan and "aggregate(m" not in plan
     assert R.spread(spark.range(5_000), "id").rdd.getNumPartitions() == 8
     assert R.spread(spark.range(9_500), "id").rdd.getNumPartitions() == 10
+
+
+def test_silences_of_a_wave_list_last(tmp_path):
+    import io
+
+    from voxmill.sources.formats import riff_head
+
+    number = lambda n: n.to_bytes(4, "little")
+    fmt = b"fmt " + number(16) + b"\1\0\1\0" + number(8000) + number(16000) + b"\2\0\20\0"
+    parts = b"data" + number(3) + b"abc\0" + b"slnt" + number(4) + number(7999) + b"junk" + number(1) + b"x\0" + b"data" + number(2) + b"ab"
+    held = lambda kind: b"RIFF" + number(0) + b"WAVE" + fmt + b"LIST" + number(4 + len(parts)) + kind + parts + b"data" + number(8000)
+    assert riff_head(io.BytesIO(held(b"wavl"))) == ((3 + 2 * 7999 + 2) / 16000, 8000, 1, 16)
+    # another list holds no samples, whatever it looks like
+    assert riff_head(io.BytesIO(held(b"INFO"))) == (0.5, 8000, 1, 16)
+
+
+def test_the_speech_folder_grows_with_its_files(spark, tmp_path):
+    from pathlib import Path
+
+    from voxmill.plans.files import QUERIES, speech_folder
+
+    keys = [0, 1, 9, 10, 11, 99, 1000, 360_000]
+    d = tmp_path / "in"
+    spark.createDataFrame([(k, k % 3, f"Supplier#{k:09d}", float(k % 2) - 0.5) for k in keys], "s_suppkey long, s_nationkey int, s_name string, s_acctbal double").write.parquet(f"{d}/supplier.parquet")
+    spark.createDataFrame([(k,) for k in range(3)], "r_regionkey int").write.parquet(f"{d}/region.parquet")
+    found = [p for p in Path(speech_folder(spark, str(d)).removeprefix("file:")).rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    assert len(found) == len(keys) + sum(k % 2 for k in keys) and max(p.stat().st_size for p in found) < 2000
+    whole = {int(p.stem[-9:]): p.read_bytes() for p in found if p.suffix == ".wav"}
+    assert all(int.from_bytes(x[4:8], "little") == len(x) - 8 for x in whole.values())
+    for name in ("s06_wav_seconds", "s33_probed"):
+        got = {int(r.path[-13:-4]): r.seconds for r in QUERIES[name][0](spark, str(d)).where("path like 'wavs/%'").collect()}
+        assert got == {k: k / 100 for k in keys if k or name.startswith("s06")}

@@ -46,8 +46,16 @@ def s04(s, d):
     return tables.matched_files(s, paths).select(F.col("key").cast("int").alias("n_nationkey"), F.col("name").alias("n_name"))
 
 
+#: Bytes of samples that stand in a file of speech_folder as they are; silence behind them is told by its length.
+STORED = 1600
+
+
 def speech_folder(s, d) -> str:
-    """wavs/<nation>/<supplier>.wav of s_suppkey / 100 seconds, and texts beside those of suppliers that owe nothing."""
+    """wavs/<nation>/<supplier>.wav of s_suppkey / 100 seconds, and texts beside those of suppliers that owe nothing.
+
+    All that is heard is silence, so longer files are lists of a tenth of a second of samples and a silence that lasts for the rest: the files
+    would else grow with the square of the suppliers.
+    """
     at = f"{store.place(s)}/corpus"
     sup = t(s, d, "supplier").select("s_suppkey", "s_acctbal", F.concat(F.lit("wavs/"), F.col("s_nationkey"), F.lit("/"), F.replace("s_name", F.lit("#"), F.lit("_"))).alias("stem"))
 
@@ -55,12 +63,19 @@ def speech_folder(s, d) -> str:
         h = F.lpad(F.hex(n.cast("long")), width * 2, "0")
         return F.concat(*[F.substring(h, 2 * k + 1, 2) for k in range(width - 1, -1, -1)])
 
-    size = F.col("s_suppkey") * 160
-    fmt = "".join(f"{x:02X}" for x in b"fmt " + (16).to_bytes(4, "little") + (1).to_bytes(2, "little") * 2 + (8000).to_bytes(4, "little") + (16000).to_bytes(4, "little") + b"\2\0\20\0")
+    def hexed(b: bytes):
+        return F.lit("".join(f"{x:02X}" for x in b))
+
+    size = F.col("s_suppkey").cast("long") * 160
+    fmt = b"fmt " + (16).to_bytes(4, "little") + (1).to_bytes(2, "little") * 2 + (8000).to_bytes(4, "little") + (16000).to_bytes(4, "little") + b"\2\0\20\0"
     # an odd chunk whose content looks like the head of another one stands before the samples
-    note = "".join(f"{x:02X}" for x in b"LIST" + (9).to_bytes(4, "little") + b"data\1\0\0\0x" + b"\0")
-    head = F.concat(F.lit("52494646"), little(size + 62, 4), F.lit("57415645" + fmt + note + "64617461"), little(size, 4))
-    wav = sup.select(F.concat("stem", F.lit(".wav")).alias("name"), F.concat(F.unhex(head), F.unhex(F.repeat(F.lit("00"), size.cast("int")))).alias("content"))
+    note = b"LIST" + (9).to_bytes(4, "little") + b"data\1\0\0\0x" + b"\0"
+    plain = F.concat(hexed(b"data"), little(size, 4), F.repeat(F.lit("00"), F.least(size, F.lit(STORED)).cast("int")))
+    listed = b"LIST" + (24 + STORED).to_bytes(4, "little") + b"wavldata" + STORED.to_bytes(4, "little") + bytes(STORED) + b"slnt" + (4).to_bytes(4, "little")
+    longer = size > STORED
+    samples = F.when(longer, F.concat(hexed(listed), little((size - STORED) / 2, 4))).otherwise(plain)
+    head = F.concat(hexed(b"RIFF"), little(F.when(longer, len(listed) + 4).otherwise(size + 8) + 4 + len(fmt) + len(note), 4), hexed(b"WAVE" + fmt + note))
+    wav = sup.select(F.concat("stem", F.lit(".wav")).alias("name"), F.unhex(F.concat(head, samples)).alias("content"))
     texts = sup.where("s_acctbal >= 0").select(F.concat("stem", F.lit(".txt")).alias("name"), F.concat(F.lit("said "), F.col("s_suppkey")).alias("content"))
     store.write_files(wav.unionByName(texts.withColumn("content", F.col("content").cast("binary"))), at)
     return at

@@ -77,21 +77,45 @@ class _Reader(D.DataSourceReader):
         return [_Files(files[k : k + each]) for k in range(0, len(files), each)] or [_Files([])]
 
 
+def _number(b: bytes) -> int:
+    return int.from_bytes(b, "little")
+
+
+def recorded(source, size: int, block: int) -> int:
+    """Bytes of the samples of a list of `size` bytes: of its data chunks, and of its silences, which say only how many samples (of `block` bytes) they last."""
+    end, n = source.tell() + size, 0
+    while source.tell() + 8 <= end and len(chunk := source.read(8)) == 8:
+        size = _number(chunk[4:])
+        after = source.tell() + size + size % 2
+        if chunk[:4] == b"data":
+            n += size
+        elif chunk[:4] == b"slnt":
+            n += _number(source.read(4)) * block
+        source.seek(after)
+    return n
+
+
 def riff_head(source) -> tuple[float, int, int, int] | None:
-    """(seconds, rate, channels, bits) of a RIFF file from its chunks' heads; the samples aren't read."""
+    """(seconds, rate, channels, bits) of a RIFF file from its chunks' heads; the samples aren't read.  They stand in one data chunk or in a
+    list (wavl) of data and silences."""
     head = source.read(12)
     if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
         return None
-    number = lambda b: int.from_bytes(b, "little")
     form = None
     while len(chunk := source.read(8)) == 8:
-        size = number(chunk[4:])
+        size = _number(chunk[4:])
+        held = None
         if chunk[:4] == b"fmt ":
             form = source.read(16)
             size -= 16
         elif chunk[:4] == b"data":
-            per_second = number(form[8:12]) if form else 0
-            return (size / per_second, number(form[4:8]), number(form[2:4]), number(form[14:16])) if per_second else None
+            held = size
+        elif chunk[:4] == b"LIST" and size >= 4:
+            size -= 4
+            held = recorded(source, size, _number(form[12:14]) if form else 0) if source.read(4) == b"wavl" else None
+        if held is not None:
+            per_second = _number(form[8:12]) if form else 0
+            return (held / per_second, _number(form[4:8]), _number(form[2:4]), _number(form[14:16])) if per_second else None
         source.seek(source.tell() + size + size % 2)
     return None
 

@@ -81,8 +81,11 @@ def opened(path: str):
 
 
 def write_files(rows: DataFrame, root: str) -> None:
-    """rows (name, content): one file each below root, written where the rows are.  A task that runs again overwrites its own."""
-    plain = rows.select("name", rows["content"].cast("binary").alias("content"))
+    """rows (name, content): one file each below root, written where the rows are.  A task that runs again overwrites its own.
+
+    A file costs a task as much as many bytes, so they are dealt out by their names.
+    """
+    plain = rows.select("name", rows["content"].cast("binary").alias("content")).repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "name")
 
     def save(part) -> None:
         made = set()
