@@ -68,3 +68,14 @@ def test_the_speech_folder_grows_with_its_files(spark, tmp_path):
     for name in ("s06_wav_seconds", "s33_probed"):
         got = {int(r.path[-13:-4]): r.seconds for r in QUERIES[name][0](spark, str(d)).where("path like 'wavs/%'").collect()}
         assert got == {k: k / 100 for k in keys if k or name.startswith("s06")}
+
+
+def test_next_valid_rows_are_found_in_one_walk(spark, tmp_path):
+    from voxmill.plans.segments import g11
+
+    rows = [(k * 3 % 1009, 60000.0 if k % 5 == 1 and 100 < k * 3 % 1009 < 900 else 1.0) for k in range(1009)]
+    spark.createDataFrame(rows, "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    out = g11(spark, str(tmp_path))
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    good = sorted(k for k, p in rows if p > 1)
+    assert {tuple(r) for r in out.collect()} == {(k, next((g for g in good if g >= k), good[0])) for k, _ in rows}

@@ -101,9 +101,10 @@ def g11(s, d):
     keyed = o.withColumn("_at", stretch_of(o, "o_orderkey"))
     # one row for each stretch
     first = keyed.groupBy("_at").agg(F.min("good").alias("_first"))
-    behind = Window.orderBy("_at").rowsBetween(1, Window.unboundedFollowing)
+    # backwards: a frame up to the end is walked through anew for each row
+    behind = Window.orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, -1)
     first = first.select("_at", F.coalesce(F.min("_first").over(behind), F.min("_first").over(Window.partitionBy())).alias("_then"))
-    ahead = F.first("good", ignorenulls=True).over(Window.partitionBy("_at").orderBy("o_orderkey").rowsBetween(0, Window.unboundedFollowing))
+    ahead = F.last("good", ignorenulls=True).over(Window.partitionBy("_at").orderBy(F.desc("o_orderkey")).rowsBetween(Window.unboundedPreceding, 0))
     return keyed.withColumn("_ahead", ahead).join(F.broadcast(first), "_at").select("o_orderkey", F.coalesce("_ahead", "_then").alias("used"))
 
 
