@@ -76,6 +76,40 @@ def test_next_valid_rows_are_found_in_one_walk(spark, tmp_path):
     rows = [(k * 3 % 1009, 60000.0 if k % 5 == 1 and 100 < k * 3 % 1009 < 900 else 1.0) for k in range(1009)]
     spark.createDataFrame(rows, "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
     out = g11(spark, str(tmp_path))
-    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "currentrow$(), unboundedfollowing" not in plan and "1, unboundedfollowing" not in plan and "unboundedpreceding$(), currentrow" in plan
     good = sorted(k for k, p in rows if p > 1)
     assert {tuple(r) for r in out.collect()} == {(k, next((g for g in good if g >= k), good[0])) for k, _ in rows}
+
+
+def test_pitch_is_found_once_for_each_voice(spark):
+    from voxmill.plans.segments import QUERIES
+
+    for name, n in (("m08_contours", 1), ("m14_pairs", 1), ("m09_cepstral_distortion", 1)):
+        plan = QUERIES[name][0](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == n and "RepartitionByExpression" in plan
+    # the bands of a frame are made once
+    assert S.mel_filters(16000, 2048, 128, True) is S.mel_filters(16000, 2048, 128, True)
+
+
+def test_troughs_share_the_thresholds_as_one_after_the_other():
+    from voxmill.functions import voice as V
+
+    d = np.random.default_rng(5).uniform(0, 1.2, (6, 40))
+    d[3] = 1.5 - np.arange(40) / 400  # no trough
+    frame, _, chance = V.candidates(d, 3)
+    edges = np.linspace(0, 1, V.THRESHOLDS + 1)
+    a, b = V.PRIOR
+    prior = np.diff(1 - (1 - edges) ** (a + b - 1) - (a + b - 1) * edges * (1 - edges) ** (a + b - 2))
+    want = []
+    for row in d:
+        at = [k for k in range(3, 39) if row[k] < row[k - 1] and row[k] <= row[k + 1]]
+        mass = dict.fromkeys(at, 0.0)
+        for t, p in zip(edges[1:], prior, strict=True):
+            under = [k for k in at if row[k] < t]
+            if under:
+                mass[under[0]] += p
+            elif at:
+                mass[min(at, key=lambda k: row[k])] += p * V.NO_TROUGH
+        want += [mass[k] for k in at]
+    assert chance.tolist() == want and 3 not in frame

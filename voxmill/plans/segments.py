@@ -233,28 +233,33 @@ def sung(v, seconds=0.6):
 
 def against_next(name, fn):
     def query(s, d):
-        v = t(s, d, "embeddings").select("vec_id", "embedding")
-        both = v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+        both = pairs_of_next(t(s, d, "embeddings").select("vec_id", "embedding"), "embedding")
         return both.select("vec_id", S.column(fn, "double")(F.col("embedding"), F.col("other")).alias(name))
 
     return query
 
 
+def contours(s, d):
+    """Vectors with the pitch of their voices, each found once, over all cores."""
+    v = spread(t(s, d, "embeddings").select("vec_id", "embedding"), "vec_id")
+    return writer(s)(v.select("vec_id", "embedding", S.column(lambda x: V.pitch(sung(x), RATE))(F.col("embedding")).alias("contour")))
+
+
 def m08(s, d):
-    """Pitch is found once for each voice, over all cores, and its contour compared with the next one's."""
-    v = t(s, d, "embeddings").select("vec_id", "embedding").repartition(s.sparkContext.defaultParallelism, "vec_id")
-    found = v.select("vec_id", S.column(lambda x: V.pitch(sung(x), RATE))(F.col("embedding")).alias("contour"))
-    both = found.join(found.select((F.col("vec_id") - 1).alias("vec_id"), F.col("contour").alias("other")), "vec_id")
+    """The contour of each voice is compared with the next one's."""
+    both = pairs_of_next(contours(s, d).select("vec_id", "contour"), "contour")
     return both.select("vec_id", S.column(S.contour_similarity, "double")(F.col("contour"), F.col("other")).alias("similarity"))
 
 
-def calculator(a, b):
-    """The metrics of a pair of voices, of which some need what others don't: a second half that is missing, short, or silent."""
+def calculator(a, b, contour):
+    """The metrics of a pair of voices, of which some need what others don't: a second half that is missing, short, or silent.
+    The first one's contour and the function that finds the second's are given."""
+    first, second = contour
     rate = RATE
     return {
         "mcd": lambda: S.cepstral_distortion(a, b, rate),
         "stoi": lambda: S.intelligibility(a, b, rate),
-        "f0_correlation": lambda: S.contour_similarity(V.pitch(a, rate), V.pitch(b, rate)),
+        "f0_correlation": lambda: S.contour_similarity(first, second()),
         "pesq": lambda: S.listening_score(a, b, rate, correlated),
     }
 
@@ -262,16 +267,20 @@ def calculator(a, b):
 def m14_pairs(s, d):
     """All metrics of every voice and the next one; of every fourth pair the next is cut to 20 ms, of every fifth it is silent, and of
     every seventh it can't be read.  What fails is null, alone."""
-    v = t(s, d, "embeddings").select("vec_id", "embedding").repartition(s.sparkContext.defaultParallelism, "vec_id")
-    both = v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+    v = contours(s, d).select("vec_id", F.struct("embedding", "contour").alias("voice"))
+    both = pairs_of_next(v, "voice")
     change = F.when(F.col("vec_id") % 7 == 0, 3).when(F.col("vec_id") % 5 == 0, 2).when(F.col("vec_id") % 4 == 0, 1).otherwise(0)
 
     def heard(pair, k):
-        a, b = sung(pair[:64]), sung(pair[64:])
-        return calculator(a, (b, b[: RATE // 50], 0 * b, None)[int(k)])
-
-    metrics = {name: (lambda x, k, name=name: heard(x, k)[name]()) for name in ("mcd", "stoi", "f0_correlation", "pesq")}
-    found = both.select("vec_id", S.isolated(metrics)(F.concat("embedding", "other"), change).alias("m"))
+        n = (len(pair) - 128) // 2
+        a, b, first, second = sung(pair[:64]), sung(pair[64:128]), pair[128 : 128 + n], pair[128 + n :]
+        other = (b, b[: RATE // 50], 0 * b, None)[int(k)]
+        return calculator(a, other, (first, lambda: second if k == 0 else V.pitch(other, RATE)))
+
+    metrics = {name: (lambda ready, name=name: ready[name]()) for name in ("mcd", "stoi", "f0_correlation", "pesq")}
+    # contours of voices of one length are equally long
+    whole = F.concat("voice.embedding", "other.embedding", "voice.contour", "other.contour")
+    found = both.select("vec_id", S.isolated(metrics, heard)(whole, change).alias("m"))
     return found.select("vec_id", *[F.round(F.col("m")[name], 6).alias(name) for name in metrics])
 
 
