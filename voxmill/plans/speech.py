@@ -9,6 +9,7 @@ from ..functions import distance as E
 from ..functions import sentences as Y
 from ..functions import text as X
 from ..operators import variants as V
+from ..operators.relational import spread
 from ..sources.store import writer
 from ..sources.tables import table as t
 from .scores import CHAR_ERRORS_SQL, turn_pairs, word_errors_sql
@@ -54,7 +55,7 @@ def t17(s, d):
 def t17_spoken(s, d):
     k = F.col("c_custkey")
     kinds = {"phone": Y.phone(k), "percentage": Y.percentage(k), "simple": Y.simple(k), "plain_single": Y.singles(k)}
-    return t(s, d, "customer").select("c_custkey", F.explode(F.array(*[F.struct(F.lit(name).alias("kind"), v["written"].alias("written"), v["said"].alias("said")) for name, v in kinds.items()])).alias("x")).select("c_custkey", "x.*")
+    return spread(t(s, d, "customer").select("c_custkey"), "c_custkey", each=10_000).select("c_custkey", F.explode(F.array(*[F.struct(F.lit(name).alias("kind"), v["written"].alias("written"), v["said"].alias("said")) for name, v in kinds.items()])).alias("x")).select("c_custkey", "x.*")
 
 
 def t24(s, d):
