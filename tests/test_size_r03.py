@@ -113,3 +113,34 @@ def test_troughs_share_the_thresholds_as_one_after_the_other():
                 mass[min(at, key=lambda k: row[k])] += p * V.NO_TROUGH
         want += [mass[k] for k in at]
     assert chance.tolist() == want and 3 not in frame
+
+
+def test_files_are_read_where_their_names_are(spark, tmp_path):
+    from voxmill.plans.files import QUERIES
+    from voxmill.sources import store
+
+    rows = spark.createDataFrame([(k, f"{k % 3}/{k}.bin", bytes([k]) * k) for k in range(50)], "id long, name string, content binary")
+    store.write_files(rows, str(tmp_path))
+    got = store.read_files(rows.select("id", "name"), str(tmp_path))
+    assert got.columns == ["id", "name", "content"] and {(r.id, bytes(r.content)) for r in got.collect()} == {(k, bytes([k]) * k) for k in range(50)}
+    assert "binaryFile" not in QUERIES["s24_raw_bytes"][0](spark, SMALL)._jdf.queryExecution().toString()
+
+
+def test_spoken_numbers_are_dealt_out(spark):
+    from voxmill.plans.speech import t17_spoken
+
+    assert t17_spoken(spark, SMALL).rdd.getNumPartitions() >= 8
+
+
+def test_cells_carry_no_rows_along(spark, tmp_path):
+    from voxmill.plans.texts import t21
+
+    spark.createDataFrame([("de", "ab😀")], "lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(1, 0, "ba?"), (1, 1, None), (1, 2, ""), (2, 0, ""), (3, 0, "😀"), (4, 0, None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    out = t21(spark, str(tmp_path))
+    assert "Generate posexplode" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in sorted(out.collect()):
+        got.setdefault((r.conv_id, r.turn), []).append(r.id)
+    assert got == {(1, 0): [1, 0, 0], (1, 1): [-1] * 3, (1, 2): [-1] * 3, (3, 0): [2]}

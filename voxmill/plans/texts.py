@@ -73,7 +73,10 @@ def t21(s, d):
     # as many as there are code points, at most
     numbers = held.agg(F.array_sort(F.collect_set("symbol")).alias("v")).select(F.posexplode("v").alias("id", "symbol"))
     wide = conv(s, d).groupBy("conv_id").agg(F.max(F.char_length("text")).alias("width"))
-    cells = conv(s, d).join(wide, "conv_id").select(*_C, F.split("text", "").alias("c"), F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("pos")).select(*_C, "pos", F.nullif(F.get("c", F.col("pos")), F.lit("")).alias("symbol"))
+    # a row of cells is walked once: beside each cell the whole of it would be carried along
+    own = F.when(F.col("text") != "", F.split("text", "")).otherwise(F.array().cast("array<string>"))
+    row = F.concat(F.coalesce(own, F.array().cast("array<string>")), F.array_repeat(F.lit(None).cast("string"), F.col("width") - F.coalesce(F.char_length("text"), F.lit(0))))
+    cells = conv(s, d).join(wide, "conv_id").select(*_C, F.posexplode(row).alias("pos", "symbol"))
     # a vocabulary has as many rows as there are code points, at most
     found = cells.join(F.broadcast(numbers), "symbol", "left")
     return found.select(*_C, "pos", F.when(F.col("symbol").isNull(), -1).otherwise(F.coalesce("id", F.lit(0))).alias("id"))
