@@ -144,3 +144,44 @@ def test_cells_carry_no_rows_along(spark, tmp_path):
     for r in sorted(out.collect()):
         got.setdefault((r.conv_id, r.turn), []).append(r.id)
     assert got == {(1, 0): [1, 0, 0], (1, 1): [-1] * 3, (1, 2): [-1] * 3, (3, 0): [2]}
+
+
+def test_jobs_of_neighbouring_numbers_share_a_state(spark, tmp_path):
+    # many jobs of few events: the store holds a value for each 32 numbers, and every job has its own end
+    import datetime as dt
+    import random
+
+    from voxmill.streaming import jobs, timers
+
+    dice, patience, hour = random.Random(15), 10 * 3_600_000, 3_600_000_000
+    events, start = [], 1_704_067_200_000_000
+    for job in [*range(-40, 160), 2**53 + 1, 2**62 + 1]:
+        for i in range(dice.randint(1, 9)):
+            events.append((job, start + dice.randrange(40 * hour), dice.choice([None, 2**53 + i, 2**53 + i]), dice.choice(["view", "view", "view", None, "done"])))
+    # 500: two events within a millisecond, the later one of the smaller number; 501: patience ends with the last event but LATE
+    events += [(500, start + 900, 1, "view"), (500, start + 500, 2, "done"), (501, start + 40 * hour + 1_000_000 - patience * 1000 - 1_000_000, 3, "view"), (502, start + 40 * hour + 1_000_000, 4, "view")]
+    # a job's ties in time are put apart by their numbers alone
+    assert len({e[:2] for e in events}) == len(events)
+    want, now = {}, max(e[1] for e in events) // 1000 - 1000
+    for job in {e[0] for e in events}:
+        status, n, before = "processing", 0, None
+        for us, status in sorted((e[1], {"done": "completed"}.get(e[3], "processing")) for e in events if e[0] == job):
+            if before is not None and us // 1000 - before >= patience:
+                status = "timeout"
+                break
+            before, n = us // 1000, n + 1
+            if status != "processing":
+                break
+        want[job] = ("timeout" if status == "processing" and now - before >= patience else status, n)
+    assert {s for s, _ in want.values()} == {"processing", "completed", "timeout"} and want[500] == ("completed", 1) and want[501] == ("timeout", 1)
+    shape = "job_id long, ts timestamp, id long, status string"
+    with timers.rocks(spark):
+        for lot in range(3):
+            part = [(j, dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us), i, s) for j, us, i, s in events if min((us - start) // (14 * hour), 2) == lot]
+            spark.createDataFrame(part, shape).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            states = timers.job_states(jobs.followed(spark, f"{tmp_path}/in", spark.createDataFrame([], shape).schema), {"done": "completed"}, patience)
+            query = jobs.saved_batches(states, f"{tmp_path}/out", f"{tmp_path}/state")
+            query.awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out").groupBy("job_id").agg(F.max_by("status", "batch").alias("status"), F.max_by("n", "batch").alias("n"))
+    assert {r.job_id: (r.status, r.n) for r in out.collect()} == want
+    assert query.lastProgress.stateOperators[0].numRowsTotal == len({j >> 5 for j in want}) < len(want) / 10
