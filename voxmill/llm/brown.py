@@ -16,6 +16,7 @@
 6. Scores are sums over tokens.  The counts of a chunk's words that aren't core come by a join on the word.
 
 Driver and workers hold at most CORE + ENDINGS units and (CLASSES + 1)^3 transitions; words, counts, pairs and texts stay distributed.
+A worker unpacks an Arrow batch piece by piece: what it holds beside the batch doesn't grow with the batch, the partition or a unit's rows.
 
 Edge cases: null text is the empty text, whose only token is the end; rows with null doc_id are for training; repeated
 rows are rows of their own, in training too; words of any length are told apart whole, but one of over `LONGEST` bytes goes by its ending; ties of counts are
@@ -48,8 +49,10 @@ PARTS, SHARES = 3, (1, 4, 16, 64, 256)
 CHUNK_BYTES = 4 << 20
 #: Units whose moves one product weighs at once.
 MOVES = 64
-#: Pairs that a task adds up before it sends them on.
-HELD_PAIRS = 2_000_000
+#: Pairs that a task adds up before it sends them on, and the bits that their counts have there.
+HELD_PAIRS, COUNT_BITS = 2_000_000, 34
+#: Bytes of neighbours, and of the classes of texts, that a worker unpacks at once; a class becomes several numbers of 8 bytes.
+PIECE_BYTES, CODED_BYTES = 2 << 20, 1 << 18
 END = b""
 U = CORE + ENDINGS
 CHUNK = "chunk long, docs array<long>, tokens array<int>, ids binary, words array<binary>, seen array<long>"
@@ -118,6 +121,27 @@ def chunk_pairs(row: dict, core: dict[bytes, int]) -> tuple[np.ndarray, np.ndarr
     return np.unique(np.concatenate([[U], unit[:-1]]) * (U + 1) + unit, return_counts=True) if len(unit) else (unit, unit)
 
 
+def pieces(batch: pa.RecordBatch, *columns: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with at most `limit` bytes in these columns; a longer row stands alone."""
+    sizes = [pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(c))), 0).to_numpy(zero_copy_only=False) for c in columns]
+    ends = np.cumsum(np.sum(sizes, axis=0, dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def merged(held: np.ndarray, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys with their counts in the low bits, and further distinct ones added."""
+    both = np.concatenate([held, keys << COUNT_BITS | n])
+    both.sort()
+    # a key stands at most twice
+    twice = np.flatnonzero((both[1:] ^ both[:-1]) >> COUNT_BITS == 0)
+    both[twice + 1] += both[twice] & ((1 << COUNT_BITS) - 1)
+    return np.delete(both, twice)
+
+
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with their sums."""
     if not len(keys):
@@ -132,18 +156,20 @@ def pairs(chunks: DataFrame, core) -> DataFrame:
     """(unit, other, n): how often `other` stands behind `unit`, added up over the chunks of a task as far as memory allows."""
 
     def part(batches):
-        keys, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        held, told = np.empty(0, np.int64), 0
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(keys // (U + 1), pa.int32()), pa.array(keys % (U + 1), pa.int32()), pa.array(n, pa.int64())], names=["unit", "other", "n"])
+            keys = held >> COUNT_BITS
+            return pa.RecordBatch.from_arrays([pa.array(keys // (U + 1), pa.int32()), pa.array(keys % (U + 1), pa.int32()), pa.array(held & ((1 << COUNT_BITS) - 1), pa.int64())], names=["unit", "other", "n"])
 
         for b in batches:
             for i in range(b.num_rows):
-                more, times = chunk_pairs(columns_of(b, i), core.value)
-                keys, n = summed(np.concatenate([keys, more]), np.concatenate([n, times]))
-                if len(keys) > HELD_PAIRS:
+                row = columns_of(b, i)
+                held, told = merged(held, *chunk_pairs(row, core.value)), told + len(row["ids"])
+                # a chunk has under 2^32 tokens
+                if len(held) > HELD_PAIRS or told >> (COUNT_BITS - 1):
                     yield out()
-                    keys, n = keys[:0], n[:0]
+                    held, told = held[:0], 0
         yield out()
 
     return chunks.select("docs", "tokens", "ids", "words").mapInArrow(part, "unit int, other int, n long")
@@ -156,7 +182,6 @@ def lists(rows: DataFrame) -> DataFrame:
         keys, n = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def out(keys, n):
-            keys, n = summed(keys, n)
             unit = keys // (U + 1)
             first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             ends = np.append(first[1:], len(unit))
@@ -164,8 +189,9 @@ def lists(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(unit[first], pa.int32()), pa.array([others[a:b].tobytes() for a, b in zip(first, ends, strict=True)]), pa.array([n[a:b].astype("<i8").tobytes() for a, b in zip(first, ends, strict=True)])], names=["unit", "others", "times"])
 
         for b in batches:
+            # rows of one pair come one after the other, from as many tasks as made pairs: they are added up at once
             keys = np.concatenate([keys, b.column(0).to_numpy().astype(np.int64) * (U + 1) + b.column(1).to_numpy()])
-            n = np.concatenate([n, b.column(2).to_numpy()])
+            keys, n = summed(keys, np.concatenate([n, b.column(2).to_numpy()]))
             # the last unit may go on in the next batch
             whole = int(np.searchsorted(keys, keys[-1] // (U + 1) * (U + 1))) if len(keys) else 0
             if whole:
@@ -245,9 +271,10 @@ def class_tables(beside: DataFrame, maps: list[np.ndarray]) -> list[np.ndarray]:
     def part(batches):
         out = np.zeros((len(maps), c, c))
         for b in batches:
-            for k, (unit, _, right, own) in enumerate(profiles(b, *maps)):
-                np.add.at(out[k], maps[k][unit], right)
-                np.add.at(out[k], (maps[k][unit], maps[k][unit]), own)
+            for piece in pieces(b, "others", "before"):
+                for k, (unit, _, right, own) in enumerate(profiles(piece, *maps)):
+                    np.add.at(out[k], maps[k][unit], right)
+                    np.add.at(out[k], (maps[k][unit], maps[k][unit]), own)
         yield pa.RecordBatch.from_pydict({"e": pa.array(np.arange(out.size), pa.int32()), "v": pa.array(out.ravel())})
 
     found = beside.mapInArrow(part, "e int, v double").groupBy("e").agg(F.sum("v").alias("v")).orderBy("e").toArrow()["v"].to_numpy()
@@ -258,8 +285,8 @@ def best_moves(beside: DataFrame, classes: np.ndarray, counts: np.ndarray, turn:
     """(unit, class, gain) of the units of this turn that another class suits better, by falling gain."""
 
     def part(batches):
-        for b in batches:
-            unit, *rest = profiles(b, classes)[0]
+        for piece in (x for b in batches for x in pieces(b, "others", "before")):
+            unit, *rest = profiles(piece, classes)[0]
             asked = np.flatnonzero((unit != U) & ((unit * 2654435761 % (1 << 32) >> 16) % PARTS == turn % PARTS))
             for at in range(0, len(asked), MOVES):
                 some = asked[at : at + MOVES]
@@ -307,8 +334,7 @@ def transitions(coded: DataFrame) -> np.ndarray:
     def part(batches):
         out = np.zeros(c**3, np.int64)
         for b in batches:
-            learnt = b.filter(pa.compute.invert(b.column(0)))
-            if learnt.num_rows:
+            for learnt in pieces(b.filter(pa.compute.invert(b.column(0))), "classes", limit=CODED_BYTES):
                 first, before, now = histories(learnt.column(1))
                 out += np.bincount((first * c + before) * c + now, minlength=c**3)
         at = np.flatnonzero(out)
@@ -394,13 +420,13 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity)."""
     spark = docs.sparkSession
     chunks = durable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(encode, CHUNK), "brown-chunks")
-    words = chunks.select(F.explode(F.arrays_zip("words", "seen")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.seen").alias("n")).where("n > 0")
+    words = chunks.select("seen", F.posexplode("words").alias("at", "word")).select("word", F.get("seen", "at").alias("n")).where("n > 0")
     counts = durable(words.groupBy("word").agg(F.sum("n").alias("c")), "brown-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     common = counts.where((F.col("c") >= CORE_SEEN) & (F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 0)).orderBy(F.desc("c"), "word").limit(CORE).collect()
     core = {bytes(r.word): i for i, r in enumerate(common)}
     # at most CORE words of LONGEST bytes, and the end
-    named = spark.createDataFrame([(w,) for w in [END, *core]], "word binary")
+    named = spark.createDataFrame(pa.table({"word": pa.array([END, *core], pa.binary())}))
     sent = spark.sparkContext.broadcast(core)
     beside = neighbours(chunks, sent)
     texts = sum(r.c for r in counts.where(F.octet_length("word") == 0).collect())
@@ -419,8 +445,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     def part(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                piece = b.slice(at, 512)
+            for piece in pieces(b, "classes", limit=CODED_BYTES):
                 texts_ = piece.column(1)
                 first, before, now = histories(texts_)
                 sizes = pa.compute.binary_length(texts_).to_numpy()
